@@ -48,5 +48,5 @@ def plain_mean(value: Column, scale: int = 0) -> Column:
     every engine doing the same steps yields the same double.
     """
     units = value if scale == 0 else (value * (10**scale)).cast("bigint")
-    out = F.sum(units).cast("double") / F.count(value).cast("double")
+    out = F.try_divide(F.sum(units).cast("double"), F.count(value).cast("double"))
     return out / float(10**scale) if scale else out

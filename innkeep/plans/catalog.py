@@ -12,12 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from innkeep.functions import cleaning as C
 from innkeep.functions.fingerprint import row_hash
-from innkeep.operators import gold, silver as silver_ops
+from innkeep.operators import gold, quality as Q, rollups as R, silver as silver_ops
 from innkeep.plans import datasets as D
-from innkeep.schema import RAW_COLUMNS
+from innkeep.schema import INT_COLUMNS, NULLABLE_TEXT_COLUMNS, RAW_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
+SENTINEL_COLUMNS = set(INT_COLUMNS) | set(NULLABLE_TEXT_COLUMNS) | {"adr", "reservation_status_date"}
 QUERIES: dict[str, Query] = {}
 
 
@@ -71,5 +73,326 @@ def q_row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.raw(spark, sf_dir).select(*RAW_COLUMNS, row_hash(RAW_COLUMNS).alias("_row_hash"))
 
 
+@query("silver_project")
+def q_silver_project(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_ops.project_renamed(D.raw(spark, sf_dir))
+
+
+@query("month_join")
+def q_month_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_ops.with_month_number(D.raw(spark, sf_dir).select("arrival_date_month"))
+
+
+@query("sentinel_nulls")
+def q_sentinel_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = [c for c in RAW_COLUMNS if c in SENTINEL_COLUMNS]
+    return D.raw(spark, sf_dir).select(*[C.sentinel_null(c).alias(c) for c in cols])
+
+
+@query("typed_columns")
+def q_typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(D.raw(spark, sf_dir).select(*silver_ops.typed_columns(strict=True)))
+
+
+@query("lenient_typed_columns")
+def q_lenient_typed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(D.raw(spark, sf_dir).select(*silver_ops.typed_columns(strict=False)))
+
+
+def _derived(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver_ops.with_month_number(D.raw(spark, sf_dir))
+
+
+@query("total_nights")
+def q_total_nights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nights = C.total_nights(C.typed_int("stays_in_weekend_nights"), C.typed_int("stays_in_week_nights"))
+    return D.raw(spark, sf_dir).select("stays_in_weekend_nights", "stays_in_week_nights", nights.alias("total_nights"))
+
+
+@query("revenue")
+def q_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nights = C.total_nights(C.typed_int("stays_in_weekend_nights"), C.typed_int("stays_in_week_nights"))
+    rev = C.revenue(F.col("is_canceled"), C.typed_rate("adr"), nights)
+    return D.as_doubles(
+        D.raw(spark, sf_dir).select(
+            "is_canceled", "adr", "stays_in_weekend_nights", "stays_in_week_nights", rev.alias("revenue")
+        )
+    )
+
+
+@query("year_month")
+def q_year_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ym = C.year_month(F.col("arrival_date_year"), F.col("month_number"))
+    return _derived(spark, sf_dir).select("arrival_date_year", "arrival_date_month", ym.alias("year_month"))
+
+
+@query("arrival_date")
+def q_arrival_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    y, d = F.col("arrival_date_year"), F.col("arrival_date_day_of_month")
+    ad = C.arrival_date(y, F.col("month_number"), d)
+    return _derived(spark, sf_dir).select(
+        "arrival_date_year", "arrival_date_month", "arrival_date_day_of_month", ad.alias("arrival_date")
+    )
+
+
+@query("room_changed")
+def q_room_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rc = C.room_changed(F.col("reserved_room_type"), F.col("assigned_room_type"))
+    return D.raw(spark, sf_dir).select("reserved_room_type", "assigned_room_type", rc.alias("was_room_changed"))
+
+
+# --- Filters and explorer ------------------------------------------------------------
+
+# Dashboard-style selection used by the filtered-rows query.
+EXAMPLE_FILTER = R.BookingFilter(types=["Hotel", "Apartment"], years=[1995, 1996, 1997], status="Canceled")
+
+
+@query("completed_bookings")
+def q_completed_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(gold.completed(D.silver(spark, sf_dir)).drop("_loaded_at"))
+
+
+@query("filtered_bookings")
+def q_filtered_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(EXAMPLE_FILTER.apply(D.silver(spark, sf_dir)).drop("_loaded_at"))
+
+
+def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.BookingFilter().apply(D.silver(spark, sf_dir))
+
+
+@query("explorer_rows")
+def q_explorer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(R.explorer_rows(_filtered(spark, sf_dir)))
+
+
+@query("mom_nonnull")
+def q_mom_nonnull(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(gold.mom_growth(D.silver(spark, sf_dir)).dropna(subset=["mom_pct_change"]))
+
+
+# --- Top-k -------------------------------------------------------------------------------
+
+TOP_N = 20
+
+
+@query("top_countries")
+def q_top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = gold.popular_countries(D.silver(spark, sf_dir))
+    return D.as_doubles(ranked.orderBy("popularity_rank", "country").limit(TOP_N))
+
+
+@query("top_countries_revenue")
+def q_top_countries_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = gold.popular_countries(D.silver(spark, sf_dir))
+    return D.as_doubles(
+        ranked.orderBy("popularity_rank", "country").limit(30).select("country", "total_bookings", "total_revenue")
+    )
+
+
+@query("mom_sample")
+def q_mom_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mom = gold.mom_growth(D.silver(spark, sf_dir))
+    return D.as_doubles(
+        mom.where(F.col("hotel_type") == "Hotel")
+        .orderBy(F.col("year_month").desc())
+        .limit(12)
+        .select("hotel_type", "year_month", "total_booking_amount", "mom_pct_change")
+    )
+
+
+# --- Rollups -----------------------------------------------------------------------------
+
+
+@query("kpi_summary")
+def q_kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(R.kpi_summary(D.raw(spark, sf_dir), D.silver(spark, sf_dir)))
+
+
+@query("duplicate_count")
+def q_duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.duplicate_count(D.raw(spark, sf_dir), D.bronze(spark, sf_dir))
+
+
+@query("monthly_bookings")
+def q_monthly_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.monthly_bookings(_filtered(spark, sf_dir))
+
+
+@query("monthly_completed_revenue")
+def q_monthly_completed_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(R.monthly_completed_revenue(D.silver(spark, sf_dir)))
+
+
+@query("cancel_rate_by_type")
+def q_cancel_rate_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(R.cancel_rate_by_type(D.silver(spark, sf_dir)))
+
+
+@query("type_comparison")
+def q_type_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(R.type_comparison(D.silver(spark, sf_dir)))
+
+
+@query("type_rates_long")
+def q_type_rates_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return D.as_doubles(R.type_rates_long(D.silver(spark, sf_dir)))
+
+
+@query("seasonality")
+def q_seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.seasonality(_filtered(spark, sf_dir))
+
+
+def _raw_t(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.raw_typed(D.raw(spark, sf_dir))
+
+
+@query("value_counts_board")
+def q_vc_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.value_counts(_filtered(spark, sf_dir), "board")
+
+
+@query("value_counts_segment")
+def q_vc_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.value_counts(_filtered(spark, sf_dir), "market_segment")
+
+
+@query("value_counts_country")
+def q_vc_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.value_counts(_raw_t(spark, sf_dir), "country")
+
+
+@query("value_counts_year")
+def q_vc_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.value_counts(_raw_t(spark, sf_dir), "arrival_date_year")
+
+
+@query("value_counts_type")
+def q_vc_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.value_counts(_raw_t(spark, sf_dir), "hotel")
+
+
+@query("distinct_countries")
+def q_distinct_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.distinct_count(_raw_t(spark, sf_dir), "country", "distinct_countries")
+
+
+@query("distinct_types")
+def q_distinct_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.distinct_values(D.silver(spark, sf_dir), "hotel_type")
+
+
+@query("null_profile")
+def q_null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.null_profile(_raw_t(spark, sf_dir))
+
+
+@query("cancellation_rate")
+def q_cancellation_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.cancellation_rate(_raw_t(spark, sf_dir))
+
+
+@query("cancel_rate_by_year")
+def q_cancel_rate_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.mean_by(_raw_t(spark, sf_dir), ["arrival_date_year"], "is_canceled", "cancel_rate")
+
+
+@query("avg_rate_by_type")
+def q_avg_rate_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.mean_by(_raw_t(spark, sf_dir), ["hotel"], "adr", "avg_daily_rate", scale=2)
+
+
+@query("avg_rate_by_type_status")
+def q_avg_rate_by_type_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.mean_by(_raw_t(spark, sf_dir), ["hotel", "is_canceled"], "adr", "avg_daily_rate", scale=2)
+
+
+@query("cancel_crosstab")
+def q_cancel_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.cancel_crosstab(_raw_t(spark, sf_dir))
+
+
+@query("outlier_counts")
+def q_outlier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.outlier_counts(_raw_t(spark, sf_dir))
+
+
+@query("numeric_summary")
+def q_numeric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.numeric_summary(_filtered(spark, sf_dir))
+
+
+@query("lead_time_histogram")
+def q_lead_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.histogram(_filtered(spark, sf_dir), "lead_time", 50)
+
+
+@query("rate_histogram")
+def q_rate_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.histogram(_filtered(spark, sf_dir), "adr", 80, by=["hotel_type"], scale=2)
+
+
+@query("silver_profile")
+def q_silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = D.silver(spark, sf_dir)
+    return s.agg(F.count(F.lit(1)).alias("row_count"), F.lit(len(s.columns)).alias("column_count"))
+
+
+# --- Data quality ------------------------------------------------------------------------
+
+
+def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    raw, bronze, silver = D.raw(spark, sf_dir), D.bronze(spark, sf_dir), D.silver(spark, sf_dir)
+    countries = gold.popular_countries(silver)
+    mom = gold.mom_growth(silver)
+    return {
+        "dq_unique": Q.unique(silver, "_row_hash", "silver").unionByName(Q.unique(countries, "country", "popular_countries")),
+        "dq_not_null": Q.not_null(silver, Q.SILVER_NOT_NULL, "silver", "_row_hash")
+        .unionByName(Q.not_null(countries, Q.COUNTRIES_NOT_NULL, "popular_countries", "country"))
+        .unionByName(
+            Q.not_null(
+                mom.withColumn("_key", F.concat_ws("/", "hotel_type", "year_month")), Q.MOM_NOT_NULL, "mom_growth", "_key"
+            )
+        ),
+        "dq_accepted_values": Q.accepted_values(silver, Q.ACCEPTED_VALUES, "silver"),
+        "dq_value_set": Q.value_set(raw, Q.RAW_VALUE_SETS),
+        "dq_non_negative": Q.non_negative(silver, "adr"),
+        "dq_volume": Q.volume(silver),
+        "dq_rate_bounds": Q.rate_bounds(raw),
+        "dq_diversity": Q.diversity(raw),
+        "dq_negative_share": Q.negative_share(raw),
+        "dq_hash_format": Q.hash_format(bronze),
+    }
+
+
+def _check(name: str) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return D.as_doubles(quality_checks(spark, sf_dir)[name])
+
+    run.__name__ = f"q_{name}"
+    return run
+
+
+for _name in (
+    "dq_unique",
+    "dq_not_null",
+    "dq_accepted_values",
+    "dq_value_set",
+    "dq_non_negative",
+    "dq_volume",
+    "dq_rate_bounds",
+    "dq_diversity",
+    "dq_negative_share",
+    "dq_hash_format",
+):
+    QUERIES[_name] = _check(_name)
+
+
+@query("dq_report")
+def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.report(quality_checks(spark, sf_dir))
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -1,18 +1,27 @@
 """The layer frames every query starts from, derived from a driver folder.
 
-R  = raw reservation rows (text, duplicates included)
-B  = bronze rows (R + lineage + fingerprint; not yet deduplicated)
-S  = cleaned layer (strict parsing)
+landing = raw reservation rows as received (duplicates included) with
+          lineage and fingerprint, written once as Parquet to the shared
+          staging folder (like a raw extract landed by an ingest job);
+R       = landing's 32 text columns;
+S       = cleaned layer built from landing (strict parsing).
+
+Staging the landing table is also what keeps plans small: downstream jobs
+start from a Parquet scan of plain columns instead of the long derivation
+from the order tables.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innkeep.operators.bronze import with_lineage
 from innkeep.operators.silver import build_silver
+from innkeep.schema import RAW_COLUMNS
+from innkeep.session import checkpoint_dir, staging_path
 from innkeep.sources.fixture import raw_reservations
 
 # Fixed lineage for rows derived from the driver tables, so repeated runs are
@@ -21,17 +30,41 @@ from innkeep.sources.fixture import raw_reservations
 SOURCE_NAME = "orders.parquet"
 FIXED_LOAD_TIME = "1970-01-01 00:00:00"
 
+_STAGED: dict[tuple[str, str], str] = {}
+
+
+def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows + lineage + fingerprint, computed from the driver tables."""
+    ts = F.lit(FIXED_LOAD_TIME).cast(T.TimestampType())
+    return with_lineage(raw_reservations(spark, sf_dir), SOURCE_NAME, ts)
+
+
+def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The landing table for ``sf_dir`` (staged on first use in this process)."""
+    key = (sf_dir, checkpoint_dir(spark))
+    path = _STAGED.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            pass
+    path = staging_path(spark, "landing")
+    landing_from_tables(spark, sf_dir).write.mode("overwrite").parquet(path)
+    _STAGED[key] = path
+    return spark.read.parquet(path)
+
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_reservations(spark, sf_dir)
+    return landing(spark, sf_dir).select(*RAW_COLUMNS)
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_lineage(raw(spark, sf_dir), SOURCE_NAME, F.lit(FIXED_LOAD_TIME).cast(T.TimestampType()))
+    """Landing rows with lineage (not yet deduplicated)."""
+    return landing(spark, sf_dir)
 
 
 def silver(spark: SparkSession, sf_dir: str, strict: bool = True) -> DataFrame:
-    return build_silver(bronze(spark, sf_dir), strict=strict)
+    return build_silver(landing(spark, sf_dir), strict=strict)
 
 
 def as_doubles(df: DataFrame) -> DataFrame:
