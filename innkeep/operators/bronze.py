@@ -4,26 +4,31 @@ A bronze table holds the 32 raw text columns plus ``_loaded_at``,
 ``_source_file`` and ``_row_hash``; a fingerprint is stored at most once.
 
 Plan shape of an append: new rows are reduced to one per fingerprint (partial
-``WindowGroupLimit`` before the exchange on ``_row_hash``) and anti-joined with
-the fingerprints already stored (a left-anti sort-merge or broadcast join on
-``_row_hash``, chosen by AQE from the real sizes). Only the ``_row_hash``
-column of the existing table is read.
+``WindowGroupLimit`` before the exchange on ``_row_hash``) and checked against
+the fingerprints already stored (semi join, then anti join; see
+:func:`new_rows`). Only the ``_row_hash`` column of the stored table is read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innkeep.functions.fingerprint import row_hash
 from innkeep.operators.silver import first_per_fingerprint
 from innkeep.schema import RAW_COLUMNS
+from innkeep.session import staging_path
+from innkeep.sources.csv_source import read_csv, select_expected
 
 
 def with_lineage(
     raw: DataFrame,
     source_file: str | Column | None = None,
     loaded_at: Column | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Add ``_loaded_at`` (UTC load time), ``_source_file`` and ``_row_hash``.
 
@@ -42,6 +47,7 @@ def with_lineage(
         ts.alias("_loaded_at"),
         src.alias("_source_file"),
         row_hash(RAW_COLUMNS).alias("_row_hash"),
+        *(keep or []),
     )
 
 
@@ -50,11 +56,18 @@ def new_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
 
     Insert-if-absent semantics of a unique fingerprint: a fingerprint repeated
     inside the batch is kept once; one already in ``existing`` is skipped.
+
+    The stored table can be far larger than a batch, so the check runs in two
+    steps: stored fingerprints are semi-joined with the batch's fingerprints
+    (a broadcast of the batch side when AQE measures it small, a shuffle join
+    otherwise), and the batch is anti-joined with that result, which is never
+    larger than the batch itself.
     """
     fresh = first_per_fingerprint(batch)
     if existing is None:
         return fresh
-    return fresh.join(existing.select("_row_hash"), "_row_hash", "left_anti").select(*batch.columns)
+    seen = existing.select("_row_hash").join(fresh.select("_row_hash"), "_row_hash", "left_semi")
+    return fresh.join(seen, "_row_hash", "left_anti").select(*batch.columns)
 
 
 def load_metrics(batch: DataFrame, inserted: DataFrame, total_after: DataFrame) -> DataFrame:
@@ -70,3 +83,63 @@ def load_metrics(batch: DataFrame, inserted: DataFrame, total_after: DataFrame)
         (F.col("rows_read") - ins).alias("duplicates"),
         tot.alias("total"),
     )
+
+
+@dataclass(frozen=True)
+class LoadResult:
+    metrics: DataFrame  # one row: rows_read, inserted, duplicates, malformed, total
+    inserted: DataFrame  # the rows this load appended
+
+
+class VolumeCheckError(ValueError):
+    """Raised before publishing when a load would leave too few rows."""
+
+
+METRICS_SCHEMA = "rows_read long, inserted long, duplicates long, malformed long, total long"
+
+
+def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:
+    """The stored bronze table, or None when nothing was loaded yet."""
+    try:
+        return spark.read.parquet(bronze_path)
+    except AnalysisException:
+        return None
+
+
+def load_csv(
+    spark: SparkSession,
+    csv_path: str,
+    bronze_path: str,
+    min_rows: int = 80_000,
+    multi_line: bool = True,
+) -> LoadResult:
+    """CSV extract -> bronze (insert-if-absent by fingerprint); returns metrics and new rows.
+
+    Steps: scan the CSV once into a staged Parquet batch (lineage, fingerprint,
+    malformed flag) in the shared staging folder; compute the new rows into a
+    second staged table; check the volume gate; only then append the new rows
+    to bronze. A failed or gated load publishes nothing, and the append itself
+    is one Spark write job (committed as a whole, retried per task).
+    """
+    scanned = select_expected(read_csv(spark, csv_path, multi_line=multi_line))
+    landed_path = staging_path(spark, "bronze-batch")
+    with_lineage(scanned, F.col("_file_name"), keep=["_malformed"]).write.parquet(landed_path)
+    landed = spark.read.parquet(landed_path)
+    existing = read_bronze(spark, bronze_path)
+    batch = landed.drop("_malformed")
+    new_path = staging_path(spark, "bronze-new")
+    new_rows(batch, existing).write.parquet(new_path)
+    new = spark.read.parquet(new_path)
+
+    read_stats = landed.agg(F.count(F.lit(1)).alias("n"), F.count_if("_malformed").alias("bad")).first()
+    inserted = new.count()
+    before = existing.count() if existing is not None else 0
+    total = before + inserted
+    if total < min_rows:
+        raise VolumeCheckError(f"post-load check failed: only {total} rows (expected >= {min_rows})")
+    new.write.mode("append").parquet(bronze_path)
+    rows_read = int(read_stats["n"])
+    metrics = spark.createDataFrame(
+        [(rows_read, inserted, rows_read - inserted, int(read_stats["bad"]), total)], METRICS_SCHEMA
+    )
+    return LoadResult(metrics, new)

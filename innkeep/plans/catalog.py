@@ -15,7 +15,11 @@ from pyspark.sql import functions as F
 from innkeep.functions import cleaning as C
 from innkeep.functions.fingerprint import row_hash
 from innkeep.operators import gold, quality as Q, rollups as R, silver as silver_ops
-from innkeep.plans import datasets as D
+from innkeep.operators import bronze as B
+from innkeep.plans import datasets as D, pipeline as P
+from innkeep.session import staging_path
+from innkeep.sources.csv_source import check_columns, header, read_csv, select_expected
+from innkeep.sources.tables import write_layer
 from innkeep.schema import INT_COLUMNS, NULLABLE_TEXT_COLUMNS, RAW_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -394,5 +398,70 @@ def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.report(quality_checks(spark, sf_dir))
 
 
+# --- CSV source, bronze load, sinks, pipeline -----------------------------------------
+
+# The earlier of two overlapping extracts: stays that arrived up to 1995.
+EARLY_EXTRACT = "CAST(arrival_date_year AS INT) <= 1995"
+
+
+@query("csv_source")
+def q_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = select_expected(read_csv(spark, D.csv_extract(spark, sf_dir)))
+    return scanned.select(*RAW_COLUMNS)
+
+
+@query("schema_report")
+def q_schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = header(spark, D.csv_extract(spark, sf_dir))
+    rep = check_columns(cols)
+    status = [(c, "extra" if c in rep.extra else "expected") for c in cols] + [(c, "missing") for c in rep.missing]
+    return spark.createDataFrame(status, "column_name string, status string")
+
+
+@query("bronze_lineage")
+def q_bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = select_expected(read_csv(spark, D.csv_extract(spark, sf_dir)))
+    stamped = B.with_lineage(scanned, F.col("_file_name"))
+    has = F.col("_loaded_at").isNotNull() & F.col("_source_file").endswith(".csv")
+    return stamped.select("_row_hash", has.alias("has_lineage"))
+
+
+def _two_loads(spark: SparkSession, sf_dir: str) -> B.LoadResult:
+    bronze_path = staging_path(spark, "bronze")
+    B.load_csv(spark, D.csv_extract(spark, sf_dir, "early", EARLY_EXTRACT), bronze_path, min_rows=1)
+    return B.load_csv(spark, D.csv_extract(spark, sf_dir), bronze_path, min_rows=1)
+
+
+@query("bronze_append_new")
+def q_bronze_append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_loads(spark, sf_dir).inserted.select(*RAW_COLUMNS, "_row_hash")
+
+
+@query("load_metrics")
+def q_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _two_loads(spark, sf_dir).metrics
+
+
+@query("bronze_load")
+def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze_path = staging_path(spark, "bronze")
+    B.load_csv(spark, D.csv_extract(spark, sf_dir), bronze_path, min_rows=1)
+    return spark.read.parquet(bronze_path).select(*RAW_COLUMNS, "_row_hash")
+
+
+@query("layer_sink")
+def q_layer_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = staging_path(spark, "gold-popular_countries")
+    write_layer(gold.popular_countries(D.silver(spark, sf_dir)), path)
+    return D.as_doubles(spark.read.parquet(path))
+
+
+@query("pipeline_summary")
+def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    layout = P.Layout(staging_path(spark, "warehouse"))
+    run = P.run_pipeline(spark, D.csv_extract(spark, sf_dir), layout, min_rows=1, gate_quality=False)
+    return run.summary
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -22,6 +22,7 @@ from innkeep.operators.bronze import with_lineage
 from innkeep.operators.silver import build_silver
 from innkeep.schema import RAW_COLUMNS
 from innkeep.session import checkpoint_dir, staging_path
+from innkeep.sources.csv_source import write_csv
 from innkeep.sources.fixture import raw_reservations
 
 # Fixed lineage for rows derived from the driver tables, so repeated runs are
@@ -54,6 +55,29 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def csv_extract(spark: SparkSession, sf_dir: str, name: str = "extract", where: str | None = None) -> str:
+    """A raw CSV extract of the landing rows, staged once per process.
+
+    Columns are written in reverse order plus an extra ``source_system``
+    column, so loading it exercises match-by-name and ignore-extra.
+    """
+    key = (sf_dir, checkpoint_dir(spark) + "#" + name)
+    path = _STAGED.get(key)
+    if path is not None:
+        try:
+            spark.read.text(path).limit(1).collect()
+            return path
+        except AnalysisException:
+            pass
+    rows = raw(spark, sf_dir)
+    if where is not None:
+        rows = rows.where(where)
+    path = staging_path(spark, f"csv-{name}")
+    write_csv(rows.select(*reversed(RAW_COLUMNS), F.lit("orders").alias("source_system")), path)
+    _STAGED[key] = path
+    return path
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing(spark, sf_dir).select(*RAW_COLUMNS)
 
