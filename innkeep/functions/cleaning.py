@@ -1,15 +1,13 @@
 """Column expressions that turn raw text into typed values.
 
 Two parsing modes: *strict* (bad text fails the job, like a typed SQL model)
-and *lenient* (bad text becomes NULL, like a dashboard coercing numbers). Strict
-mode is expressed with ``try_cast`` + ``raise_error`` so it does not depend on
-the session's ANSI setting, and everything stays a built-in expression inside
-whole-stage codegen.
+and *lenient* (bad text becomes NULL, like a dashboard coercing numbers).
+Everything stays a built-in expression inside whole-stage codegen.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from innkeep.schema import MONEY_TYPE, RATE_TYPE, SENTINELS
@@ -23,10 +21,13 @@ def col_(c: str | Column) -> Column:
 
 def sentinel_null(c: str | Column) -> Column:
     """``NA`` and ``NULL`` text -> NULL (exact, case-sensitive, untrimmed)."""
-    out = col_(c)
-    for s in SENTINELS:
-        out = F.nullif(out, F.lit(s))
-    return out
+    v = col_(c)
+    return F.when(v.isin(*SENTINELS), F.lit(None).cast("string")).otherwise(v)
+
+
+def _ansi() -> bool:
+    spark = SparkSession.getActiveSession()
+    return spark is not None and spark.conf.get("spark.sql.ansi.enabled", "false").lower() == "true"
 
 
 def _checked(text: Column, parsed: Column, what: str) -> Column:
@@ -38,13 +39,22 @@ def _checked(text: Column, parsed: Column, what: str) -> Column:
 
 
 def parse(text: Column, dtype: str, strict: bool = True) -> Column:
-    """Cast text to ``dtype``; strict fails on bad input, lenient yields NULL."""
-    parsed = text.try_cast(dtype)
-    return _checked(text, parsed, dtype) if strict else parsed
+    """Cast text to ``dtype``; strict fails on bad input, lenient yields NULL.
+
+    Strict mode is Spark's ANSI cast when the session runs with ANSI on (the
+    library default); otherwise an explicit check raises the error.
+    """
+    if not strict:
+        return text.try_cast(dtype)
+    if _ansi():
+        return text.cast(dtype)
+    return _checked(text, text.try_cast(dtype), dtype)
 
 
 def parse_date(text: Column, pattern: str | None = None, strict: bool = True) -> Column:
     """Text -> DATE (ISO ``yyyy-MM-dd`` by default)."""
+    if strict and _ansi():
+        return F.to_date(text, pattern) if pattern else text.cast("date")
     parsed = F.try_to_date(text, pattern) if pattern else text.try_cast("date")
     return _checked(text, parsed, "date") if strict else parsed
 

@@ -123,7 +123,7 @@ def load_csv(
     """
     scanned = select_expected(read_csv(spark, csv_path, multi_line=multi_line))
     landed_path = staging_path(spark, "bronze-batch")
-    with_lineage(scanned, F.col("_file_name"), keep=["_malformed"]).write.parquet(landed_path)
+    with_lineage(scanned, F.col("_file_name"), keep=["_malformed"]).hint("rebalance").write.parquet(landed_path)
     landed = spark.read.parquet(landed_path)
     existing = read_bronze(spark, bronze_path)
     batch = landed.drop("_malformed")

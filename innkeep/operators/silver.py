@@ -17,17 +17,21 @@ from innkeep.functions import cleaning as C
 from innkeep.schema import INT_COLUMNS, NULLABLE_TEXT_COLUMNS, RAW_COLUMNS, silver_name
 from innkeep.sources.dimensions import month_map
 
-DEDUP_ORDER = ["_loaded_at", "_source_file", *RAW_COLUMNS]
+def dedup_order(df: DataFrame) -> list[Column]:
+    """Earliest load first, then source file, then a 64-bit hash of the raw values.
 
+    The value hash (computed per column, so unlike the fingerprint it has no
+    separator ambiguity) makes the choice deterministic when two different
+    rows share a fingerprint and a load; it is one long computed before the
+    shuffle, so unused raw columns can still be pruned from the exchange.
+    """
+    order = [F.col(c).asc_nulls_last() for c in ("_loaded_at", "_source_file") if c in df.columns]
+    return order + [F.xxhash64(*[F.col(c) for c in RAW_COLUMNS]).asc()]
 
-def first_per_fingerprint(bronze: DataFrame, key: str = "_row_hash") -> DataFrame:
-    """Keep the earliest-loaded row of each fingerprint.
 
-    Ties on load time are broken by source file and then all raw values, so
-    the result is deterministic (and identical after a task retry).
-    """
-    order = [F.col(c).asc_nulls_last() for c in DEDUP_ORDER if c in bronze.columns]
-    w = Window.partitionBy(key).orderBy(*order)
+def first_per_fingerprint(bronze: DataFrame, key: str = "_row_hash") -> DataFrame:
+    """Keep the earliest-loaded row of each fingerprint (deterministic on retry)."""
+    w = Window.partitionBy(key).orderBy(*dedup_order(bronze))
     return bronze.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 

@@ -50,7 +50,8 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         except AnalysisException:
             pass
     path = staging_path(spark, "landing")
-    landing_from_tables(spark, sf_dir).write.mode("overwrite").parquet(path)
+    # rebalance: AQE sizes the output files (split large, keep parallelism small)
+    landing_from_tables(spark, sf_dir).hint("rebalance").write.mode("overwrite").parquet(path)
     _STAGED[key] = path
     return spark.read.parquet(path)
 
