@@ -40,22 +40,22 @@ def query(name: str) -> Callable[[Query], Query]:
 
 @query("popular_countries")
 def q_popular_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(gold.popular_countries(D.silver(spark, sf_dir)))
+    return D.as_doubles(gold.popular_countries(D.silver_table(spark, sf_dir)))
 
 
 @query("mom_growth")
 def q_mom_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(gold.mom_growth(D.silver(spark, sf_dir)))
+    return D.as_doubles(gold.mom_growth(D.silver_table(spark, sf_dir)))
 
 
 @query("country_stats")
 def q_country_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(gold.country_stats(D.silver(spark, sf_dir)))
+    return D.as_doubles(gold.country_stats(D.silver_table(spark, sf_dir)))
 
 
 @query("monthly_revenue")
 def q_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(gold.monthly_revenue(D.silver(spark, sf_dir)))
+    return D.as_doubles(gold.monthly_revenue(D.silver_table(spark, sf_dir)))
 
 
 # --- Cleaned layer ----------------------------------------------------------------
@@ -153,16 +153,16 @@ EXAMPLE_FILTER = R.BookingFilter(types=["Hotel", "Apartment"], years=[1995, 1996
 
 @query("completed_bookings")
 def q_completed_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(gold.completed(D.silver(spark, sf_dir)).drop("_loaded_at"))
+    return D.as_doubles(gold.completed(D.silver_table(spark, sf_dir)).drop("_loaded_at"))
 
 
 @query("filtered_bookings")
 def q_filtered_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(EXAMPLE_FILTER.apply(D.silver(spark, sf_dir)).drop("_loaded_at"))
+    return D.as_doubles(EXAMPLE_FILTER.apply(D.silver_table(spark, sf_dir)).drop("_loaded_at"))
 
 
 def _filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.BookingFilter().apply(D.silver(spark, sf_dir))
+    return R.BookingFilter().apply(D.silver_table(spark, sf_dir))
 
 
 @query("explorer_rows")
@@ -172,7 +172,7 @@ def q_explorer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mom_nonnull")
 def q_mom_nonnull(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(gold.mom_growth(D.silver(spark, sf_dir)).dropna(subset=["mom_pct_change"]))
+    return D.as_doubles(gold.mom_growth(D.silver_table(spark, sf_dir)).dropna(subset=["mom_pct_change"]))
 
 
 # --- Top-k -------------------------------------------------------------------------------
@@ -182,13 +182,13 @@ TOP_N = 20
 
 @query("top_countries")
 def q_top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = gold.popular_countries(D.silver(spark, sf_dir))
+    ranked = gold.popular_countries(D.silver_table(spark, sf_dir))
     return D.as_doubles(ranked.orderBy("popularity_rank", "country").limit(TOP_N))
 
 
 @query("top_countries_revenue")
 def q_top_countries_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = gold.popular_countries(D.silver(spark, sf_dir))
+    ranked = gold.popular_countries(D.silver_table(spark, sf_dir))
     return D.as_doubles(
         ranked.orderBy("popularity_rank", "country").limit(30).select("country", "total_bookings", "total_revenue")
     )
@@ -196,7 +196,7 @@ def q_top_countries_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("mom_sample")
 def q_mom_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mom = gold.mom_growth(D.silver(spark, sf_dir))
+    mom = gold.mom_growth(D.silver_table(spark, sf_dir))
     return D.as_doubles(
         mom.where(F.col("hotel_type") == "Hotel")
         .orderBy(F.col("year_month").desc())
@@ -210,7 +210,7 @@ def q_mom_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("kpi_summary")
 def q_kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(R.kpi_summary(D.raw(spark, sf_dir), D.silver(spark, sf_dir)))
+    return D.as_doubles(R.kpi_summary(D.raw(spark, sf_dir), D.silver_table(spark, sf_dir)))
 
 
 @query("duplicate_count")
@@ -225,22 +225,22 @@ def q_monthly_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("monthly_completed_revenue")
 def q_monthly_completed_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(R.monthly_completed_revenue(D.silver(spark, sf_dir)))
+    return D.as_doubles(R.monthly_completed_revenue(D.silver_table(spark, sf_dir)))
 
 
 @query("cancel_rate_by_type")
 def q_cancel_rate_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(R.cancel_rate_by_type(D.silver(spark, sf_dir)))
+    return D.as_doubles(R.cancel_rate_by_type(D.silver_table(spark, sf_dir)))
 
 
 @query("type_comparison")
 def q_type_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(R.type_comparison(D.silver(spark, sf_dir)))
+    return D.as_doubles(R.type_comparison(D.silver_table(spark, sf_dir)))
 
 
 @query("type_rates_long")
 def q_type_rates_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return D.as_doubles(R.type_rates_long(D.silver(spark, sf_dir)))
+    return D.as_doubles(R.type_rates_long(D.silver_table(spark, sf_dir)))
 
 
 @query("seasonality")
@@ -284,7 +284,7 @@ def q_distinct_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("distinct_types")
 def q_distinct_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.distinct_values(D.silver(spark, sf_dir), "hotel_type")
+    return R.distinct_values(D.silver_table(spark, sf_dir), "hotel_type")
 
 
 @query("null_profile")
@@ -339,7 +339,7 @@ def q_rate_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("silver_profile")
 def q_silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = D.silver(spark, sf_dir)
+    s = D.silver_table(spark, sf_dir)
     return s.agg(F.count(F.lit(1)).alias("row_count"), F.lit(len(s.columns)).alias("column_count"))
 
 
@@ -347,7 +347,7 @@ def q_silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    raw, bronze, silver = D.raw(spark, sf_dir), D.bronze(spark, sf_dir), D.silver(spark, sf_dir)
+    raw, bronze, silver = D.raw(spark, sf_dir), D.bronze(spark, sf_dir), D.silver_table(spark, sf_dir)
     countries = gold.popular_countries(silver)
     mom = gold.mom_growth(silver)
     return {
@@ -452,7 +452,7 @@ def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("layer_sink")
 def q_layer_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "gold-popular_countries")
-    write_layer(gold.popular_countries(D.silver(spark, sf_dir)), path)
+    write_layer(gold.popular_countries(D.silver_table(spark, sf_dir)), path)
     return D.as_doubles(spark.read.parquet(path))
 
 

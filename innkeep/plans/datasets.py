@@ -89,9 +89,30 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str, strict: bool = True) -> DataFrame:
+    """The cleaned layer computed from landing (dedup + typing in this plan)."""
     return build_silver(landing(spark, sf_dir), strict=strict)
 
 
+def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored cleaned layer: built once per process, then read as Parquet.
+
+    Gold tables, rollups and checks read this table, as analytical models
+    read a materialized staging model: filters and column pruning reach the
+    Parquet scan and no query repeats the deduplication shuffle.
+    """
+    key = (sf_dir, checkpoint_dir(spark) + "#silver")
+    path = _STAGED.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            pass
+    path = staging_path(spark, "silver")
+    silver(spark, sf_dir).write.mode("overwrite").parquet(path)
+    _STAGED[key] = path
+    return spark.read.parquet(path)
+
+
 def as_doubles(df: DataFrame) -> DataFrame:
     """Cast DECIMAL columns to DOUBLE (nearest double) for engine-neutral output."""
     return df.select(
