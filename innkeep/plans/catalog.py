@@ -20,6 +20,7 @@ from innkeep.plans import datasets as D, pipeline as P
 from innkeep.session import staging_path
 from innkeep.sources.csv_source import check_columns, header, read_csv, select_expected
 from innkeep.sources.tables import write_layer
+from innkeep.streaming.ingest import ingest_available
 from innkeep.schema import INT_COLUMNS, NULLABLE_TEXT_COLUMNS, RAW_COLUMNS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -463,5 +464,15 @@ def q_pipeline_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.summary
 
 
+@query("stream_ingest")
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drop-folder stream into bronze, run twice: the second run finds no new files."""
+    drop = D.csv_extract(spark, sf_dir, "ordered", shuffled=False)
+    bronze_path, ckpt = staging_path(spark, "bronze-stream"), staging_path(spark, "stream-checkpoint")
+    ingest_available(spark, drop, bronze_path, ckpt)
+    ingest_available(spark, drop, bronze_path, ckpt)
+    return spark.read.parquet(bronze_path).select(*RAW_COLUMNS, "_row_hash")
+
+
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -56,11 +56,14 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def csv_extract(spark: SparkSession, sf_dir: str, name: str = "extract", where: str | None = None) -> str:
+def csv_extract(
+    spark: SparkSession, sf_dir: str, name: str = "extract", where: str | None = None, shuffled: bool = True
+) -> str:
     """A raw CSV extract of the landing rows, staged once per process.
 
-    Columns are written in reverse order plus an extra ``source_system``
-    column, so loading it exercises match-by-name and ignore-extra.
+    With ``shuffled`` the columns are written in reverse order plus an extra
+    ``source_system`` column, so loading it exercises match-by-name and
+    ignore-extra; otherwise the 32 columns appear in their standard order.
     """
     key = (sf_dir, checkpoint_dir(spark) + "#" + name)
     path = _STAGED.get(key)
@@ -74,7 +77,8 @@ def csv_extract(spark: SparkSession, sf_dir: str, name: str = "extract", where:
     if where is not None:
         rows = rows.where(where)
     path = staging_path(spark, f"csv-{name}")
-    write_csv(rows.select(*reversed(RAW_COLUMNS), F.lit("orders").alias("source_system")), path)
+    cols = [*reversed(RAW_COLUMNS), F.lit("orders").alias("source_system")] if shuffled else RAW_COLUMNS
+    write_csv(rows.select(*cols), path)
     _STAGED[key] = path
     return path
 
