@@ -288,13 +288,50 @@ def _round_cents(x: Column) -> Column:
     return F.signum(x) * F.floor(F.abs(x) + 0.5)
 
 
+QUANTILE_BUCKETS = 256
+
+
+def ranked_histogram(hist: DataFrame, buckets: int = QUANTILE_BUCKETS) -> DataFrame:
+    """Add rank ranges to a value histogram ``(column_name, v, k)``.
+
+    Output adds ``lo``/``hi`` (the 0-based ranks ``[lo, hi)`` the value
+    occupies among all rows of its column) and ``n`` (rows of the column).
+    Values are first spread over ``buckets`` ordered buckets per column using
+    approximate-percentile edges (a sketch, merged across tasks); the running
+    count is then a window per (column, bucket) and each bucket's offset
+    comes from a small prefix sum over bucket totals. The edges only balance
+    the work — ranks are exact whatever the edges are.
+    """
+    probs = [i / buckets for i in range(1, buckets)]
+    edges = hist.groupBy("column_name").agg(F.percentile_approx("v", probs, 10_000).alias("_edges"))
+    bucket = F.size(F.filter(F.col("_edges"), lambda e: e < F.col("v")))
+    # one row per column: a proven-small broadcast
+    spread = hist.join(F.broadcast(edges), "column_name").select("column_name", "v", "k", bucket.alias("b"))
+    totals = spread.groupBy("column_name", "b").agg(F.sum("k").alias("kb"))
+    before = Window.partitionBy("column_name").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "column_name",
+        "b",
+        F.coalesce(F.sum("kb").over(before), F.lit(0)).alias("off"),
+        F.sum("kb").over(Window.partitionBy("column_name")).alias("n"),
+    )
+    run = Window.partitionBy("column_name", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    # at most buckets x columns rows: a proven-small broadcast
+    return (
+        spread.withColumn("_run", F.sum("k").over(run))
+        .join(F.broadcast(offsets), ["column_name", "b"])
+        .select("column_name", "v", "k", "n", (F.col("off") + F.col("_run")).alias("hi"))
+        .withColumn("lo", F.col("hi") - F.col("k"))
+    )
+
+
 def numeric_summary(filtered: DataFrame, columns: Sequence[str] = SUMMARY_COLUMNS) -> DataFrame:
     """count, mean, sample std, min, quartiles (linear interpolation), max — 2 places.
 
     Exact quartiles without collecting values: the columns are unpivoted into
-    (column, cents) pairs, counted per distinct value (partial aggregation),
-    and a running count over the values of each column — a window partitioned
-    by column, sorted and spillable — locates the ranks the quartiles need.
+    (column, cents) pairs, counted per distinct value (partial aggregation,
+    so a value repeated in a third of all rows is one histogram row), and
+    :func:`ranked_histogram` locates the ranks the quartiles need.
     """
     long = filtered.select(
         F.explode(
@@ -302,15 +339,7 @@ def numeric_summary(filtered: DataFrame, columns: Sequence[str] = SUMMARY_COLUMN
         ).alias("p")
     ).select("p.column_name", "p.v").where(F.col("v").isNotNull())
     hist = long.groupBy("column_name", "v").agg(n_rows().alias("k"))
-    w_run = Window.partitionBy("column_name").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy("column_name")
-    cum = hist.select(
-        "column_name",
-        "v",
-        "k",
-        F.sum("k").over(w_run).alias("hi"),
-        F.sum("k").over(w_all).alias("n"),
-    ).withColumn("lo", F.col("hi") - F.col("k"))
+    cum = ranked_histogram(hist)
 
     def value_at(rank: Column) -> Column:
         return F.max(F.when((F.col("lo") <= rank) & (rank < F.col("hi")), F.col("v")))
