@@ -47,8 +47,12 @@ def unique(df: DataFrame, column: str, table: str) -> DataFrame:
 def not_null(df: DataFrame, columns: Sequence[str], table: str, key: str) -> DataFrame:
     """One row per (row, column) that is NULL; all columns checked in one pass."""
     flags = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])
+    any_null = F.lit(False)
+    for c in columns:
+        any_null = any_null | F.col(c).isNull()
     return (
-        df.select(F.col(key).cast("string").alias("row_key"), F.explode(flags).alias("column_name"))
+        df.where(any_null)
+        .select(F.col(key).cast("string").alias("row_key"), F.explode(flags).alias("column_name"))
         .where(F.col("column_name").isNotNull())
         .select(F.lit(table).alias("table_name"), "column_name", "row_key")
     )

@@ -23,6 +23,24 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+def cluster_conf(total_cores: int, input_bytes: int) -> dict[str, str]:
+    """Starting sizes for a large cluster, to pass as ``extra_conf``.
+
+    Shuffles start with enough partitions for ~200 MB each (at least 3 per
+    core) and AQE coalesces what turns out small; scans split files into
+    256 MB pieces; broadcasts stay at the default 10 MB threshold, so only
+    sides that AQE measures small are broadcast.
+    """
+    partitions = max(3 * total_cores, input_bytes // (200 * 1024 * 1024))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "innkeep",
