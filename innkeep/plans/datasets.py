@@ -24,6 +24,7 @@ from innkeep.schema import RAW_COLUMNS
 from innkeep.session import checkpoint_dir, staging_path
 from innkeep.sources.csv_source import write_csv
 from innkeep.sources.fixture import raw_reservations
+from innkeep.sources.tables import SILVER_PARTITIONING, write_layer
 
 # Fixed lineage for rows derived from the driver tables, so repeated runs are
 # comparable: the source is named after the orders table and stamped with the
@@ -102,7 +103,8 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Gold tables, rollups and checks read this table, as analytical models
     read a materialized staging model: filters and column pruning reach the
-    Parquet scan and no query repeats the deduplication shuffle.
+    Parquet scan and no query repeats the deduplication shuffle. It is
+    partitioned by arrival year, so year filters skip whole directories.
     """
     key = (sf_dir, checkpoint_dir(spark) + "#silver")
     path = _STAGED.get(key)
@@ -112,7 +114,7 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         except AnalysisException:
             pass
     path = staging_path(spark, "silver")
-    silver(spark, sf_dir).write.mode("overwrite").parquet(path)
+    write_layer(silver(spark, sf_dir), path, partition_by=SILVER_PARTITIONING)
     _STAGED[key] = path
     return spark.read.parquet(path)
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from innkeep.operators import gold, quality as Q
 from innkeep.operators.bronze import LoadResult, load_csv
 from innkeep.operators.silver import build_silver
-from innkeep.sources.tables import write_layer
+from innkeep.sources.tables import SILVER_PARTITIONING, write_layer
 
 
 @dataclass(frozen=True)
@@ -55,7 +55,7 @@ class PipelineRun:
 def build_layers(spark: SparkSession, layout: Layout) -> None:
     """Full refresh of silver and gold from the stored bronze table."""
     silver = build_silver(spark.read.parquet(layout.bronze))
-    write_layer(silver, layout.silver)
+    write_layer(silver, layout.silver, partition_by=SILVER_PARTITIONING)
     stored = spark.read.parquet(layout.silver)
     write_layer(gold.popular_countries(stored), layout.countries)
     write_layer(gold.mom_growth(stored), layout.mom)

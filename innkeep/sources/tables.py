@@ -8,6 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 LAYERS = ("bronze", "silver", "gold")
 
+# The cleaned layer is stored partitioned by arrival year: dashboard filters
+# select years, and a year holds many days of data at any realistic scale.
+SILVER_PARTITIONING = ["arrival_date_year"]
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one driver table (``{sf_dir}/{name}.parquet``)."""
@@ -31,6 +35,10 @@ def write_layer(
     A full refresh must not read its own target: write to a new path and point
     readers at it, or build from the previous layer only.
     """
+    if partition_by:
+        # cluster rows of a partition value into the same tasks (fewer files);
+        # rebalance lets AQE split a partition value that holds many rows
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

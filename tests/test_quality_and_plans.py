@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
+
 import pytest
 from conftest import SF_SMALL, bronze_df, raw_row
 
@@ -13,7 +16,10 @@ from innkeep.plans import datasets as D
 
 
 def plan_text(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
 
 
 def test_checks_return_violating_rows(spark):
@@ -66,8 +72,9 @@ def test_dedup_plan_limits_before_shuffle_and_prunes(spark):
 
 def test_filter_reaches_parquet_scan(spark):
     df = R.BookingFilter(types=["Hotel"], years=[1995], status="Completed").apply(D.silver_table(spark, SF_SMALL))
-    text = df._jdf.queryExecution().sparkPlan().toString()
-    assert "PushedFilters" in text and "arrival_date_year" in text
+    text = plan_text(df)
+    assert "PartitionFilters: [isnotnull(arrival_date_year" in text and "(arrival_date_year#" in text
+    assert "EqualTo(is_canceled,0)" in text and "In(hotel_type" in text or "EqualTo(hotel_type,Hotel)" in text
 
 
 def test_aggregations_are_partial_then_final(spark):
