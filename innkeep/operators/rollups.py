@@ -288,25 +288,29 @@ def _round_cents(x: Column) -> Column:
     return F.signum(x) * F.floor(F.abs(x) + 0.5)
 
 
-QUANTILE_BUCKETS = 256
+BUCKETS_PER_OCTAVE = 16
 
 
-def ranked_histogram(hist: DataFrame, buckets: int = QUANTILE_BUCKETS) -> DataFrame:
+def value_bucket(v: Column) -> Column:
+    """Order-preserving bucket of an integer value: ``sign(v)·floor(16·log2(|v|+1))``.
+
+    Monotonic in ``v`` (so bucket order is value order), pure arithmetic
+    (codegen), at most 2·16·64 buckets for 64-bit values, and a bucket never
+    holds more distinct integers than its width.
+    """
+    return (F.signum(v) * F.floor(F.log2(F.abs(v) + 1) * BUCKETS_PER_OCTAVE)).cast("int")
+
+
+def ranked_histogram(hist: DataFrame) -> DataFrame:
     """Add rank ranges to a value histogram ``(column_name, v, k)``.
 
     Output adds ``lo``/``hi`` (the 0-based ranks ``[lo, hi)`` the value
     occupies among all rows of its column) and ``n`` (rows of the column).
-    Values are first spread over ``buckets`` ordered buckets per column using
-    approximate-percentile edges (a sketch, merged across tasks); the running
-    count is then a window per (column, bucket) and each bucket's offset
-    comes from a small prefix sum over bucket totals. The edges only balance
-    the work — ranks are exact whatever the edges are.
+    The running count is a window per (column, value bucket); each bucket's
+    offset comes from a prefix sum over the bucket totals, a table of at most
+    a few thousand rows per column.
     """
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = hist.groupBy("column_name").agg(F.percentile_approx("v", probs, 10_000).alias("_edges"))
-    bucket = F.size(F.filter(F.col("_edges"), lambda e: e < F.col("v")))
-    # one row per column: a proven-small broadcast
-    spread = hist.join(F.broadcast(edges), "column_name").select("column_name", "v", "k", bucket.alias("b"))
+    spread = hist.withColumn("b", value_bucket(F.col("v")))
     totals = spread.groupBy("column_name", "b").agg(F.sum("k").alias("kb"))
     before = Window.partitionBy("column_name").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -316,7 +320,7 @@ def ranked_histogram(hist: DataFrame, buckets: int = QUANTILE_BUCKETS) -> DataFr
         F.sum("kb").over(Window.partitionBy("column_name")).alias("n"),
     )
     run = Window.partitionBy("column_name", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    # at most buckets x columns rows: a proven-small broadcast
+    # offsets has at most 2*16*64 rows per column: a proven-small broadcast
     return (
         spread.withColumn("_run", F.sum("k").over(run))
         .join(F.broadcast(offsets), ["column_name", "b"])
