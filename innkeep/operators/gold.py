@@ -102,6 +102,17 @@ def mom_growth(silver: DataFrame) -> DataFrame:
     )
 
 
+TOP_RANGE = (5, 50)
+
+
+def top_countries(ranked: DataFrame, n: int = 20) -> DataFrame:
+    """The ``n`` best-ranked countries (ties by name), ``n`` in 5..50 like the dashboard slider."""
+    lo, hi = TOP_RANGE
+    if not lo <= n <= hi:
+        raise ValueError(f"n must be between {lo} and {hi}")
+    return ranked.orderBy(F.col("popularity_rank").asc_nulls_last(), F.col("country")).limit(n)
+
+
 def presentation_order_countries(df: DataFrame) -> DataFrame:
     return df.orderBy(F.col("popularity_rank").asc_nulls_last(), F.col("country"))
 

@@ -183,8 +183,7 @@ TOP_N = 20
 
 @query("top_countries")
 def q_top_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = gold.popular_countries(D.silver_table(spark, sf_dir))
-    return D.as_doubles(ranked.orderBy("popularity_rank", "country").limit(TOP_N))
+    return D.as_doubles(gold.top_countries(gold.popular_countries(D.silver_table(spark, sf_dir)), TOP_N))
 
 
 @query("top_countries_revenue")
@@ -347,33 +346,38 @@ def q_silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Data quality ------------------------------------------------------------------------
 
 
-def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """The declared checks over raw rows, landing, the cleaned layer and gold (built lazily)."""
     raw, bronze, silver = D.raw(spark, sf_dir), D.bronze(spark, sf_dir), D.silver_table(spark, sf_dir)
-    countries = gold.popular_countries(silver)
-    mom = gold.mom_growth(silver)
+
+    def not_null() -> DataFrame:
+        countries = gold.popular_countries(silver)
+        mom = gold.mom_growth(silver).withColumn("_key", F.concat_ws("/", "hotel_type", "year_month"))
+        return (
+            Q.not_null(silver, Q.SILVER_NOT_NULL, "silver", "_row_hash")
+            .unionByName(Q.not_null(countries, Q.COUNTRIES_NOT_NULL, "popular_countries", "country"))
+            .unionByName(Q.not_null(mom, Q.MOM_NOT_NULL, "mom_growth", "_key"))
+        )
+
     return {
-        "dq_unique": Q.unique(silver, "_row_hash", "silver").unionByName(Q.unique(countries, "country", "popular_countries")),
-        "dq_not_null": Q.not_null(silver, Q.SILVER_NOT_NULL, "silver", "_row_hash")
-        .unionByName(Q.not_null(countries, Q.COUNTRIES_NOT_NULL, "popular_countries", "country"))
-        .unionByName(
-            Q.not_null(
-                mom.withColumn("_key", F.concat_ws("/", "hotel_type", "year_month")), Q.MOM_NOT_NULL, "mom_growth", "_key"
-            )
+        "dq_unique": lambda: Q.unique(silver, "_row_hash", "silver").unionByName(
+            Q.unique(gold.popular_countries(silver), "country", "popular_countries")
         ),
-        "dq_accepted_values": Q.accepted_values(silver, Q.ACCEPTED_VALUES, "silver"),
-        "dq_value_set": Q.value_set(raw, Q.RAW_VALUE_SETS),
-        "dq_non_negative": Q.non_negative(silver, "adr"),
-        "dq_volume": Q.volume(silver),
-        "dq_rate_bounds": Q.rate_bounds(raw),
-        "dq_diversity": Q.diversity(raw),
-        "dq_negative_share": Q.negative_share(raw),
-        "dq_hash_format": Q.hash_format(bronze),
+        "dq_not_null": not_null,
+        "dq_accepted_values": lambda: Q.accepted_values(silver, Q.ACCEPTED_VALUES, "silver"),
+        "dq_value_set": lambda: Q.value_set(raw, Q.RAW_VALUE_SETS),
+        "dq_non_negative": lambda: Q.non_negative(silver, "adr"),
+        "dq_volume": lambda: Q.volume(silver),
+        "dq_rate_bounds": lambda: Q.rate_bounds(raw),
+        "dq_diversity": lambda: Q.diversity(raw),
+        "dq_negative_share": lambda: Q.negative_share(raw),
+        "dq_hash_format": lambda: Q.hash_format(bronze),
     }
 
 
 def _check(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return D.as_doubles(quality_checks(spark, sf_dir)[name])
+        return D.as_doubles(quality_checks(spark, sf_dir)[name]())
 
     run.__name__ = f"q_{name}"
     return run
@@ -396,7 +400,7 @@ for _name in (
 
 @query("dq_report")
 def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.report(quality_checks(spark, sf_dir))
+    return Q.report({name: build() for name, build in quality_checks(spark, sf_dir).items()})
 
 
 # --- CSV source, bronze load, sinks, pipeline -----------------------------------------

@@ -119,3 +119,14 @@ def test_duplicate_fingerprints_keep_earliest_load(spark):
     late = with_lineage(raw, "b.csv", F.lit("2024-02-01 00:00:00").cast("timestamp"))
     rows = build_silver(late.unionByName(early).unionByName(late)).collect()
     assert len(rows) == 1 and rows[0]._source_file == "a.csv"
+
+
+def test_strict_parse_without_ansi(spark):
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="invalid int"):
+            one(spark, adults="two")
+        assert one(spark, strict=False, adults="two").adults is None
+        assert one(spark).adults == 2
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
