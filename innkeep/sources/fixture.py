@@ -7,8 +7,9 @@ twice, as exact duplicates.
 
 Plan: customer ⋈ nation is a broadcast join (nation has a fixed 25 rows); the
 orders join shuffles on the customer key (AQE splits a customer that holds a
-large share of orders); duplicates come from one ``explode`` over the joined
-rows, so the tables are scanned and joined once.
+large share of orders); the joined rows are rebalanced once (narrow columns)
+so the text projection runs in parallel; duplicates come from one
+``explode`` over the joined rows, so the tables are scanned and joined once.
 """
 
 from __future__ import annotations
@@ -42,8 +43,12 @@ def raw_reservations_from(orders: DataFrame, customer: DataFrame, nation: DataFr
         F.broadcast(nation.select("n_nationkey", "n_name")),
         F.col("c_nationkey") == F.col("n_nationkey"),
     )
-    base = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority").join(
-        cust, F.col("o_custkey") == F.col("c_custkey")
+    # rebalance the narrow joined rows (AQE sizes the partitions) so the wide
+    # text projection below runs in parallel even when a table is one file
+    base = (
+        orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+        .hint("rebalance")
     )
     k = F.col("o_orderkey")
     c = F.col("o_custkey")
