@@ -70,21 +70,6 @@ def new_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     return fresh.join(seen, "_row_hash", "left_anti").select(*batch.columns)
 
 
-def load_metrics(batch: DataFrame, inserted: DataFrame, total_after: DataFrame) -> DataFrame:
-    """One-row report: rows read, inserted, skipped as duplicates, total stored.
-
-    Counts are true counts (each a distributed aggregate), not batch sizes.
-    """
-    ins = inserted.select(F.count(F.lit(1))).scalar()
-    tot = total_after.select(F.count(F.lit(1))).scalar()
-    return batch.agg(F.count(F.lit(1)).alias("rows_read")).select(
-        "rows_read",
-        ins.alias("inserted"),
-        (F.col("rows_read") - ins).alias("duplicates"),
-        tot.alias("total"),
-    )
-
-
 @dataclass(frozen=True)
 class LoadResult:
     metrics: DataFrame  # one row: rows_read, inserted, duplicates, malformed, total

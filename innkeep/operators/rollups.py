@@ -19,9 +19,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from innkeep.functions.rounding import exact_mean, pct, plain_mean
+from innkeep.functions.rounding import pct, plain_mean
 from innkeep.operators.gold import completed, count_when, n_rows
-from innkeep.schema import INT_COLUMNS, RAW_COLUMNS, silver_name
+from innkeep.schema import INT_COLUMNS, RAW_COLUMNS
 from innkeep.sources.dimensions import month_map
 
 STATUSES = ("All", "Completed", "Canceled")
@@ -454,13 +454,3 @@ def explorer_rows(filtered: DataFrame, columns: Sequence[str] = EXPLORER_DEFAULT
         .orderBy(F.col("arrival_date").asc_nulls_last(), "_row_hash")
         .limit(limit)
     )
-
-
-def project_raw(raw: DataFrame) -> DataFrame:
-    """Raw rows with cleaned-layer names (no typing)."""
-    return raw.select(*[F.col(c).alias(silver_name(c)) for c in RAW_COLUMNS])
-
-
-def rate_mean(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(exact_mean(F.col("adr"), 2).alias("avg_daily_rate"))
-
