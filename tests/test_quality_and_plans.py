@@ -87,3 +87,18 @@ def test_global_rank_has_no_unpartitioned_sort_of_rows(spark):
     stats = gold.country_stats(D.silver_table(spark, SF_SMALL))
     ranked = gold.popular_countries(D.silver_table(spark, SF_SMALL))
     assert ranked.count() == stats.count()
+
+
+def test_hot_fingerprint_dedups_to_one_row(spark):
+    from conftest import raw_df
+
+    from innkeep.operators.bronze import new_rows, with_lineage
+
+    hot = raw_df(spark, [raw_row()])
+    copies = hot.select("*", F.explode(F.array_repeat(F.lit(1), 30_000)).alias("_k")).drop("_k").repartition(8)
+    others = raw_df(spark, [raw_row(arrival_date_day_of_month=str(d)) for d in range(2, 22)])
+    batch = with_lineage(copies.unionByName(others), "hot.csv", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    silver = build_silver(batch)
+    assert silver.count() == 21
+    fresh = new_rows(batch, with_lineage(others, "old.csv"))
+    assert fresh.count() == 1
