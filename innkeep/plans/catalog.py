@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from innkeep.functions import cleaning as C
 from innkeep.functions.fingerprint import row_hash
+from innkeep.functions.rounding import exact_mean
 from innkeep.operators import gold, quality as Q, rollups as R, silver as silver_ops
 from innkeep.operators import bronze as B
 from innkeep.plans import datasets as D, pipeline as P
@@ -194,13 +195,19 @@ def q_top_countries_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("top5_countries")
+def q_top5_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = gold.popular_countries(D.silver_table(spark, sf_dir))
+    return gold.top_countries(ranked, 5).select("country", "total_bookings", "popularity_rank")
+
+
 @query("mom_sample")
 def q_mom_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     mom = gold.mom_growth(D.silver_table(spark, sf_dir))
     return D.as_doubles(
         mom.where(F.col("hotel_type") == "Hotel")
-        .orderBy(F.col("year_month").desc())
-        .limit(12)
+        .orderBy("year_month")
+        .limit(6)
         .select("hotel_type", "year_month", "total_booking_amount", "mom_pct_change")
     )
 
@@ -340,7 +347,13 @@ def q_rate_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("silver_profile")
 def q_silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = D.silver_table(spark, sf_dir)
-    return s.agg(F.count(F.lit(1)).alias("row_count"), F.lit(len(s.columns)).alias("column_count"))
+    return D.as_doubles(
+        s.agg(
+            F.count(F.lit(1)).alias("row_count"),
+            F.lit(len(s.columns)).alias("column_count"),
+            exact_mean(F.col("adr"), 2).alias("avg_adr"),
+        )
+    )
 
 
 # --- Data quality ------------------------------------------------------------------------
