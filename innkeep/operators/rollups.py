@@ -311,7 +311,10 @@ def ranked_histogram(hist: DataFrame) -> DataFrame:
     a few thousand rows per column.
     """
     spread = hist.withColumn("b", value_bucket(F.col("v")))
-    totals = spread.groupBy("column_name", "b").agg(F.sum("k").alias("kb"))
+    run = Window.partitionBy("column_name", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    windowed = spread.withColumn("_run", F.sum("k").over(run))
+    # a bucket's total is its last running count: same subplan, shuffles reused
+    totals = windowed.groupBy("column_name", "b").agg(F.max("_run").alias("kb"))
     before = Window.partitionBy("column_name").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "column_name",
@@ -319,11 +322,12 @@ def ranked_histogram(hist: DataFrame) -> DataFrame:
         F.coalesce(F.sum("kb").over(before), F.lit(0)).alias("off"),
         F.sum("kb").over(Window.partitionBy("column_name")).alias("n"),
     )
-    run = Window.partitionBy("column_name", "b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    # offsets has at most 2*16*64 rows per column: a proven-small broadcast
+    # offsets has at most 2*16*64 rows per column: a proven-small broadcast.
+    # Every bucket has an offset, so a left join equals an inner one; it also
+    # keeps Catalyst from inferring a filter on one branch only, which would
+    # stop the two branches from sharing their shuffles.
     return (
-        spread.withColumn("_run", F.sum("k").over(run))
-        .join(F.broadcast(offsets), ["column_name", "b"])
+        windowed.join(F.broadcast(offsets), ["column_name", "b"], "left")
         .select("column_name", "v", "k", "n", (F.col("off") + F.col("_run")).alias("hi"))
         .withColumn("lo", F.col("hi") - F.col("k"))
     )
