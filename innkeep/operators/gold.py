@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from innkeep.functions.rounding import HUNDRED, exact_mean, pct
 from innkeep.operators.ranking import grand_total, rank_desc
+from innkeep.session import checkpoint_dir
 
 
 def n_rows() -> Column:
@@ -50,7 +51,11 @@ def popular_countries(silver: DataFrame) -> DataFrame:
     Columns: country, total_bookings, total_revenue, avg_daily_rate,
     avg_stay_nights, repeat_guest_pct, popularity_rank, booking_share_pct.
     """
-    stats = country_stats(silver)
+    # One row per country, used by three branches (output, rank histogram,
+    # grand total): checkpoint it to the shared checkpoint folder so silver is
+    # scanned and shuffled once and the branches read the small result.
+    checkpoint_dir(silver.sparkSession)
+    stats = country_stats(silver).checkpoint(eager=True)
     total = grand_total(stats, "total_bookings")
     ranked = rank_desc(stats, "total_bookings", "popularity_rank")
     return ranked.select(
