@@ -18,6 +18,7 @@ from innkeep.session import get_session  # noqa: E402
 
 KEYS = [
     "silver_bookings",
+    "country_stats",
     "popular_countries",
     "mom_growth",
     "kpi_summary",
