@@ -9,6 +9,7 @@ turns it back into ``''`` (a blank stays distinguishable from ``NA``/``NULL``).
 from __future__ import annotations
 
 import logging
+from urllib.parse import unquote
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -51,28 +52,74 @@ def check_columns(columns: list[str], expected: list[str] = RAW_COLUMNS) -> Sche
     return SchemaReport(cols, missing, extra)
 
 
-def header(spark: SparkSession, path: str) -> list[str]:
+def header(spark: SparkSession, path: str | list[str]) -> list[str]:
     """Column names from the header line (reads one record)."""
     return spark.read.options(**CSV_READ_OPTIONS).csv(path).columns
 
 
+QUOTE = '"'
+FILE_NAME = "_file_name"
+
+
+def multi_line_files(spark: SparkSession, path: str | list[str]) -> dict[str, bool]:
+    """Each file of ``path`` mapped to whether a record in it spans lines.
+
+    With ``"`` as quote *and* escape (``""`` inside a quoted field), every
+    quote character flips "inside a quoted field" on or off. A line starting
+    outside a field therefore ends inside one exactly when it holds an odd
+    number of quote characters, and the first line of a record that spans
+    lines always does. So a file parses identically line by line (splittable)
+    and as one stream unless one of its lines has an odd quote count.
+
+    The check is one splittable text scan with a partial aggregation per
+    file; one row per file reaches the driver (the file listing it already
+    holds). Empty files have no lines and are not listed.
+    """
+    quotes = F.length("value") - F.length(F.translate("value", QUOTE, ""))
+    per_file = (
+        spark.read.text(path)
+        .groupBy(F.col("_metadata.file_path").alias("file_path"))
+        .agg(F.max(quotes % 2 == 1).alias("multi"))
+    )
+    # _metadata.file_path is URL-encoded; readers take the plain path
+    return {unquote(r.file_path): bool(r.multi) for r in per_file.collect()}
+
+
 def read_csv(
     spark: SparkSession,
-    path: str,
-    multi_line: bool = True,
+    path: str | list[str],
+    multi_line: bool | str = "auto",
     infer_types: bool = False,
     track_malformed: bool = True,
 ) -> DataFrame:
     """Scan a CSV extract (a file, or files sharing one header).
 
-    ``multi_line`` handles newlines inside quoted fields but makes each file a
-    single split; turn it off for large files known to have none.
+    ``multi_line``: ``True`` handles newlines inside quoted fields but makes
+    each file a single split; ``False`` splits files freely and is right only
+    when no quoted field holds a newline; ``"auto"`` (default) finds the
+    files that need the multi-line parse (:func:`multi_line_files`) and reads
+    every other file splittably, with the same rows as ``True``. In ``"auto"``
+    mode the result carries the scanned file's name as ``_file_name``.
     ``infer_types`` gives typed columns for exploration; the raw layer keeps
     text. With ``track_malformed`` rows with too few or too many fields are
     flagged in ``_corrupt_record`` (the schema is built from the file's own
     header, so positions and names agree).
     """
-    reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi_line).lower())
+    if multi_line == "auto":
+        files = multi_line_files(spark, path)
+        parts = []
+        for multi in (True, False):
+            chosen = sorted(f for f, m in files.items() if m == multi)
+            if chosen:
+                df = read_csv(spark, chosen, multi, infer_types, track_malformed)
+                parts.append(df.withColumn(FILE_NAME, F.col("_metadata.file_name")))
+        if not parts:  # nothing but empty files
+            return read_csv(spark, path, True, infer_types, track_malformed).withColumn(FILE_NAME, F.lit(None).cast("string"))
+        out = parts[0]
+        for df in parts[1:]:
+            out = out.unionByName(df, allowMissingColumns=True)
+        return out
+    reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(bool(multi_line)).lower())
     if infer_types:
         return reader.option("inferSchema", "true").csv(path)
     if not track_malformed:
@@ -85,7 +132,7 @@ def read_csv(
 def select_expected(df: DataFrame, expected: list[str] = RAW_COLUMNS) -> DataFrame:
     """Validate names; keep the expected columns (blank -> ``''``), the file name
     and the malformed-row flag. Raises ``ValueError`` when names are missing."""
-    report = check_columns([c for c in df.columns if c != CORRUPT], expected)
+    report = check_columns([c for c in df.columns if c not in (CORRUPT, FILE_NAME)], expected)
     if report.missing:
         raise ValueError(f"CSV is missing columns: {sorted(report.missing)}")
     if report.extra:
@@ -93,7 +140,7 @@ def select_expected(df: DataFrame, expected: list[str] = RAW_COLUMNS) -> DataFra
     malformed = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
     return df.select(
         *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in expected],
-        F.col("_metadata.file_name").alias("_file_name"),
+        (F.col(FILE_NAME) if FILE_NAME in df.columns else F.col("_metadata.file_name")).alias(FILE_NAME),
         malformed.alias("_malformed"),
     )
 

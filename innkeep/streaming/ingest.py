@@ -36,7 +36,14 @@ def csv_drop_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: i
     :data:`~innkeep.schema.RAW_COLUMNS` plus optional trailing extras (a
     streaming CSV source maps fields by position under a declared schema).
     """
-    reader = spark.readStream.options(**CSV_READ_OPTIONS).option("enforceSchema", "false").schema(RAW_SCHEMA)
+    # a drop is consumed file by file anyway, so the multi-line parse (quoted
+    # newlines) costs no parallelism here
+    reader = (
+        spark.readStream.options(**CSV_READ_OPTIONS)
+        .option("multiLine", "true")
+        .option("enforceSchema", "false")
+        .schema(RAW_SCHEMA)
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = reader.csv(drop_dir)

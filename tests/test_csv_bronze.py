@@ -94,3 +94,41 @@ def test_volume_gate_publishes_nothing(spark, tmp_path):
         load_csv(spark, path, bronze, min_rows=10)
     with pytest.raises(Exception):
         spark.read.parquet(bronze).count()
+
+
+def test_auto_mode_reads_like_multiline_and_flags_only_spanning_files(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    write(folder / "span.csv", [raw_row(company='Acme\n"Two"'), raw_row(arrival_date_day_of_month="2")])
+    write(folder / "flat.csv", [raw_row(company='Quoted ""x"", y'), raw_row(adr="7.00")])
+    write(folder / "flat2.csv", [raw_row(arrival_date_day_of_month="9")], columns=list(reversed(RAW_COLUMNS)))
+    flags = {k.rsplit("/", 1)[-1]: v for k, v in read_csv_flags(spark, str(folder)).items()}
+    assert flags == {"span.csv": True, "flat.csv": False, "flat2.csv": False}
+
+    def rows(mode):
+        df = select_expected(read_csv(spark, str(folder), multi_line=mode))
+        return sorted(tuple(r) for r in df.select(*RAW_COLUMNS, "_file_name", "_malformed").collect())
+
+    auto, whole = rows("auto"), rows(True)
+    assert auto == whole and len(auto) == 5
+    assert any(r[RAW_COLUMNS.index("company")] == 'Acme\n"Two"' for r in auto)
+
+
+def test_auto_mode_splits_a_large_file_without_spanning_records(spark, tmp_path):
+    path = write(tmp_path / "big.csv", [raw_row(arrival_date_day_of_month=str(1 + i % 28), adr=f"{i}.00") for i in range(3000)])
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "65536")
+    try:
+        df = select_expected(read_csv(spark, path))
+        assert df.rdd.getNumPartitions() > 1
+        flags = [r._malformed for r in df.select("adr", "_malformed").collect()]
+        assert len(flags) == 3000 and not any(flags)
+    finally:
+        spark.conf.set(key, old)
+
+
+def read_csv_flags(spark, path):
+    from innkeep.sources.csv_source import multi_line_files
+
+    return multi_line_files(spark, path)

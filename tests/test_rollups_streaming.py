@@ -76,3 +76,14 @@ def test_stream_ingests_each_file_once_and_skips_known_rows(spark, tmp_path):
     ingest_available(spark, str(drop), bronze, ckpt)
     stored = spark.read.parquet(bronze)
     assert stored.count() == 3 and stored.select("_row_hash").distinct().count() == 3
+
+
+def test_stream_keeps_quoted_newlines(spark, tmp_path):
+    drop = tmp_path / "drop-ml"
+    os.makedirs(drop)
+    bronze, ckpt = staging_path(spark, "t-bronze-ml"), staging_path(spark, "t-ckpt-ml")
+    _drop(drop / "day1.csv", [raw_row(company="Line one\nline two"), raw_row(arrival_date_day_of_month="5")])
+    ingest_available(spark, str(drop), bronze, ckpt)
+    stored = spark.read.parquet(bronze)
+    assert stored.count() == 2
+    assert stored.where(stored.company == "Line one\nline two").count() == 1
