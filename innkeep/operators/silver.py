@@ -1,11 +1,14 @@
 """Cleaned, typed and enriched layer built from bronze rows.
 
-Plan shape: one shuffle on ``_row_hash`` (keep the first row per fingerprint;
-Catalyst inserts a partial ``WindowGroupLimit`` before the exchange, so even a
+Plan shape: a hash-only check for repeated fingerprints; when some repeat,
+one shuffle on ``_row_hash`` (keep the first row per fingerprint; Catalyst
+inserts a partial ``WindowGroupLimit`` before the exchange, so even a
 fingerprint copied into a third of all rows leaves at most one row per map
-task), then a broadcast join to the fixed 12-row month map and a single
-projection. If bronze is already hash-partitioned or bucketed by ``_row_hash``
-the exchange disappears.
+task). Then a broadcast join to the fixed 12-row month map and a single
+projection. A bronze table written by the loader stores each fingerprint
+once, so its cleaned layer is a map over the scan with no row shuffle. If
+bronze is hash-partitioned or bucketed by ``_row_hash`` the exchange
+disappears as well.
 """
 
 from __future__ import annotations
@@ -35,6 +38,16 @@ def first_per_fingerprint(bronze: DataFrame, key: str = "_row_hash") -> DataFram
     return bronze.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def has_repeated(df: DataFrame, key: str = "_row_hash") -> bool:
+    """Whether any ``key`` value occurs more than once.
+
+    Only the key column is shuffled (partial counts per map task), and the
+    job stops looking at the first repeated value.
+    """
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    return bool(counts.where(F.col("_n") > 1).limit(1).collect())
+
+
 def with_month_number(df: DataFrame, month_col: str = "arrival_date_month") -> DataFrame:
     """Left join to the month map; unmatched names get a NULL ``month_number``."""
     months = month_map(df.sparkSession)
@@ -86,13 +99,18 @@ def clean(deduped: DataFrame, strict: bool = True) -> DataFrame:
     return joined.select(*typed_columns(strict), *derived_columns(strict), *lineage)
 
 
-def build_silver(bronze: DataFrame, strict: bool = True) -> DataFrame:
+def build_silver(bronze: DataFrame, strict: bool = True, dedup: bool | str = "auto") -> DataFrame:
     """Bronze rows -> cleaned layer (40 columns): dedup, type, derive.
 
     ``strict=True`` fails on text that does not parse (typed SQL model
     semantics); ``strict=False`` turns it into NULL (dashboard semantics).
+    ``dedup="auto"`` runs the keep-first window only when
+    :func:`has_repeated` finds a repeated fingerprint (same rows either
+    way); ``True`` always runs it.
     """
-    return clean(first_per_fingerprint(bronze), strict)
+    if dedup == "auto":
+        dedup = has_repeated(bronze)
+    return clean(first_per_fingerprint(bronze) if dedup else bronze, strict)
 
 
 def project_renamed(df: DataFrame) -> DataFrame:

@@ -102,3 +102,20 @@ def test_hot_fingerprint_dedups_to_one_row(spark):
     assert silver.count() == 21
     fresh = new_rows(batch, with_lineage(others, "old.csv"))
     assert fresh.count() == 1
+
+
+def test_unique_bronze_cleans_without_row_shuffle(spark):
+    from conftest import raw_df
+
+    from innkeep.operators.bronze import with_lineage
+
+    rows = [raw_row(arrival_date_day_of_month=str(d)) for d in range(1, 29)]
+    stamp = F.lit("2024-01-01 00:00:00").cast("timestamp")
+    unique = with_lineage(raw_df(spark, rows).repartition(4), "a.csv", stamp)
+    auto = build_silver(unique)
+    assert "hashpartitioning" not in plan_text(auto) and "Window" not in plan_text(auto)
+    forced = build_silver(unique, dedup=True)
+    assert "hashpartitioning(_row_hash" in plan_text(forced)
+    assert sorted(map(tuple, auto.collect())) == sorted(map(tuple, forced.collect()))
+    repeated = build_silver(unique.unionByName(unique))
+    assert "Window" in plan_text(repeated) and repeated.count() == 28
