@@ -96,7 +96,7 @@ def load_csv(
     csv_path: str,
     bronze_path: str,
     min_rows: int = 80_000,
-    multi_line: bool = True,
+    multi_line: bool | str = "auto",
 ) -> LoadResult:
     """CSV extract -> bronze (insert-if-absent by fingerprint); returns metrics and new rows.
 
@@ -108,7 +108,9 @@ def load_csv(
     """
     scanned = select_expected(read_csv(spark, csv_path, multi_line=multi_line))
     landed_path = staging_path(spark, "bronze-batch")
-    with_lineage(scanned, F.col("_file_name"), keep=["_malformed"]).hint("rebalance").write.parquet(landed_path)
+    # no repartition before staging: the CSV scan is splittable (see
+    # read_csv's "auto" mode) and the staged Parquet splits by row group
+    with_lineage(scanned, F.col("_file_name"), keep=["_malformed"]).write.parquet(landed_path)
     landed = spark.read.parquet(landed_path)
     existing = read_bronze(spark, bronze_path)
     batch = landed.drop("_malformed")

@@ -93,8 +93,12 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver(spark: SparkSession, sf_dir: str, strict: bool = True) -> DataFrame:
-    """The cleaned layer computed from landing (dedup + typing in this plan)."""
-    return build_silver(landing(spark, sf_dir), strict=strict)
+    """The cleaned layer computed from landing (dedup + typing in this plan).
+
+    Landing is a raw extract that holds copies, so the keep-first window runs
+    without first checking for repeated fingerprints.
+    """
+    return build_silver(landing(spark, sf_dir), strict=strict, dedup=True)
 
 
 def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
