@@ -85,6 +85,23 @@ def multi_line_files(spark: SparkSession, path: str | list[str]) -> dict[str, bo
     return {unquote(r.file_path): bool(r.multi) for r in per_file.collect()}
 
 
+_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def split_bytes(spark: SparkSession) -> int:
+    """The session's ``spark.sql.files.maxPartitionBytes`` in bytes."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
+    digits = text.rstrip("kmgtpb")
+    suffix = text[len(digits):]  # "", "b", "k", "mb", ...
+    return int(digits) * _UNITS[suffix[:1]]
+
+
+def file_sizes(spark: SparkSession, path: str | list[str]) -> dict[str, int]:
+    """Each file of ``path`` with its size, from a listing scan (contents are not read)."""
+    listing = spark.read.format("binaryFile").load(path).select("path", "length")
+    return {r.path: int(r.length) for r in listing.collect()}
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
@@ -96,24 +113,31 @@ def read_csv(
 
     ``multi_line``: ``True`` handles newlines inside quoted fields but makes
     each file a single split; ``False`` splits files freely and is right only
-    when no quoted field holds a newline; ``"auto"`` (default) finds the
-    files that need the multi-line parse (:func:`multi_line_files`) and reads
-    every other file splittably, with the same rows as ``True``. In ``"auto"``
-    mode the result carries the scanned file's name as ``_file_name``.
+    when no quoted field holds a newline; ``"auto"`` (default) gives the rows
+    of ``True`` while splitting every file it can: files no larger than one
+    split (``spark.sql.files.maxPartitionBytes``) are parsed whole, as there
+    is nothing to split; larger files are checked with
+    :func:`multi_line_files` and parsed line by line (splittable) unless a
+    record spans lines. In ``"auto"`` mode the result carries the scanned
+    file's name as ``_file_name``.
     ``infer_types`` gives typed columns for exploration; the raw layer keeps
     text. With ``track_malformed`` rows with too few or too many fields are
     flagged in ``_corrupt_record`` (the schema is built from the file's own
     header, so positions and names agree).
     """
     if multi_line == "auto":
-        files = multi_line_files(spark, path)
+        sizes = file_sizes(spark, path)
+        limit = split_bytes(spark)
+        large = sorted(f for f, n in sizes.items() if n > limit)
+        spans = multi_line_files(spark, large) if large else {}
+        split = [f for f in large if not spans.get(f, False)]
+        whole = sorted(set(sizes) - set(split))
         parts = []
-        for multi in (True, False):
-            chosen = sorted(f for f, m in files.items() if m == multi)
-            if chosen:
-                df = read_csv(spark, chosen, multi, infer_types, track_malformed)
+        for files, multi in ((whole, True), (split, False)):
+            if files:
+                df = read_csv(spark, files, multi, infer_types, track_malformed)
                 parts.append(df.withColumn(FILE_NAME, F.col("_metadata.file_name")))
-        if not parts:  # nothing but empty files
+        if not parts:  # no files
             return read_csv(spark, path, True, infer_types, track_malformed).withColumn(FILE_NAME, F.lit(None).cast("string"))
         out = parts[0]
         for df in parts[1:]:

@@ -96,7 +96,19 @@ def test_volume_gate_publishes_nothing(spark, tmp_path):
         spark.read.parquet(bronze).count()
 
 
-def test_auto_mode_reads_like_multiline_and_flags_only_spanning_files(spark, tmp_path):
+@pytest.mark.parametrize("split", [None, "256b"])
+def test_auto_mode_reads_like_multiline_and_flags_only_spanning_files(spark, tmp_path, split):
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    if split:  # every file is larger than a split: checked, then split or read whole
+        spark.conf.set(key, split)
+    try:
+        _check_mixed_folder(spark, tmp_path)
+    finally:
+        spark.conf.set(key, old)
+
+
+def _check_mixed_folder(spark, tmp_path):
     folder = tmp_path / "mixed"
     folder.mkdir()
     write(folder / "span.csv", [raw_row(company='Acme\n"Two"'), raw_row(arrival_date_day_of_month="2")])
