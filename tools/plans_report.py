@@ -47,14 +47,26 @@ def final_plan(df) -> tuple[str, list[str]]:
     return tree.rstrip(), notes
 
 
+def extra_frames(spark, sf: str) -> dict:
+    """Plans that are steps of the CSV-to-gold run rather than registered queries."""
+    from innkeep.operators.bronze import load_csv
+    from innkeep.operators.silver import build_silver
+    from innkeep.plans import datasets as D
+    from innkeep.session import staging_path
+
+    bronze = staging_path(spark, "plans-bronze")
+    load_csv(spark, D.csv_extract(spark, sf), bronze, min_rows=1)
+    return {"pipeline_silver (cleaned layer from the loaded bronze table)": build_silver(spark.read.parquet(bronze))}
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", shuffle_partitions=16)
     qs = all_queries()
     print(f"# Physical plans (final adaptive plans at {os.path.basename(sf)}, local[8])\n")
     print("Generated by `tools/plans_report.py`; `*` marks whole-stage-codegen operators.\n")
-    for k in KEYS:
-        df = qs[k](spark, sf)
+    frames = [(k, qs[k](spark, sf)) for k in KEYS] + list(extra_frames(spark, sf).items())
+    for k, df in frames:
         df.collect()
         tree, notes = final_plan(df)
         exchanges = tree.count("Exchange") - tree.count("BroadcastExchange") - tree.count("ReusedExchange")
