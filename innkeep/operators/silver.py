@@ -41,11 +41,15 @@ def first_per_fingerprint(bronze: DataFrame, key: str = "_row_hash") -> DataFram
 def has_repeated(df: DataFrame, key: str = "_row_hash") -> bool:
     """Whether any ``key`` value occurs more than once.
 
-    Only the key column is shuffled (partial counts per map task), and the
-    job stops looking at the first repeated value.
+    Only the key column is shuffled (partial counts per map task); the
+    largest count per key is reduced to one value in the same job. (A
+    ``limit(1)`` would read the reduce side in growing waves of partitions,
+    and when nothing repeats, which is the case this check is for, every
+    wave runs.)
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    return bool(counts.where(F.col("_n") > 1).limit(1).collect())
+    top = counts.agg(F.max("_n").alias("_max")).first()
+    return top is not None and top["_max"] is not None and top["_max"] > 1
 
 
 def with_month_number(df: DataFrame, month_col: str = "arrival_date_month") -> DataFrame:

@@ -119,3 +119,12 @@ def test_unique_bronze_cleans_without_row_shuffle(spark):
     assert sorted(map(tuple, auto.collect())) == sorted(map(tuple, forced.collect()))
     repeated = build_silver(unique.unionByName(unique))
     assert "Window" in plan_text(repeated) and repeated.count() == 28
+
+
+def test_has_repeated(spark):
+    from innkeep.operators.silver import has_repeated
+
+    df = spark.createDataFrame([("a",), ("b",), ("c",)], "_row_hash string")
+    assert not has_repeated(df)
+    assert not has_repeated(df.where("false"))
+    assert has_repeated(df.unionByName(df.where("_row_hash = 'b'")))
