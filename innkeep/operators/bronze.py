@@ -51,22 +51,37 @@ def with_lineage(
     )
 
 
-def new_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
+# A fingerprint is 64 hex characters; a broadcast hash relation of n of them
+# is bounded by n * BROADCAST_BYTES_PER_HASH (text, length and map entry).
+BROADCAST_BYTES_PER_HASH = 128
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+
+
+def new_rows(batch: DataFrame, existing: DataFrame | None, batch_rows: int | None = None) -> DataFrame:
     """Rows of ``batch`` to insert: first per fingerprint, and not yet stored.
 
     Insert-if-absent semantics of a unique fingerprint: a fingerprint repeated
     inside the batch is kept once; one already in ``existing`` is skipped.
 
     The stored table can be far larger than a batch, so the check runs in two
-    steps: stored fingerprints are semi-joined with the batch's fingerprints
-    (a broadcast of the batch side when AQE measures it small, a shuffle join
-    otherwise), and the batch is anti-joined with that result, which is never
-    larger than the batch itself.
+    steps: stored fingerprints are semi-joined with the batch's fingerprints,
+    and the batch is anti-joined with that result, which is never larger than
+    the batch itself. With ``batch_rows`` known, the batch's fingerprints have
+    a proven size bound (``batch_rows`` x 64 characters); up to
+    ``BROADCAST_LIMIT_BYTES`` they are broadcast, so the stored fingerprints
+    are streamed through a hash lookup and never shuffled. Beyond that bound
+    (or with no count) the planner picks the join: AQE still broadcasts a
+    side it measures small, otherwise both sides shuffle on ``_row_hash``.
     """
     fresh = first_per_fingerprint(batch)
     if existing is None:
         return fresh
-    seen = existing.select("_row_hash").join(fresh.select("_row_hash"), "_row_hash", "left_semi")
+    # a semi join only tests membership, so the key side needs no dedup:
+    # the batch's own fingerprint column, read straight from its scan
+    keys = batch.select("_row_hash")
+    if batch_rows is not None and batch_rows * BROADCAST_BYTES_PER_HASH <= BROADCAST_LIMIT_BYTES:
+        keys = F.broadcast(keys)
+    seen = existing.select("_row_hash").join(keys, "_row_hash", "left_semi")
     return fresh.join(seen, "_row_hash", "left_anti").select(*batch.columns)
 
 
@@ -114,11 +129,11 @@ def load_csv(
     landed = spark.read.parquet(landed_path)
     existing = read_bronze(spark, bronze_path)
     batch = landed.drop("_malformed")
+    read_stats = landed.agg(F.count(F.lit(1)).alias("n"), F.count_if("_malformed").alias("bad")).first()
     new_path = staging_path(spark, "bronze-new")
-    new_rows(batch, existing).write.parquet(new_path)
+    new_rows(batch, existing, batch_rows=int(read_stats["n"])).write.parquet(new_path)
     new = spark.read.parquet(new_path)
 
-    read_stats = landed.agg(F.count(F.lit(1)).alias("n"), F.count_if("_malformed").alias("bad")).first()
     inserted = new.count()
     before = existing.count() if existing is not None else 0
     total = before + inserted

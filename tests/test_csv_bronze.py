@@ -144,3 +144,25 @@ def read_csv_flags(spark, path):
     from innkeep.sources.csv_source import multi_line_files
 
     return multi_line_files(spark, path)
+
+
+def test_new_rows_broadcasts_batch_keys_under_the_bound(spark):
+    import contextlib
+    import io
+
+    from conftest import bronze_df
+
+    from innkeep.operators.bronze import BROADCAST_BYTES_PER_HASH, BROADCAST_LIMIT_BYTES, new_rows
+
+    stored = bronze_df(spark, [raw_row(arrival_date_day_of_month=str(d)) for d in range(1, 11)])
+    batch = bronze_df(spark, [raw_row(arrival_date_day_of_month=str(d)) for d in (5, 5, 11, 12, 12)], source="b.csv")
+    hinted = new_rows(batch, stored, batch_rows=5)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        hinted.explain()
+    plan = buf.getvalue()
+    assert "LeftSemi, BuildRight" in plan and "BroadcastHashJoin" in plan
+    days = sorted(r.arrival_date_day_of_month for r in hinted.collect())
+    assert days == ["11", "12"]
+    over = BROADCAST_LIMIT_BYTES // BROADCAST_BYTES_PER_HASH + 1
+    assert sorted(r.arrival_date_day_of_month for r in new_rows(batch, stored, batch_rows=over).collect()) == days
