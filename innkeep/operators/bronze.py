@@ -76,11 +76,16 @@ def new_rows(batch: DataFrame, existing: DataFrame | None, batch_rows: int | Non
     fresh = first_per_fingerprint(batch)
     if existing is None:
         return fresh
-    # a semi join only tests membership, so the key side needs no dedup:
-    # the batch's own fingerprint column, read straight from its scan
+    # a semi join only tests membership: the key side is the batch's own
+    # fingerprint column, read straight from its scan (no second window)
     keys = batch.select("_row_hash")
     if batch_rows is not None and batch_rows * BROADCAST_BYTES_PER_HASH <= BROADCAST_LIMIT_BYTES:
         keys = F.broadcast(keys)
+    else:
+        # shuffled keys: collapse copies map-side first, so a fingerprint
+        # repeated in a third of the batch is one row per map task, not one
+        # huge reduce partition (AQE cannot split a semi join's right side)
+        keys = keys.distinct()
     seen = existing.select("_row_hash").join(keys, "_row_hash", "left_semi")
     return fresh.join(seen, "_row_hash", "left_anti").select(*batch.columns)
 
