@@ -5,6 +5,8 @@ from __future__ import annotations
 import csv
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from conftest import raw_row
 
 from innkeep.operators.bronze import VolumeCheckError, load_csv
@@ -166,3 +168,27 @@ def test_new_rows_broadcasts_batch_keys_under_the_bound(spark):
     assert days == ["11", "12"]
     over = BROADCAST_LIMIT_BYTES // BROADCAST_BYTES_PER_HASH + 1
     assert sorted(r.arrival_date_day_of_month for r in new_rows(batch, stored, batch_rows=over).collect()) == days
+
+
+_FIELD = st.text(alphabet=st.sampled_from(list('ab ,"\n')), max_size=6)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(_FIELD, min_size=3, max_size=3), min_size=1, max_size=6), st.integers(0, 5))
+def test_auto_mode_equals_multiline_on_random_fields(spark, tmp_path_factory, files, cut):
+    folder = tmp_path_factory.mktemp("prop")
+    # two files: rows before and after ``cut``; fields land in company/agent/board
+    for i, part in enumerate((files[:cut], files[cut:])):
+        rows = [raw_row(company=a, agent=b, board=c) for a, b, c in part]
+        write(folder / f"p{i}.csv", rows)
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "512b")  # every file is checked; clean ones are split
+    try:
+        def rows(mode):
+            df = select_expected(read_csv(spark, str(folder), multi_line=mode))
+            return sorted(tuple(r) for r in df.select(*RAW_COLUMNS, "_file_name", "_malformed").collect())
+
+        assert rows("auto") == rows(True)
+    finally:
+        spark.conf.set(key, old)
