@@ -63,31 +63,38 @@ def new_rows(batch: DataFrame, existing: DataFrame | None, batch_rows: int | Non
     Insert-if-absent semantics of a unique fingerprint: a fingerprint repeated
     inside the batch is kept once; one already in ``existing`` is skipped.
 
-    The stored table can be far larger than a batch, so the check runs in two
-    steps: stored fingerprints are semi-joined with the batch's fingerprints,
-    and the batch is anti-joined with that result, which is never larger than
-    the batch itself. With ``batch_rows`` known, the batch's fingerprints have
-    a proven size bound (``batch_rows`` x 64 characters); up to
-    ``BROADCAST_LIMIT_BYTES`` they are broadcast, so the stored fingerprints
-    are streamed through a hash lookup and never shuffled. Beyond that bound
-    (or with no count) the planner picks the join: AQE still broadcasts a
-    side it measures small, otherwise both sides shuffle on ``_row_hash``.
+    Stored fingerprints are removed *before* the keep-first window: the
+    filter drops whole fingerprints, so it commutes with keep-first, and the
+    window then shuffles only rows that are new (a re-loaded extract
+    shuffles nothing but fingerprints). The stored table can be far larger
+    than a batch, so it is only probed: its fingerprints are semi-joined
+    with the batch's fingerprint column, giving ``seen`` (distinct, so never
+    more fingerprints than the batch has).
+
+    With ``batch_rows`` known, both the batch's fingerprints and ``seen``
+    have a proven size bound (``batch_rows`` x 64 characters). Up to
+    ``BROADCAST_LIMIT_BYTES`` both joins are broadcast: the stored
+    fingerprints stream through a hash lookup and the batch is filtered in
+    place, with no shuffle of either. Beyond that bound (or with no count)
+    the planner picks the joins: AQE still broadcasts a side it measures
+    small, otherwise they shuffle on ``_row_hash``, and the window reuses
+    that partitioning.
     """
-    fresh = first_per_fingerprint(batch)
     if existing is None:
-        return fresh
+        return first_per_fingerprint(batch)
+    bounded = batch_rows is not None and batch_rows * BROADCAST_BYTES_PER_HASH <= BROADCAST_LIMIT_BYTES
     # a semi join only tests membership: the key side is the batch's own
-    # fingerprint column, read straight from its scan (no second window)
+    # fingerprint column, read straight from its scan
     keys = batch.select("_row_hash")
-    if batch_rows is not None and batch_rows * BROADCAST_BYTES_PER_HASH <= BROADCAST_LIMIT_BYTES:
-        keys = F.broadcast(keys)
-    else:
-        # shuffled keys: collapse copies map-side first, so a fingerprint
-        # repeated in a third of the batch is one row per map task, not one
-        # huge reduce partition (AQE cannot split a semi join's right side)
-        keys = keys.distinct()
-    seen = existing.select("_row_hash").join(keys, "_row_hash", "left_semi")
-    return fresh.join(seen, "_row_hash", "left_anti").select(*batch.columns)
+    # shuffled keys: collapse copies map-side first, so a fingerprint
+    # repeated in a third of the batch is one row per map task, not one huge
+    # reduce partition (AQE cannot split a semi join's right side)
+    keys = F.broadcast(keys) if bounded else keys.distinct()
+    seen = existing.select("_row_hash").join(keys, "_row_hash", "left_semi").distinct()
+    if bounded:
+        seen = F.broadcast(seen)
+    remaining = batch.join(seen, "_row_hash", "left_anti")
+    return first_per_fingerprint(remaining).select(*batch.columns)
 
 
 @dataclass(frozen=True)
