@@ -75,28 +75,30 @@ def accepted_values(df: DataFrame, allowed: Mapping[str, Sequence[str]], table:
 def value_set(df: DataFrame, expected: Mapping[str, Sequence[str]]) -> DataFrame:
     """Exact set equality: expected values that are absent, and values not expected.
 
-    Distinct values are found with one aggregation per column; the comparison
-    with the (fixed, tiny) expected set is an in-expression test plus a
-    presence flag, so no join is needed.
+    The checked columns are unpivoted into (column, value) pairs and reduced
+    to their distinct pairs in one scan (partial aggregation, so a value in
+    a third of all rows is one row per map task). A full outer equi-join
+    with the fixed expected pairs then yields both findings in one branch:
+    pairs only seen are unexpected (a NULL value never matches, so it is
+    unexpected too), pairs only expected are missing. The distinct pairs are
+    already partitioned on the join keys, so only the expected pairs move.
     """
-    parts = []
-    for c, values in expected.items():
-        v = F.col(c).cast("string")
-        seen = df.select(v.alias("value")).distinct()
-        unexpected = seen.where(~F.coalesce(F.col("value").isin(list(values)), F.lit(False))).select(
-            F.lit(c).alias("column_name"), "value", F.lit("unexpected").alias("problem")
-        )
-        present = df.agg(
-            *[F.max(F.when(v == F.lit(x), F.lit(1)).otherwise(F.lit(0))).alias(f"_p{i}") for i, x in enumerate(values)]
-        )
-        missing = present.select(
-            F.explode(
-                F.array(*[F.when(F.col(f"_p{i}") == 0, F.lit(x)) for i, x in enumerate(values)])
-            ).alias("value")
-        ).where(F.col("value").isNotNull())
-        parts.append(unexpected)
-        parts.append(missing.select(F.lit(c).alias("column_name"), "value", F.lit("missing").alias("problem")))
-    return _union(parts)
+    cols = list(expected)
+    pairs = df.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])
+        ).alias("p")
+    ).select("p.column_name", "p.value")
+    seen = pairs.distinct().withColumn("_seen", F.lit(True))
+    wanted = df.sparkSession.createDataFrame(
+        [(c, x) for c in cols for x in expected[c]], "column_name string, value string"
+    ).withColumn("_expected", F.lit(True))
+    both = seen.join(wanted, ["column_name", "value"], "full_outer")
+    return both.where(F.col("_seen").isNull() | F.col("_expected").isNull()).select(
+        "column_name",
+        "value",
+        F.when(F.col("_expected").isNull(), F.lit("unexpected")).otherwise(F.lit("missing")).alias("problem"),
+    )
 
 
 def non_negative(df: DataFrame, column: str) -> DataFrame:

@@ -362,9 +362,17 @@ def q_silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
     """The declared checks over raw rows, landing, the cleaned layer and gold (built lazily)."""
     raw, bronze, silver = D.raw(spark, sf_dir), D.bronze(spark, sf_dir), D.silver_table(spark, sf_dir)
+    built: dict[str, DataFrame] = {}
+
+    def countries_table() -> DataFrame:
+        # built once per check set: building it checkpoints the per-country
+        # statistics (one aggregation over silver)
+        if "countries" not in built:
+            built["countries"] = gold.popular_countries(silver)
+        return built["countries"]
 
     def not_null() -> DataFrame:
-        countries = gold.popular_countries(silver)
+        countries = countries_table()
         mom = gold.mom_growth(silver).withColumn("_key", F.concat_ws("/", "hotel_type", "year_month"))
         return (
             Q.not_null(silver, Q.SILVER_NOT_NULL, "silver", "_row_hash")
@@ -374,7 +382,7 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], D
 
     return {
         "dq_unique": lambda: Q.unique(silver, "_row_hash", "silver").unionByName(
-            Q.unique(gold.popular_countries(silver), "country", "popular_countries")
+            Q.unique(countries_table(), "country", "popular_countries")
         ),
         "dq_not_null": not_null,
         "dq_accepted_values": lambda: Q.accepted_values(silver, Q.ACCEPTED_VALUES, "silver"),

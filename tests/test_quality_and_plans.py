@@ -128,3 +128,11 @@ def test_has_repeated(spark):
     assert not has_repeated(df)
     assert not has_repeated(df.where("false"))
     assert has_repeated(df.unionByName(df.where("_row_hash = 'b'")))
+
+
+def test_value_set_two_columns_and_null(spark):
+    df = spark.createDataFrame(
+        [("Hotel", "0"), ("Hotel", None), ("Hotel", "1"), ("Hotel", "1")], "hotel string, is_canceled string"
+    )
+    got = {(r.column_name, r.value, r.problem) for r in Q.value_set(df, Q.RAW_VALUE_SETS).collect()}
+    assert got == {("hotel", "Apartment", "missing"), ("is_canceled", None, "unexpected")}
