@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from innkeep.functions.fingerprint import is_hash_text, row_hash
@@ -119,35 +119,55 @@ def volume(df: DataFrame, min_rows: int = MIN_ROWS) -> DataFrame:
     )
 
 
-def rate_bounds(raw: DataFrame, bounds: tuple[float, float] = CANCEL_RATE_BOUNDS) -> DataFrame:
+def raw_profile(raw: DataFrame) -> DataFrame:
+    """One row of raw-row counts shared by the dataset-level checks.
+
+    total rows, rows with ``is_canceled = '1'``, distinct country texts other
+    than ``'NULL'``, rows with a negative rate. The three checks below take
+    it as ``profile``; passing one stored profile to all of them scans the
+    raw rows once.
+    """
+    rate = F.col("adr").try_cast("decimal(10,2)")
+    country = F.when(F.col("country") != F.lit("NULL"), F.col("country"))
+    return raw.agg(
+        n_rows().alias("total_rows"),
+        F.count_if(F.col("is_canceled") == F.lit("1")).alias("canceled_rows"),
+        F.count_distinct(country).alias("distinct_countries"),
+        F.count_if(rate < 0).alias("negative_rows"),
+    )
+
+
+def _share_pct(num: str, den: str) -> Column:
+    return (F.col(num) * 100).cast("double") / F.col(den).cast("double")
+
+
+def rate_bounds(
+    raw: DataFrame, bounds: tuple[float, float] = CANCEL_RATE_BOUNDS, profile: DataFrame | None = None
+) -> DataFrame:
     """A row when the share of rows with ``is_canceled = '1'`` is outside ``bounds`` (percent)."""
     lo, hi = bounds
-    rate = (F.count_if(F.col("is_canceled") == F.lit("1")) * 100).cast("double") / n_rows().cast("double")
+    p = profile if profile is not None else raw_profile(raw)
     return (
-        raw.agg(rate.alias("cancel_rate_pct"))
+        p.select(_share_pct("canceled_rows", "total_rows").alias("cancel_rate_pct"))
         .where((F.col("cancel_rate_pct") < lo) | (F.col("cancel_rate_pct") > hi))
         .select("cancel_rate_pct", F.lit(lo).alias("lower_pct"), F.lit(hi).alias("upper_pct"))
     )
 
 
-def diversity(raw: DataFrame, min_distinct: int = MIN_COUNTRIES) -> DataFrame:
+def diversity(raw: DataFrame, min_distinct: int = MIN_COUNTRIES, profile: DataFrame | None = None) -> DataFrame:
     """A row when fewer than ``min_distinct`` country texts occur (``'NULL'`` excluded)."""
-    return (
-        raw.where(F.col("country") != F.lit("NULL"))
-        .agg(F.count_distinct("country").alias("distinct_countries"))
-        .where(F.col("distinct_countries") < min_distinct)
-        .select("distinct_countries", F.lit(min_distinct).cast("bigint").alias("expected_minimum"))
+    p = profile if profile is not None else raw_profile(raw)
+    return p.where(F.col("distinct_countries") < min_distinct).select(
+        "distinct_countries", F.lit(min_distinct).cast("bigint").alias("expected_minimum")
     )
 
 
-def negative_share(raw: DataFrame, max_pct: float = MAX_NEGATIVE_RATE_PCT) -> DataFrame:
+def negative_share(raw: DataFrame, max_pct: float = MAX_NEGATIVE_RATE_PCT, profile: DataFrame | None = None) -> DataFrame:
     """A row when negative rates are ``max_pct`` percent of all rows or more."""
-    rate = F.col("adr").try_cast("decimal(10,2)")
-    agg = raw.agg(F.count_if(rate < 0).alias("negative_rows"), n_rows().alias("total_rows"))
-    pct = (F.col("negative_rows") * 100).cast("double") / F.col("total_rows").cast("double")
-    return agg.select("negative_rows", "total_rows", pct.alias("negative_pct")).where(
-        F.col("negative_pct") >= max_pct
-    )
+    p = profile if profile is not None else raw_profile(raw)
+    return p.select(
+        "negative_rows", "total_rows", _share_pct("negative_rows", "total_rows").alias("negative_pct")
+    ).where(F.col("negative_pct") >= max_pct)
 
 
 def hash_format(bronze: DataFrame) -> DataFrame:

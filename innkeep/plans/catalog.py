@@ -18,7 +18,7 @@ from innkeep.functions.rounding import exact_mean
 from innkeep.operators import gold, quality as Q, rollups as R, silver as silver_ops
 from innkeep.operators import bronze as B
 from innkeep.plans import datasets as D, pipeline as P
-from innkeep.session import staging_path
+from innkeep.session import checkpoint_dir, staging_path
 from innkeep.sources.csv_source import check_columns, header, read_csv, select_expected
 from innkeep.sources.tables import write_layer
 from innkeep.streaming.ingest import ingest_available
@@ -364,6 +364,16 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], D
     raw, bronze, silver = D.raw(spark, sf_dir), D.bronze(spark, sf_dir), D.silver_table(spark, sf_dir)
     built: dict[str, DataFrame] = {}
 
+    def profile() -> DataFrame:
+        # one row of raw counts for the three dataset-level checks, stored
+        # once (checkpoint folder) so a report scans the raw rows once;
+        # sharing the lazy aggregate would not do it, as column pruning
+        # gives each check its own narrower copy
+        if "profile" not in built:
+            checkpoint_dir(spark)
+            built["profile"] = Q.raw_profile(raw).checkpoint(eager=True)
+        return built["profile"]
+
     def countries_table() -> DataFrame:
         # built once per check set: building it checkpoints the per-country
         # statistics (one aggregation over silver)
@@ -389,9 +399,9 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], D
         "dq_value_set": lambda: Q.value_set(raw, Q.RAW_VALUE_SETS),
         "dq_non_negative": lambda: Q.non_negative(silver, "adr"),
         "dq_volume": lambda: Q.volume(silver),
-        "dq_rate_bounds": lambda: Q.rate_bounds(raw),
-        "dq_diversity": lambda: Q.diversity(raw),
-        "dq_negative_share": lambda: Q.negative_share(raw),
+        "dq_rate_bounds": lambda: Q.rate_bounds(raw, profile=profile()),
+        "dq_diversity": lambda: Q.diversity(raw, profile=profile()),
+        "dq_negative_share": lambda: Q.negative_share(raw, profile=profile()),
         "dq_hash_format": lambda: Q.hash_format(bronze),
     }
 
