@@ -8,9 +8,10 @@ same job is a file stream over a drop folder:
   each drop is read once even across restarts;
 * ``trigger(availableNow=True)`` processes everything that has arrived and
   stops — a scheduled batch run with exactly-once file tracking;
-* each micro-batch goes through the batch path's insert-if-absent step
-  (first row per fingerprint, skip fingerprints already stored) and is
-  appended to the bronze Parquet table. A replayed micro-batch finds its
+* each micro-batch is staged as Parquet in the shared staging folder, goes
+  through the batch path's insert-if-absent step (first row per
+  fingerprint, skip fingerprints already stored; bounded by the staged row
+  count) and is appended to the bronze Parquet table. A replayed micro-batch finds its
   fingerprints already stored and appends nothing, so the sink stays
   idempotent under task or driver failure.
 
@@ -26,6 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from innkeep.operators.bronze import new_rows, read_bronze, with_lineage
 from innkeep.schema import RAW_COLUMNS, RAW_SCHEMA
+from innkeep.session import staging_path
 from innkeep.sources.csv_source import CSV_READ_OPTIONS
 
 
@@ -56,8 +58,14 @@ def csv_drop_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: i
 def _append_batch(bronze_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        stamped = with_lineage(batch, F.col("_file_name"))
-        fresh = new_rows(stamped, read_bronze(spark, bronze_path))
+        # stage the micro-batch once (shared staging folder): its CSV files
+        # are parsed once although the insert-if-absent step reads the batch
+        # twice, and the staged row count (Parquet metadata) bounds the
+        # batch's fingerprints for a broadcast check
+        staged_path = staging_path(spark, f"stream-batch-{batch_id}")
+        with_lineage(batch, F.col("_file_name")).write.parquet(staged_path)
+        staged = spark.read.parquet(staged_path)
+        fresh = new_rows(staged, read_bronze(spark, bronze_path), batch_rows=staged.count())
         fresh.write.mode("append").parquet(bronze_path)
 
     return run
