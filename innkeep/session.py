@@ -70,8 +70,10 @@ def get_session(
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and staged tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``; only when nothing is set (local
-    runs and tests) a fresh local folder is created.
+    Uses the cluster's ``spark.checkpoint.dir``. Only a local-mode session
+    (tests, a laptop) with nothing set gets a fresh local folder: on a
+    cluster a machine-local folder is invisible to other executors, so a
+    missing setting is an error there.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,6 +81,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: staged tables and checkpoints need a folder "
+                "shared by all executors (e.g. on the cluster's distributed file system)"
+            )
         configured = tempfile.mkdtemp(prefix="innkeep-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -136,3 +136,10 @@ def test_value_set_two_columns_and_null(spark):
     )
     got = {(r.column_name, r.value, r.problem) for r in Q.value_set(df, Q.RAW_VALUE_SETS).collect()}
     assert got == {("hotel", "Apartment", "missing"), ("is_canceled", None, "unexpected")}
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from innkeep.session import checkpoint_dir
+
+    assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
+    assert spark.sparkContext.master.startswith("local")
