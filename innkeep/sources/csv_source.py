@@ -59,6 +59,9 @@ def header(spark: SparkSession, path: str | list[str]) -> list[str]:
 
 QUOTE = '"'
 FILE_NAME = "_file_name"
+# File suffixes of compression codecs whose files Spark reads
+# in one piece (bzip2 is splittable and not listed).
+UNSPLITTABLE = (".gz", ".deflate", ".zst", ".lz4", ".snappy")
 
 
 def multi_line_files(spark: SparkSession, path: str | list[str]) -> dict[str, bool]:
@@ -115,8 +118,9 @@ def read_csv(
     each file a single split; ``False`` splits files freely and is right only
     when no quoted field holds a newline; ``"auto"`` (default) gives the rows
     of ``True`` while splitting every file it can: files no larger than one
-    split (``spark.sql.files.maxPartitionBytes``) are parsed whole, as there
-    is nothing to split; larger files are checked with
+    split (``spark.sql.files.maxPartitionBytes``) and files whose
+    compression cannot be split are parsed whole, as there is nothing to
+    split; larger files are checked with
     :func:`multi_line_files` and parsed line by line (splittable) unless a
     record spans lines. In ``"auto"`` mode the result carries the scanned
     file's name as ``_file_name``.
@@ -128,7 +132,8 @@ def read_csv(
     if multi_line == "auto":
         sizes = file_sizes(spark, path)
         limit = split_bytes(spark)
-        large = sorted(f for f, n in sizes.items() if n > limit)
+        # compressed files that cannot be split are one task either way
+        large = sorted(f for f, n in sizes.items() if n > limit and not f.lower().endswith(UNSPLITTABLE))
         spans = multi_line_files(spark, large) if large else {}
         split = [f for f in large if not spans.get(f, False)]
         whole = sorted(set(sizes) - set(split))

@@ -192,3 +192,21 @@ def test_auto_mode_equals_multiline_on_random_fields(spark, tmp_path_factory, fi
         assert rows("auto") == rows(True)
     finally:
         spark.conf.set(key, old)
+
+
+def test_auto_mode_reads_gzip_whole(spark, tmp_path):
+    import gzip
+
+    plain = write(tmp_path / "z.csv", [raw_row(company="One\nTwo"), raw_row(arrival_date_day_of_month="3")])
+    folder = tmp_path / "gz"
+    folder.mkdir()
+    with open(plain, "rb") as src, gzip.open(folder / "z.csv.gz", "wb") as dst:
+        dst.write(src.read())
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256b")
+    try:
+        rows = select_expected(read_csv(spark, str(folder))).select("company", "_malformed").collect()
+    finally:
+        spark.conf.set(key, old)
+    assert sorted((r.company, r._malformed) for r in rows) == sorted([("One\nTwo", False), (raw_row()["company"], False)])
