@@ -163,7 +163,9 @@ def test_new_rows_broadcasts_batch_keys_under_the_bound(spark):
     with contextlib.redirect_stdout(buf):
         hinted.explain()
     plan = buf.getvalue()
-    assert "LeftSemi, BuildRight" in plan and "BroadcastHashJoin" in plan
+    assert "LeftSemi, BuildRight" in plan and "LeftAnti, BuildRight" in plan
+    # stored fingerprints are dropped before the keep-first window
+    assert plan.index("Window") < plan.index("LeftAnti")
     days = sorted(r.arrival_date_day_of_month for r in hinted.collect())
     assert days == ["11", "12"]
     over = BROADCAST_LIMIT_BYTES // BROADCAST_BYTES_PER_HASH + 1
