@@ -143,3 +143,15 @@ def test_checkpoint_folder_comes_from_the_session(spark):
 
     assert checkpoint_dir(spark) == spark.sparkContext.getCheckpointDir()
     assert spark.sparkContext.master.startswith("local")
+
+
+def test_fixture_rebalances_only_few_split_scans(spark):
+    from innkeep.sources.fixture import raw_reservations_from
+    from innkeep.sources.tables import read_table
+
+    orders, customer, nation = (read_table(spark, SF_SMALL, t) for t in ("orders", "customer", "nation"))
+    few = raw_reservations_from(orders.coalesce(1), customer, nation)
+    many = raw_reservations_from(orders.repartition(2 * spark.sparkContext.defaultParallelism), customer, nation)
+    assert "RebalancePartitions" in few._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" not in many._jdf.queryExecution().optimizedPlan().toString()
+    assert few.count() == many.count()
