@@ -1,4 +1,4 @@
-"""Bytes read and shuffled per step, from Spark's event log.
+"""Bytes shuffled per step, from Spark's event log.
 
 Usage: python tools/shuffle_report.py [sf_dir]
 
