@@ -155,3 +155,16 @@ def test_fixture_rebalances_only_few_split_scans(spark):
     assert "RebalancePartitions" in few._jdf.queryExecution().optimizedPlan().toString()
     assert "RebalancePartitions" not in many._jdf.queryExecution().optimizedPlan().toString()
     assert few.count() == many.count()
+
+
+def test_dataset_checks_same_with_shared_profile(spark):
+    from conftest import raw_df
+
+    rows = [raw_row(country=c, is_canceled=k, adr=a) for c, k, a in [("PRT", "1", "-1.00"), ("NULL", "0", "5.00"), ("ESP", "1", "NA")]]
+    raw = raw_df(spark, rows)
+    shared = Q.raw_profile(raw).checkpoint(eager=True)
+    for check, kwargs in [(Q.rate_bounds, {}), (Q.diversity, {}), (Q.negative_share, {})]:
+        alone = [tuple(r) for r in check(raw, **kwargs).collect()]
+        assert alone == [tuple(r) for r in check(raw, profile=shared, **kwargs).collect()]
+    (p,) = shared.collect()
+    assert (p.total_rows, p.canceled_rows, p.distinct_countries, p.negative_rows) == (3, 2, 2, 1)
