@@ -118,12 +118,11 @@ def read_csv(
     each file a single split; ``False`` splits files freely and is right only
     when no quoted field holds a newline; ``"auto"`` (default) gives the rows
     of ``True`` while splitting every file it can: files no larger than one
-    split (``spark.sql.files.maxPartitionBytes``) and files whose
-    compression cannot be split are parsed whole, as there is nothing to
-    split; larger files are checked with
-    :func:`multi_line_files` and parsed line by line (splittable) unless a
-    record spans lines. In ``"auto"`` mode the result carries the scanned
-    file's name as ``_file_name``.
+    split (``spark.sql.files.maxPartitionBytes``) and files whose compression
+    cannot be split are parsed whole, as there is nothing to split; larger
+    files are checked with :func:`multi_line_files` and parsed line by line
+    (splittable) unless a record spans lines. In ``"auto"`` mode the result
+    carries the scanned file's name as ``_file_name``.
     ``infer_types`` gives typed columns for exploration; the raw layer keeps
     text. With ``track_malformed`` rows with too few or too many fields are
     flagged in ``_corrupt_record`` (the schema is built from the file's own
@@ -135,7 +134,8 @@ def read_csv(
         # compressed files that cannot be split are one task either way
         large = sorted(f for f, n in sizes.items() if n > limit and not f.lower().endswith(UNSPLITTABLE))
         spans = multi_line_files(spark, large) if large else {}
-        split = [f for f in large if not spans.get(f, False)]
+        # a file the check did not report is parsed whole (exact either way)
+        split = [f for f in large if not spans.get(f, True)]
         whole = sorted(set(sizes) - set(split))
         parts = []
         for files, multi in ((whole, True), (split, False)):
