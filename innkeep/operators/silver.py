@@ -110,7 +110,8 @@ def build_silver(bronze: DataFrame, strict: bool = True, dedup: bool | str = "au
     semantics); ``strict=False`` turns it into NULL (dashboard semantics).
     ``dedup="auto"`` runs the keep-first window only when
     :func:`has_repeated` finds a repeated fingerprint (same rows either
-    way); ``True`` always runs it.
+    way; the check is a job that runs when the frame is built); ``True``
+    always runs the window, for inputs known to hold copies.
     """
     if dedup == "auto":
         dedup = has_repeated(bronze)
