@@ -172,7 +172,7 @@ def test_new_rows_broadcasts_batch_keys_under_the_bound(spark):
     assert sorted(r.arrival_date_day_of_month for r in new_rows(batch, stored, batch_rows=over).collect()) == days
 
 
-_FIELD = st.text(alphabet=st.sampled_from(list('ab ,"\n')), max_size=6)
+_FIELD = st.text(alphabet=st.sampled_from(list('ab ,"\n\r')), max_size=6)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
