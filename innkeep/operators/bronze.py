@@ -57,7 +57,12 @@ BROADCAST_BYTES_PER_HASH = 128
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
 
 
-def new_rows(batch: DataFrame, existing: DataFrame | None, batch_rows: int | None = None) -> DataFrame:
+def new_rows(
+    batch: DataFrame,
+    existing: DataFrame | None,
+    batch_rows: int | None = None,
+    broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES,
+) -> DataFrame:
     """Rows of ``batch`` to insert: first per fingerprint, and not yet stored.
 
     Insert-if-absent semantics of a unique fingerprint: a fingerprint repeated
@@ -73,7 +78,7 @@ def new_rows(batch: DataFrame, existing: DataFrame | None, batch_rows: int | Non
 
     With ``batch_rows`` known, both the batch's fingerprints and ``seen``
     have a proven size bound (``batch_rows`` x 64 characters). Up to
-    ``BROADCAST_LIMIT_BYTES`` both joins are broadcast: the stored
+    ``broadcast_limit_bytes`` both joins are broadcast: the stored
     fingerprints stream through a hash lookup and the batch is filtered in
     place, with no shuffle of either. Beyond that bound (or with no count)
     the planner picks the joins: AQE still broadcasts a side it measures
@@ -82,7 +87,7 @@ def new_rows(batch: DataFrame, existing: DataFrame | None, batch_rows: int | Non
     """
     if existing is None:
         return first_per_fingerprint(batch)
-    bounded = batch_rows is not None and batch_rows * BROADCAST_BYTES_PER_HASH <= BROADCAST_LIMIT_BYTES
+    bounded = batch_rows is not None and batch_rows * BROADCAST_BYTES_PER_HASH <= broadcast_limit_bytes
     # a semi join only tests membership: the key side is the batch's own
     # fingerprint column, read straight from its scan
     keys = batch.select("_row_hash")
@@ -124,6 +129,7 @@ def load_csv(
     bronze_path: str,
     min_rows: int = 80_000,
     multi_line: bool | str = "auto",
+    broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> LoadResult:
     """CSV extract -> bronze (insert-if-absent by fingerprint); returns metrics and new rows.
 
@@ -143,7 +149,7 @@ def load_csv(
     batch = landed.drop("_malformed")
     read_stats = landed.agg(F.count(F.lit(1)).alias("n"), F.count_if("_malformed").alias("bad")).first()
     new_path = staging_path(spark, "bronze-new")
-    new_rows(batch, existing, batch_rows=int(read_stats["n"])).write.parquet(new_path)
+    new_rows(batch, existing, int(read_stats["n"]), broadcast_limit_bytes).write.parquet(new_path)
     new = spark.read.parquet(new_path)
 
     inserted = new.count()
