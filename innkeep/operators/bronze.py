@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from innkeep.functions.fingerprint import row_hash
 from innkeep.operators.silver import first_per_fingerprint
 from innkeep.schema import RAW_COLUMNS
-from innkeep.session import staging_path
+from innkeep.session import remove_staged, staging_path
 from innkeep.sources.csv_source import read_csv, select_expected
 
 
@@ -158,6 +158,9 @@ def load_csv(
     if total < min_rows:
         raise VolumeCheckError(f"post-load check failed: only {total} rows (expected >= {min_rows})")
     new.write.mode("append").parquet(bronze_path)
+    # the staged scan is no longer read by anything this load returns (the
+    # inserted rows are their own staged table); a failed load keeps it
+    remove_staged(spark, landed_path)
     rows_read = int(read_stats["n"])
     metrics = spark.createDataFrame(
         [(rows_read, inserted, rows_read - inserted, int(read_stats["bad"]), total)], METRICS_SCHEMA

@@ -96,3 +96,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def staging_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     return os.path.join(checkpoint_dir(spark), "staging", f"{name}-{uuid.uuid4().hex}")
+
+
+def remove_staged(spark: SparkSession, path: str) -> bool:
+    """Delete a staged folder below the checkpoint folder (recursive).
+
+    Only paths under the session's staging folder are removed; anything else
+    is refused, so a wrong argument cannot delete a published table.
+    """
+    root = os.path.join(checkpoint_dir(spark), "staging")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(conf)
+    qualified = fs.makeQualified(target).toString()
+    staging = fs.makeQualified(jvm.org.apache.hadoop.fs.Path(root)).toString()
+    if not qualified.startswith(staging.rstrip("/") + "/"):
+        raise ValueError(f"not a staged path: {path}")
+    return bool(fs.delete(target, True))
+

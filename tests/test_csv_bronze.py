@@ -212,3 +212,20 @@ def test_auto_mode_reads_gzip_whole(spark, tmp_path):
     finally:
         spark.conf.set(key, old)
     assert sorted((r.company, r._malformed) for r in rows) == sorted([("One\nTwo", False), (raw_row()["company"], False)])
+
+
+def test_load_removes_its_staged_scan_and_refuses_other_paths(spark, tmp_path):
+    import glob
+    import os
+
+    from innkeep.session import checkpoint_dir, remove_staged
+
+    staging = os.path.join(checkpoint_dir(spark), "staging")
+    before = set(glob.glob(os.path.join(staging, "bronze-batch-*")))
+    bronze = str(tmp_path / "bronze-rm")
+    res = load_csv(spark, write(tmp_path / "r.csv", [raw_row(), raw_row(arrival_date_day_of_month="2")]), bronze, min_rows=1)
+    assert set(glob.glob(os.path.join(staging, "bronze-batch-*"))) == before
+    assert res.inserted.count() == 2 and spark.read.parquet(bronze).count() == 2
+    with pytest.raises(ValueError):
+        remove_staged(spark, bronze)
+    assert spark.read.parquet(bronze).count() == 2
