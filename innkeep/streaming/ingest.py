@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from innkeep.operators.bronze import new_rows, read_bronze, with_lineage
 from innkeep.schema import RAW_COLUMNS, RAW_SCHEMA
-from innkeep.session import staging_path
+from innkeep.session import remove_staged, staging_path
 from innkeep.sources.csv_source import CSV_READ_OPTIONS
 
 
@@ -67,6 +67,7 @@ def _append_batch(bronze_path: str):
         staged = spark.read.parquet(staged_path)
         fresh = new_rows(staged, read_bronze(spark, bronze_path), batch_rows=staged.count())
         fresh.write.mode("append").parquet(bronze_path)
+        remove_staged(spark, staged_path)
 
     return run
 
