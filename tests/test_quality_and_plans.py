@@ -168,3 +168,13 @@ def test_dataset_checks_same_with_shared_profile(spark):
         assert alone == [tuple(r) for r in check(raw, profile=shared, **kwargs).collect()]
     (p,) = shared.collect()
     assert (p.total_rows, p.canceled_rows, p.distinct_countries, p.negative_rows) == (3, 2, 2, 1)
+
+
+def test_numeric_summary_scans_once_and_reuses_the_histogram_shuffle(spark):
+    df = R.numeric_summary(R.BookingFilter().apply(D.silver(spark, SF_SMALL)))
+    df.collect()
+    text = plan_text(df)
+    final = text.split("== Final Plan ==")[1].split("== Initial Plan ==")[0] if "== Final Plan ==" in text else text
+    assert "ReusedExchange" in final
+    # one scan of the cleaned layer's source feeds every quartile branch
+    assert final.count("Scan parquet") == 1
