@@ -39,15 +39,20 @@ def first_per_fingerprint(bronze: DataFrame, key: str = "_row_hash") -> DataFram
 
 
 def has_repeated(df: DataFrame, key: str = "_row_hash") -> bool:
-    """Whether any ``key`` value occurs more than once.
-
-    Only the key column is shuffled (partial counts per map task); the
-    largest count per key is reduced to one value in the same job. (A
-    ``limit(1)`` would read the reduce side in growing waves of partitions,
-    and when nothing repeats, which is the case this check is for, every
-    wave runs.)
+    """Whether any ``key`` value (a SHA-256 hex fingerprint) may occur more than once.
+
+    Only a 16-byte probe per row is shuffled: the first 32 hex characters
+    unhexed (partial counts per map task); the largest count per probe is
+    reduced to one value in the same job. Equal keys always give equal
+    probes, so a repeated key is never missed; a probe shared by different
+    keys (a 128-bit prefix collision, or text that is not hex) can only
+    answer "repeated", which makes the caller run its exact dedup anyway.
+    (A ``limit(1)`` would read the reduce side in growing waves of
+    partitions, and when nothing repeats, which is the case this check is
+    for, every wave runs.)
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    probe = F.unhex(F.substring(F.col(key), 1, 32)).alias("_probe")
+    counts = df.groupBy(probe).agg(F.count(F.lit(1)).alias("_n"))
     top = counts.agg(F.max("_n").alias("_max")).first()
     return top is not None and top["_max"] is not None and top["_max"] > 1
 
