@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from innkeep.functions.fingerprint import is_hash_text, row_hash
 from innkeep.operators.gold import n_rows
 from innkeep.schema import RAW_COLUMNS
+from innkeep.session import checkpoint_dir
 
 # Declared expectations of the cleaned and gold layers.
 SILVER_NOT_NULL = ["_row_hash", "hotel_type", "is_canceled", "adr", "arrival_date"]
@@ -44,6 +45,41 @@ def unique(df: DataFrame, column: str, table: str) -> DataFrame:
     )
 
 
+# The repeated-probe pre-filter broadcasts at most this many bytes
+# (16-byte probes plus hash-map overhead, counted before broadcasting).
+PROBE_BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+PROBE_BYTES = 64
+
+
+def unique_fingerprint(df: DataFrame, column: str, table: str) -> DataFrame:
+    """:func:`unique` for a SHA-256 hex fingerprint column, shuffling 16-byte probes first.
+
+    Phase one counts rows per probe (the fingerprint's first 32 hex
+    characters unhexed) and counts the probes that repeat: a shuffle of 16
+    bytes per row instead of the 64-character text. No repeated probe means
+    no repeated value (equal values share a probe), so the check is empty
+    without touching the full values again. Otherwise, when the repeated
+    probes fit the broadcast bound (checked count x ``PROBE_BYTES``), only
+    rows whose probe repeats reach the exact group-by (null-safe match, so a
+    non-hex value with a NULL probe is kept); beyond the bound the exact
+    check runs on all rows. Phase one runs when the check is built.
+    """
+    probe = F.unhex(F.substring(F.col(column), 1, 32))
+    present = df.where(F.col(column).isNotNull())
+    repeated = (
+        present.groupBy(probe.alias("_probe")).agg(n_rows().alias("_n")).where(F.col("_n") > 1).select("_probe")
+    )
+    checkpoint_dir(df.sparkSession)
+    repeated = repeated.checkpoint(eager=True)
+    n = repeated.count()
+    if n == 0:
+        return unique(df.where(F.lit(False)), column, table)
+    if n * PROBE_BYTES > PROBE_BROADCAST_LIMIT_BYTES:
+        return unique(df, column, table)
+    candidates = present.join(F.broadcast(repeated), probe.eqNullSafe(F.col("_probe")), "left_semi")
+    return unique(candidates, column, table)
+
+
 def not_null(df: DataFrame, columns: Sequence[str], table: str, key: str) -> DataFrame:
     """One row per (row, column) that is NULL; all columns checked in one pass."""
     flags = F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns])

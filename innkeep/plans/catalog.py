@@ -391,7 +391,7 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], D
         )
 
     return {
-        "dq_unique": lambda: Q.unique(silver, "_row_hash", "silver").unionByName(
+        "dq_unique": lambda: Q.unique_fingerprint(silver, "_row_hash", "silver").unionByName(
             Q.unique(countries_table(), "country", "popular_countries")
         ),
         "dq_not_null": not_null,

@@ -68,7 +68,7 @@ def quality_report(spark: SparkSession, layout: Layout, min_rows: int = Q.MIN_RO
     mom = spark.read.parquet(layout.mom)
     return Q.report(
         {
-            "silver_unique_row_hash": Q.unique(silver, "_row_hash", "silver"),
+            "silver_unique_row_hash": Q.unique_fingerprint(silver, "_row_hash", "silver"),
             "silver_not_null": Q.not_null(silver, Q.SILVER_NOT_NULL, "silver", "_row_hash"),
             "silver_accepted_values": Q.accepted_values(silver, Q.ACCEPTED_VALUES, "silver"),
             "silver_volume": Q.volume(silver, min_rows),

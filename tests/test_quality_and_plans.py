@@ -178,3 +178,20 @@ def test_numeric_summary_scans_once_and_reuses_the_histogram_shuffle(spark):
     assert "ReusedExchange" in final
     # one scan of the cleaned layer's source feeds every quartile branch
     assert final.count("Scan parquet") == 1
+
+
+def test_unique_fingerprint_matches_plain_unique(spark):
+    import hashlib
+
+    hashes = [hashlib.sha256(str(i).encode()).hexdigest() for i in range(50)]
+    cases = [
+        hashes,  # all unique
+        hashes + hashes[:3] + hashes[:1],  # repeats, one value three times
+        hashes + ["not-hex", "not-hex", "zz", None, None],  # non-hex repeats, NULLs ignored
+    ]
+    for values in cases:
+        df = spark.createDataFrame([(v,) for v in values], "_row_hash string")
+        want = sorted(tuple(r) for r in Q.unique(df, "_row_hash", "t").collect())
+        got = sorted(tuple(r) for r in Q.unique_fingerprint(df, "_row_hash", "t").collect())
+        assert got == want
+    assert len(want) == 1 and want[0][2] == "not-hex"
