@@ -1,8 +1,8 @@
 """Language identification by compression.
 
 For each language a zstandard dictionary of raw content is cut from a bounded
-sample of labelled texts. A text is compressed, block by block, with each
-language's dictionary; the language with the smallest total wins. The text is
+sample of labelled texts. A text, in lower case and without signs and digits,
+is compressed block by block with each language's dictionary; the language with the smallest total wins. The text is
 rejected when the runner-up is nearly as small.
 
 Defined results: a null text or one without a letter is ``und``, score 0 and
@@ -31,6 +31,8 @@ DICTIONARY_BYTES = 112 << 10
 MAX_LANGUAGES = 400
 BLOCK_BYTES = 8 << 10
 LEVEL = 3
+#: Shortest match of the compressor, in bytes: word endings count too.
+MIN_MATCH = 3
 #: A text is rejected if the runner-up needs less than so many bytes more, or less than this share more.
 MIN_MARGIN_BYTES = 2
 MIN_MARGIN = 0.003
@@ -42,6 +44,7 @@ FIELDS = [
     T.StructField("rejected", T.BooleanType()),
 ]
 _LETTER = re.compile(r"[^\W\d_]")
+_SIGNS = re.compile(r"[\W\d_]+")
 
 
 def fit(
@@ -75,7 +78,7 @@ def fit(
     out = {}
     for name, found in sorted(by_lang.items()):
         # the end of a dictionary is the cheapest to refer to: keep the first texts there
-        body = "\n".join(t for _, t in sorted(found, reverse=True)).encode()[-DICTIONARY_BYTES:]
+        body = "\n".join(normalise(t) for _, t in sorted(found, reverse=True)).encode()[-DICTIONARY_BYTES:]
         if len(body) >= 8:
             out[name] = body
     return out
@@ -88,14 +91,18 @@ class Classifier:
         self.names = sorted(dictionaries)
         self.compressors = []
         for name in self.names:
-            d = zstandard.ZstdCompressionDict(dictionaries[name], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            d.precompute_compress(level=LEVEL)
-            self.compressors.append(zstandard.ZstdCompressor(dict_data=d, write_checksum=False, write_content_size=False, write_dict_id=False).compress)
+            data = dictionaries[name]
+            d = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            how = zstandard.ZstdCompressionParameters.from_level(
+                LEVEL, min_match=MIN_MATCH, dict_size=len(data), source_size=BLOCK_BYTES, write_checksum=0, write_content_size=0, write_dict_id=0
+            )
+            d.precompute_compress(compression_params=how)
+            self.compressors.append(zstandard.ZstdCompressor(dict_data=d, compression_params=how).compress)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         if text is None or not self.names or not _has_letter(text):
             return UNKNOWN, 0.0, True
-        data = text.encode()
+        data = normalise(text).encode()
         blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
         sizes = [sum(len(c(b)) for b in blocks) for c in self.compressors]
         best = min(sizes)
@@ -107,6 +114,11 @@ class Classifier:
         return self.names[sizes.index(best)], score, margin < max(MIN_MARGIN_BYTES, MIN_MARGIN * best)
 
 
+def normalise(text: str) -> str:
+    """Lower case; a run of anything but letters is one space."""
+    return _SIGNS.sub(" ", text.lower())
+
+
 def _has_letter(text: str) -> bool:
     m = _LETTER.search(text)
     # numerals such as superscripts are word characters but not letters
