@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import bpe, decontam, langid
+from innkeep.llm import bpe, decontam, langid, secrets
 from innkeep.llm.common import crc_mod
 
 VOCABULARY_FILE = "byte_bpe_50k.tiktoken"
@@ -46,8 +46,23 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs)
+    spans, base = F.col("spans"), F.filter("spans", lambda s: s["base"])
+    count = lambda kind: F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *(count(k.name) for k in secrets.BASE_KINDS),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: ~s["base"])).cast("long").alias("n_linked"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
+    "op5_secrets": op5_secrets,
     "op7_langid": op7_langid,
     "op8_decontamination": op8_decontamination,
 }
