@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from innkeep.llm.common import utf8, with_arrow
 
 #: Merged pre-tokens in each of the two generations that a worker remembers (about 200 bytes each).
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 200_000
 #: Largest vocabulary file that is broadcast (public vocabularies have under 10 MB).
 MAX_VOCABULARY_BYTES = 64 << 20
 

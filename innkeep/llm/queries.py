@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import bpe, decontam, langid, secrets
+from innkeep.llm import bpe, decontam, langid, quality, secrets
 from innkeep.llm.common import crc_mod
 
 VOCABULARY_FILE = "byte_bpe_50k.tiktoken"
@@ -25,6 +25,11 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.decode(ids, vocabulary).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return quality.judge(docs, keep=["doc_id"])
+
+
 def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = crc_mod(F.col("doc_id"), 3) == 1
@@ -63,6 +68,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op5_secrets": op5_secrets,
+    "op6_quality": op6_quality,
     "op7_langid": op7_langid,
     "op8_decontamination": op8_decontamination,
 }
