@@ -28,7 +28,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innkeep.llm.common import utf8, with_arrow
+from innkeep.llm.common import MIX as _MIX
+from innkeep.llm.common import MIX2 as _MIX2
+from innkeep.llm.common import chunks, fold, key_words, utf8, with_arrow
 
 #: Merged pre-tokens in each of the two generations that a worker remembers (about 200 bytes each).
 MEMO_ENTRIES = 200_000
@@ -39,9 +41,6 @@ SPACE, LETTER, NUMBER, OTHER = range(4)
 #: The endings after an apostrophe that are pre-tokens of their own.
 ENDINGS = ("s", "t", "re", "ve", "m", "ll", "d")
 
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_MIX2 = np.uint64(0xC2B2AE3D27D4EB4F)
-
 
 # ---------------------------------------------------------------- pre-tokens
 @lru_cache(maxsize=1)
@@ -161,30 +160,6 @@ class Vocabulary:
         return found, hashes
 
 
-def key_words(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, longest: int) -> np.ndarray:
-    """Each key's bytes as little-endian eight-byte words, zero beyond its end."""
-    padded = np.concatenate([data, np.zeros(longest + 16, np.uint8)])
-    view = np.ndarray(shape=(len(padded) - 7,), dtype="<u8", buffer=padded, strides=(1,))
-    out = np.zeros((len(starts), max(1, -(-longest // 8))), np.uint64)
-    for j in range(out.shape[1]):
-        left = np.clip(lens - 8 * j, 0, 8).astype(np.uint64)
-        mask = np.where(left == 8, ~np.uint64(0), (np.uint64(1) << (left * np.uint64(8) % np.uint64(64))) - np.uint64(1))
-        out[:, j] = np.where(left > 0, view[np.minimum(starts + 8 * j, len(view) - 1)] & mask, 0)
-    return out
-
-
-def fold(words: np.ndarray, lens: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each key; words beyond a key's end do not count."""
-    h = lens.astype(np.uint64) * _MIX
-    for j in range(words.shape[1]):
-        x = (h ^ words[:, j]) * _MIX2
-        x ^= x >> np.uint64(32)
-        x *= _MIX
-        x ^= x >> np.uint64(29)
-        h = np.where(lens > 8 * j, x, h)
-    return h
-
-
 def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
     return ((h >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
 
@@ -380,7 +355,7 @@ def decode(encoded: DataFrame, vocabulary, ids_col: str = "ids", out_col: str =
         for batch in batches:
             first = 0
             column = batch.column(len(kept))
-            for part in _id_chunks(column):
+            for part in chunks(column):
                 data, at = utf8(part)
                 out, out_at = decode_batch(np.frombuffer(data.tobytes(), "<u4").astype(np.int64), at // 4, vocabulary.value)
                 columns = [batch.column(i).slice(first, len(part)) for i in range(len(kept))]
@@ -390,12 +365,6 @@ def decode(encoded: DataFrame, vocabulary, ids_col: str = "ids", out_col: str =
     return encoded.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(f"`{ids_col}`"), F.lit(b"")).alias(ids_col)).mapInArrow(run, schema)
 
 
-def _id_chunks(column: pa.Array):
-    from innkeep.llm.common import chunks
-
-    return chunks(column)
-
-
 def id_array(ids):
     """The array of integers of an ``ids`` column, for stored corpora."""
     digits = F.hex(ids)

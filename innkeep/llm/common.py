@@ -15,6 +15,7 @@ from innkeep.session import staging_path
 
 #: Bytes of text that a Python worker handles at a time; a longer text is handled alone.
 CHUNK_BYTES = 2 << 20
+MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 #: A word: a run of characters other than space, tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -69,6 +70,30 @@ def with_arrow(
     return source.mapInArrow(run, schema)
 
 
+def key_words(data: np.ndarray, starts: np.ndarray, lens: np.ndarray, longest: int) -> np.ndarray:
+    """Each key's bytes as little-endian eight-byte words, zero beyond its end."""
+    padded = np.concatenate([data, np.zeros(longest + 16, np.uint8)])
+    view = np.ndarray(shape=(len(padded) - 7,), dtype="<u8", buffer=padded, strides=(1,))
+    out = np.zeros((len(starts), max(1, -(-longest // 8))), np.uint64)
+    for j in range(out.shape[1]):
+        left = np.clip(lens - 8 * j, 0, 8).astype(np.uint64)
+        mask = np.where(left == 8, ~np.uint64(0), (np.uint64(1) << (left * np.uint64(8) % np.uint64(64))) - np.uint64(1))
+        out[:, j] = np.where(left > 0, view[np.minimum(starts + 8 * j, len(view) - 1)] & mask, 0)
+    return out
+
+
+def fold(words: np.ndarray, lens: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each key; words beyond a key's end do not count."""
+    h = lens.astype(np.uint64) * MIX
+    for j in range(words.shape[1]):
+        x = (h ^ words[:, j]) * MIX2
+        x ^= x >> np.uint64(32)
+        x *= MIX
+        x ^= x >> np.uint64(29)
+        h = np.where(lens > 8 * j, x, h)
+    return h
+
+
 def words(text: Column) -> Column:
     """The array of a text's words (null: none)."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import bpe, decontam, langid, quality, secrets
+from innkeep.llm import bpe, decontam, langid, minhash, quality, secrets
 from innkeep.llm.common import crc_mod
 
 VOCABULARY_FILE = "byte_bpe_50k.tiktoken"
@@ -65,11 +65,16 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
     "op7_langid": op7_langid,
     "op8_decontamination": op8_decontamination,
+    "op10_minhash": op10_minhash,
 }
 ORACLES: dict[str, str] = {}
