@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import bpe, decontam, langid, minhash, quality, secrets
+from innkeep.llm import bpe, decontam, langid, minhash, quality, secrets, suffix_dedup
 from innkeep.llm.common import crc_mod
 
 VOCABULARY_FILE = "byte_bpe_50k.tiktoken"
@@ -65,6 +65,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -75,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_langid": op7_langid,
     "op8_decontamination": op8_decontamination,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_minhash": op10_minhash,
 }
 ORACLES: dict[str, str] = {}
