@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import bpe, decontam, langid
+from innkeep.llm import bpe, decontam, langid, minhash, secrets
 from innkeep.llm.common import staged
 
 VOCABULARY_FILE = "byte_bpe_50k.tiktoken"
@@ -18,12 +18,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.where(~F.col("rejected")).select(*docs.columns)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays (rows of one id are one document)."""
+    found = minhash.near_duplicates(docs.select("doc_id", "text"))
+    dropped = staged(found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
+    if dropped.count() <= minhash.BROADCAST_IDS:
+        dropped = F.broadcast(dropped)
+    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
+
+
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a window of a benchmark item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontam.find_leaks(docs, benchmark).where(F.col("n_hit") == 0).select(*docs.columns)
 
 
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; the secrets in their texts are masked."""
+    return secrets.redact(docs)
+
+
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document; a document whose ids do not decode to its text fails the job."""
     vocabulary = bpe.broadcast_vocabulary(spark, public_tokenizers.path(VOCABULARY_FILE))
@@ -36,7 +50,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("language_id", language_id),
+    ("near_dedup", near_dedup),
     ("decontaminate", decontaminate),
+    ("mask_secrets", mask_secrets),
     ("tokenize", tokenize),
 ]
 ORACLE_SQL = None

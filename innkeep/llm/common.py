@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,6 +16,10 @@ from innkeep.session import staging_path
 #: Bytes of text that a Python worker handles at a time; a longer text is handled alone.
 CHUNK_BYTES = 2 << 20
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 #: A word: a run of characters other than space, tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -94,6 +98,30 @@ def fold(words: np.ndarray, lens: np.ndarray) -> np.ndarray:
     return h
 
 
+def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A hash of each word of texts in a row, and the index of each text's first word (one more at the end)."""
+    data = _LOWER[data]
+    word = ~_WHITE[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[at] = True
+    starts = word.copy()
+    starts[1:] &= ~word[:-1] | edge[1:-1]
+    ends = word.copy()
+    ends[:-1] &= ~word[1:] | edge[1:-1]
+    first, last = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    lens = last - first
+    out = np.zeros(len(first), np.uint64)
+    for low in range(0, 64, 8):
+        own = np.flatnonzero((lens > low) & (lens <= low + 8))
+        if len(own):
+            out[own] = fold(key_words(data, first[own], lens[own], low + 8), lens[own])
+    long = np.flatnonzero(lens > 64)
+    if len(long):
+        raw = data.tobytes()
+        out[long] = [xxhash.xxh3_64_intdigest(raw[first[i] : last[i]]) for i in long]
+    return out, np.searchsorted(first, at)
+
+
 def words(text: Column) -> Column:
     """The array of a text's words (null: none)."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
@@ -116,7 +144,3 @@ def staged(df: DataFrame, name: str, partition_by: list[str] | None = None) -> D
     writer = df.write.mode("errorifexists")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def is_null(array: pa.Array) -> np.ndarray:
-    return pc.is_null(array).to_numpy(zero_copy_only=False)

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innkeep.llm.common import MIX, MIX2, fold, key_words, staged, utf8, with_arrow
+from innkeep.llm.common import MIX, MIX2, staged, utf8, with_arrow, word_hashes
 
 SHINGLE_WORDS = 5
 SKETCH = 48
@@ -46,37 +46,8 @@ LEAST_ESTIMATE = 0.5
 #: Ids of candidate sets that are broadcast at most (8 bytes each); beyond it Spark picks the join.
 BROADCAST_IDS = 2_000_000
 
-_WHITE = np.zeros(256, bool)
-_WHITE[[9, 10, 11, 12, 13, 32]] = True
-_LOWER = np.arange(256, dtype=np.uint8)
-_LOWER[65:91] += 32
-
 
 # ---------------------------------------------------------------- sets and sketches
-def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of each word of texts in a row, and the index of each text's first word (one more at the end)."""
-    data = _LOWER[data]
-    word = ~_WHITE[data]
-    edge = np.zeros(len(data) + 1, bool)
-    edge[at] = True
-    starts = word.copy()
-    starts[1:] &= ~word[:-1] | edge[1:-1]
-    ends = word.copy()
-    ends[:-1] &= ~word[1:] | edge[1:-1]
-    first, last = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    lens = last - first
-    out = np.zeros(len(first), np.uint64)
-    for low in range(0, 64, 8):
-        own = np.flatnonzero((lens > low) & (lens <= low + 8))
-        if len(own):
-            out[own] = fold(key_words(data, first[own], lens[own], low + 8), lens[own])
-    long = np.flatnonzero(lens > 64)
-    if len(long):
-        raw = data.tobytes()
-        out[long] = [xxhash.xxh3_64_intdigest(raw[first[i] : last[i]]) for i in long]
-    return out, np.searchsorted(first, at)
-
-
 def combine(parts: list[np.ndarray]) -> np.ndarray:
     h = np.full(len(parts[0]), len(parts), np.uint64) * MIX
     for p in parts:

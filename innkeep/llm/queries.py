@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import bpe, decontam, langid, minhash, quality, secrets, suffix_dedup
-from innkeep.llm.common import crc_mod
+from innkeep.llm import bpe, decontam, langid, license_scan, lm_score, minhash, quality, secrets, suffix_dedup, token_rollup
+from innkeep.llm.common import WORD, crc_mod, staged
+from innkeep.session import staging_path
 
 VOCABULARY_FILE = "byte_bpe_50k.tiktoken"
 
@@ -18,6 +19,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Insert all documents under two tokenizers, revise those with repeated lines, withdraw toxic ones; every batch is sent twice."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", F.coalesce("text", F.lit("")).alias("text"))
+    count = lambda text, pattern: F.regexp_count(text, F.lit(pattern)).cast("long")
+    lines = F.split("text", "\n", -1)
+    counted = docs.select(
+        "doc_id",
+        "source",
+        "lang",
+        count(F.col("text"), WORD).alias("by_space"),
+        count(F.col("text"), r"[A-Za-z]+|[0-9]+|[^A-Za-z0-9\x20\x09-\x0D]").alias("by_class"),
+        count(F.array_join(F.array_distinct(lines), "\n"), WORD).alias("cleaned"),
+    )
+    counted = staged(counted, "token-counts")
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select("doc_id").distinct()
+    version = {"by_space": F.lit("space-1"), "by_class": F.lit("class-1")}
+    cleaned = F.col("cleaned")
+    batches = [
+        ("load-space", "insert", counted, F.col("by_space"), version["by_space"], None),
+        ("load-class", "insert", counted, F.col("by_class"), version["by_class"], None),
+        ("clean-lines", "revise", counted.where(cleaned != F.col("by_space")), cleaned, version["by_space"], {"n_tokens": F.col("by_space")}),
+        ("withdraw", "delete", counted.join(toxic, "doc_id", "left_semi"), cleaned, version["by_space"], None),
+    ]
+    rollup = token_rollup.TokenRollup(spark, staging_path(spark, "token-rollup"))
+    for batch_id, op, rows, n_tokens, tokenizer, old in batches:
+        changed = token_rollup.changes(op, rows, n_tokens, tokenizer, old)
+        rollup.commit(batch_id, changed)
+        rollup.commit(batch_id, changed)
+        if batch_id == "load-class":
+            rollup.compact()
+    return rollup.totals()
+
+
+OP1_SQL = r"""
+WITH d AS (
+  SELECT doc_id, source, lang, coalesce(text, '') AS text,
+         list_filter(list_transform(range(len(string_split(coalesce(text, ''), chr(10)))), lambda i: CASE WHEN list_position(string_split(coalesce(text, ''), chr(10)), string_split(coalesce(text, ''), chr(10))[i + 1]) = i + 1 THEN string_split(coalesce(text, ''), chr(10))[i + 1] END), lambda x: x IS NOT NULL) AS lines
+  FROM documents),
+c AS (
+  SELECT doc_id, source, lang,
+         len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS by_space,
+         len(regexp_extract_all(text, '[A-Za-z]+|[0-9]+|[^A-Za-z0-9\x20\x09-\x0D]')) AS by_class,
+         len(regexp_extract_all(array_to_string(lines, chr(10)), '[^\x20\x09-\x0D]+')) AS cleaned
+  FROM d),
+kept AS (
+  SELECT source, lang, 'space-1' AS tokenizer, cleaned AS n FROM c WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)
+  UNION ALL
+  SELECT source, lang, 'class-1' AS tokenizer, by_class AS n FROM c)
+SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM kept GROUP BY ALL
+"""
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     vocabulary = bpe.broadcast_vocabulary(spark, public_tokenizers.path(VOCABULARY_FILE))
@@ -51,6 +104,22 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    best = license_scan.best_license(F.col("licenses"))
+    found = found.select("doc_id", F.size("licenses").cast("long").alias("n_notices"), best.alias("best"))
+    return found.select(
+        "doc_id", "n_notices", F.col("best.license").alias("license"), F.round(-F.col("best.c"), 4).alias("coverage"), F.col("best.start").alias("start"), F.col("best.end").alias("end")
+    )
+
+
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = crc_mod(F.col("doc_id"), 7) == 2
+    found = lm_score.score(docs, ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = secrets.find_secrets(docs)
@@ -75,7 +144,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
+    "op3_license_scan": op3_license_scan,
+    "op4_lm_score": op4_lm_score,
     "op5_secrets": op5_secrets,
     "op6_quality": op6_quality,
     "op7_langid": op7_langid,
@@ -83,4 +155,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_minhash": op10_minhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_token_counts": OP1_SQL}
