@@ -24,7 +24,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     dropped = staged(found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
     if dropped.count() <= minhash.BROADCAST_IDS:
         dropped = F.broadcast(dropped)
-    return docs.join(dropped, F.col("doc_id").eqNullSafe(F.col("_dropped")), "left_anti")
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_dropped"]), "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,9 +41,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document; a document whose ids do not decode to its text fails the job."""
     vocabulary = bpe.broadcast_vocabulary(spark, public_tokenizers.path(VOCABULARY_FILE))
-    encoded = bpe.encode(docs, vocabulary)
-    ids = F.col("ids").alias("token_ids")
-    back = bpe.decode(encoded.select("*", ids), vocabulary)
+    back = bpe.decode(bpe.encode(docs.drop("decoded"), vocabulary, arrays=True), vocabulary)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return back.where(F.when(same, True).otherwise(F.raise_error(F.lit("decoded text differs")).cast("boolean"))).drop("decoded")
 

@@ -336,14 +336,21 @@ def broadcast_vocabulary(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Vocabulary.load(path))
 
 
-def encode(docs: DataFrame, vocabulary, text_col: str = "text") -> DataFrame:
-    """Add ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers in a row; ``id_array`` makes an array)."""
+def encode(docs: DataFrame, vocabulary, text_col: str = "text", arrays: bool = False) -> DataFrame:
+    """Add ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit integers in a row); arrays: and ``token_ids``, an array of integers."""
 
     def compute(texts: pa.Array) -> dict[str, pa.Array]:
         flat, at = encode_batch(texts, vocabulary.value)
-        return {"n_tokens": pa.array(np.diff(at), pa.int64()), "ids": _binary(flat.astype("<u4"), at * 4)}
+        return {
+            "n_tokens": pa.array(np.diff(at), pa.int64()),
+            "ids": _binary(flat.astype("<u4"), at * 4),
+            "token_ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32())),
+        }
 
-    return with_arrow(docs, text_col, [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())], compute)
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())]
+    if arrays:
+        fields.append(T.StructField("token_ids", T.ArrayType(T.IntegerType())))
+    return with_arrow(docs, text_col, fields, compute)
 
 
 def decode(encoded: DataFrame, vocabulary, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -363,11 +370,3 @@ def decode(encoded: DataFrame, vocabulary, ids_col: str = "ids", out_col: str =
                 yield pa.RecordBatch.from_arrays([*columns, _binary(out, out_at)], names=[f.name for f in schema.fields])
 
     return encoded.select(*[F.col(f"`{c}`") for c in kept], F.coalesce(F.col(f"`{ids_col}`"), F.lit(b"")).alias(ids_col)).mapInArrow(run, schema)
-
-
-def id_array(ids):
-    """The array of integers of an ``ids`` column, for stored corpora."""
-    digits = F.hex(ids)
-    place = lambda i, k: F.substring(digits, 8 * i + 2 * k + 1, F.lit(2))
-    number = lambda i: F.conv(F.concat(place(i, 3), place(i, 2), place(i, 1), place(i, 0)), 16, 10).cast("int")
-    return F.transform(F.sequence(F.lit(0), (F.length(ids) / 4 - 1).cast("int")), number)

@@ -41,14 +41,17 @@ VOCABULARY = sorted({w for words in COMMON_WORDS.values() for w in words})
 CLASSES = {"upper": "[A-Z]+", "digit": "[0-9]+", "sign": r"[!-/:-@\[-`{-~]+", "beyond_ascii": r"[^\x00-\x7F]+"}
 SPACE = r"[\x20\x09-\x0D]+"
 ALL = "*"
+#: Columns that judge() adds; input columns of these names are left out.
+OUTPUTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "common_distance", "base_failed", "kept"]
 
 
-def counts(docs: DataFrame, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns and the counts of each row's text; no shuffle, each text is read once."""
-    kept = keep if keep is not None else [c for c in docs.columns if c != text_col]
-    cols = [F.col(f"`{c}`") for c in kept]
+def counts(docs: DataFrame, kept: list[str], text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The kept columns as ``_row``, the language as ``_lang`` and the counts of each row's text; no shuffle, each text is read once."""
+    cols = ["_row", "_lang"]
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    df = docs.select(*cols, text.alias("_t"))
+    lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(""))
+    row = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in kept))
+    df = docs.select(row.alias("_row"), lang.alias("_lang"), text.alias("_t"))
     df = df.select(*cols, "_t", F.array_remove(F.split("_t", SPACE, -1), "").alias("_w"), F.filter(F.split("_t", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"))
     listed = F.array(*(F.lit(w) for w in VOCABULARY))
     common = F.filter(F.transform("_w", lambda w: F.lower(w)), lambda w: w.isin(*VOCABULARY))
@@ -91,12 +94,11 @@ def _shares(histogram: Column) -> Column:
     return F.transform(histogram, lambda x: F.when(total > 0, x / total).otherwise(0.0))
 
 
-def references(counted: DataFrame, lang_col: str) -> DataFrame:
+def references(counted: DataFrame) -> DataFrame:
     """Shares of all documents' counts by language, and over all (language '*')."""
     n_classes, n_words = len(CLASSES) + 2, len(VOCABULARY) + 1
     total = lambda c, n: F.array(*(F.sum(F.col(c)[i]).cast("double") for i in range(n)))
-    lang = F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit(""))
-    sums = counted.groupBy(lang.alias("_ref")).agg(total("classes", n_classes).alias("_c"), total("common", n_words).alias("_w"))
+    sums = staged(counted.groupBy(F.col("_lang").alias("_ref")).agg(total("classes", n_classes).alias("_c"), total("common", n_words).alias("_w")), "quality-sums")
     every = sums.select(F.lit(ALL).alias("_ref"), F.array(*(F.col("_c")[i] for i in range(n_classes))).alias("_c"), F.array(*(F.col("_w")[i] for i in range(n_words))).alias("_w"))
     every = every.groupBy("_ref").agg(total("_c", n_classes).alias("_c"), total("_w", n_words).alias("_w"))
     both = sums.where(F.col("_ref") != "").unionByName(every)
@@ -112,25 +114,24 @@ def js_distance(p: Column, q: Column) -> Column:
 
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: list[str] | None = None) -> DataFrame:
     """The kept columns (not the text), the counts, ``class_distance``, ``common_distance``, ``base_failed`` and ``kept``."""
-    kept = [c for c in (keep if keep is not None else docs.columns) if c != text_col]
-    need = kept if lang_col in kept else [*kept, lang_col]
-    counted = staged(counts(docs, text_col, need), "quality-counts")
-    refs = staged(references(counted, lang_col), "quality-references")
+    kept = [c for c in (keep if keep is not None else docs.columns) if c != text_col and c not in OUTPUTS]
+    counted = staged(counts(docs, kept, text_col, lang_col), "quality-counts")
+    refs = staged(references(counted), "quality-references")
     if refs.limit(BROADCAST_LANGUAGES + 1).count() <= BROADCAST_LANGUAGES:
         refs = F.broadcast(refs)
-    every = refs.where(F.col("_ref") == ALL).select(F.col("_ref_classes").alias("_all_classes"), F.col("_ref_common").alias("_all_common"), F.lit(ALL).alias("_all"))
+    # the reference over all documents is one row of fixed width: it goes into the expressions
+    row = refs.where(F.col("_ref") == ALL).first()
+    every = {c: F.array(*map(F.lit, row[c])) if row else F.lit(None).cast("array<double>") for c in ("_ref_classes", "_ref_common")}
     own = refs.where(F.col("_ref") != ALL)
-    df = counted.withColumn("_all_key", F.lit(ALL))
-    df = df.join(own, F.col(f"`{lang_col}`").cast("string") == F.col("_ref"), "left").join(F.broadcast(every), F.col("_all_key") == F.col("_all"), "left")
+    df = counted.join(own, F.col("_lang") == F.col("_ref"), "left")
     df = df.withColumn("_p", _shares(F.col("classes"))).withColumn("_q", _shares(F.col("common")))
-    df = df.withColumn("class_distance", js_distance(F.col("_p"), F.coalesce("_ref_classes", "_all_classes")))
-    df = df.withColumn("common_distance", js_distance(F.col("_q"), F.coalesce("_ref_common", "_all_common")))
+    df = df.withColumn("class_distance", js_distance(F.col("_p"), F.coalesce(F.col("_ref_classes"), every["_ref_classes"])))
+    df = df.withColumn("common_distance", js_distance(F.col("_q"), F.coalesce(F.col("_ref_common"), every["_ref_common"])))
     base_failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     near = (F.col("class_distance") <= MAX_CLASS_DISTANCE) & (F.col("common_distance") <= MAX_COMMON_DISTANCE)
-    measured = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "class_distance", "common_distance"]
     return df.select(
-        *(F.col(f"`{c}`") for c in kept),
-        *measured,
+        *(F.col("_row")[c].alias(c) for c in kept),
+        *OUTPUTS[:-2],
         base_failed.alias("base_failed"),
         (~base_failed & ((F.col("n_words") < GUARD_WORDS) | F.coalesce(near, F.lit(True)))).alias("kept"),
     )

@@ -153,12 +153,13 @@ def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask
     rows = rows.withColumn("run", F.sum("first").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     merged = rows.groupBy(*KEY, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     cuts = merged.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
-    names = docs.columns
-    keyed = docs.select("*", *(c.alias(f"_docs{c_}") for c_, c in zip(KEY, _key(id_col, F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), strict=True)))
+    # the row goes in one column, so that its names cannot clash with those of the join
+    row = F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns))
+    keyed = docs.select(row.alias("_row"), *(c.alias(f"_docs{k}") for k, c in zip(KEY, _key(id_col, F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), strict=True)))
     joined = keyed.join(cuts, F.col("_docs_id").eqNullSafe(F.col("_id")) & (F.col("_docs_hash") == F.col("_hash")), "left")
-    text, cut = F.col(f"`{text_col}`"), F.col("_cuts")
+    text, cut = F.col("_row")[text_col], F.col("_cuts")
     begin = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get(cut, i - 1)["end"])
     kept = F.transform(cut, lambda c, i: F.concat(F.substr(text, (begin(i) + 1).cast("int"), (c["start"] - begin(i)).cast("int")), F.lit(mask)))
     tail = F.substr(text, (F.element_at(cut, -1)["end"] + 1).cast("int"))
     new = F.when(cut.isNull(), text).otherwise(F.concat(F.array_join(kept, ""), tail))
-    return joined.select(*((new.alias(c) if c == text_col else F.col(f"`{c}`")) for c in names))
+    return joined.select(*((new if c == text_col else F.col("_row")[c]).alias(c) for c in docs.columns))
