@@ -64,7 +64,7 @@ c AS (
          len(regexp_extract_all(array_to_string(lines, chr(10)), '[^\x20\x09-\x0D]+')) AS cleaned
   FROM d),
 kept AS (
-  SELECT source, lang, 'space-1' AS tokenizer, cleaned AS n FROM c WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)
+  SELECT source, lang, 'space-1' AS tokenizer, cleaned AS n FROM c WHERE doc_id IS NULL OR doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1 AND doc_id IS NOT NULL)
   UNION ALL
   SELECT source, lang, 'class-1' AS tokenizer, by_class AS n FROM c)
 SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_tokens FROM kept GROUP BY ALL
