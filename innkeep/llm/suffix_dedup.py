@@ -48,7 +48,7 @@ BATCHES = 2
 #: Contexts under one split anchor that are compared in one task; beyond it their windows are counted by a shuffle.
 TASK_CONTEXTS = 50_000
 #: Keys that are broadcast at most (8 to 16 bytes each); beyond it Spark picks the join.
-BROADCAST_KEYS = 3_000_000
+BROADCAST_KEYS = 2_000_000
 
 _TABLE = (np.arange(1, 257, dtype=np.uint64) * MIX) ^ ((np.arange(1, 257, dtype=np.uint64) * MIX2) >> np.uint64(17))
 
@@ -336,7 +336,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     runs = F.when(F.col("count") > 1, whole).otherwise(F.col("runs"))
     hits = repeated.drop("one").join(partial, ["anchor", "context"], "left").select("anchor", "context", runs.alias("runs")).where("runs is not null")
     hits = staged(hits, "hits")
-    rows = every.join(bounded(hits), ["anchor", "context"]).select("text_key", "place", "runs").distinct()
+    # a broadcast of the anchors alone leaves few rows to shuffle for the join
+    at = bounded(staged(hits.select("anchor").distinct(), "anchors"))
+    rows = every.join(at, "anchor", "left_semi").join(hits, ["anchor", "context"]).select("text_key", "place", "runs").distinct()
     s1, n = F.shiftright("place", 32), F.shiftright("place", 24).bitwiseAND(F.lit(0xFF))
     cut = F.transform("runs", lambda r: F.struct((s1 + r["first"]).alias("start"), (s1 + F.least(r["last"], n) + WINDOW).alias("end")))
     more = F.col("place").bitwiseAND(F.lit(0xFFFF)).cast("int")
