@@ -96,15 +96,10 @@ def arrival_date(year: Column, month_number: Column, day: Column, strict: bool =
     ``'NA'`` year/day or an unmatched month give NULL; other bad text (e.g.
     ``'NULL'``) reaches the parser and fails in strict mode.
     """
-    ok = (
-        year.isNotNull()
-        & month_number.isNotNull()
-        & day.isNotNull()
-        & (year != F.lit("NA"))
-        & (day != F.lit("NA"))
-    )
-    text = F.concat(year, F.lit("-"), month_number, F.lit("-"), F.lpad(day, 2, "0"))
-    return F.when(ok, parse_date(text, DATE_PATTERN, strict))
+    # concat is NULL if any part is, so only the 'NA' text needs a test
+    known = (year != F.lit("NA")) & (day != F.lit("NA"))
+    text = F.when(known, F.concat(year, F.lit("-"), month_number, F.lit("-"), F.lpad(day, 2, "0")))
+    return parse_date(text, DATE_PATTERN, strict)
 
 
 def year_month(year: Column, month_number: Column) -> Column:

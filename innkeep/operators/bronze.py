@@ -4,9 +4,8 @@ A bronze table holds the 32 raw text columns plus ``_loaded_at``,
 ``_source_file`` and ``_row_hash``; a fingerprint is stored at most once.
 
 Plan shape of an append: new rows are reduced to one per fingerprint (partial
-``WindowGroupLimit`` before the exchange on ``_row_hash``) and checked against
-the fingerprints already stored (semi join, then anti join; see
-:func:`new_rows`). Only the ``_row_hash`` column of the stored table is read.
+``WindowGroupLimit`` before the exchange on ``_row_hash``) and then checked
+against the fingerprints already stored (anti join on the same partitioning). Only the ``_row_hash`` column of the stored table is read.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from innkeep.functions.fingerprint import row_hash
 from innkeep.operators.silver import first_per_fingerprint
 from innkeep.schema import RAW_COLUMNS
 from innkeep.session import remove_staged, staging_path
-from innkeep.sources.csv_source import read_csv, select_expected
+from innkeep.sources.csv_source import scan_expected
 
 
 def with_lineage(
@@ -51,61 +50,29 @@ def with_lineage(
     )
 
 
-# A fingerprint is 64 hex characters; a broadcast hash relation of n of them
-# is bounded by n * BROADCAST_BYTES_PER_HASH (text, length and map entry).
-BROADCAST_BYTES_PER_HASH = 128
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
-def new_rows(
-    batch: DataFrame,
-    existing: DataFrame | None,
-    batch_rows: int | None = None,
-    broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES,
-) -> DataFrame:
+def new_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
     """Rows of ``batch`` to insert: first per fingerprint, and not yet stored.
 
     Insert-if-absent semantics of a unique fingerprint: a fingerprint repeated
     inside the batch is kept once; one already in ``existing`` is skipped.
 
-    Stored fingerprints are removed *before* the keep-first window: the
-    filter drops whole fingerprints, so it commutes with keep-first, and the
-    window then shuffles only rows that are new (a re-loaded extract
-    shuffles nothing but fingerprints). The stored table can be far larger
-    than a batch, so it is only probed: its fingerprints are semi-joined
-    with the batch's fingerprint column, giving ``seen`` (distinct, so never
-    more fingerprints than the batch has).
-
-    With ``batch_rows`` known, both the batch's fingerprints and ``seen``
-    have a proven size bound (``batch_rows`` x 64 characters). Up to
-    ``broadcast_limit_bytes`` both joins are broadcast: the stored
-    fingerprints stream through a hash lookup and the batch is filtered in
-    place, with no shuffle of either. Beyond that bound (or with no count)
-    the planner picks the joins: AQE still broadcasts a side it measures
-    small, otherwise they shuffle on ``_row_hash``, and the window reuses
-    that partitioning.
+    The batch is reduced to one row per fingerprint first (partial
+    ``WindowGroupLimit`` before the exchange), so a fingerprint copied into a
+    third of the batch is one row per map task. The anti join then reuses
+    that partitioning; of the stored table only ``_row_hash`` is read. There
+    is one plan for batches of any size (AQE may still broadcast stored
+    fingerprints that it measures small).
     """
+    first = first_per_fingerprint(batch)
     if existing is None:
-        return first_per_fingerprint(batch)
-    bounded = batch_rows is not None and batch_rows * BROADCAST_BYTES_PER_HASH <= broadcast_limit_bytes
-    # a semi join only tests membership: the key side is the batch's own
-    # fingerprint column, read straight from its scan
-    keys = batch.select("_row_hash")
-    # shuffled keys: collapse copies map-side first, so a fingerprint
-    # repeated in a third of the batch is one row per map task, not one huge
-    # reduce partition (AQE cannot split a semi join's right side)
-    keys = F.broadcast(keys) if bounded else keys.distinct()
-    seen = existing.select("_row_hash").join(keys, "_row_hash", "left_semi").distinct()
-    if bounded:
-        seen = F.broadcast(seen)
-    remaining = batch.join(seen, "_row_hash", "left_anti")
-    return first_per_fingerprint(remaining).select(*batch.columns)
+        return first
+    return first.join(existing.select("_row_hash"), "_row_hash", "left_anti").select(*batch.columns)
 
 
 @dataclass(frozen=True)
 class LoadResult:
     metrics: DataFrame  # one row: rows_read, inserted, duplicates, malformed, total
-    inserted: DataFrame  # the rows this load appended
+    inserted: DataFrame  # the rows this load appended, read from bronze
 
 
 class VolumeCheckError(ValueError):
@@ -116,20 +83,25 @@ METRICS_SCHEMA = "rows_read long, inserted long, duplicates long, malformed long
 
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:
-    """The stored bronze table, or None when nothing was loaded yet."""
+    """The stored bronze table, or None when nothing was loaded yet.
+
+    Only a path that does not exist means "nothing loaded"; a table that
+    cannot be read is an error, as appending to it would skip the check.
+    """
     try:
         return spark.read.parquet(bronze_path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
 def load_csv(
     spark: SparkSession,
-    csv_path: str,
+    csv_path: str | list[str],
     bronze_path: str,
     min_rows: int = 80_000,
     multi_line: bool | str = "auto",
-    broadcast_limit_bytes: int = BROADCAST_LIMIT_BYTES,
 ) -> LoadResult:
     """CSV extract -> bronze (insert-if-absent by fingerprint); returns metrics and new rows.
 
@@ -137,32 +109,28 @@ def load_csv(
     malformed flag) in the shared staging folder; compute the new rows into a
     second staged table; check the volume gate; only then append the new rows
     to bronze. A failed or gated load publishes nothing, and the append itself
-    is one Spark write job (committed as a whole, retried per task).
+    is one Spark write job (committed as a whole, retried per task). Staged
+    tables are removed whether the load succeeds or fails: ``inserted`` reads
+    bronze by this load's time.
     """
-    scanned = select_expected(read_csv(spark, csv_path, multi_line=multi_line))
-    landed_path = staging_path(spark, "bronze-batch")
-    # no repartition before staging: the CSV scan is splittable (see
-    # read_csv's "auto" mode) and the staged Parquet splits by row group
-    with_lineage(scanned, F.col("_file_name"), keep=["_malformed"]).write.parquet(landed_path)
-    landed = spark.read.parquet(landed_path)
-    existing = read_bronze(spark, bronze_path)
-    batch = landed.drop("_malformed")
-    read_stats = landed.agg(F.count(F.lit(1)).alias("n"), F.count_if("_malformed").alias("bad")).first()
-    new_path = staging_path(spark, "bronze-new")
-    new_rows(batch, existing, int(read_stats["n"]), broadcast_limit_bytes).write.parquet(new_path)
-    new = spark.read.parquet(new_path)
-
-    inserted = new.count()
-    before = existing.count() if existing is not None else 0
-    total = before + inserted
-    if total < min_rows:
-        raise VolumeCheckError(f"post-load check failed: only {total} rows (expected >= {min_rows})")
-    new.write.mode("append").parquet(bronze_path)
-    # the staged scan is no longer read by anything this load returns (the
-    # inserted rows are their own staged table); a failed load keeps it
-    remove_staged(spark, landed_path)
-    rows_read = int(read_stats["n"])
-    metrics = spark.createDataFrame(
-        [(rows_read, inserted, rows_read - inserted, int(read_stats["bad"]), total)], METRICS_SCHEMA
-    )
-    return LoadResult(metrics, new)
+    loaded_at = F.lit(spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]).cast("timestamp")
+    landed_path, new_path = staging_path(spark, "bronze-batch"), staging_path(spark, "bronze-new")
+    try:
+        # no repartition before staging: the scan is already split
+        with_lineage(scan_expected(spark, csv_path, multi_line), F.col("_file_name"), loaded_at, keep=["_malformed"]).write.parquet(landed_path)
+        landed = spark.read.parquet(landed_path)
+        existing = read_bronze(spark, bronze_path)
+        stats = landed.agg(F.count(F.lit(1)).alias("n"), F.count_if("_malformed").alias("bad")).first()
+        new_rows(landed.drop("_malformed"), existing).write.parquet(new_path)
+        new = spark.read.parquet(new_path)
+        inserted = new.count()
+        total = inserted + (existing.count() if existing is not None else 0)
+        if total < min_rows:
+            raise VolumeCheckError(f"post-load check failed: only {total} rows (expected >= {min_rows})")
+        new.write.mode("append").parquet(bronze_path)
+    finally:
+        for path in (landed_path, new_path):
+            remove_staged(spark, path)
+    rows_read = int(stats["n"])
+    metrics = spark.createDataFrame([(rows_read, inserted, rows_read - inserted, int(stats["bad"]), total)], METRICS_SCHEMA)
+    return LoadResult(metrics, spark.read.parquet(bronze_path).where(F.col("_loaded_at") == loaded_at))

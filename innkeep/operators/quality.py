@@ -174,7 +174,7 @@ def raw_profile(raw: DataFrame) -> DataFrame:
     it as ``profile``; passing one stored profile to all of them scans the
     raw rows once.
     """
-    rate = F.col("adr").try_cast("decimal(10,2)")
+    rate = F.col("adr").try_cast("double")  # as written: -0.004 is negative
     country = F.when(F.col("country") != F.lit("NULL"), F.col("country"))
     return raw.agg(
         n_rows().alias("total_rows"),
@@ -225,6 +225,19 @@ def hash_format(bronze: DataFrame) -> DataFrame:
     return bronze.select("_row_hash", problem.alias("problem")).where(F.col("problem").isNotNull())
 
 
+def row_check_counts(
+    df: DataFrame, prefix: str, not_null_columns: Sequence[str], allowed: Mapping[str, Sequence[str]], min_rows: int
+) -> DataFrame:
+    """Violation counts of the not-null, accepted-values and volume checks in one scan (same counts as the single checks)."""
+    nulls = sum((F.count_if(F.col(c).isNull()) for c in not_null_columns), F.lit(0).cast("bigint"))
+    text = {c: F.col(c).cast("string") for c in allowed}
+    bad = sum((F.count_distinct(F.when(~v.isin(list(allowed[c])), v)) for c, v in text.items()), F.lit(0).cast("bigint"))
+    counts = df.agg(
+        nulls.alias(f"{prefix}_not_null"), bad.alias(f"{prefix}_accepted_values"), F.when(n_rows() < min_rows, 1).otherwise(0).cast("bigint").alias(f"{prefix}_volume")
+    )
+    return counts.unpivot([], counts.columns, "check_name", "violations").withColumn("passed", F.col("violations") == 0)
+
+
 def _union(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:

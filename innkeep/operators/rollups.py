@@ -123,7 +123,7 @@ def share(num: Column, den: Column) -> Column:
     return F.when(den != 0, num.cast("double") / den.cast("double"))
 
 
-def duplicate_count(raw: DataFrame, bronze: DataFrame) -> DataFrame:
+def duplicate_count(bronze: DataFrame) -> DataFrame:
     """Rows, distinct fingerprints and duplicates of a raw extract."""
     return bronze.agg(
         n_rows().alias("raw_rows"), F.count_distinct("_row_hash").alias("unique_rows")
@@ -208,19 +208,15 @@ def type_rates_long(silver: DataFrame) -> DataFrame:
 # --- Value counts, distinct values, profiles ----------------------------------------
 
 
-def value_counts(df: DataFrame, column: str, top: int = 20) -> DataFrame:
-    """Non-NULL values of ``column`` with their counts, most frequent first (top-k).
+def value_counts(df: DataFrame, column: str, top: int | None = None) -> DataFrame:
+    """Every non-NULL value of ``column`` with its count, most frequent first.
 
-    Ties are ordered by value so the cut is deterministic; the top-k runs as a
-    distributed ``TakeOrderedAndProject`` over the aggregated counts.
+    ``top`` keeps that many (ties ordered by value) as a distributed
+    ``TakeOrderedAndProject`` over the counts; by default all are returned.
     """
-    return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(n_rows().alias("n"))
-        .orderBy(F.col("n").desc(), F.col(column).asc())
-        .limit(top)
-    )
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(n_rows().alias("n"))
+    ordered = counts.orderBy(F.col("n").desc(), F.col(column).asc())
+    return ordered if top is None else ordered.limit(top)
 
 
 def distinct_count(df: DataFrame, column: str, name: str) -> DataFrame:
@@ -250,31 +246,30 @@ def mean_by(df: DataFrame, keys: Sequence[str], value: str, name: str, scale: in
 
 
 def cancel_crosstab(raw_t: DataFrame) -> DataFrame:
-    """Share of each cancel flag per hotel, normalised per row (pivot on 0/1)."""
-    counts = (
-        raw_t.where(F.col("is_canceled").isNotNull())
-        .groupBy("hotel")
-        .pivot("is_canceled", [0, 1])
-        .agg(n_rows())
-    )
-    c0 = F.coalesce(F.col("0"), F.lit(0))
-    c1 = F.coalesce(F.col("1"), F.lit(0))
-    total = c0 + c1
-    return counts.select("hotel", share(c0, total).alias("share_0"), share(c1, total).alias("share_1"))
+    """Share of every cancel flag that occurs per hotel, normalised per hotel: one row a hotel and flag."""
+    known = raw_t.where(F.col("is_canceled").isNotNull() & F.col("hotel").isNotNull())
+    counts = known.groupBy("hotel", "is_canceled").agg(n_rows().alias("n"))
+    total = F.sum("n").over(Window.partitionBy("hotel"))
+    return counts.select("hotel", "is_canceled", share(F.col("n"), total).alias("share"))
 
 
-def outlier_counts(raw_t: DataFrame) -> DataFrame:
-    """Negative rates, zero rates and zero-night stays (a missing stay is not 0)."""
-    nights = F.col("stays_in_weekend_nights") + F.col("stays_in_week_nights")
-    return raw_t.agg(
-        F.count_if(F.col("adr") < 0).alias("negative_rate_rows"),
-        F.count_if(F.col("adr") == 0).alias("zero_rate_rows"),
+def outlier_counts(raw: DataFrame) -> DataFrame:
+    """Negative rates, zero rates and zero-night stays (a missing stay is not 0) of raw rows.
+
+    Rates are tested as written: -0.004 is negative, though it rounds to 0.00.
+    """
+    rate = raw_missing("adr").try_cast("double")
+    nights = raw_missing("stays_in_weekend_nights").try_cast("int") + raw_missing("stays_in_week_nights").try_cast("int")
+    return raw.agg(
+        F.count_if(rate < 0).alias("negative_rate_rows"),
+        F.count_if(rate == 0).alias("zero_rate_rows"),
         F.count_if(nights == 0).alias("zero_night_rows"),
     )
 
 
 # --- Distributions ----------------------------------------------------------------------
 
+# The columns that the dashboard summarises.
 SUMMARY_COLUMNS = ("adr", "total_nights", "revenue", "lead_time")
 QUARTILES = (0.25, 0.5, 0.75)
 
@@ -390,15 +385,11 @@ def numeric_summary(filtered: DataFrame, columns: Sequence[str] = SUMMARY_COLUMN
     return stats.select(*out)
 
 
-def int_div(a: Column, b: Column) -> Column:
-    """Exact ``floor(a / b)`` for a >= 0, b > 0 (no floating-point rounding)."""
-    return ((a - a % b) / b).cast("decimal(38,0)")
-
-
 def _round_half(num: Column, den: Column) -> Column:
     """Integer ``round(num / den)`` half away from zero (exact)."""
     a = (F.abs(num) * 2 + den).cast("decimal(38,0)")
-    return F.signum(num).cast("int") * int_div(a, (den * 2).cast("decimal(38,0)"))
+    b = (den * 2).cast("decimal(38,0)")
+    return F.signum(num).cast("int") * ((a - a % b) / b).cast("decimal(38,0)")
 
 
 def histogram(
@@ -420,7 +411,7 @@ def histogram(
     hi = src.select(F.max("_u")).scalar()
     width = hi - lo
     b = F.when(width == 0, F.lit(0)).otherwise(
-        F.least(int_div((F.col("_u") - lo) * bins, width), F.lit(bins - 1))
+        F.least(F.call_function("div", (F.col("_u") - lo) * bins, width), F.lit(bins - 1))
     )
     counted = src.select(*by, b.cast("int").alias("bin")).groupBy(*by, "bin").agg(n_rows().alias("n"))
     step = width.cast("double") / float(bins) / float(10**scale)
@@ -436,6 +427,7 @@ def histogram(
 
 # --- Explorer --------------------------------------------------------------------------
 
+# The columns that the explorer shows first.
 EXPLORER_DEFAULT = (
     "hotel_type",
     "is_canceled",

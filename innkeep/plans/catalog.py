@@ -19,7 +19,7 @@ from innkeep.operators import gold, quality as Q, rollups as R, silver as silver
 from innkeep.operators import bronze as B
 from innkeep.plans import datasets as D, pipeline as P
 from innkeep.session import checkpoint_dir, staging_path
-from innkeep.sources.csv_source import check_columns, header, read_csv, select_expected
+from innkeep.sources.csv_source import scan_expected, schema_reports
 from innkeep.sources.tables import write_layer
 from innkeep.streaming.ingest import ingest_available
 from innkeep.schema import INT_COLUMNS, NULLABLE_TEXT_COLUMNS, RAW_COLUMNS
@@ -222,7 +222,7 @@ def q_kpi_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("duplicate_count")
 def q_duplicate_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.duplicate_count(D.raw(spark, sf_dir), D.bronze(spark, sf_dir))
+    return R.duplicate_count(D.bronze(spark, sf_dir))
 
 
 @query("monthly_bookings")
@@ -326,7 +326,7 @@ def q_cancel_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("outlier_counts")
 def q_outlier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return R.outlier_counts(_raw_t(spark, sf_dir))
+    return R.outlier_counts(D.raw(spark, sf_dir))
 
 
 @query("numeric_summary")
@@ -334,6 +334,11 @@ def q_numeric_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.numeric_summary(_filtered(spark, sf_dir))
 
 
+@query("raw_rate_summary")
+def q_raw_rate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.numeric_summary(_raw_t(spark, sf_dir), ["adr"])
+
+
 @query("lead_time_histogram")
 def q_lead_time_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.histogram(_filtered(spark, sf_dir), "lead_time", 50)
@@ -434,6 +439,62 @@ def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.report({name: build() for name, build in quality_checks(spark, sf_dir).items()})
 
 
+# --- The same checks, and lenient parsing, on rows with faults ------------------------------
+
+
+@query("faulty_unique")
+def q_faulty_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.unique_fingerprint(D.faulty(spark, sf_dir), "_row_hash", "bronze")
+
+
+@query("faulty_accepted_values")
+def q_faulty_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = silver_ops.build_silver(D.faulty(spark, sf_dir), strict=False, dedup=True)
+    return Q.accepted_values(silver, Q.ACCEPTED_VALUES, "silver")
+
+
+@query("faulty_value_set")
+def q_faulty_value_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.value_set(D.faulty(spark, sf_dir), Q.RAW_VALUE_SETS)
+
+
+@query("faulty_rate_bounds")
+def q_faulty_rate_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.rate_bounds(D.faulty(spark, sf_dir))
+
+
+@query("faulty_negative_share")
+def q_faulty_negative_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.negative_share(D.faulty(spark, sf_dir))
+
+
+@query("faulty_hash_format")
+def q_faulty_hash_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return Q.hash_format(D.faulty(spark, sf_dir))
+
+
+@query("faulty_outlier_counts")
+def q_faulty_outlier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.outlier_counts(D.faulty(spark, sf_dir))
+
+
+@query("faulty_crosstab")
+def q_faulty_crosstab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return R.cancel_crosstab(R.raw_typed(D.faulty(spark, sf_dir)))
+
+
+@query("faulty_silver")
+def q_faulty_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaned layer of faulty rows, parsed leniently: what does not parse is NULL."""
+    silver = silver_ops.build_silver(D.faulty(spark, sf_dir), strict=False, dedup=True)
+    return D.as_doubles(silver.drop("_loaded_at"))
+
+
+@query("faulty_load_metrics")
+def q_faulty_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return B.load_csv(spark, D.faulty_csv(spark, sf_dir), staging_path(spark, "bronze"), min_rows=1).metrics
+
+
 # --- CSV source, bronze load, sinks, pipeline -----------------------------------------
 
 # The earlier of two overlapping extracts: stays that arrived up to 1995.
@@ -442,21 +503,21 @@ EARLY_EXTRACT = "CAST(arrival_date_year AS INT) <= 1995"
 
 @query("csv_source")
 def q_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = select_expected(read_csv(spark, D.csv_extract(spark, sf_dir)))
+    scanned = scan_expected(spark, D.csv_extract(spark, sf_dir))
     return scanned.select(*RAW_COLUMNS)
 
 
 @query("schema_report")
 def q_schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cols = header(spark, D.csv_extract(spark, sf_dir))
-    rep = check_columns(cols)
-    status = [(c, "extra" if c in rep.extra else "expected") for c in cols] + [(c, "missing") for c in rep.missing]
-    return spark.createDataFrame(status, "column_name string, status string")
+    status = set()
+    for rep in schema_reports(spark, D.csv_extract(spark, sf_dir)):
+        status |= {(c, "extra" if c in rep.extra else "expected") for c in rep.columns} | {(c, "missing") for c in rep.missing}
+    return spark.createDataFrame(sorted(status), "column_name string, status string")
 
 
 @query("bronze_lineage")
 def q_bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scanned = select_expected(read_csv(spark, D.csv_extract(spark, sf_dir)))
+    scanned = scan_expected(spark, D.csv_extract(spark, sf_dir))
     stamped = B.with_lineage(scanned, F.col("_file_name"))
     has = F.col("_loaded_at").isNotNull() & F.col("_source_file").endswith(".csv")
     return stamped.select("_row_hash", has.alias("has_lineage"))

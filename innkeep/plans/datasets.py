@@ -35,6 +35,16 @@ FIXED_LOAD_TIME = "1970-01-01 00:00:00"
 _STAGED: dict[tuple[str, str], str] = {}
 
 
+def _stamp(spark: SparkSession, sf_dir: str) -> str:
+    """``sf_dir`` and its source tables' change times: changed input is staged anew."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    times = []
+    for name in ("orders", "customer", "nation"):
+        path = jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        times.append(str(path.getFileSystem(conf).getFileStatus(path).getModificationTime()))
+    return "@".join([sf_dir, *times])
+
+
 def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows + lineage + fingerprint, computed from the driver tables."""
     ts = F.lit(FIXED_LOAD_TIME).cast(T.TimestampType())
@@ -43,7 +53,7 @@ def landing_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The landing table for ``sf_dir`` (staged on first use in this process)."""
-    key = (sf_dir, checkpoint_dir(spark))
+    key = (_stamp(spark, sf_dir), checkpoint_dir(spark))
     path = _STAGED.get(key)
     if path is not None:
         try:
@@ -56,16 +66,55 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing rows with faults (staged on first use): values as in the fixture, fingerprints of some rows wrong.
+
+    Fingerprints of rows with more than 11 waiting days are upper-cased, those
+    of rows with 10 are of another text; copies stay, so fingerprints repeat.
+    """
+    key = (_stamp(spark, sf_dir), checkpoint_dir(spark) + "#faulty")
+    path = _STAGED.get(key)
+    if path is not None:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException:
+            pass
+    ts = F.lit(FIXED_LOAD_TIME).cast(T.TimestampType())
+    rows = with_lineage(raw_reservations(spark, sf_dir, faults=True), SOURCE_NAME, ts)
+    wait = F.col("days_in_waiting_list").cast("int")
+    bad = F.when(wait > 11, F.upper("_row_hash")).when(wait == 10, F.sha2("_row_hash", 256)).otherwise(F.col("_row_hash"))
+    path = staging_path(spark, "faulty")
+    rows.withColumn("_row_hash", bad).write.mode("overwrite").parquet(path)
+    _STAGED[key] = path
+    return spark.read.parquet(path)
+
+
+def faulty_csv(spark: SparkSession, sf_dir: str) -> str:
+    """A CSV extract of the faulty rows; lines of canceled group bookings lack their last field."""
+    key = (_stamp(spark, sf_dir), checkpoint_dir(spark) + "#faulty-csv")
+    if key not in _STAGED:
+        path = staging_path(spark, "csv-faulty")
+        rows = faulty(spark, sf_dir)
+        cut = (F.col("customer_type") == "Group") & (F.col("is_canceled") == "2")
+        line = F.concat_ws(",", *RAW_COLUMNS[:-1], F.when(~cut, F.col(RAW_COLUMNS[-1])))
+        head = spark.range(1).select(F.lit(",".join(RAW_COLUMNS)).alias("value"))
+        # one file: its header line stands first
+        head.union(rows.select(line.alias("value"))).coalesce(1).write.text(path)
+        _STAGED[key] = path
+    return _STAGED[key]
+
+
 def csv_extract(
     spark: SparkSession, sf_dir: str, name: str = "extract", where: str | None = None, shuffled: bool = True
 ) -> str:
     """A raw CSV extract of the landing rows, staged once per process.
 
-    With ``shuffled`` the columns are written in reverse order plus an extra
-    ``source_system`` column, so loading it exercises match-by-name and
-    ignore-extra; otherwise the 32 columns appear in their standard order.
+    With ``shuffled`` a third of the rows each goes to files in standard
+    order, in reverse order, and in another order with an extra
+    ``source_system`` column, so loading the folder exercises match-by-name
+    per file and ignore-extra; otherwise all files have the standard order.
     """
-    key = (sf_dir, checkpoint_dir(spark) + "#" + name)
+    key = (_stamp(spark, sf_dir), checkpoint_dir(spark) + "#" + name)
     path = _STAGED.get(key)
     if path is not None:
         try:
@@ -77,8 +126,11 @@ def csv_extract(
     if where is not None:
         rows = rows.where(where)
     path = staging_path(spark, f"csv-{name}")
-    cols = [*reversed(RAW_COLUMNS), F.lit("orders").alias("source_system")] if shuffled else RAW_COLUMNS
-    write_csv(rows.select(*cols), path)
+    extra = F.lit("orders").alias("source_system")
+    orders = [RAW_COLUMNS, [*reversed(RAW_COLUMNS)], [*RAW_COLUMNS[5:], extra, *RAW_COLUMNS[:5]]] if shuffled else [RAW_COLUMNS]
+    for k, cols in enumerate(orders):
+        part = rows.where(F.pmod(F.xxhash64(*RAW_COLUMNS), F.lit(len(orders))) == k)
+        write_csv(part.select(*cols), path, mode="append")
     _STAGED[key] = path
     return path
 
@@ -109,7 +161,7 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     Parquet scan and no query repeats the deduplication shuffle. It is
     partitioned by arrival year, so year filters skip whole directories.
     """
-    key = (sf_dir, checkpoint_dir(spark) + "#silver")
+    key = (_stamp(spark, sf_dir), checkpoint_dir(spark) + "#silver")
     path = _STAGED.get(key)
     if path is not None:
         try:

@@ -64,7 +64,7 @@ MONTHS: list[tuple[str, str]] = [
     ("December", "12"),
 ]
 
-# Columns typed as INTEGER in the cleaned layer (sentinels -> NULL, then cast).
+# --- Fixed values: columns typed as INTEGER in the cleaned layer (sentinels -> NULL, then cast).
 INT_COLUMNS: list[str] = [
     "is_canceled",
     "booking_to_arrival_time",
@@ -85,10 +85,10 @@ INT_COLUMNS: list[str] = [
     "total_of_special_requests",
 ]
 
-# Text columns that get sentinel -> NULL but stay text.
+# --- Fixed values: text columns that get sentinel -> NULL but stay text.
 NULLABLE_TEXT_COLUMNS: list[str] = ["country", "agent", "company"]
 
-# Renames applied in the cleaned layer.
+# --- Fixed values: renames applied in the cleaned layer
 RENAMES: dict[str, str] = {
     "hotel": "hotel_type",
     "booking_to_arrival_time": "lead_time",

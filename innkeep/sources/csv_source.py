@@ -1,14 +1,16 @@
 """Raw CSV extracts: header row, UTF-8, every field text, ``""`` as an escaped quote.
 
-Columns are matched by *name* from the file's own header (order in the file
-does not matter); the 32 expected names must all be present, extra names are
-reported and dropped. An empty field reads as NULL in Spark, so the raw layer
+Columns are matched by *name* from each file's own header (order in the file
+does not matter); the 32 expected names must all be present in every file,
+extra names are reported and dropped. An empty field reads as NULL in Spark, so the raw layer
 turns it back into ``''`` (a blank stays distinguishable from ``NA``/``NULL``).
 """
 
 from __future__ import annotations
 
+import csv
 import logging
+import re
 from urllib.parse import unquote
 from dataclasses import dataclass
 
@@ -52,57 +54,78 @@ def check_columns(columns: list[str], expected: list[str] = RAW_COLUMNS) -> Sche
     return SchemaReport(cols, missing, extra)
 
 
-def header(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Column names from the header line (reads one record)."""
-    return spark.read.options(**CSV_READ_OPTIONS).csv(path).columns
+FILE_NAME = "_file_name"
+# More distinct header lines than this in one scan is an error, not a data set.
+MAX_HEADERS = 1_000
+# A line that is a record by itself: every field free of quotes, or quoted as
+# a whole with doubled quotes inside.
+_FIELD = r'(?:[^",]*+|"[^"]*+(?:""[^"]*+)*+")'
+WHOLE_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+$"
 
 
-QUOTE = '"'
-FILE_NAME = "_file_name"
-# File suffixes of compression codecs whose files Spark reads
-# in one piece (bzip2 is splittable and not listed).
-UNSPLITTABLE = (".gz", ".deflate", ".zst", ".lz4", ".snappy")
+def _literal(spark: SparkSession, path: str) -> str:
+    """``path`` with glob characters escaped if a file or folder of exactly that name exists."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return escape_glob(path) if fs.exists(target) else path
 
 
-def multi_line_files(spark: SparkSession, path: str | list[str]) -> dict[str, bool]:
-    """Each file of ``path`` mapped to whether a record in it spans lines.
+def escape_glob(path: str) -> str:
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
-    With ``"`` as quote *and* escape (``""`` inside a quoted field), every
-    quote character flips "inside a quoted field" on or off. A line starting
-    outside a field therefore ends inside one exactly when it holds an odd
-    number of quote characters, and the first line of a record that spans
-    lines always does. So a file parses identically line by line (splittable)
-    and as one stream unless one of its lines has an odd quote count.
 
-    The check is one splittable text scan with a partial aggregation per
-    file; one row per file reaches the driver (the file listing it already
-    holds). Empty files have no lines and are not listed.
-    """
-    quotes = F.length("value") - F.length(F.translate("value", QUOTE, ""))
-    per_file = (
-        spark.read.text(path)
-        .groupBy(F.col("_metadata.file_path").alias("file_path"))
-        .agg(F.max(quotes % 2 == 1).alias("multi"))
-    )
-    # _metadata.file_path is URL-encoded; readers take the plain path
-    return {unquote(r.file_path): bool(r.multi) for r in per_file.collect()}
+@dataclass(frozen=True)
+class FileGroup:
+    """Files with the same header line and the same kind of lines."""
 
+    names: tuple[str, ...]
+    line_by_line: bool  # every line is a record by itself
+    paths: tuple[str, ...]  # what to read: the given path if all files are alike
+    example: str
 
-_UNITS = {"": 1, "b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
 
+def file_groups(spark: SparkSession, path: str | list[str]) -> list[FileGroup]:
+    """The files of ``path`` by their own header and by whether their lines are whole records.
 
-def split_bytes(spark: SparkSession) -> int:
-    """The session's ``spark.sql.files.maxPartitionBytes`` in bytes."""
-    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
-    digits = text.rstrip("kmgtpb")
-    suffix = text[len(digits):]  # "", "b", "k", "mb", ...
-    return int(digits) * _UNITS[suffix[:1]]
+    One splittable text scan, aggregated per file in the tasks. The driver
+    gets the distinct headers; only if files differ it also gets their names
+    (its file listing holds those anyway).
+    """
+    given = [_literal(spark, p) for p in ([path] if isinstance(path, str) else path)]
+    lines = spark.read.text(given).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
+        "value",
+    )
+    per_file = lines.groupBy("file").agg(
+        F.min_by("value", "at").alias("head"), F.bool_and(F.col("value").rlike(WHOLE_RECORD)).alias("whole")
+    )
+    kinds = per_file.groupBy("head", "whole").agg(F.min("file").alias("example")).limit(MAX_HEADERS + 1).collect()
+    if len(kinds) > MAX_HEADERS:
+        raise ValueError(f"over {MAX_HEADERS} different CSV headers")
+    if len(kinds) < 2:
+        files = {(k["head"], k["whole"]): given for k in kinds}
+    else:
+        files = {}
+        for r in per_file.collect():
+            files.setdefault((r["head"], r["whole"]), []).append(escape_glob(unquote(r["file"])))
+    out = []
+    for k in sorted(kinds, key=lambda k: (k["head"], k["whole"])):
+        paths = sorted(files[k["head"], k["whole"]])
+        # a header of whole lines is one line; any other is read as a record
+        names = next(csv.reader([k["head"].lstrip("\ufeff")]), []) if k["whole"] else header(spark, paths)
+        out.append(FileGroup(tuple(names), k["whole"], tuple(paths), unquote(k["example"])))
+    return out
+
+
+def header(spark: SparkSession, path: str | list[str]) -> list[str]:
+    """Column names from the header record of the first file."""
+    return spark.read.options(**CSV_READ_OPTIONS).option("multiLine", "true").csv(path).columns
 
 
-def file_sizes(spark: SparkSession, path: str | list[str]) -> dict[str, int]:
-    """Each file of ``path`` with its size, from a listing scan (contents are not read)."""
-    listing = spark.read.format("binaryFile").load(path).select("path", "length")
-    return {r.path: int(r.length) for r in listing.collect()}
+def schema_reports(spark: SparkSession, path: str | list[str], expected: list[str] = RAW_COLUMNS) -> list[SchemaReport]:
+    """The header check of every different header among the files."""
+    return [check_columns(list(names), expected) for names in sorted({g.names for g in file_groups(spark, path)})]
 
 
 def read_csv(
@@ -111,51 +134,54 @@ def read_csv(
     multi_line: bool | str = "auto",
     infer_types: bool = False,
     track_malformed: bool = True,
+    columns: list[str] | None = None,
 ) -> DataFrame:
-    """Scan a CSV extract (a file, or files sharing one header).
-
-    ``multi_line``: ``True`` handles newlines inside quoted fields but makes
-    each file a single split; ``False`` splits files freely and is right only
-    when no quoted field holds a newline; ``"auto"`` (default) gives the rows
-    of ``True`` while splitting every file it can: files no larger than one
-    split (``spark.sql.files.maxPartitionBytes``) and files whose compression
-    cannot be split are parsed whole, as there is nothing to split; larger
-    files are checked with :func:`multi_line_files` and parsed line by line
-    (splittable) unless a record spans lines. In ``"auto"`` mode the result
-    carries the scanned file's name as ``_file_name``.
-    ``infer_types`` gives typed columns for exploration; the raw layer keeps
-    text. With ``track_malformed`` rows with too few or too many fields are
-    flagged in ``_corrupt_record`` (the schema is built from the file's own
-    header, so positions and names agree).
+    """Scan CSV extracts: a file or folder whose files may have different headers.
+
+    Every file is read by its own header, and files are united by column
+    name. ``columns``: the columns to keep; a file without one of them is an
+    error that names both. Without ``columns`` all files must have the same
+    names, in any order.
+
+    ``multi_line``: ``"auto"`` (default) reads a file line by line, which
+    splits it freely, if every line is a record by itself, and as one stream
+    otherwise; that depends on the text alone, never on its size, and gives
+    the rows of ``True``. ``True`` reads all files as streams, ``False`` all
+    of them line by line (right only without newlines in fields).
+
+    The result has the scanned file's name as ``_file_name``. ``infer_types``
+    gives typed columns for exploration; the raw layer keeps text. With
+    ``track_malformed`` rows of too few or too many fields are flagged in
+    ``_corrupt_record``.
     """
-    if multi_line == "auto":
-        sizes = file_sizes(spark, path)
-        limit = split_bytes(spark)
-        # compressed files that cannot be split are one task either way
-        large = sorted(f for f, n in sizes.items() if n > limit and not f.lower().endswith(UNSPLITTABLE))
-        spans = multi_line_files(spark, large) if large else {}
-        # a file the check did not report is parsed whole (exact either way)
-        split = [f for f in large if not spans.get(f, True)]
-        whole = sorted(set(sizes) - set(split))
-        parts = []
-        for files, multi in ((whole, True), (split, False)):
-            if files:
-                df = read_csv(spark, files, multi, infer_types, track_malformed)
-                parts.append(df.withColumn(FILE_NAME, F.col("_metadata.file_name")))
-        if not parts:  # no files
-            return read_csv(spark, path, True, infer_types, track_malformed).withColumn(FILE_NAME, F.lit(None).cast("string"))
-        out = parts[0]
-        for df in parts[1:]:
-            out = out.unionByName(df, allowMissingColumns=True)
-        return out
-    reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(bool(multi_line)).lower())
-    if infer_types:
-        return reader.option("inferSchema", "true").csv(path)
-    if not track_malformed:
-        return reader.csv(path)
-    names = header(spark, path)
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in names] + [T.StructField(CORRUPT, T.StringType(), True)])
-    return reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(path)
+    out = None
+    for group in file_groups(spark, path):
+        report = check_columns(list(group.names), columns or list(group.names))
+        if report.missing:
+            raise ValueError(f"CSV is missing columns: {sorted(report.missing)} in {group.example}")
+        if report.extra:
+            log.warning("CSV has extra columns (ignored): %s", sorted(report.extra))
+        multi = not group.line_by_line if multi_line == "auto" else bool(multi_line)
+        reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi).lower())
+        kept = list(columns or group.names)
+        if infer_types:
+            reader = reader.option("inferSchema", "true")
+        elif track_malformed:
+            # the schema follows the files' own header, so places and names agree
+            fields = [T.StructField(c, T.StringType()) for c in (*group.names, CORRUPT)]
+            reader = reader.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", CORRUPT)
+            kept.append(CORRUPT)
+        part = reader.csv(list(group.paths)).select(*[F.col(f"`{c}`") for c in kept], F.col("_metadata.file_name").alias(FILE_NAME))
+        out = part if out is None else out.unionByName(part)
+    if out is None:  # no file has a line
+        names = [*(columns or []), *([CORRUPT] if track_malformed and not infer_types else []), FILE_NAME]
+        out = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in names]))
+    return out
+
+
+def scan_expected(spark: SparkSession, path: str | list[str], multi_line: bool | str = "auto", expected: list[str] = RAW_COLUMNS) -> DataFrame:
+    """The expected columns of CSV extracts, the file name and the malformed flag."""
+    return select_expected(read_csv(spark, path, multi_line, columns=expected), expected)
 
 
 def select_expected(df: DataFrame, expected: list[str] = RAW_COLUMNS) -> DataFrame:

@@ -44,8 +44,27 @@ def _rate_text(k: Column) -> Column:
 BROADCAST_MAX_ROWS = 100_000
 
 
-def raw_reservations_from(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    """Raw reservation rows (32 text columns) from the three driver tables."""
+def _faults(k: Column, values: dict[str, Column]) -> dict[str, Column]:
+    """``values`` with faults by key modulo (see FIXTURES.md), so that every check has something to find."""
+    february = k % 43 == 0
+    return values | {
+        "hotel": F.when(k % 23 == 0, "Hostel").otherwise(values["hotel"]),
+        "is_canceled": F.when(k % 29 == 0, "2").when(k % 4 != 0, "1").otherwise("0"),
+        "booking_to_arrival_time": F.when(k % 31 == 0, "1.0").when(k % 37 == 0, "").otherwise(values["booking_to_arrival_time"]),
+        "arrival_date_year": F.when(k % 47 == 0, "NA").when(k % 59 == 0, "NULL").otherwise(values["arrival_date_year"]),
+        "arrival_date_month": F.when(k % 41 == 0, "Julio").when(february, "February").otherwise(values["arrival_date_month"]),
+        "arrival_date_day_of_month": F.when(february, "30").otherwise(values["arrival_date_day_of_month"]),
+        "adr": F.when(k % 17 == 0, "-0.004").when(k % 19 == 0, "-12.50").when(k % 53 == 0, "cheap").otherwise(values["adr"]),
+        "reservation_status_date": F.when(k % 61 == 0, "soon").otherwise(values["reservation_status_date"]),
+    }
+
+
+def raw_reservations_from(orders: DataFrame, customer: DataFrame, nation: DataFrame, faults: bool = False) -> DataFrame:
+    """Raw reservation rows (32 text columns) from the three driver tables.
+
+    ``faults``: some values are replaced by ones that the checks and the
+    lenient parser must notice.
+    """
     names = nation.select("n_nationkey", "n_name")
     if names.count() <= BROADCAST_MAX_ROWS:  # Parquet answers from footers
         names = F.broadcast(names)
@@ -108,6 +127,8 @@ def raw_reservations_from(orders: DataFrame, customer: DataFrame, nation: DataFr
         "reservation_status": F.when(canceled, "Canceled").otherwise("Check-Out"),
         "reservation_status_date": _s(d.cast("date")),
     }
+    if faults:
+        values = _faults(k, values)
     copies = F.when(F.dayofmonth(d) % 4 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return (
         base.select(*[values[name].alias(name) for name in RAW_COLUMNS], F.explode(copies).alias("_copy"))
@@ -115,10 +136,11 @@ def raw_reservations_from(orders: DataFrame, customer: DataFrame, nation: DataFr
     )
 
 
-def raw_reservations(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_reservations(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
     """Raw reservation rows for a driver scale-factor folder."""
     return raw_reservations_from(
         read_table(spark, sf_dir, "orders"),
         read_table(spark, sf_dir, "customer"),
         read_table(spark, sf_dir, "nation"),
+        faults,
     )

@@ -35,10 +35,7 @@ def write_layer(
     A full refresh must not read its own target: write to a new path and point
     readers at it, or build from the previous layer only.
     """
-    if partition_by:
-        # cluster rows of a partition value into the same tasks (fewer files);
-        # rebalance lets AQE split a partition value that holds many rows
-        df = df.hint("rebalance", *partition_by)
+    # written straight from the tasks that made the rows: no shuffle on a key of few values
     writer = df.write.mode(mode)
     if partition_by:
         writer = writer.partitionBy(*partition_by)

@@ -8,15 +8,11 @@ same job is a file stream over a drop folder:
   each drop is read once even across restarts;
 * ``trigger(availableNow=True)`` processes everything that has arrived and
   stops — a scheduled batch run with exactly-once file tracking;
-* each micro-batch is staged as Parquet in the shared staging folder, goes
-  through the batch path's insert-if-absent step (first row per
-  fingerprint, skip fingerprints already stored; bounded by the staged row
-  count) and is appended to the bronze Parquet table. A replayed micro-batch finds its
-  fingerprints already stored and appends nothing, so the sink stays
-  idempotent under task or driver failure.
-
-The stream needs a declared schema: the 32 raw text columns (by name, as in
-the batch loader), read with the same CSV options.
+* each micro-batch is a list of new files, which the batch path scans (each by
+  its own header: any column order, extra columns ignored), stages as Parquet,
+  reduces to rows that are not stored yet and appends to the bronze Parquet
+  table. A replayed micro-batch finds its fingerprints already stored and
+  appends nothing, so the sink stays idempotent under task or driver failure.
 """
 
 from __future__ import annotations
@@ -26,48 +22,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from innkeep.operators.bronze import new_rows, read_bronze, with_lineage
-from innkeep.schema import RAW_COLUMNS, RAW_SCHEMA
 from innkeep.session import remove_staged, staging_path
-from innkeep.sources.csv_source import CSV_READ_OPTIONS
+from innkeep.sources.csv_source import scan_expected
 
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
-def csv_drop_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming scan of CSV files arriving in ``drop_dir`` (header row, all text).
 
-    Files must carry the 32 expected columns in the header order of
-    :data:`~innkeep.schema.RAW_COLUMNS` plus optional trailing extras (a
-    streaming CSV source maps fields by position under a declared schema).
-    """
-    # a drop is consumed file by file anyway, so the multi-line parse (quoted
-    # newlines) costs no parallelism here
-    reader = (
-        spark.readStream.options(**CSV_READ_OPTIONS)
-        .option("multiLine", "true")
-        .option("enforceSchema", "false")
-        .schema(RAW_SCHEMA)
-    )
+def csv_drop_stream(spark: SparkSession, drop_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming list of the files that arrive in ``drop_dir`` (their contents are not read here)."""
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = reader.csv(drop_dir)
-    return df.select(
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in RAW_COLUMNS],
-        F.col("_metadata.file_name").alias("_file_name"),
-    )
+    return reader.load(drop_dir).select("path")
 
 
 def _append_batch(bronze_path: str):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # stage the micro-batch once (shared staging folder): its CSV files
-        # are parsed once although the insert-if-absent step reads the batch
-        # twice, and the staged row count (Parquet metadata) bounds the
-        # batch's fingerprints for a broadcast check
+        files = [r["path"] for r in batch.collect()]  # a micro-batch's file names
+        if not files:
+            return
         staged_path = staging_path(spark, f"stream-batch-{batch_id}")
-        with_lineage(batch, F.col("_file_name")).write.parquet(staged_path)
-        staged = spark.read.parquet(staged_path)
-        fresh = new_rows(staged, read_bronze(spark, bronze_path), batch_rows=staged.count())
-        fresh.write.mode("append").parquet(bronze_path)
-        remove_staged(spark, staged_path)
+        try:
+            with_lineage(scan_expected(spark, files), F.col("_file_name")).write.parquet(staged_path)
+            fresh = new_rows(spark.read.parquet(staged_path), read_bronze(spark, bronze_path))
+            fresh.write.mode("append").parquet(bronze_path)
+        finally:
+            remove_staged(spark, staged_path)
 
     return run
 

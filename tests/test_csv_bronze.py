@@ -11,7 +11,7 @@ from conftest import raw_row
 
 from innkeep.operators.bronze import VolumeCheckError, load_csv
 from innkeep.schema import RAW_COLUMNS
-from innkeep.sources.csv_source import check_columns, read_csv, select_expected
+from innkeep.sources.csv_source import check_columns, read_csv, scan_expected, schema_reports
 
 
 def write(path, rows, columns=RAW_COLUMNS, extra=None):
@@ -25,7 +25,7 @@ def write(path, rows, columns=RAW_COLUMNS, extra=None):
 
 
 def scan(spark, path):
-    return select_expected(read_csv(spark, path)).collect()
+    return scan_expected(spark, path).collect()
 
 
 def test_quotes_commas_and_newlines_roundtrip(spark, tmp_path):
@@ -98,34 +98,107 @@ def test_volume_gate_publishes_nothing(spark, tmp_path):
         spark.read.parquet(bronze).count()
 
 
-@pytest.mark.parametrize("split", [None, "256b"])
-def test_auto_mode_reads_like_multiline_and_flags_only_spanning_files(spark, tmp_path, split):
+@pytest.fixture(params=[None, "64b"])
+def split(request, spark):
+    """The session's split size: the default, and one that cuts every file."""
     key = "spark.sql.files.maxPartitionBytes"
     old = spark.conf.get(key)
-    if split:  # every file is larger than a split: checked, then split or read whole
-        spark.conf.set(key, split)
-    try:
-        _check_mixed_folder(spark, tmp_path)
-    finally:
-        spark.conf.set(key, old)
+    if request.param:
+        spark.conf.set(key, request.param)
+    yield request.param
+    spark.conf.set(key, old)
+
+
+def python_rows(*paths):
+    """What Python's csv reader gives, by name, in the raw columns' order."""
+    out = []
+    for path in paths:
+        with open(path, newline="", encoding="utf-8") as f:
+            out += [tuple(r[c] for c in RAW_COLUMNS) for r in csv.DictReader(f)]
+    return sorted(out)
+
+
+def spark_rows(df):
+    return sorted(tuple(r) for r in df.select(*RAW_COLUMNS).collect())
 
 
-def _check_mixed_folder(spark, tmp_path):
+def test_folder_of_different_headers_is_read_by_name(spark, tmp_path, split):
     folder = tmp_path / "mixed"
     folder.mkdir()
-    write(folder / "span.csv", [raw_row(company='Acme\n"Two"'), raw_row(arrival_date_day_of_month="2")])
-    write(folder / "flat.csv", [raw_row(company='Quoted ""x"", y'), raw_row(adr="7.00")])
-    write(folder / "flat2.csv", [raw_row(arrival_date_day_of_month="9")], columns=list(reversed(RAW_COLUMNS)))
-    flags = {k.rsplit("/", 1)[-1]: v for k, v in read_csv_flags(spark, str(folder)).items()}
-    assert flags == {"span.csv": True, "flat.csv": False, "flat2.csv": False}
+    paths = [
+        write(folder / "span.csv", [raw_row(company='Acme\n"Two"'), raw_row(arrival_date_day_of_month="2")]),
+        write(folder / "flat.csv", [raw_row(company='Quoted ""x"", y'), raw_row(adr="7.00")]),
+        write(folder / "back.csv", [raw_row(hotel="Apartment", arrival_date_day_of_month="9")], columns=list(reversed(RAW_COLUMNS))),
+        write(folder / "more.csv", [raw_row(country="ESP")], columns=list(reversed(RAW_COLUMNS)), extra=["note"]),
+        write(folder / "b[1].csv", [raw_row(country="FRA")]),
+    ]
+    df = scan_expected(spark, str(folder))
+    assert spark_rows(df) == python_rows(*paths)
+    assert not any(r._malformed for r in df.collect())
+    (back,) = df.where("_file_name = 'back.csv'").collect()
+    assert (back.hotel, back.arrival_date_day_of_month) == ("Apartment", "9")
+    reports = schema_reports(spark, str(folder))
+    assert [r.missing for r in reports] == [()] * len(reports) and {x for r in reports for x in r.extra} == {"note"}
+
+
+def test_file_with_glob_characters_loads(spark, tmp_path):
+    path = write(tmp_path / "b[1].csv", [raw_row(country="FRA")])
+    assert [r.country for r in scan(spark, path)] == ["FRA"]
+
+
+def test_one_file_without_a_column_is_named(spark, tmp_path):
+    folder = tmp_path / "lacking"
+    folder.mkdir()
+    write(folder / "a.csv", [raw_row()])
+    write(folder / "short.csv", [raw_row()], columns=[c for c in RAW_COLUMNS if c != "hotel"])
+    with pytest.raises(ValueError, match=r"\['hotel'\] in .*short.csv"):
+        scan(spark, str(folder))
+
+
+def test_parse_depends_on_the_text_not_on_its_size(spark, tmp_path, split):
+    path = tmp_path / "quotes.csv"
+    row = [raw_row()[c] for c in RAW_COLUMNS]
+    first, second = ['5" bed', *row[1:31]], [*row[1:31], '6" x']
+    with open(path, "w", newline="", encoding="utf-8") as f:
+        f.write(",".join(RAW_COLUMNS) + "\n" + ",".join(first) + ',"open\nend"\n' + 'a"b,' + ",".join(second) + "\n")
+    df = scan_expected(spark, str(path))
+    assert spark_rows(df) == python_rows(path) and df.count() == 2
+
+
+def test_empty_folder_and_header_only_file(spark, tmp_path):
+    assert scan(spark, write(tmp_path / "h.csv", [])) == []
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none" / "a.csv").write_text("")
+    assert scan(spark, str(tmp_path / "none")) == []
+
+
+def test_inferred_types(spark, tmp_path):
+    df = read_csv(spark, write(tmp_path / "t.csv", [raw_row(), raw_row(adr="7.25")]), infer_types=True)
+    kinds = dict(df.dtypes)
+    assert (kinds["adr"], kinds["adults"], kinds["hotel"]) == ("double", "int", "string")
+    assert sorted(r.adr for r in df.collect()) == [7.25, 100.0]
+
+
+def test_load_of_a_mixed_folder(spark, tmp_path):
+    folder = tmp_path / "load"
+    folder.mkdir()
+    paths = [
+        write(folder / "a.csv", [raw_row(), raw_row(adr="1.00")]),
+        write(folder / "b.csv", [raw_row(adr="2.00")], columns=list(reversed(RAW_COLUMNS))),
+        write(folder / "c.csv", [raw_row(adr="3.00"), raw_row()], columns=RAW_COLUMNS[7:] + RAW_COLUMNS[:7], extra=["x"]),
+    ]
+    bronze = str(tmp_path / "bronze")
+    m = load_csv(spark, str(folder), bronze, min_rows=1).metrics.first()
+    assert (m.rows_read, m.inserted, m.malformed) == (5, 4, 0)
+    assert spark_rows(spark.read.parquet(bronze)) == sorted(set(python_rows(*paths)))
 
-    def rows(mode):
-        df = select_expected(read_csv(spark, str(folder), multi_line=mode))
-        return sorted(tuple(r) for r in df.select(*RAW_COLUMNS, "_file_name", "_malformed").collect())
 
-    auto, whole = rows("auto"), rows(True)
-    assert auto == whole and len(auto) == 5
-    assert any(r[RAW_COLUMNS.index("company")] == 'Acme\n"Two"' for r in auto)
+def test_unreadable_bronze_is_an_error(spark, tmp_path):
+    bronze = tmp_path / "broken"
+    bronze.mkdir()
+    (bronze / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|schema"):
+        load_csv(spark, write(tmp_path / "a.csv", [raw_row()]), str(bronze), min_rows=1)
 
 
 def test_auto_mode_splits_a_large_file_without_spanning_records(spark, tmp_path):
@@ -134,7 +207,7 @@ def test_auto_mode_splits_a_large_file_without_spanning_records(spark, tmp_path)
     old = spark.conf.get(key)
     spark.conf.set(key, "65536")
     try:
-        df = select_expected(read_csv(spark, path))
+        df = scan_expected(spark, path)
         assert df.rdd.getNumPartitions() > 1
         flags = [r._malformed for r in df.select("adr", "_malformed").collect()]
         assert len(flags) == 3000 and not any(flags)
@@ -142,34 +215,32 @@ def test_auto_mode_splits_a_large_file_without_spanning_records(spark, tmp_path)
         spark.conf.set(key, old)
 
 
-def read_csv_flags(spark, path):
-    from innkeep.sources.csv_source import multi_line_files
-
-    return multi_line_files(spark, path)
-
-
-def test_new_rows_broadcasts_batch_keys_under_the_bound(spark):
-    import contextlib
-    import io
-
+def test_new_rows_plan_and_hot_fingerprint(spark):
+    """One fingerprint in half the batch, no broadcast: reduced before the exchange, anti join on the same partitioning."""
     from conftest import bronze_df
+    from pyspark.sql import functions as F
 
-    from innkeep.operators.bronze import BROADCAST_BYTES_PER_HASH, BROADCAST_LIMIT_BYTES, new_rows
+    from innkeep.operators.bronze import new_rows
 
     stored = bronze_df(spark, [raw_row(arrival_date_day_of_month=str(d)) for d in range(1, 11)])
-    batch = bronze_df(spark, [raw_row(arrival_date_day_of_month=str(d)) for d in (5, 5, 11, 12, 12)], source="b.csv")
-    hinted = new_rows(batch, stored, batch_rows=5)
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        hinted.explain()
-    plan = buf.getvalue()
-    assert "LeftSemi, BuildRight" in plan and "LeftAnti, BuildRight" in plan
-    # stored fingerprints are dropped before the keep-first window
-    assert plan.index("Window") < plan.index("LeftAnti")
-    days = sorted(r.arrival_date_day_of_month for r in hinted.collect())
+    hot = bronze_df(spark, [raw_row(arrival_date_day_of_month="12")], source="b.csv")
+    hot = hot.select("*", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("col").repartition(4)
+    batch = hot.unionByName(bronze_df(spark, [raw_row(arrival_date_day_of_month=str(d)) for d in (5, 5, 11)], source="b.csv"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fresh = new_rows(batch, stored)
+        days = sorted(r.arrival_date_day_of_month for r in fresh.collect())
+        plan = fresh._jdf.queryExecution().sparkPlan().toString()
+        executed = fresh._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert days == ["11", "12"]
-    over = BROADCAST_LIMIT_BYTES // BROADCAST_BYTES_PER_HASH + 1
-    assert sorted(r.arrival_date_day_of_month for r in new_rows(batch, stored, batch_rows=over).collect()) == days
+    assert plan.index("LeftAnti") < plan.index("Window ")  # the window is below the join
+    first = executed[: executed.index("Initial Plan")] if "Initial Plan" in executed else executed
+    assert first.count("hashpartitioning(_row_hash") == 2  # the batch once, the stored keys once
+    below = first[first.index("Exchange hashpartitioning(_row_hash") :]
+    assert "WindowGroupLimit" in below
 
 
 _FIELD = st.text(alphabet=st.sampled_from(list('ab ,"\n\r')), max_size=6)
@@ -188,7 +259,7 @@ def test_auto_mode_equals_multiline_on_random_fields(spark, tmp_path_factory, fi
     spark.conf.set(key, "512b")  # every file is checked; clean ones are split
     try:
         def rows(mode):
-            df = select_expected(read_csv(spark, str(folder), multi_line=mode))
+            df = scan_expected(spark, str(folder), mode)
             return sorted(tuple(r) for r in df.select(*RAW_COLUMNS, "_file_name", "_malformed").collect())
 
         assert rows("auto") == rows(True)
@@ -208,7 +279,7 @@ def test_auto_mode_reads_gzip_whole(spark, tmp_path):
     old = spark.conf.get(key)
     spark.conf.set(key, "256b")
     try:
-        rows = select_expected(read_csv(spark, str(folder))).select("company", "_malformed").collect()
+        rows = scan_expected(spark, str(folder)).select("company", "_malformed").collect()
     finally:
         spark.conf.set(key, old)
     assert sorted((r.company, r._malformed) for r in rows) == sorted([("One\nTwo", False), (raw_row()["company"], False)])
@@ -221,10 +292,14 @@ def test_load_removes_its_staged_scan_and_refuses_other_paths(spark, tmp_path):
     from innkeep.session import checkpoint_dir, remove_staged
 
     staging = os.path.join(checkpoint_dir(spark), "staging")
-    before = set(glob.glob(os.path.join(staging, "bronze-batch-*")))
+    listed = lambda: set(glob.glob(os.path.join(staging, "bronze-*-*")) + glob.glob(os.path.join(staging, "bronze-new*")))
+    before = listed()
     bronze = str(tmp_path / "bronze-rm")
     res = load_csv(spark, write(tmp_path / "r.csv", [raw_row(), raw_row(arrival_date_day_of_month="2")]), bronze, min_rows=1)
-    assert set(glob.glob(os.path.join(staging, "bronze-batch-*"))) == before
+    assert listed() == before
+    with pytest.raises(VolumeCheckError):
+        load_csv(spark, write(tmp_path / "r2.csv", [raw_row()]), str(tmp_path / "gated"), min_rows=10)
+    assert listed() == before
     assert res.inserted.count() == 2 and spark.read.parquet(bronze).count() == 2
     with pytest.raises(ValueError):
         remove_staged(spark, bronze)

@@ -12,9 +12,11 @@ import pytest
 from conftest import SF_SMALL
 
 from __spark_entry__ import entry, oracle_sql, queries
+from innkeep.oracles import all_oracles
+from innkeep.plans.catalog import all_queries
 
 TABLES = ["orders", "customer", "nation"]
-NAMES = sorted(queries())
+NAMES = sorted(all_queries())
 
 
 def _norm(v):
@@ -43,7 +45,8 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(all_oracles()) == set(all_queries())
+    assert set(all_queries()) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry_runs(spark):

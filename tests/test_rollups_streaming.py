@@ -41,8 +41,53 @@ def test_null_profile_and_crosstab(spark):
     raw_t = R.raw_typed(bronze_df(spark, rows))
     prof = {r.column_name: r.null_count for r in R.null_profile(raw_t).collect()}
     assert prof == {"children": 2, "company": 2}
-    (ct,) = R.cancel_crosstab(raw_t).collect()
-    assert (ct.share_0, ct.share_1) == (0.5, 0.5)
+    ct = {(r.hotel, r.is_canceled): r.share for r in R.cancel_crosstab(raw_t).collect()}
+    assert ct == {("Hotel", 0): 0.5, ("Hotel", 1): 0.5}
+
+
+def test_crosstab_has_every_flag(spark):
+    rows = [raw_row(is_canceled=f, arrival_date_day_of_month=str(i + 1)) for i, f in enumerate("0122")]
+    ct = {r.is_canceled: r.share for r in R.cancel_crosstab(R.raw_typed(bronze_df(spark, rows))).collect()}
+    assert ct == {0: 0.25, 1: 0.25, 2: 0.5}
+
+
+def test_value_counts_returns_all_values(spark):
+    rows = [raw_row(country=f"C{i:02d}", arrival_date_day_of_month=str(1 + i % 28), adr=f"{i}.00") for i in range(30)]
+    assert R.value_counts(bronze_df(spark, rows), "country").count() == 30
+
+
+def test_outliers_test_the_rate_as_written(spark):
+    rows = [raw_row(adr=a, arrival_date_day_of_month=str(i + 1)) for i, a in enumerate(["-0.004", "0", "0.00", "NA", "", "-5"])]
+    r = R.outlier_counts(bronze_df(spark, rows)).first()
+    assert (r.negative_rate_rows, r.zero_rate_rows, r.zero_night_rows) == (2, 2, 0)
+
+
+def test_orders_of_presentation(spark):
+    from innkeep.operators import gold
+
+    rows = [raw_row(arrival_date_month=m, country=c, arrival_date_day_of_month=str(i + 1)) for i, (m, c) in enumerate([("July", "PRT"), ("March", "ESP"), ("December", "PRT"), ("March", "FRA")])]
+    silver = build_silver(bronze_df(spark, rows))
+    ranked = gold.presentation_order_countries(gold.popular_countries(silver)).collect()
+    assert [r.country for r in ranked][0] == "PRT" and [r.popularity_rank for r in ranked] == [1, 2, 2]
+    months = [r.year_month for r in gold.presentation_order_mom(gold.mom_growth(silver)).collect()]
+    assert months == sorted(months)
+    assert [r.arrival_date_month for r in R.seasonality_ordered(silver).collect()] == ["March", "July", "December"]
+
+
+def test_catalog_sink_is_bucketed(spark):
+    from innkeep.session import cluster_conf
+    from innkeep.sources.tables import ensure_layers, save_layer_table
+
+    ensure_layers(spark)
+    assert {"bronze", "silver", "gold"} <= {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+    name = save_layer_table(bronze_df(spark, [raw_row(), raw_row(adr="2.00")]), "bronze", "t_bucketed", bucket_by=(4, "_row_hash"))
+    try:
+        table = spark.table(name)
+        assert table.count() == 2
+        assert "Exchange hashpartitioning" not in table.groupBy("_row_hash").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+    assert int(cluster_conf(1000, 1 << 40)["spark.sql.shuffle.partitions"]) >= 3000
 
 
 def test_numeric_summary_quartiles(spark):
@@ -78,6 +123,18 @@ def test_stream_ingests_each_file_once_and_skips_known_rows(spark, tmp_path):
     assert stored.count() == 3 and stored.select("_row_hash").distinct().count() == 3
 
 
+def test_stream_reads_any_header_order_and_ignores_extras(spark, tmp_path):
+    from test_csv_bronze import write
+
+    drop = tmp_path / "drop-order"
+    os.makedirs(drop)
+    bronze, ckpt = staging_path(spark, "t-bronze-o"), staging_path(spark, "t-ckpt-o")
+    write(drop / "a.csv", [raw_row()])
+    write(drop / "b.csv", [raw_row(hotel="Apartment")], columns=list(reversed(RAW_COLUMNS)), extra=["note"])
+    ingest_available(spark, str(drop), bronze, ckpt)
+    assert sorted(r.hotel for r in spark.read.parquet(bronze).collect()) == ["Apartment", "Hotel"]
+
+
 def test_stream_keeps_quoted_newlines(spark, tmp_path):
     drop = tmp_path / "drop-ml"
     os.makedirs(drop)
