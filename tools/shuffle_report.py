@@ -19,10 +19,11 @@ import tempfile
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from innkeep.operators.bronze import load_csv, new_rows, read_bronze  # noqa: E402
-from innkeep.operators.silver import build_silver  # noqa: E402
+from innkeep.operators.silver import build_silver, has_repeated  # noqa: E402
 from innkeep.plans import datasets as D  # noqa: E402
 from innkeep.plans.catalog import all_queries  # noqa: E402
 from innkeep.session import get_session, staging_path  # noqa: E402
+from innkeep.sources.tables import SILVER_PARTITIONING, write_layer  # noqa: E402
 
 QUERIES = ["popular_countries", "mom_growth", "kpi_summary", "numeric_summary", "null_profile", "dq_report"]
 
@@ -37,21 +38,17 @@ def steps(spark, sf: str):
     out.append(("load_csv again (all rows stored)", lambda: load_csv(spark, extract, bronze, min_rows=1)))
 
     def silver(dedup):
-        return lambda: build_silver(spark.read.parquet(bronze), dedup=dedup).write.format("noop").mode("overwrite").save()
+        target = staging_path(spark, "shuffle-silver")
+        return lambda: write_layer(build_silver(spark.read.parquet(bronze), dedup=dedup), target, partition_by=SILVER_PARTITIONING)
 
-    out.append(("silver from bronze, dedup=auto", silver("auto")))
-    out.append(("silver from bronze, dedup=True", silver(True)))
+    out.append(("has_repeated alone", lambda: has_repeated(spark.read.parquet(bronze))))
+    out.append(("silver written from bronze, dedup=auto", silver("auto")))
+    out.append(("silver written from bronze, dedup=True", silver(True)))
 
-    def insert(rows):
-        def run():
-            batch = D.landing(spark, sf).drop("_malformed")
-            new_rows(batch, read_bronze(spark, bronze), batch_rows=rows).write.format("noop").mode("overwrite").save()
+    def insert():
+        new_rows(D.landing(spark, sf), read_bronze(spark, bronze)).write.format("noop").mode("overwrite").save()
 
-        return run
-
-    n = D.landing(spark, sf).count()
-    out.append(("insert-if-absent, counted batch", insert(n)))
-    out.append(("insert-if-absent, no count", insert(None)))
+    out.append(("insert-if-absent, all rows stored", insert))
     for q in QUERIES:
         out.append((q, lambda q=q: qs[q](spark, sf).collect()))
     return out
