@@ -30,10 +30,10 @@ from pyspark.sql import types as T
 
 from innkeep.llm.common import MIX as _MIX
 from innkeep.llm.common import MIX2 as _MIX2
-from innkeep.llm.common import chunks, fold, key_words, utf8, with_arrow
+from innkeep.llm.common import chunks, fold, key_words, small_batches, utf8, with_arrow
 
 #: Merged pre-tokens in each of the two generations that a worker remembers (about 200 bytes each).
-MEMO_ENTRIES = 200_000
+MEMO_ENTRIES = 50_000
 #: Largest vocabulary file that is broadcast (public vocabularies have under 10 MB).
 MAX_VOCABULARY_BYTES = 64 << 20
 
@@ -355,6 +355,7 @@ def encode(docs: DataFrame, vocabulary, text_col: str = "text", arrays: bool = F
 
 def decode(encoded: DataFrame, vocabulary, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """The other columns and ``decoded``: the bytes that the ids stand for; the ids column goes. Null ids: no bytes."""
+    small_batches(encoded.sparkSession)
     kept = [c for c in encoded.columns if c not in (ids_col, out_col)]
     schema = T.StructType([*(encoded.schema[c] for c in kept), T.StructField(out_col, T.BinaryType())])
 

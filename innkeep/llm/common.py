@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from innkeep.session import staging_path
 
 #: Bytes of text that a Python worker handles at a time; a longer text is handled alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 512 << 10
+#: Rows in an Arrow batch at most: texts can be long, and each Python stage holds batches in and out.
+BATCH_ROWS = 500
 MIX, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
@@ -47,6 +49,13 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[pa.Array]:
         first = last
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches at BATCH_ROWS rows or fewer."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def with_arrow(
     df: DataFrame, text_col: str, fields: list[T.StructField], compute: Callable[[pa.Array], dict[str, pa.Array]]
 ) -> DataFrame:
@@ -56,6 +65,7 @@ def with_arrow(
     does not grow with the partition. A computed column replaces an input
     column of the same name.
     """
+    small_batches(df.sparkSession)
     new = {f.name for f in fields}
     kept = [c for c in df.columns if c not in new]
     source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("_llm_text"))
@@ -70,6 +80,7 @@ def with_arrow(
                 columns = [batch.column(i).slice(first, len(part)) for i in range(len(kept))]
                 first += len(part)
                 yield pa.RecordBatch.from_arrays(columns + [made[f.name] for f in fields], names=[f.name for f in schema.fields])
+        pa.default_memory_pool().release_unused()
 
     return source.mapInArrow(run, schema)
 

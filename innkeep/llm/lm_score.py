@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innkeep.llm.common import MIX, MIX2, chunks, staged, utf8, word_hashes
+from innkeep.llm.common import MIX, MIX2, chunks, small_batches, staged, utf8, word_hashes
 
 CHUNK_BYTES = 8 << 20
 #: Learning text, in tokens, that one hash range's task adds up.
@@ -250,6 +250,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     learn: which documents the counts and weights are learned from.
     """
+    small_batches(docs.sparkSession)
     packed = staged(packed_chunks(docs, id_col, text_col, learn), "chunks")
     sums = packed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("learned"), F.lit(0)), F.sum(F.size("ids")), F.sum(F.aggregate("learns", F.lit(0), lambda a, x: a + x.cast("int")))).first()
     n, starts = int(sums[1]), int(sums[3] or 0)

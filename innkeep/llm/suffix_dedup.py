@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innkeep.llm.common import MIX, MIX2, chunks, staged, utf8
+from innkeep.llm.common import MIX, MIX2, chunks, small_batches, staged, utf8
 from innkeep.session import remove_staged, staging_path
 
 WINDOW = 200
@@ -318,6 +318,7 @@ def shared_windows(split: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
     """One row a document: the id, ``n_bytes``, ``n_removed``, ``n_spans``, ``spans`` (start, end in bytes) and ``kept`` (bytes)."""
     spark = docs.sparkSession
+    small_batches(spark)
     source = docs.select(F.col(f"`{id_col}`").alias("_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("_text"))
     index = IndexFamily(spark)
     stored = []
