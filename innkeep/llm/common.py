@@ -133,16 +133,6 @@ def word_hashes(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return out, np.searchsorted(first, at)
 
 
-def words(text: Column) -> Column:
-    """The array of a text's words (null: none)."""
-    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({WORD})"), F.lit(1))
-
-
-def lower_az(text: Column) -> Column:
-    """Lower-case A-Z only; other letters stay."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id's text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % n

@@ -10,7 +10,6 @@ import tiktoken
 from pyspark.sql import functions as F
 
 from innkeep.llm import bpe, decontam, langid, license_scan, lm_score, minhash, quality, queries, secrets, suffix_dedup, token_rollup
-from innkeep.llm.common import lower_az, words
 
 from . import brute
 
@@ -314,11 +313,6 @@ def test_token_counts_query(spark, case):
     same(result(got, *got.columns), expected)
 
 
-def test_helpers(spark):
-    row = spark.createDataFrame([("ÀB c\x0bd e",), (None,)], "t string").select(words(F.col("t")).alias("w"), lower_az(F.col("t")).alias("l")).collect()
-    assert row[0]["w"] == ["ÀB", "c", "d e"] and row[0]["l"] == "Àb c\x0bd e" and row[1]["w"] == []
-
-
 def test_langid_without_labels(spark):
     docs = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
     assert langid.fit(docs) == {}
