@@ -11,9 +11,11 @@ union sketch is not far below the threshold, and then confirmed on full sets.
 Texts with equal sets are one node from the start, so copies cost nothing.
 Lists of up to SMALL_LIST sets propose all their pairs, each different list
 once. Larger lists never do: their sets meet under a leader (the set whose
-lists are the longest), dealt into blocks, and each pair of blocks is compared
-on full sets inside a task that returns links only, at most one a set. Sets
-with COLD_RUNS or more runs in smaller lists are left out of the large ones,
+lists are the longest), dealt into blocks. Each block is first compared, on
+full sets, with itself, the leader and a few more pivots: near copies of one
+text are then connected with the leader, and connected sets need no more
+comparing among themselves. Only for the sets left over is each pair of blocks
+compared; a task returns links only, at most one a set. Sets with COLD_RUNS or more runs in smaller lists are left out of the large ones,
 because every partner shares one of those (a miss is below 1 in 10^6).
 
 Defined results: a text without words (or null) has an empty set and is linked
@@ -27,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,6 +43,8 @@ LEAST_SET = 6
 SMALL_LIST = 32
 COLD_RUNS = 30
 BLOCK_SETS = 256
+#: Sets of a large group that every block of it meets first.
+PIVOTS = 16
 #: Pairs estimated lower are dropped: seven standard deviations below a similarity of 0.85.
 LEAST_ESTIMATE = 0.5
 #: Ids of candidate sets that are broadcast at most (8 bytes each); beyond it Spark picks the join.
@@ -139,16 +143,14 @@ def small_list_pairs(lists: DataFrame, least: float) -> DataFrame:
 
 
 def large_list_groups(lists: DataFrame) -> DataFrame:
-    """(leader, set_id): sets of large lists under the list's leader, without those that smaller lists cover."""
+    """(leader, set_id): sets of large lists under the list's leader (one of them), without those that smaller lists cover."""
     large = F.col("members") > SMALL_LIST
-    by_set = lists.groupBy("set_id").agg(
-        F.sum("members").alias("weight"), F.sum((~large).cast("int")).alias("in_small"), F.sum(large.cast("int")).alias("in_large")
-    )
-    hot = by_set.where("in_large > 0").select("set_id", "weight", "in_large")
-    rows = lists.where(large).join(hot, "set_id")
-    leaders = rows.groupBy("run").agg(F.max(F.struct("weight", "set_id")).alias("l")).select("run", F.col("l.set_id").alias("leader"))
+    by_set = lists.groupBy("set_id").agg(F.sum("members").alias("weight"), F.sum(large.cast("int")).alias("in_large"))
+    hot = by_set.where("in_large > 0")
     runs = F.greatest(F.least(F.col("n"), F.lit(SKETCH)) - RUN + 1, F.lit(0))
-    return rows.where(runs - F.col("in_large") < COLD_RUNS).join(leaders, "run").select("leader", "set_id").distinct()
+    rows = lists.where(large).join(hot, "set_id").where(runs - F.col("in_large") < COLD_RUNS)
+    leaders = rows.groupBy("run").agg(F.max(F.struct("weight", "set_id")).alias("l")).select("run", F.col("l.set_id").alias("leader"))
+    return rows.join(leaders, "run").select("leader", "set_id").distinct()
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -205,34 +207,82 @@ def block_links(ids: list[bytes], rows: list[np.ndarray], percent: int) -> list[
     size = np.array([len(r) for r in rows], np.float64)
     ok = 100 * common >= percent * (size[:, None] + size[None, :] - common)
     parent = list(range(len(ids)))
-
-    def top(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
     out = []
     for i, j in zip(*map(np.ndarray.tolist, np.nonzero(np.triu(ok, 1))), strict=True):
-        if (a := top(i)) != (b := top(j)):
+        if (a := _top(parent, i)) != (b := _top(parent, j)):
             parent[a] = b
             out.append((ids[i], ids[j]))
     return out
 
 
-def block_pairs(groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
-    """Links inside the groups. A group's sets are dealt into blocks; each pair of blocks is a task's work."""
+def _top(parent: list[int] | dict[bytes, bytes], i: int | bytes) -> int | bytes:
+    while parent[i] != i:
+        parent[i] = i = parent[parent[i]]
+    return i
+
+
+def not_with(leader: bytes, ids: list[bytes], links: list[tuple[bytes, bytes]]) -> set[bytes]:
+    """The ids that the links do not connect with the leader."""
+    parent = {i: i for i in ids}
+    for a, b in links:
+        parent[_top(parent, a)] = _top(parent, b)
+    return {i for i in ids if _top(parent, i) != _top(parent, leader)}
+
+
+def _sets(frame: pd.DataFrame) -> tuple[list[bytes], list[np.ndarray]]:
+    return list(frame["set_id"]), [np.frombuffer(b, np.uint64) for b in frame["full"]]
+
+
+def _block(blocks: str) -> Column:
+    return F.pmod(F.xxhash64("set_id"), F.col(blocks)).cast("int")
+
+
+def pivot_links(groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(leader, a, b): links found when each block of a group meets the group's leader and some more pivots.
+
+    A row without b is a set that its own block does not connect with the leader.
+    The work grows with the group, not with its square.
+    """
     blocks = groups.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks"))
-    rows = groups.join(blocks, "leader").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    rows = rows.select("leader", "set_id", "own", other)
-    rows = rows.select("leader", "set_id", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    rows = rows.join(full, "set_id")
+    order = Window.partitionBy("leader").orderBy(F.col("leader") != F.col("set_id"), F.xxhash64("set_id", F.lit(1)), "set_id")
+    pivots = groups.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS).join(blocks, "leader")
+    rows = groups.join(blocks, "leader").select("leader", "set_id", _block("blocks").alias("own"), F.lit(True).alias("home"))
+    everywhere = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own")
+    rows = rows.union(pivots.select("leader", "set_id", everywhere, F.lit(False)))
+    rows = rows.groupBy("leader", "set_id", "own").agg(F.max("home").alias("home")).join(full, "set_id")
+
+    def compare(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
+        ids, sets = _sets(frame)
+        links = block_links(ids, sets, percent)
+        apart = not_with(key[0], ids, links)
+        out = [(key[0], a, b) for a, b in links] + [(key[0], a, None) for a, home in zip(ids, frame["home"], strict=True) if home and a in apart]
+        return pd.DataFrame(out, columns=["leader", "a", "b"])
+
+    return rows.groupBy("leader", "own").applyInPandas(compare, "leader binary, a binary, b binary").distinct()
+
+
+def block_pairs(groups: DataFrame, met: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Links of the sets that are not yet connected with their group's leader, to each other and to the others of the group.
+
+    Sets that are connected with the leader need no comparison among
+    themselves. Both kinds are dealt into blocks, those left first; each pair
+    of blocks of which one has sets left is a task's work.
+    """
+    linked = met.where("b IS NOT NULL")
+    left = met.where("b IS NULL").select("leader", F.col("a").alias("set_id")).withColumn("left", F.lit(True))
+    rows = groups.join(left, ["leader", "set_id"], "left").withColumn("left", F.coalesce("left", F.lit(False)))
+    n = lambda c: F.ceil(F.sum(c.cast("int")) / BLOCK_SETS).cast("int")
+    blocks = rows.groupBy("leader").agg(n(F.col("left")).alias("n_left"), n(~F.col("left")).alias("n_met")).where("n_left > 0")
+    rows = rows.join(blocks, "leader")
+    own = F.when(F.col("left"), _block("n_left")).otherwise(F.col("n_left") + _block("n_met"))
+    last = F.when(F.col("left"), F.col("n_left") + F.col("n_met")).otherwise(F.col("n_left")) - 1
+    rows = rows.select("leader", "set_id", own.alias("own"), F.explode(F.sequence(F.lit(0), last)).alias("other"))
+    rows = rows.select("leader", "set_id", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).join(full, "set_id")
 
     def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        sets = [np.frombuffer(b, np.uint64) for b in frame["full"]]
-        return pd.DataFrame(block_links(list(frame["set_id"]), sets, percent), columns=["a", "b"])
+        return pd.DataFrame(block_links(*_sets(frame), percent), columns=["a", "b"])
 
-    return rows.groupBy("leader", "i", "j").applyInPandas(compare, "a binary, b binary").distinct()
+    return rows.groupBy("leader", "i", "j").applyInPandas(compare, "a binary, b binary").distinct().union(linked.select("a", "b"))
 
 
 # ---------------------------------------------------------------- components
@@ -285,7 +335,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ids = F.broadcast(ids)
     full = full_sets(source.join(ids, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi"), "_text")
     full = staged(full.join(wanted.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"]), "full-sets")
-    links = confirm_pairs(pairs, full, percent).union(block_pairs(groups, full, percent))
+    met = staged(pivot_links(groups, full, percent), "pivot-links")
+    links = confirm_pairs(pairs, full, percent).union(block_pairs(groups, met, full, percent))
     reached = components(links)
     by_set = sets.join(reached, F.col("set_id") == F.col("node"), "left").select("set_id", "rep", F.coalesce("component", "set_id").alias("component"))
     smallest = by_set.groupBy("component").agg(F.min("rep").alias("component_id"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 
+import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -221,15 +222,52 @@ def test_suffix_levels_merge(spark):
     assert result(index._sum(index.read()), "anchor", "context", "count") == result(whole, "anchor", "context", "count")
 
 
-@pytest.mark.parametrize(("small", "cold", "block"), [(32, 30, 256), (2, 1000, 8)])
-def test_near_duplicates(spark, case, small, cold, block, monkeypatch):
+@pytest.mark.parametrize(("small", "cold", "block", "pivots"), [(32, 30, 256, 16), (2, 1000, 8, 1)])
+def test_near_duplicates(spark, case, small, cold, block, pivots, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL_LIST", small)
     monkeypatch.setattr(minhash, "COLD_RUNS", cold)
     monkeypatch.setattr(minhash, "BLOCK_SETS", block)
+    monkeypatch.setattr(minhash, "PIVOTS", pivots)
     rows, path = case
     same(result(queries.op10_minhash(spark, path), "doc_id", "n_shingles", "component_id", "kept"), brute.near_duplicates(rows))
 
 
+def large_groups():
+    """Near copies of one text, a chain of texts of which only neighbours are linked, and texts that share one line."""
+    import random
+
+    r = random.Random(5)
+    word = lambda: f"w{r.randrange(50_000)}"
+    base, line = [word() for _ in range(160)], [word() for _ in range(30)]
+    near = [[*base[:k], word(), *base[k + 1 :]] for k in range(160)]
+    chain = [[word() for _ in range(120)]]
+    for _ in range(79):
+        chain.append([*chain[-1][6:], *(word() for _ in range(6))])
+    shared = [[*line, *(word() for _ in range(r.choice((1, 3, 9, 40))))] for _ in range(150)]
+    texts = [" ".join(t) for t in [*near, *chain, *shared]]
+    r.shuffle(texts)
+    return list(enumerate(texts))
+
+
+@pytest.mark.parametrize(("block", "pivots"), [(16, 4), (40, 1)])
+def test_near_duplicates_in_large_groups(spark, tmp_path, block, pivots, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SETS", block)
+    monkeypatch.setattr(minhash, "PIVOTS", pivots)
+    rows = large_groups()
+    path = folder(spark, tmp_path, rows)
+    same(result(queries.op10_minhash(spark, path), "doc_id", "n_shingles", "component_id", "kept"), brute.near_duplicates(rows))
+
+
+def test_copies_with_few_changes_are_connected_by_the_pivots(spark):
+    ids = [bytes([k]) for k in range(60)]
+    full = spark.createDataFrame([(i, np.array([*range(3, 90), 100 + k], np.uint64).tobytes()) for k, i in enumerate(ids)], "set_id binary, full binary")
+    groups = full.select(F.lit(ids[7]).alias("leader"), "set_id")
+    met = minhash.pivot_links(groups, full, 85)
+    assert met.where("b IS NULL").count() == 0
+    found = minhash.components(minhash.block_pairs(groups, met, full, 85).select("a", "b")).collect()
+    assert len(found) == 60 and {bytes(r["component"]) for r in found} == {ids[0]}
+
+
 def test_components_of_a_chain(spark):
     links = spark.range(0, 40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     found = minhash.components(links).collect()
