@@ -29,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -43,7 +43,7 @@ LEAST_SET = 6
 SMALL_LIST = 32
 COLD_RUNS = 30
 BLOCK_SETS = 256
-#: Sets of a large group that every block of it meets first.
+#: Sets of a large group that every block of it meets first, besides the leader.
 PIVOTS = 16
 #: Pairs estimated lower are dropped: seven standard deviations below a similarity of 0.85.
 LEAST_ESTIMATE = 0.5
@@ -244,8 +244,10 @@ def pivot_links(groups: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     The work grows with the group, not with its square.
     """
     blocks = groups.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks"))
-    order = Window.partitionBy("leader").orderBy(F.col("leader") != F.col("set_id"), F.xxhash64("set_id", F.lit(1)), "set_id")
-    pivots = groups.withColumn("k", F.row_number().over(order)).where(F.col("k") <= PIVOTS).join(blocks, "leader")
+    # the smallest id (a hash) of each share of a group; grouped by share too, so that a large group is no single key
+    share = F.pmod(F.xxhash64("set_id", F.lit(1)), F.lit(PIVOTS)).alias("share")
+    pivots = groups.groupBy("leader", share).agg(F.min("set_id").alias("set_id")).select("leader", "set_id")
+    pivots = pivots.union(blocks.select("leader", F.col("leader").alias("set_id"))).join(blocks, "leader")
     rows = groups.join(blocks, "leader").select("leader", "set_id", _block("blocks").alias("own"), F.lit(True).alias("home"))
     everywhere = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("own")
     rows = rows.union(pivots.select("leader", "set_id", everywhere, F.lit(False)))
