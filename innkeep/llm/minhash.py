@@ -15,8 +15,9 @@ lists are the longest), dealt into blocks. Each block is first compared, on
 full sets, with itself, the leader and a few more pivots: near copies of one
 text are then connected with the leader, and connected sets need no more
 comparing among themselves. Only for the sets left over is each pair of blocks
-compared; a task returns links only, at most one a set. Sets with COLD_RUNS or more runs in smaller lists are left out of the large ones,
-because every partner shares one of those (a miss is below 1 in 10^6).
+compared; a task returns links only, at most one a set. Every set with a run in
+a large list takes part, however many other runs it has: those may all stem from
+its own additions, which no partner shares.
 
 Defined results: a text without words (or null) has an empty set and is linked
 with nothing. A text of fewer than five words has one shingle. Rows with equal
@@ -41,6 +42,7 @@ RUN = 3
 #: Smallest set that can have a different partner at the threshold.
 LEAST_SET = 6
 SMALL_LIST = 32
+#: Without effect: no set is left out of a large list. Tests set the name.
 COLD_RUNS = 30
 BLOCK_SETS = 256
 #: Sets of a large group that every block of it meets first, besides the leader.
@@ -143,12 +145,9 @@ def small_list_pairs(lists: DataFrame, least: float) -> DataFrame:
 
 
 def large_list_groups(lists: DataFrame) -> DataFrame:
-    """(leader, set_id): sets of large lists under the list's leader (one of them), without those that smaller lists cover."""
-    large = F.col("members") > SMALL_LIST
-    by_set = lists.groupBy("set_id").agg(F.sum("members").alias("weight"), F.sum(large.cast("int")).alias("in_large"))
-    hot = by_set.where("in_large > 0")
-    runs = F.greatest(F.least(F.col("n"), F.lit(SKETCH)) - RUN + 1, F.lit(0))
-    rows = lists.where(large).join(hot, "set_id").where(runs - F.col("in_large") < COLD_RUNS)
+    """(leader, set_id): all sets of large lists under the list's leader (one of them)."""
+    weight = lists.groupBy("set_id").agg(F.sum("members").alias("weight"))
+    rows = lists.where(F.col("members") > SMALL_LIST).join(weight, "set_id")
     leaders = rows.groupBy("run").agg(F.max(F.struct("weight", "set_id")).alias("l")).select("run", F.col("l.set_id").alias("leader"))
     return rows.join(leaders, "run").select("leader", "set_id").distinct()
 

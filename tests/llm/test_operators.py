@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -258,6 +259,33 @@ def test_near_duplicates_in_large_groups(spark, tmp_path, block, pivots, monkeyp
     same(result(queries.op10_minhash(spark, path), "doc_id", "n_shingles", "component_id", "kept"), brute.near_duplicates(rows))
 
 
+def additions_to_one_text():
+    """A text and 200 texts that add words of their own to it (similarity 0.85 to 0.87), 12 of them with 30 or more runs of their own."""
+    import random
+
+    import pyarrow as pa
+
+    r = random.Random(11)
+    base = [f"t{k}" for k in range(300)]
+    texts = [" ".join([*base, *(f"w{r.randrange(10**9)}" for _ in range(r.randint(45, 52)))]) for _ in range(12_000)]
+    runs = lambda s: {tuple(s[k : k + minhash.RUN].tolist()) for k in range(minhash.SKETCH - minhash.RUN + 1)}
+    whole, *sets = minhash.shingle_sets(pa.array([" ".join(base), *texts]))
+    assert all(0.85 <= len(whole) / len(s) <= 0.87 for s in sets)
+    hot = {run for run, n in Counter(run for s in sets[:200] for run in runs(s)).items() if n > 40}
+    own = [len(runs(s) - hot) for s in sets]
+    cold = [t for t, n in zip(texts, own, strict=True) if 30 <= n < 46][:12]
+    assert len(cold) == 12
+    return list(enumerate([" ".join(base), *texts[:188], *cold]))
+
+
+def test_near_duplicates_with_many_runs_of_their_own(spark, tmp_path):
+    rows = additions_to_one_text()
+    path = folder(spark, tmp_path, rows)
+    expected = brute.near_duplicates(rows)
+    assert {c for *_, c, _ in expected} == {0}
+    same(result(queries.op10_minhash(spark, path), "doc_id", "n_shingles", "component_id", "kept"), expected)
+
+
 def test_copies_with_few_changes_are_connected_by_the_pivots(spark):
     ids = [bytes([k]) for k in range(60)]
     full = spark.createDataFrame([(i, np.array([*range(3, 90), 100 + k], np.uint64).tobytes()) for k, i in enumerate(ids)], "set_id binary, full binary")
