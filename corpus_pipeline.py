@@ -10,6 +10,8 @@ from innkeep.llm import bpe, decontam, langid, minhash, secrets
 from innkeep.llm.common import staged
 
 VOCABULARY_FILE = "byte_bpe_50k.tiktoken"
+#: Least similarity of near-duplicates in the corpus, in percent (85 is the contract of query op10 only).
+NEAR_PERCENT = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +22,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays (rows of one id are one document)."""
-    found = minhash.near_duplicates(docs.select("doc_id", "text"))
+    found = minhash.near_duplicates(docs.select("doc_id", "text"), percent=NEAR_PERCENT)
     dropped = staged(found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
     if dropped.count() <= minhash.BROADCAST_IDS:
         dropped = F.broadcast(dropped)

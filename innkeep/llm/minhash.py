@@ -3,9 +3,11 @@
 A text's set holds the 64-bit hashes of its five-word shingles; its sketch is
 the ``SKETCH`` smallest of them. Inverted lists over retained values propose
 pairs: a list's key is a run of three retained values in a row, which two sets
-of Jaccard similarity 0.85 share unless none of the first 48 values of their
-union starts such a run (less than 1 case in 10^9; sets within the sketch's
-size always share one). Proposed pairs are kept if the estimate from their
+at the threshold share unless the first 48 values of their union hold no such
+run (less than 1 case in 10^9 at a similarity of 0.85, 1 in 10^7 at 0.80, the
+lowest threshold taken). Sets within the sketch's size always share one, but
+for four values that are all among another set's five (0.80): such short sets
+are listed under runs of two as well. Proposed pairs are kept if the estimate from their
 union sketch is not far below the threshold, and then confirmed on full sets.
 
 Texts with equal sets are one node from the start, so copies cost nothing.
@@ -39,16 +41,16 @@ from innkeep.llm.common import MIX, MIX2, staged, utf8, with_arrow, word_hashes
 SHINGLE_WORDS = 5
 SKETCH = 48
 RUN = 3
-#: Smallest set that can have a different partner at the threshold.
-LEAST_SET = 6
+#: Lowest threshold for which runs of RUN values are shown to find pairs.
+LEAST_PERCENT = 80
 SMALL_LIST = 32
 #: Without effect: no set is left out of a large list. Tests set the name.
 COLD_RUNS = 30
 BLOCK_SETS = 256
 #: Sets of a large group that every block of it meets first, besides the leader.
 PIVOTS = 16
-#: Pairs estimated lower are dropped: seven standard deviations below a similarity of 0.85.
-LEAST_ESTIMATE = 0.5
+#: Pairs estimated so many standard deviations below the threshold are dropped.
+ESTIMATE_DEVIATIONS = 7
 #: Ids of candidate sets that are broadcast at most (8 bytes each); beyond it Spark picks the join.
 BROADCAST_IDS = 2_000_000
 
@@ -120,13 +122,23 @@ def full_sets(docs: DataFrame, text_col: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- candidates
-def inverted_lists(sets: DataFrame) -> DataFrame:
-    """(run, set_id, n, members): each set under each run of its sketch that another set has too."""
+def short_union(percent: int) -> int:
+    """Size of the largest union, within the sketch, of two different sets at the threshold that may hold no shared run (0: none)."""
+    apart = ((u, u * (100 - percent) // 100) for u in range(1, SKETCH + 1))
+    return max((u for u, d in apart if d and u - d <= (RUN - 1) * (d + 1)), default=0)
+
+
+def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
+    """(run, set_id, n, members): each set that can have a different partner, under each run of its sketch that another set has too."""
     sketch = F.col("sketch")
-    runs = F.transform(
-        F.sequence(F.lit(0), F.size(sketch) - RUN), lambda i: F.xxhash64(*(F.get(sketch, i + k) for k in range(RUN)))
-    )
-    rows = sets.where(F.col("n") >= LEAST_SET).select("set_id", "n", F.explode(runs).alias("run"))
+
+    def runs(length: int) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.size(sketch) - length), lambda i: F.xxhash64(*(F.get(sketch, i + k) for k in range(length))))
+
+    keys = runs(RUN)
+    if short := short_union(percent):
+        keys = F.when(F.col("n") <= short, F.concat(keys, runs(RUN - 1))).otherwise(keys)
+    rows = sets.where((100 - percent) * F.col("n") >= percent).select("set_id", "n", F.explode(keys).alias("run"))
     shared = rows.groupBy("run").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     return rows.join(shared, "run")
 
@@ -152,6 +164,11 @@ def large_list_groups(lists: DataFrame) -> DataFrame:
     return rows.join(leaders, "run").select("leader", "set_id").distinct()
 
 
+def least_estimate(percent: int) -> float:
+    share = percent / 100
+    return share - ESTIMATE_DEVIATIONS * (share * (1 - share) / SKETCH) ** 0.5
+
+
 def estimate(a: Column, b: Column) -> Column:
     """The Jaccard similarity estimated from the union's sketch."""
     union = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
@@ -312,6 +329,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """One row a document: the id, ``n_shingles``, ``component_id`` and ``kept`` (the smallest id of its group)."""
+    if not LEAST_PERCENT <= percent <= 100:
+        raise ValueError(f"a threshold of {percent} % is not within {LEAST_PERCENT} to 100")
     doc_id = F.col(f"`{id_col}`")
     least = percent / 100
     source = docs.select(doc_id.alias("_id"), F.col(f"`{text_col}`").alias("_text"))
@@ -322,12 +341,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .agg(F.min("_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")),
         "sets",
     )
-    lists = staged(inverted_lists(sets), "lists")
+    lists = staged(inverted_lists(sets, percent), "lists")
     sketches = sets.select("set_id", "sketch")
     pairs = small_list_pairs(lists, least)
     pairs = pairs.join(sketches.select(F.col("set_id").alias("a"), F.col("sketch").alias("sa")), "a")
     pairs = pairs.join(sketches.select(F.col("set_id").alias("b"), F.col("sketch").alias("sb")), "b")
-    pairs = staged(pairs.where(estimate(F.col("sa"), F.col("sb")) >= min(LEAST_ESTIMATE, least)).select("a", "b"), "pairs")
+    pairs = staged(pairs.where(estimate(F.col("sa"), F.col("sb")) >= least_estimate(percent)).select("a", "b"), "pairs")
     groups = staged(large_list_groups(lists), "groups")
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).union(groups.select("set_id")).distinct()
     wanted = staged(wanted.join(sets, "set_id").select("set_id", F.col("rep").alias("_rep")), "wanted")

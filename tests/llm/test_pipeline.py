@@ -6,10 +6,11 @@ import base64
 import random
 
 import public_tokenizers
+import pytest
 import tiktoken
 
 import corpus_pipeline
-from innkeep.llm import langid
+from innkeep.llm import langid, minhash
 
 from . import brute
 from .test_operators import folder
@@ -82,3 +83,37 @@ def test_stages_on_empty_and_odd_documents(spark, tmp_path):
 
 def test_stages_take_effect_in_the_stated_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "near_dedup", "decontaminate", "mask_secrets", "tokenize"]
+
+
+def pairs_at_the_threshold():
+    """Pairs of texts of similarity 0.80 to 0.85, and pairs of four and five shingles that share four."""
+    r = random.Random(3)
+    words = lambda n: [f"w{r.randrange(10**6)}" for _ in range(n)]
+    out = []
+    for k in range(60):
+        base, short = words(100 if k % 2 else 400), words(8)
+        out += [base, [*base, *words((len(base) - 4) * r.randint(18, 25) // 100)], short, [*short, *words(1)]]
+    return list(enumerate(" ".join(t) for t in out))
+
+
+def test_near_dedup_stage_at_its_threshold(spark, tmp_path):
+    rows = pairs_at_the_threshold()
+    path = folder(spark, tmp_path, rows)
+    want = sorted(i for i, _, _, keep in brute.near_duplicates(rows, 80) if keep)
+    assert len(want) == 120 and all(keep for *_, keep in brute.near_duplicates(rows, 85))
+    found = corpus_pipeline.near_dedup(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+    assert sorted(r["doc_id"] for r in found.collect()) == want
+
+
+def test_runs_at_the_thresholds():
+    def missed(share):
+        """Probability that SKETCH values, each shared with that probability, hold no run of RUN shared ones."""
+        state = [1.0, *[0.0] * (minhash.RUN - 1)]
+        for _ in range(minhash.SKETCH):
+            state = [sum(state) * (1 - share), *(x * share for x in state[:-1])]
+        return sum(state)
+
+    assert missed(0.85) < 1e-9 and missed(0.80) < 1e-7
+    assert [minhash.short_union(p) for p in (80, 81, 85, 99, 100)] == [5, 0, 0, 0, 0]
+    with pytest.raises(ValueError, match="threshold"):
+        minhash.near_duplicates(None, percent=minhash.LEAST_PERCENT - 1)
