@@ -7,7 +7,7 @@ import csv
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from conftest import raw_row
+from conftest import SF_SMALL, raw_row
 
 from innkeep.operators.bronze import VolumeCheckError, load_csv
 from innkeep.schema import RAW_COLUMNS
@@ -304,3 +304,19 @@ def test_load_removes_its_staged_scan_and_refuses_other_paths(spark, tmp_path):
     with pytest.raises(ValueError):
         remove_staged(spark, bronze)
     assert spark.read.parquet(bronze).count() == 2
+
+
+def test_faulty_extract_is_written_by_many_tasks(spark, monkeypatch):
+    import glob
+
+    from innkeep.plans import datasets
+
+    rows = datasets.faulty(spark, SF_SMALL)
+    monkeypatch.setattr(datasets, "_STAGED", {})
+    monkeypatch.setattr(datasets, "faulty", lambda *a: rows.repartition(5))
+    path = datasets.faulty_csv(spark, SF_SMALL)
+    files = [open(f).read().splitlines() for f in glob.glob(f"{path.removeprefix('file:')}/part-*")]
+    files = [f for f in files if f]
+    assert all(f.count(",".join(RAW_COLUMNS)) == 1 and f[0] == ",".join(RAW_COLUMNS) for f in files)
+    assert sum(len(f) > 1 for f in files) == 5
+    assert sum(len(f) - 1 for f in files) == rows.count()
