@@ -52,29 +52,30 @@ def fit(
 ) -> dict[str, bytes]:
     """A raw-content dictionary for each language.
 
-    Of each language ``texts`` texts are taken, in the order of a hash of the
-    text; those of up to ``chars`` code points first, others cut to that
-    length. Each task keeps ``texts`` rows a language before the shuffle.
+    Of each language ``texts`` different texts are taken, in the order of a hash
+    of the text; those of up to ``chars`` code points first, others cut to that
+    length. Copies count once: they are dropped by hash, in the tasks before the
+    shuffle, and only then the first texts are chosen.
     """
     text, lang = F.col(f"`{text_col}`"), F.col(f"`{lang_col}`")
     order = Window.partitionBy("lang").orderBy("long", "h")
-    rows = (
-        labelled.where(lang.isNotNull() & (F.length(F.trim(text)) > 0))
-        .select(
-            lang.cast("string").alias("lang"),
-            F.substring(text, 1, chars).alias("text"),
-            (F.length(text) > chars).alias("long"),
-            F.xxhash64(text).alias("h"),
-        )
-        .withColumn("n", F.row_number().over(order))
-        .where(F.col("n") <= texts)
-        .select("lang", "n", "text")
+    rows = labelled.where(lang.isNotNull() & (F.length(F.trim(text)) > 0)).select(
+        lang.cast("string").alias("lang"),
+        F.substring(text, 1, chars).alias("text"),
+        (F.length(text) > chars).alias("long"),
+        F.xxhash64(text).alias("h"),
     )
+    first = rows.select("lang", "long", "h").distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= texts)
+    chosen = first.limit(MAX_LANGUAGES * texts + 1).collect()
+    if len(chosen) > MAX_LANGUAGES * texts or len({r["lang"] for r in chosen}) > MAX_LANGUAGES:
+        raise ValueError(f"over {MAX_LANGUAGES} languages")
+    if not chosen:
+        return {}
+    chosen = labelled.sparkSession.createDataFrame(chosen, first.schema)
+    rows = rows.join(F.broadcast(chosen), ["lang", "long", "h"]).groupBy("lang", "n").agg(F.min("text").alias("text"))
     by_lang: dict[str, list[tuple[int, str]]] = {}
     for r in rows.collect():  # at most MAX_LANGUAGES x SAMPLE_TEXTS rows of SAMPLE_CHARS
         by_lang.setdefault(r["lang"], []).append((r["n"], r["text"]))
-        if len(by_lang) > MAX_LANGUAGES:
-            raise ValueError(f"over {MAX_LANGUAGES} languages")
     out = {}
     for name, found in sorted(by_lang.items()):
         # the end of a dictionary is the cheapest to refer to: keep the first texts there

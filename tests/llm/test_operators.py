@@ -384,3 +384,13 @@ def test_langid_without_labels(spark):
     assert langid.fit(docs) == {}
     row = langid.identify(docs, {}).first()
     assert (row["lang_pred"], row["score"], row["rejected"]) == ("und", 0.0, True)
+
+
+def test_langid_sample_counts_different_texts(spark):
+    word = lambda n: "".join(chr(97 + int(d)) for d in str(n))
+    rows = [(i, f"same {word(10_000 + i)} text", "en") for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    copies = docs.orderBy(F.xxhash64("text")).limit(1).crossJoin(spark.range(200)).drop("id")
+    found = langid.fit(docs.union(copies))
+    assert found == langid.fit(docs)
+    assert len(set(found["en"].split(b"\n"))) == langid.SAMPLE_TEXTS
