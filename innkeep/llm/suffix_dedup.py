@@ -5,10 +5,11 @@ hash inside it. Windows with equal bytes have their anchor at the same place,
 so only suffixes that begin at anchors (about 1.3 % of all) are indexed. A
 level of the index is a table of these suffixes in the order of their anchor:
 (anchor, context, count), where the context is a hash of all bytes that the
-anchor's windows cover. A new batch gets a level of its own, is scanned
-against the levels there are for anchors and contexts seen before, and levels
-of about equal size are merged, so a suffix is written again only a
-logarithmic number of times.
+anchor's windows cover. A new batch gets a level of its own, and levels of
+about equal size are merged, so a suffix is written again only a logarithmic
+number of times. ``remove_repeats`` does not scan a batch against the levels
+(``IndexFamily.scan`` can): it inserts all batches and then finds the anchors
+that occur twice by one aggregation over the merged index.
 
 Windows whose whole context occurs twice are repeated. If an anchor occurs in
 several contexts, the windows that these share are found by comparing their
