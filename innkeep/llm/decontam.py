@@ -6,7 +6,9 @@ document's text is normalised alike and scanned once; hits are mapped back to
 words and to code points of the original text.
 
 Defined results: null and wordless texts have no words and no hits. Items
-without words have no windows. Rows of one item_id count as one item.
+without words have no windows. Rows of one item_id count as one item. The
+windows of an item with a null id count as hits, but no id is listed for them.
+A benchmark of more than BENCHMARK_BYTES of text is an error.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ WINDOW_WORDS = 10
 #: Text of items in one automaton (some 100 times as much in a worker's memory).
 #: More items are scanned for in as many passes as this bound asks for.
 AUTOMATON_BYTES = 1 << 20
+#: Text of all items at most: it passes through the driver and is broadcast.
+BENCHMARK_BYTES = 64 << 20
 
 # A-Z to a-z; ASCII other than letters and digits to a space; other bytes stay
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -43,17 +47,17 @@ def item_words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-def windows(items: list[tuple[str, str]], size: int = WINDOW_WORDS) -> dict[bytes, list[str]]:
+def windows(items: list[tuple[str | None, str]], size: int = WINDOW_WORDS) -> dict[bytes, list[str]]:
     """Each window's normalised text and the ids of the items that have it."""
     out: dict[bytes, set[str]] = {}
     for item_id, text in items:
         w = item_words(text.encode())
         for i in range(max(1, len(w) - size + 1) if w else 0):
-            out.setdefault(b" ".join(w[i : i + size]), set()).add(item_id)
+            out.setdefault(b" ".join(w[i : i + size]), set()).update([] if item_id is None else [item_id])
     return {k: sorted(v) for k, v in out.items()}
 
 
-def automaton(items: list[tuple[str, str]], size: int = WINDOW_WORDS) -> ahocorasick.Automaton:
+def automaton(items: list[tuple[str | None, str]], size: int = WINDOW_WORDS) -> ahocorasick.Automaton:
     """Patterns begin and end with a space, so that they match whole words; bytes go in as Latin-1."""
     out = ahocorasick.Automaton()
     for window, ids in windows(items, size).items():
@@ -90,13 +94,16 @@ def scan(raw: bytes, found: ahocorasick.Automaton) -> tuple[int, int, list[str],
     return len(words), int(hit.sum()), sorted({i for _, (_, ids) in hits for i in ids}), spans
 
 
-def item_batches(benchmark: DataFrame, id_col: str, text_col: str, most: int = AUTOMATON_BYTES) -> Iterator[list[tuple[str, str]]]:
+def item_batches(benchmark: DataFrame, id_col: str, text_col: str, most: int = AUTOMATON_BYTES) -> Iterator[list[tuple[str | None, str]]]:
     """Items in batches of bounded size. The driver holds one batch at a time (and Spark one partition of items)."""
-    batch, size = [], 0
+    batch, size, total = [], 0, 0
     rows = benchmark.select(F.col(f"`{id_col}`").cast("string").alias("i"), F.col(f"`{text_col}`").alias("t"))
-    for r in rows.where(F.col("i").isNotNull() & F.col("t").isNotNull()).toLocalIterator():
+    for r in rows.where(F.col("t").isNotNull()).toLocalIterator():
         batch.append((r["i"], r["t"]))
-        size += len(r["t"])
+        n = len(r["t"].encode())
+        size, total = size + n, total + n
+        if total > BENCHMARK_BYTES:
+            raise ValueError(f"a benchmark of over {BENCHMARK_BYTES} bytes of text")
         if size >= most:
             yield batch
             batch, size = [], 0

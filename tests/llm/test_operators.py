@@ -394,3 +394,18 @@ def test_langid_sample_counts_different_texts(spark):
     found = langid.fit(docs.union(copies))
     assert found == langid.fit(docs)
     assert len(set(found["en"].split(b"\n"))) == langid.SAMPLE_TEXTS
+
+
+def test_decontamination_items_without_an_id(spark):
+    docs = spark.createDataFrame([(1, "one two three four"), (2, "five six")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "two three"), (3, "three four")], "item_id long, text string")
+    found = {r["doc_id"]: (r["n_hit"], r["items"]) for r in decontam.find_leaks(docs, items).collect()}
+    assert found == {1: (3, ["3"]), 2: (0, [])}
+
+
+def test_decontamination_stops_at_a_benchmark_beyond_its_bound(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "BENCHMARK_BYTES", 20)
+    items = spark.createDataFrame([(k, "one two") for k in range(3)], "item_id long, text string")
+    assert len(list(decontam.item_batches(items.limit(2), "item_id", "text", 1))) == 2
+    with pytest.raises(ValueError, match="benchmark"):
+        list(decontam.item_batches(items, "item_id", "text", 1))
