@@ -21,12 +21,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays (rows of one id are one document)."""
-    found = minhash.near_duplicates(docs.select("doc_id", "text"), percent=NEAR_PERCENT)
-    dropped = staged(found.where(~F.col("kept")).select(F.col("doc_id").alias("_dropped")).distinct(), "dropped")
-    if dropped.count() <= minhash.BROADCAST_IDS:
-        dropped = F.broadcast(dropped)
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["_dropped"]), "left_anti")
+    """Of each group of near-duplicates one row stays: that with the smallest id (a null id last, of one id the smallest text hash)."""
+    dropped = staged(minhash.surplus(docs.select("doc_id", "text"), percent=NEAR_PERCENT), "dropped")
+
+    def is_in(rows: DataFrame, how: str) -> DataFrame:
+        n = rows.count()
+        rows = F.broadcast(rows) if n <= minhash.BROADCAST_IDS else rows
+        return docs.join(rows, docs["doc_id"].eqNullSafe(rows["_id"]) & (F.xxhash64(docs["text"]) == rows["_hash"]), how)
+
+    out = is_in(dropped, "left_anti")
+    copied = dropped.where("stays")
+    if copied.limit(1).count():
+        out = out.union(is_in(copied, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return out
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -329,6 +329,27 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
     """One row a document: the id, ``n_shingles``, ``component_id`` and ``kept`` (the smallest id of its group)."""
+    found = grouped(docs, id_col, text_col, percent)
+    return found.select(F.col("_id").alias(id_col), "n_shingles", "component_id", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def surplus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
+    """(_id, _hash, stays): the rows, by id and xxhash64 of the text, that go so that one row of each group stays.
+
+    The row with the smallest id stays, a null id last; of rows of one id that
+    with the smallest hash. If that row is there more than once, it is listed
+    with ``stays``: one of its copies stays. Texts with empty sets are not listed.
+    """
+    found = grouped(docs, id_col, text_col, percent).where("component is not null")
+    row = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_hash").alias("hash"))
+    keys = staged(found.groupBy("component", "_id", "_hash").agg(F.count(F.lit(1)).alias("copies")), "row-keys")
+    first = keys.groupBy("component").agg(F.min(row).alias("first"), F.sum("copies").alias("rows")).where("rows > 1")
+    keys = keys.join(first, "component").withColumn("stays", row.eqNullSafe(F.col("first")))
+    return keys.where("not stays or copies > 1").select("_id", "_hash", "stays")
+
+
+def grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
+    """One row a document: _id, _hash (of the text), n_shingles, component (a set id of its group; null for an empty set) and component_id."""
     if not LEAST_PERCENT <= percent <= 100:
         raise ValueError(f"a threshold of {percent} % is not within {LEAST_PERCENT} to 100")
     doc_id = F.col(f"`{id_col}`")
@@ -360,9 +381,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     reached = components(links)
     by_set = sets.join(reached, F.col("set_id") == F.col("node"), "left").select("set_id", "rep", F.coalesce("component", "set_id").alias("component"))
     smallest = by_set.groupBy("component").agg(F.min("rep").alias("component_id"))
-    by_set = by_set.join(smallest, "component").select(F.col("set_id").alias("_set"), "component_id")
-    out = signed.join(by_set, F.col("set_id") == F.col("_set"), "left")
-    component = F.coalesce("component_id", "_id")
-    return out.select(
-        F.col("_id").alias(id_col), "n_shingles", component.alias("component_id"), F.col("_id").eqNullSafe(component).alias("kept")
-    )
+    by_set = by_set.join(smallest, "component").select(F.col("set_id").alias("_set"), "component", "component_id")
+    out = signed.withColumn("_hash", F.xxhash64("_text")).join(by_set, F.col("set_id") == F.col("_set"), "left")
+    return out.select("_id", "_hash", "n_shingles", "component", F.coalesce("component_id", "_id").alias("component_id"))

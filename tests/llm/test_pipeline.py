@@ -117,3 +117,20 @@ def test_runs_at_the_thresholds():
     assert [minhash.short_union(p) for p in (80, 81, 85, 99, 100)] == [5, 0, 0, 0, 0]
     with pytest.raises(ValueError, match="threshold"):
         minhash.near_duplicates(None, percent=minhash.LEAST_PERCENT - 1)
+
+
+def test_near_dedup_stage_keeps_one_row_of_each_group(spark, tmp_path):
+    r = random.Random(9)
+    a, b, c, d, e = (" ".join(f"w{r.randrange(10**6)}" for _ in range(80)) for _ in range(5))
+    groups = [
+        [(1, a), (None, a + " end"), (7, a + " more")],
+        [(None, b), (None, b), (None, b + " end")],
+        [(7, c), (7, c), (7, c + " end")],
+        [(None, d)],
+        [(7, e)],
+    ]
+    path = folder(spark, tmp_path, [row for g in groups for row in g] + [(None, None), (None, None), (7, ""), (7, "")])
+    found = corpus_pipeline.near_dedup(spark, spark.read.parquet(f"{path}/documents.parquet"), path)
+    rows = [(x["doc_id"], x["text"]) for x in found.collect()]
+    assert [sum(row in g for row in rows) for g in groups] == [1] * 5
+    assert (1, a) in rows and sum(not t for _, t in rows) == 4 and len(rows) == 9
