@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import bpe, decontam, langid, license_scan, lm_score, minhash, quality, secrets, suffix_dedup, token_rollup
+from innkeep.llm import bpe, decontam, langid, license_scan, lm_score, minhash, quality, secrets, sentence_bpe, suffix_dedup, token_rollup
 from innkeep.llm.common import WORD, crc_mod, staged
 from innkeep.session import staging_path
 
 VOCABULARY_FILE = "byte_bpe_50k.tiktoken"
+PIECES_FILE = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -143,6 +144,14 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_sentence_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = sentence_bpe.broadcast_model(spark, public_tokenizers.path(PIECES_FILE))
+    listed = F.concat_ws(" ", F.col("token_ids").cast("array<string>"))
+    ids = sentence_bpe.encode(docs, model).select("doc_id", "n_tokens", "token_ids", F.sha2(listed, 256).alias("ids_sha256"))
+    return sentence_bpe.decode(ids, model).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
@@ -154,5 +163,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_minhash": op10_minhash,
+    "op11_sentence_bpe": op11_sentence_bpe,
 }
 ORACLES: dict[str, str] = {"op1_token_counts": OP1_SQL}
