@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from innkeep.llm import bpe, decontam, langid, license_scan, lm_score, minhash, quality, secrets, sentence_bpe, suffix_dedup, token_rollup
+from innkeep.llm import bpe, decontam, langid, license_scan, lm_score, minhash, prefix_trie, quality, secrets, sentence_bpe, source_audit, suffix_dedup, token_rollup
 from innkeep.llm.common import WORD, crc_mod, staged
 from innkeep.session import staging_path
 
@@ -152,6 +152,82 @@ def op11_sentence_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentence_bpe.decode(ids, model).select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+OP12_SQL = r"""
+WITH rows_ AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t, turn FROM conversations WHERE conv_id IS NOT NULL),
+turns AS (
+  SELECT conv_id, r, t, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(strlen(r) || ':' || r || t)) - 1 AS place FROM rows_),
+lens AS (
+  SELECT conv_id, count(*) AS n, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(list_prepend(4294967295::UBIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::UBIGINT)),
+             lambda a, b: list_reduce(list_prepend(xor(a, b), list_transform(range(8), lambda k: 0::UBIGINT)), lambda v, k: xor(v >> 1, 3988292384::UBIGINT * (v & 1)))), 4294967295::UBIGINT) % 9 AS h
+  FROM turns GROUP BY conv_id),
+members AS (
+  SELECT c.conv_id, c.base, c.h::BIGINT AS h, least(c.h::BIGINT, coalesce(b.n, 0)) AS head, least(c.h::BIGINT, coalesce(b.n, 0)) + greatest(c.n - c.h::BIGINT, 0) AS total
+  FROM lens c LEFT JOIN lens b ON b.conv_id = c.base),
+seqs AS (
+  SELECT m.conv_id, m.total, t.place - m.h + m.head + 1 AS d, t.r, t.t FROM members m JOIN turns t ON t.conv_id = m.conv_id WHERE t.place >= m.h
+  UNION ALL
+  SELECT m.conv_id, m.total, t.place + 1, t.r, t.t FROM members m JOIN turns t ON t.conv_id = m.base WHERE t.place < m.h),
+paths AS (
+  SELECT conv_id, total, d, strlen(t) AS bytes, list({'r': r, 't': t}) OVER (PARTITION BY conv_id ORDER BY d) AS path FROM seqs
+  UNION ALL
+  SELECT conv_id, total, 0, 0, [] FROM members),
+nodes AS (
+  SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS saved, (max(total) = d)::INT AS leaf,
+         coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (total = d), '') AS ends
+  FROM paths GROUP BY d, path),
+placed AS (
+  SELECT p.conv_id AS member, p.d, n.conv_id, n.saved, n.leaf FROM paths p JOIN nodes n ON n.d = p.d AND n.path = p.path),
+pairs AS (
+  SELECT DISTINCT a.conv_id AS up, a.d AS up_d, b.conv_id, b.d, b.saved, b.leaf FROM placed a JOIN placed b ON a.member = b.member AND a.d <= b.d),
+sums AS (
+  SELECT up AS conv_id, up_d AS d, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens, count(*) FILTER (pairs.d = up_d + 1) AS n_children FROM pairs GROUP BY ALL),
+parents AS (
+  SELECT DISTINCT b.conv_id, b.d, a.conv_id AS parent_conv_id FROM placed a JOIN placed b ON a.member = b.member AND a.d + 1 = b.d)
+SELECT n.conv_id::BIGINT AS conv_id, n.d::BIGINT AS depth, p.parent_conv_id::BIGINT AS parent_conv_id, n.n_convs::BIGINT AS n_convs, s.n_children::BIGINT AS n_children,
+       s.n_leaves::BIGINT AS n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN sums s ON s.conv_id = n.conv_id AND s.d = n.d LEFT JOIN parents p ON p.conv_id = n.conv_id AND p.d = n.d
+"""
+
+
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+tokens AS (SELECT id, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM tokens GROUP BY lang, term HAVING count(DISTINCT id) >= 30),
+langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT t.lang, t.source, t.term, count(*) AS n FROM tokens t JOIN kept k ON k.lang = t.lang AND k.term = t.term GROUP BY ALL),
+sums AS (SELECT lang, source, sum(n) AS n FROM counts GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(s.n, 0) + 5 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 5)) // (l.n + 5 * l.v) AS q
+  FROM groups g JOIN kept k ON k.lang = g.lang JOIN langs l ON l.lang = g.lang
+  LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+apart AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM found)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_bpe": op2_bpe,
@@ -164,5 +240,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_minhash": op10_minhash,
     "op11_sentence_bpe": op11_sentence_bpe,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_source_audit": op13_source_audit,
 }
-ORACLES: dict[str, str] = {"op1_token_counts": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_token_counts": OP1_SQL, "op12_prefix_trie": OP12_SQL, "op13_source_audit": OP13_SQL}
