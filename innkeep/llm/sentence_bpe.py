@@ -6,7 +6,7 @@ of the model holds a space mark behind another character, no pair can span
 such a place; the text is cut there and each different cut is merged once per
 worker and remembered. The short cuts of a batch keep their agendas side by
 side in arrays, and each round joins the best pair of every cut; a long cut
-has a heap of its own. Each Arrow batch is also encoded and decoded by the
+has a heap of its own. Each Arrow batch is also encoded by the
 sentencepiece library, and any difference fails the job (``checked``).
 
 Defined results: a null text is an empty text, which has the end id only (if
@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from innkeep.llm.common import small_batches, with_arrow
+from innkeep.llm.bpe import spread
+from innkeep.llm.common import MIX, small_batches, with_arrow
 
 SPACE_MARK = "▁"
 #: The kinds of pieces and the model type in the model file.
@@ -43,8 +44,8 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE_MODEL = 2
 #: Largest model file that is broadcast (public models have under 10 MB).
 MAX_MODEL_BYTES = 64 << 20
-#: Merged cuts in each of the two generations that a worker remembers; longer cuts are not remembered.
-MEMO_ENTRIES, MEMO_CHARS = 200_000, 64
+#: Merged cuts that a worker remembers (about 250 bytes each); longer cuts are not remembered.
+MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
 #: Widths of the arrays that hold the symbols of short cuts.
 WIDTHS = (4, 8, 12, 16, 24, 32, 64)
 #: Short cuts that are merged side by side.
@@ -101,17 +102,26 @@ class Model:
     cuts: re.Pattern = field(init=False, repr=False)
     boundary: re.Pattern = field(init=False, repr=False)  # a place between two cuts
     pairs: Pairs | None = field(init=False, repr=False)
+    flat: np.ndarray = field(init=False, repr=False)  # the bytes that all ids decode to, in a row
+    flat_at: np.ndarray = field(init=False, repr=False)
+    is_control: np.ndarray = field(init=False, repr=False)
+    loses_mark: np.ndarray = field(init=False, repr=False)
 
     def __post_init__(self) -> None:
         self.memo = Memo(self)
         joining = {c for p in self.cost if len(p) > 1 for c in p}
         # control characters in no longer piece are cuts of their own
         alone = "".join(f"\\x{c:02x}" for c in range(32) if chr(c) not in joining)
+        self.controls = {i for i, k in enumerate(self.kinds) if k == CONTROL}
+        self.surfaces = [self._surface(p, k) for p, k in zip(self.pieces, self.kinds, strict=True)]
+        sizes = np.array([len(x) for x in self.surfaces], np.int64)
+        self.flat, self.flat_at = np.frombuffer(b"".join(self.surfaces), np.uint8), np.concatenate([[0], np.cumsum(sizes)])
+        self.is_control = np.array([k == CONTROL for k in self.kinds])
+        marked = [k not in (BYTE, UNKNOWN, CONTROL) and p[:1] == SPACE_MARK for p, k in zip(self.pieces, self.kinds, strict=True)]
+        self.loses_mark = np.array(marked) & self.dummy_prefix  # as the first of a text
         self.cuts = re.compile(f"{SPACE_MARK}+[^{SPACE_MARK}{alone}]*|[^{SPACE_MARK}{alone}]+" + (f"|[{alone}]" if alone else ""))
         self.boundary = re.compile(f"[^{SPACE_MARK}]{SPACE_MARK}")
         self.pairs = None if self.unused or self.fixed else Pairs(self)
-        self.controls = {i for i, k in enumerate(self.kinds) if k == CONTROL}
-        self.surfaces = [self._surface(p, k) for p, k in zip(self.pieces, self.kinds, strict=True)]
 
     @classmethod
     def load(cls, path: str) -> Model:
@@ -221,13 +231,17 @@ class Model:
         return out
 
     def encode_all(self, texts: list[str]) -> list[array]:
-        """Ids of each text, without an end id; the different cuts of all short texts are merged together."""
+        """Ids of each text, without an end id; the unknown cuts of all short texts are merged together."""
         if not self.cuttable:
             return [array("i", self.cut_ids(self.marked(t)) if t else ()) for t in texts]
         cuts = [self.cuts.findall(self.marked(t)) if 0 < len(t) < SLICE_CHARS else None for t in texts]
-        self.memo.fill({c for own in cuts if own for c in own})
+        known = [list(map(self.memo.get, own)) if own else [] for own in cuts]
+        self.memo.fill({c for own, found in zip(cuts, known, strict=True) if found for c, f in zip(own, found, strict=True) if f is None})
         of = self.memo.__getitem__
-        return [array("i", b"".join(map(of, own))) if own else self._encode_long(t) for own, t in zip(cuts, texts, strict=True)]
+        return [
+            array("i", b"".join(map(of, own) if None in found else found)) if own else self._encode_long(text)
+            for text, own, found in zip(texts, cuts, known, strict=True)
+        ]
 
     def encode(self, text: str) -> array:
         return self.encode_all([text])[0]
@@ -245,7 +259,7 @@ class Model:
                 found = self.boundary.search(text, end - 1)
                 end = found.end() - 1 if found else len(text)
             cuts = self.cuts.findall(text, at, end)
-            self.memo.fill(set(cuts))
+            self.memo.fill({c for c in cuts if c not in self.memo})
             out.frombytes(b"".join(map(self.memo.__getitem__, cuts)))
             at = end
         return out
@@ -258,6 +272,30 @@ class Model:
             return self.unknown_surface.encode()
         return bytes([int(piece[3:5], 16)]) if kind == BYTE else piece.replace(SPACE_MARK, " ").encode()
 
+    def decode_all(self, ids: np.ndarray, at: np.ndarray) -> pa.Array:
+        """The texts of lists of ids in a row; at: where each begins (one more at the end)."""
+        if len(ids) and not 0 <= ids.min() <= ids.max() < len(self.pieces):
+            raise ValueError("an id is not in the model")
+        rows = len(at) - 1
+        before = np.concatenate([[0], np.cumsum(self.is_control[ids])])
+        last = np.maximum(at[1:] - 1, at[:-1])
+        first = self.flat_at[ids]
+        n = self.flat_at[ids + 1] - first
+        if (before[last] == before[at[:-1]]).all():  # control ids at the end only
+            heads = np.flatnonzero(at[1:] > at[:-1])
+            heads = at[heads[self.loses_mark[ids[at[heads]]]]]
+            first[heads] += 1
+            n[heads] -= 1
+            data = self.flat[spread(first, n)]
+            try:
+                data.tobytes().decode()
+            except UnicodeDecodeError:
+                pass
+            else:
+                ends = np.concatenate([[0], np.cumsum(n)])[at].astype(np.int32)
+                return pa.Array.from_buffers(pa.string(), rows, [None, pa.py_buffer(ends), pa.py_buffer(data)])
+        return pa.array([self.decode(ids[i:j].tolist()) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], pa.string())
+
     def decode(self, ids: list[int]) -> str:
         """The text that the ids stand for; a byte that is no part of a character becomes U+FFFD."""
         if ids and not 0 <= min(ids) <= max(ids) < len(self.pieces):
@@ -290,30 +328,24 @@ def _characters(data: bytes) -> str:
 
 
 class Memo(dict):
-    """Packed ids of recent cuts, in two generations of bounded size."""
+    """Packed ids of recent cuts; it is emptied when it is full, as the frequent cuts soon come back."""
 
     def __init__(self, model: Model) -> None:
-        self.model, self.old = model, {}
+        self.model = model
 
     def __missing__(self, cut: str) -> bytes:
-        if (found := self.old.get(cut)) is None:
-            found = array("i", self.model.cut_ids(cut)).tobytes()
-            if len(cut) > MEMO_CHARS:
-                return found
-        self._keep(cut, found)
+        found = array("i", self.model.cut_ids(cut)).tobytes()
+        if len(cut) <= MEMO_CHARS and len(self) < MEMO_ENTRIES:
+            self[cut] = found
         return found
 
-    def _keep(self, cut: str, found: bytes) -> None:
-        if len(self) >= MEMO_ENTRIES:
-            self.old = dict(self)
-            self.clear()
-        self[cut] = found
-
     def fill(self, cuts: set[str]) -> None:
-        """Merge the unknown short ones among the cuts side by side, if they are many."""
+        """Merge the short ones among unknown cuts side by side, if they are many."""
+        if len(self) + len(cuts) > MEMO_ENTRIES:
+            self.clear()
         if self.model.pairs is None or len(cuts) < 100:
             return
-        new = [c for c in cuts if c not in self and c not in self.old and len(c) <= MEMO_CHARS]
+        new = [c for c in cuts if len(c) <= MEMO_CHARS]
         for at in range(0, len(new), SIDE_BY_SIDE):
             self._fill(new[at : at + SIDE_BY_SIDE])
 
@@ -323,16 +355,13 @@ class Memo(dict):
         for width in WIDTHS:
             own = np.flatnonzero((size > lower) & (size <= width))
             lower = width
-            if not len(own):
-                continue
-            some = [new[i] for i in own.tolist()]
-            ids, n = self.model.pairs.merge(some, size[own], width)
-            packed, end = ids.astype("<i4").tobytes(), (np.cumsum(n) * 4).tolist()
-            begin = 0
-            for cut, stop, known in zip(some, end, (n > 0).tolist(), strict=True):
-                if known:  # else it holds symbols that are no pieces
-                    self._keep(cut, packed[begin:stop])
-                begin = stop
+            if len(own):
+                some = [new[i] for i in own.tolist()]
+                ids, n = self.model.pairs.merge(some, size[own], width)
+                packed, ends = ids.astype("<i4").tobytes(), np.cumsum(n) * 4
+                found = [packed[i:j] for i, j in zip((ends - 4 * n).tolist(), ends.tolist(), strict=True)]
+                # cuts with symbols that are no pieces have no ids here
+                self.update((c, f) for c, f in zip(some, found, strict=True) if f)
 
 
 class Pairs:
@@ -352,16 +381,43 @@ class Pairs:
             for p, i in number.items() if p in model.cost
             for k in range(1, len(p)) if p[:k] in number and p[k:] in number
         ]
-        found.sort()
-        self.key = np.array([f[0] for f in found] + [np.iinfo(np.int64).max], np.int64)
+        key = np.array([f[0] for f in found], np.int64)
         self.joined = np.array([f[1] for f in found] + [-1], np.int32)
         self.cost = np.array([f[2] for f in found] + [np.inf], np.float64)
+        self.none = len(found)
+        # open addressing, at most an eighth full; _place tells where a probe begins
+        self.bits = max(4, (8 * len(found)).bit_length())
+        self.key = np.full(1 << self.bits, -1, np.int64)
+        self.at = np.full(1 << self.bits, self.none, np.int32)
+        left, place = np.arange(len(found)), self._place(key)
+        self.probes = 0
+        while len(left):
+            self.probes += 1
+            free = left[self.key[place] < 0]
+            spot, first = np.unique(place[self.key[place] < 0], return_index=True)
+            self.key[spot], self.at[spot] = key[free[first]], free[first]
+            stay = self.at[place] != left
+            left, place = left[stay], (place[stay] + 1) & ((1 << self.bits) - 1)
+
+    def _place(self, key: np.ndarray) -> np.ndarray:
+        return (key.astype(np.uint64) * MIX >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Where the pair is in the table; its last place if it is no piece."""
+        """Which pair it is, ``none`` if it is no piece."""
         key = left.astype(np.int64) * self.base + right
-        at = np.searchsorted(self.key, key)
-        return np.where((self.key[at] == key) & (left >= 0) & (right >= 0), at, len(self.key) - 1).astype(np.int32)
+        key = np.where((left >= 0) & (right >= 0), key, -2)
+        place = self._place(key)
+        out = np.where(self.key[place] == key, self.at[place], self.none).astype(np.int32)
+        open_ = np.flatnonzero((self.key[place] != key) & (self.key[place] >= 0) & (key >= 0))  # counted through all rows
+        for _ in range(self.probes - 1):
+            if not len(open_):
+                break
+            spot = (place.flat[open_] + 1) & ((1 << self.bits) - 1)
+            place.flat[open_] = spot
+            hit = self.key[spot] == key.flat[open_]
+            out.flat[open_[hit]] = self.at[spot[hit]]
+            open_ = open_[~hit & (self.key[spot] >= 0)]
+        return out
 
     def merge(self, cuts: list[str], size: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all cuts in a row, and how many each has; none for a cut with a symbol that is no piece."""
@@ -369,7 +425,7 @@ class Pairs:
         points = np.frombuffer("".join([c.ljust(width, "\0") for c in cuts]).encode("utf-32-le"), "<u4").reshape(rows, width)
         inside = np.arange(width) < size[:, None]
         symbol = np.where(inside, self.of_char[points], -1)
-        agenda = np.full((rows, width), len(self.key) - 1, np.int32)  # of each symbol and the next: the place in the table
+        agenda = np.full((rows, width), self.none, np.int32)  # of each symbol and the next: which pair
         agenda[:, :-1] = self.find(symbol[:, :-1], symbol[:, 1:])
         left = np.where(inside, symbol, -2)  # -2: behind the end
         which = np.arange(rows)
@@ -422,35 +478,30 @@ def encode(docs: DataFrame, model, text_col: str = "text", end: bool = True, che
         if end:
             for row in rows:
                 row.append(own.end)
+        at = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+        flat = np.frombuffer(b"".join(rows), np.int32)
         if checked:
-            for row, other in zip(rows, _library(own.content).encode(strings, add_eos=end, num_threads=1), strict=True):
-                if row.tolist() != other:
-                    raise ValueError("ids differ from those of the library")
-        n = [len(r) for r in rows]
-        at = [0]
-        for k in n:
-            at.append(at[-1] + k)
-        flat = pa.Array.from_buffers(pa.int32(), at[-1], [None, pa.py_buffer(b"".join(r.tobytes() for r in rows))])
-        return {"n_tokens": pa.array(n, pa.int64()), "token_ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)}
+            expected = _library(own.content).encode(strings, add_eos=end, num_threads=1)
+            if any(row.tobytes() != array("i", other).tobytes() for row, other in zip(rows, expected, strict=True)):
+                raise ValueError("ids differ from those of the library")
+        return {"n_tokens": pa.array(np.diff(at), pa.int64()), "token_ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32()))}
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))]
     return with_arrow(docs, text_col, fields, compute)
 
 
-def decode(encoded: DataFrame, model, ids_col: str = "token_ids", out_col: str = "decoded", checked: bool = True) -> DataFrame:
-    """The other columns and ``decoded``, the text of the ids; the ids column goes. Checked as in :func:`encode`."""
+def decode(encoded: DataFrame, model, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
+    """The other columns and ``decoded``, the text of the ids; the ids column goes. Null ids: an empty text."""
     small_batches(encoded.sparkSession)
     kept = [c for c in encoded.columns if c not in (ids_col, out_col)]
     schema = T.StructType([*(encoded.schema[c] for c in kept), T.StructField(out_col, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = model.value
         for batch in batches:
-            rows = [[] if r is None else r for r in batch.column(len(kept)).to_pylist()]
-            texts = [own.decode(r) for r in rows]
-            if checked and texts != [_library(own.content).decode(r) for r in rows]:
-                raise ValueError("texts differ from those of the library")
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(texts, pa.string())], names=[f.name for f in schema.fields])
+            lists = batch.column(len(kept))
+            at = np.concatenate([[0], np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))]).astype(np.int64)
+            texts = model.value.decode_all(lists.flatten().to_numpy(zero_copy_only=False), at)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], texts], names=[f.name for f in schema.fields])
         pa.default_memory_pool().release_unused()
 
     return encoded.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{ids_col}`").cast("array<int>").alias(ids_col)).mapInArrow(run, schema)

@@ -119,7 +119,7 @@ class Terms:
 
 
 def _is_set(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = (keys >> np.uint64(1)) & np.uint64((1 << FILTER_BITS) - 1)
+    at = (keys >> np.uint64(1)) & np.uint64(8 * len(bits) - 1)
     return (bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
