@@ -1,26 +1,32 @@
 """Raw layer: lineage, fingerprints, idempotent append, load metrics.
 
 A bronze table holds the 32 raw text columns plus ``_loaded_at``,
-``_source_file`` and ``_row_hash``; a fingerprint is stored at most once.
+``_source_file`` and ``_row_hash``; a fingerprint is stored at most once. It is
+a versioned table: a load writes its new rows aside and publishes them whole,
+and two loads that run at once cannot both store a fingerprint, as the later
+one to publish checks again what the other has added.
 
 Plan shape of an append: new rows are reduced to one per fingerprint (partial
 ``WindowGroupLimit`` before the exchange on ``_row_hash``) and then checked
-against the fingerprints already stored (anti join on the same partitioning). Only the ``_row_hash`` column of the stored table is read.
+against the fingerprint index (anti join on the same partitioning). Of the
+stored table nothing is read, of the index only the folders that the batch's
+fingerprints fall into.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innkeep.functions.fingerprint import row_hash
+from innkeep.operators import fingerprint_index as index
 from innkeep.operators.silver import first_per_fingerprint
 from innkeep.schema import RAW_COLUMNS
 from innkeep.session import remove_staged, staging_path
 from innkeep.sources.csv_source import scan_expected
+from innkeep.sources.versioned import EMPTY, Conflict, Entry, VersionedTable
 
 
 def with_lineage(
@@ -72,7 +78,7 @@ def new_rows(batch: DataFrame, existing: DataFrame | None) -> DataFrame:
 @dataclass(frozen=True)
 class LoadResult:
     metrics: DataFrame  # one row: rows_read, inserted, duplicates, malformed, total
-    inserted: DataFrame  # the rows this load appended, read from bronze
+    inserted: DataFrame  # the rows this load published
 
 
 class VolumeCheckError(ValueError):
@@ -83,17 +89,66 @@ METRICS_SCHEMA = "rows_read long, inserted long, duplicates long, malformed long
 
 
 def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:
-    """The stored bronze table, or None when nothing was loaded yet.
+    """The published rows of the bronze table, or None when nothing was loaded yet."""
+    return VersionedTable(spark, bronze_path).frame()
 
-    Only a path that does not exist means "nothing loaded"; a table that
-    cannot be read is an error, as appending to it would skip the check.
-    """
+
+def _first_bytes(rows: DataFrame) -> list[int]:
+    """Which of 256 equal ranges of the fingerprint the rows change."""
+    return sorted(r[0] for r in rows.select(index.bucket_of(index.key_of(), 8)).distinct().collect())
+
+
+def _noted(table: VersionedTable, base: Entry, notes: dict) -> Entry:
+    """A load that adds nothing leaves a version of its own only to tell which inputs it has read."""
+    if "inputs" not in notes:
+        return base
     try:
-        return spark.read.parquet(bronze_path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
+        return table.publish(base, base.data, base.rows, segments=index.segments_of(base), ranges=[], **notes)
+    except Conflict:
+        return base
+
+
+def append_absent(
+    table: VersionedTable, batch: DataFrame, min_rows: int = 0, base: Entry | None = None, **notes: object
+) -> tuple[Entry, int, str | None]:
+    """Publish the rows of a staged ``batch`` whose fingerprint is not stored; (version, rows, their folder).
+
+    The rows are decided on as of ``base`` (default: the latest version) and
+    written aside. If another load publishes first and has added fingerprints
+    in a range that this one changes too, the rows written are checked against
+    the index once more and the publishing is tried again, on top of the other
+    load. A batch without new rows adds no data.
+    """
+    base = base or table.latest()
+    folder = table.folder()
+    index.absent(table, index.segments_of(base), first_per_fingerprint(batch), batch).write.parquet(table.at(folder))
+    ranges = None
+    while True:
+        new = table.spark.read.schema(batch.schema).parquet(table.at(folder))
+        inserted = new.count()
+        if base.rows + inserted < min_rows:
+            table.files.remove(table.at(folder))
+            raise VolumeCheckError(f"the load would leave {base.rows + inserted} rows, at least {min_rows} are required")
+        if not inserted:
+            table.files.remove(table.at(folder))
+            return _noted(table, base, notes), 0, None
+        if ranges is None:
+            ranges = _first_bytes(new)
+        stay, made = index.merged_with(table, index.segments_of(base), new.select(index.key_of().alias("key")), inserted)
+        try:
+            published = table.publish(base, (*base.data, folder), base.rows + inserted, segments=stay + made, ranges=ranges, **notes)
+            return published, inserted, folder
+        except Conflict:
+            for segment in made:
+                table.files.remove(table.at(segment["folder"]))
+            others = table.since(base.version)
+            base = others[-1]
+            if set(ranges).isdisjoint(r for e in others for r in e.notes.get("ranges", range(256))):
+                continue
+            again = table.folder()
+            index.absent(table, index.segments_of(base), new).write.parquet(table.at(again))
+            table.files.remove(table.at(folder))
+            folder, ranges = again, None
 
 
 def load_csv(
@@ -102,35 +157,47 @@ def load_csv(
     bronze_path: str,
     min_rows: int = 80_000,
     multi_line: bool | str = "auto",
+    **notes: object,
 ) -> LoadResult:
     """CSV extract -> bronze (insert-if-absent by fingerprint); returns metrics and new rows.
 
     Steps: scan the CSV once into a staged Parquet batch (lineage, fingerprint,
-    malformed flag) in the shared staging folder; compute the new rows into a
-    second staged table; check the volume gate; only then append the new rows
-    to bronze. A failed or gated load publishes nothing, and the append itself
-    is one Spark write job (committed as a whole, retried per task). Staged
-    tables are removed whether the load succeeds or fails: ``inserted`` reads
-    bronze by this load's time.
+    malformed flag) in the shared staging folder; write the rows that are not
+    stored yet beside the table; check the volume gate; publish them. A failed
+    or gated load publishes nothing, and readers see a load whole or not at
+    all. The total comes from the log. ``notes`` are kept in the log entry.
     """
     loaded_at = F.lit(spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]).cast("timestamp")
-    landed_path, new_path = staging_path(spark, "bronze-batch"), staging_path(spark, "bronze-new")
+    landed_path = staging_path(spark, "bronze-batch")
+    table = VersionedTable(spark, bronze_path)
+    table.latest()  # a folder that is no such table is an error before anything is read
     try:
         # no repartition before staging: the scan is already split
         with_lineage(scan_expected(spark, csv_path, multi_line), F.col("_file_name"), loaded_at, keep=["_malformed"]).write.parquet(landed_path)
         landed = spark.read.parquet(landed_path)
-        existing = read_bronze(spark, bronze_path)
         stats = landed.agg(F.count(F.lit(1)).alias("n"), F.count_if("_malformed").alias("bad")).first()
-        new_rows(landed.drop("_malformed"), existing).write.parquet(new_path)
-        new = spark.read.parquet(new_path)
-        inserted = new.count()
-        total = inserted + (existing.count() if existing is not None else 0)
-        if total < min_rows:
-            raise VolumeCheckError(f"post-load check failed: only {total} rows (expected >= {min_rows})")
-        new.write.mode("append").parquet(bronze_path)
+        batch = landed.drop("_malformed")
+        counts = {"rows_read": int(stats["n"]), "malformed": int(stats["bad"])}
+        entry, inserted, folder = append_absent(table, batch, min_rows, counts=counts, **notes)
+        schema = batch.schema
     finally:
-        for path in (landed_path, new_path):
-            remove_staged(spark, path)
-    rows_read = int(stats["n"])
-    metrics = spark.createDataFrame([(rows_read, inserted, rows_read - inserted, int(stats["bad"]), total)], METRICS_SCHEMA)
-    return LoadResult(metrics, spark.read.parquet(bronze_path).where(F.col("_loaded_at") == loaded_at))
+        remove_staged(spark, landed_path)
+    new = spark.read.schema(schema).parquet(table.at(folder)) if folder else spark.createDataFrame([], schema)
+    return LoadResult(load_metrics(spark, counts, inserted, entry.rows), new)
+
+
+def load_metrics(spark: SparkSession, counts: dict, inserted: int, total: int) -> DataFrame:
+    rows_read = counts["rows_read"]
+    return spark.createDataFrame([(rows_read, inserted, rows_read - inserted, counts["malformed"], total)], METRICS_SCHEMA)
+
+
+def last_load(spark: SparkSession, bronze_path: str) -> tuple[Entry, LoadResult | None]:
+    """The last version, and the result of the load that published it."""
+    table = VersionedTable(spark, bronze_path)
+    entry = table.latest()
+    if "counts" not in entry.notes:
+        return entry, None
+    before = table.entry(entry.version - 1) if entry.version else EMPTY
+    new = [d for d in entry.data if d not in before.data]
+    rows = spark.read.parquet(*map(table.at, new)) if new else table.frame(entry).limit(0)
+    return entry, LoadResult(load_metrics(spark, entry.notes["counts"], entry.rows - before.rows, entry.rows), rows)

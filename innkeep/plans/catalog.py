@@ -16,11 +16,11 @@ from innkeep.functions import cleaning as C
 from innkeep.functions.fingerprint import row_hash
 from innkeep.functions.rounding import exact_mean
 from innkeep.operators import gold, quality as Q, rollups as R, silver as silver_ops
-from innkeep.operators import bronze as B
+from innkeep.operators import bronze as B, check_compiler
 from innkeep.plans import datasets as D, pipeline as P
 from innkeep.session import checkpoint_dir, staging_path
 from innkeep.sources.csv_source import scan_expected, schema_reports
-from innkeep.sources.tables import write_layer
+from innkeep.sources.tables import read_layer, write_layer
 from innkeep.streaming.ingest import ingest_available
 from innkeep.schema import INT_COLUMNS, NULLABLE_TEXT_COLUMNS, RAW_COLUMNS
 
@@ -434,14 +434,46 @@ for _name in (
     QUERIES[_name] = _check(_name)
 
 
+DECLARED_CHECKS = (
+    check_compiler.Check("dq_unique", "silver", "unique_fingerprint", ("_row_hash",)),
+    check_compiler.Check("dq_unique", "countries", "unique", ("country",)),
+    check_compiler.Check("dq_not_null", "silver", "not_null", tuple(Q.SILVER_NOT_NULL)),
+    check_compiler.Check("dq_not_null", "countries", "not_null", tuple(Q.COUNTRIES_NOT_NULL)),
+    check_compiler.Check("dq_not_null", "mom", "not_null", tuple(Q.MOM_NOT_NULL)),
+    check_compiler.Check("dq_accepted_values", "silver", "accepted_values", tuple(Q.ACCEPTED_VALUES), Q.ACCEPTED_VALUES),
+    check_compiler.Check("dq_value_set", "landing", "value_set", tuple(Q.RAW_VALUE_SETS), Q.RAW_VALUE_SETS),
+    check_compiler.Check("dq_non_negative", "silver", "non_negative", ("adr",)),
+    check_compiler.Check("dq_volume", "silver", "min_rows", (), Q.MIN_ROWS),
+    check_compiler.Check("dq_rate_bounds", "landing", "share_within", ("is_canceled",), ("1", *Q.CANCEL_RATE_BOUNDS)),
+    check_compiler.Check("dq_diversity", "landing", "min_distinct", ("country",), (Q.MIN_COUNTRIES, "NULL")),
+    check_compiler.Check("dq_negative_share", "landing", "negative_share_below", ("adr",), Q.MAX_NEGATIVE_RATE_PCT),
+    check_compiler.Check("dq_hash_format", "landing", "row_hash", ("_row_hash",)),
+)
+
+
 @query("dq_report")
 def q_dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.report({name: build() for name, build in quality_checks(spark, sf_dir).items()})
+    """All declared checks, compiled: landing and gold are read once, silver once and once more for uniqueness."""
+    return check_compiler.report(
+        {
+            "landing": D.landing(spark, sf_dir),
+            "silver": D.silver_table(spark, sf_dir),
+            "countries": D.countries_table(spark, sf_dir),
+            "mom": D.mom_table(spark, sf_dir),
+        },
+        DECLARED_CHECKS,
+    )
 
 
 # --- The same checks, and lenient parsing, on rows with faults ------------------------------
 
 
+@query("faulty_report")
+def q_faulty_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The compiled checks of the raw rows, on rows with faults."""
+    return check_compiler.report({"landing": D.faulty(spark, sf_dir)}, [*(c for c in DECLARED_CHECKS if c.table == "landing"), check_compiler.Check("dq_unique", "landing", "unique_fingerprint", ("_row_hash",))])
+
+
 @query("faulty_unique")
 def q_faulty_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.unique_fingerprint(D.faulty(spark, sf_dir), "_row_hash", "bronze")
@@ -543,14 +575,14 @@ def q_load_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze_path = staging_path(spark, "bronze")
     B.load_csv(spark, D.csv_extract(spark, sf_dir), bronze_path, min_rows=1)
-    return spark.read.parquet(bronze_path).select(*RAW_COLUMNS, "_row_hash")
+    return B.read_bronze(spark, bronze_path).select(*RAW_COLUMNS, "_row_hash")
 
 
 @query("layer_sink")
 def q_layer_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = staging_path(spark, "gold-popular_countries")
     write_layer(gold.popular_countries(D.silver_table(spark, sf_dir)), path)
-    return D.as_doubles(spark.read.parquet(path))
+    return D.as_doubles(read_layer(spark, path))
 
 
 @query("pipeline_summary")
@@ -567,7 +599,7 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze_path, ckpt = staging_path(spark, "bronze-stream"), staging_path(spark, "stream-checkpoint")
     ingest_available(spark, drop, bronze_path, ckpt)
     ingest_available(spark, drop, bronze_path, ckpt)
-    return spark.read.parquet(bronze_path).select(*RAW_COLUMNS, "_row_hash")
+    return B.read_bronze(spark, bronze_path).select(*RAW_COLUMNS, "_row_hash")
 
 
 def all_queries() -> dict[str, Query]:

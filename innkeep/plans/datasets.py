@@ -13,18 +13,21 @@ from the order tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from innkeep.operators import gold
 from innkeep.operators.bronze import with_lineage
 from innkeep.operators.silver import build_silver
 from innkeep.schema import RAW_COLUMNS
 from innkeep.session import checkpoint_dir, staging_path
 from innkeep.sources.csv_source import write_csv
 from innkeep.sources.fixture import raw_reservations
-from innkeep.sources.tables import SILVER_PARTITIONING, write_layer
+from innkeep.sources.tables import SILVER_PARTITIONING, read_layer, write_layer
 
 # Fixed lineage for rows derived from the driver tables, so repeated runs are
 # comparable: the source is named after the orders table and stamped with the
@@ -168,13 +171,34 @@ def silver_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _STAGED.get(key)
     if path is not None:
         try:
-            return spark.read.parquet(path)
-        except AnalysisException:
+            return read_layer(spark, path)
+        except (AnalysisException, FileNotFoundError):
             pass
     path = staging_path(spark, "silver")
     write_layer(silver(spark, sf_dir), path, partition_by=SILVER_PARTITIONING)
     _STAGED[key] = path
-    return spark.read.parquet(path)
+    return read_layer(spark, path)
+
+
+def _gold_table(spark: SparkSession, sf_dir: str, name: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """An analytical table, built from the stored cleaned layer once per process."""
+    key = (_stamp(spark, sf_dir), checkpoint_dir(spark) + "#" + name)
+    if path := _STAGED.get(key):
+        try:
+            return read_layer(spark, path)
+        except (AnalysisException, FileNotFoundError):
+            pass
+    path = staging_path(spark, name)
+    _STAGED[key] = write_layer(build(silver_table(spark, sf_dir)), path)
+    return read_layer(spark, path)
+
+
+def countries_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_table(spark, sf_dir, "popular_countries", gold.popular_countries)
+
+
+def mom_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gold_table(spark, sf_dir, "mom_growth", gold.mom_growth)
 
 
 def as_doubles(df: DataFrame) -> DataFrame:

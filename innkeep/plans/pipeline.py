@@ -1,22 +1,25 @@
 """CSV-to-gold run: bronze load, cleaned layer, analytical tables, quality gate.
 
-Each layer is written as Parquet below a warehouse root (a shared folder on a
-cluster) and the next layer reads the written table, so every step starts
-from storage with a short lineage and a failed step can be re-run alone.
+Each layer is a versioned table below a warehouse root (a shared folder on a
+cluster) and the next layer reads the published version, so every step starts
+from storage with a short lineage, readers never see half a refresh, and a run
+that failed can be resumed at the failed step.
 """
 
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from innkeep.operators import gold, quality as Q
-from innkeep.operators.bronze import LoadResult, load_csv
+from innkeep.operators.bronze import LoadResult, last_load, load_csv
 from innkeep.operators.silver import build_silver
-from innkeep.sources.tables import SILVER_PARTITIONING, write_layer
+from innkeep.sources.tables import SILVER_PARTITIONING, read_layer
+from innkeep.sources.versioned import VersionedTable
 
 
 @dataclass(frozen=True)
@@ -57,20 +60,43 @@ class PipelineRun:
     summary: DataFrame
 
 
-def build_layers(spark: SparkSession, layout: Layout) -> None:
-    """Full refresh of silver and gold from the stored bronze table."""
-    silver = build_silver(spark.read.parquet(layout.bronze))
-    write_layer(silver, layout.silver, partition_by=SILVER_PARTITIONING)
-    stored = spark.read.parquet(layout.silver)
-    write_layer(gold.popular_countries(stored), layout.countries)
-    write_layer(gold.mom_growth(stored), layout.mom)
+def source_state(spark: SparkSession, csv_path: str | list[str]) -> str:
+    """A digest of the names, sizes and change times of the extract's files (contents are not read)."""
+    files = spark.read.format("binaryFile").load(csv_path).select("path", "length", "modificationTime")
+    state = files.agg(F.count(F.lit(1)), F.sum("length"), F.bit_xor(F.xxhash64("path", "length", "modificationTime"))).first()
+    return "/".join(map(str, state))
+
+
+def refresh(
+    spark: SparkSession, path: str, build: Callable[[], DataFrame], inputs: dict, resume: bool = False, partition_by: list[str] | None = None
+) -> int:
+    """Publish a layer built from ``inputs`` (versions of other tables); returns its version.
+
+    With ``resume`` a layer whose last version was built from the same inputs is left as it is.
+    """
+    table = VersionedTable(spark, path)
+    last = table.latest()
+    if resume and last.data and last.notes.get("inputs") == inputs:
+        return last.version
+    return table.replace(build(), partition_by, inputs=inputs).version
+
+
+def build_layers(spark: SparkSession, layout: Layout, resume: bool = False) -> dict[str, int]:
+    """Full refresh of silver and gold from the published bronze table; the version of each layer."""
+    bronze = VersionedTable(spark, layout.bronze)
+    raw = bronze.latest()
+    made = {"bronze": raw.version}
+    made["silver"] = refresh(spark, layout.silver, lambda: build_silver(bronze.frame(raw)), {"bronze": raw.version}, resume, SILVER_PARTITIONING)
+    stored = VersionedTable(spark, layout.silver)
+    silver = lambda: stored.frame(stored.entry(made["silver"]))
+    made["countries"] = refresh(spark, layout.countries, lambda: gold.popular_countries(silver()), {"silver": made["silver"]}, resume)
+    made["mom"] = refresh(spark, layout.mom, lambda: gold.mom_growth(silver()), {"silver": made["silver"]}, resume)
+    return made
 
 
 def quality_report(spark: SparkSession, layout: Layout, min_rows: int = Q.MIN_ROWS) -> DataFrame:
     """The declared checks of the stored layers (violation count per check)."""
-    silver = spark.read.parquet(layout.silver)
-    countries = spark.read.parquet(layout.countries)
-    mom = spark.read.parquet(layout.mom)
+    silver, countries, mom = (read_layer(spark, p) for p in (layout.silver, layout.countries, layout.mom))
     others = Q.report(
         {
             "silver_unique_row_hash": Q.unique_fingerprint(silver, "_row_hash", "silver"),
@@ -100,7 +126,7 @@ def table_counts(spark: SparkSession, layout: Layout, load: LoadResult) -> DataF
         ("gold", "mom_growth", layout.mom),
     ):
         parts.append(
-            spark.read.parquet(path).agg(F.count(F.lit(1)).alias("rows")).select(
+            read_layer(spark, path).agg(F.count(F.lit(1)).alias("rows")).select(
                 F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "rows"
             )
         )
@@ -112,20 +138,27 @@ def table_counts(spark: SparkSession, layout: Layout, load: LoadResult) -> DataF
 
 def run_pipeline(
     spark: SparkSession,
-    csv_path: str,
+    csv_path: str | list[str],
     layout: Layout,
     min_rows: int = Q.MIN_ROWS,
     gate_quality: bool = True,
+    resume: bool = False,
 ) -> PipelineRun:
     """ingest -> silver -> gold -> checks -> summary (rows per table, violations per check).
 
     The checks always run and their report is stored; ``gate_quality`` only
-    decides whether violations raise.
+    decides whether violations raise. Each table's log tells what it was built
+    from, so with ``resume`` a run goes on after the last stage that an earlier
+    run has finished on the same inputs: an extract that the last load has read
+    is not read again, and a layer built from the current versions stays.
     """
-    load = load_csv(spark, csv_path, layout.bronze, min_rows=min_rows)
-    build_layers(spark, layout)
-    write_layer(quality_report(spark, layout, min_rows), layout.quality)
-    report = spark.read.parquet(layout.quality)
+    files = source_state(spark, csv_path)
+    last, load = last_load(spark, layout.bronze) if resume else (None, None)
+    if load is None or last.notes.get("inputs") != files or last.rows < min_rows:
+        load = load_csv(spark, csv_path, layout.bronze, min_rows=min_rows, inputs=files)
+    made = build_layers(spark, layout, resume)
+    refresh(spark, layout.quality, lambda: quality_report(spark, layout, min_rows), {"min_rows": min_rows, **made}, resume)
+    report = read_layer(spark, layout.quality)
     if gate_quality:
         Q.gate(report)
     checks = report.select(F.lit("check").alias("layer"), F.col("check_name").alias("table_name"), F.col("violations").alias("rows"))

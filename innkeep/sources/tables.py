@@ -6,6 +6,8 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from innkeep.sources.versioned import VersionedTable, read_latest
+
 LAYERS = ("bronze", "silver", "gold")
 
 # The cleaned layer is stored partitioned by arrival year: dashboard filters
@@ -29,20 +31,29 @@ def write_layer(
     path: str,
     mode: str = "overwrite",
     partition_by: list[str] | None = None,
+    **notes: object,
 ) -> str:
-    """Full-refresh (or append) Parquet sink for a layer table.
+    """Full-refresh (or append) sink for a layer table: a new version of a versioned table.
 
-    A full refresh must not read its own target: write to a new path and point
-    readers at it, or build from the previous layer only.
+    Readers keep the version before until the new one is whole; a failed write
+    leaves it as it was. A refresh may read its own table's current version.
     """
     # written straight from the tasks that made the rows: no shuffle on a key of few values
-    writer = df.write.mode(mode)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    table = VersionedTable(df.sparkSession, path)
+    if mode == "overwrite":
+        table.replace(df, partition_by, **notes)
+    elif mode == "append":
+        table.append(df, **notes)
+    else:
+        raise ValueError(f"mode {mode!r} is not one of overwrite, append")
     return path
 
 
+def read_layer(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a layer table."""
+    return read_latest(spark, path)
+
+
 def save_layer_table(
     df: DataFrame,
     layer: str,

@@ -10,9 +10,9 @@ same job is a file stream over a drop folder:
   stops — a scheduled batch run with exactly-once file tracking;
 * each micro-batch is a list of new files, which the batch path scans (each by
   its own header: any column order, extra columns ignored), stages as Parquet,
-  reduces to rows that are not stored yet and appends to the bronze Parquet
-  table. A replayed micro-batch finds its fingerprints already stored and
-  appends nothing, so the sink stays idempotent under task or driver failure.
+  reduces to rows that are not stored yet and publishes as one version of the
+  bronze table. A replayed micro-batch finds its fingerprints already stored and
+  publishes nothing, so the sink stays idempotent under task or driver failure.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from innkeep.operators.bronze import new_rows, read_bronze, with_lineage
+from innkeep.operators.bronze import append_absent, with_lineage
 from innkeep.session import remove_staged, staging_path
 from innkeep.sources.csv_source import scan_expected
+from innkeep.sources.versioned import VersionedTable
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
@@ -45,8 +46,7 @@ def _append_batch(bronze_path: str):
         staged_path = staging_path(spark, f"stream-batch-{batch_id}")
         try:
             with_lineage(scan_expected(spark, files), F.col("_file_name")).write.parquet(staged_path)
-            fresh = new_rows(spark.read.parquet(staged_path), read_bronze(spark, bronze_path))
-            fresh.write.mode("append").parquet(bronze_path)
+            append_absent(VersionedTable(spark, bronze_path), spark.read.parquet(staged_path), stream_batch=batch_id)
         finally:
             remove_staged(spark, staged_path)
 

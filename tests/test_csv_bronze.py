@@ -9,7 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from conftest import SF_SMALL, raw_row
 
-from innkeep.operators.bronze import VolumeCheckError, load_csv
+from innkeep.operators.bronze import VolumeCheckError, load_csv, read_bronze
 from innkeep.schema import RAW_COLUMNS
 from innkeep.sources.csv_source import check_columns, read_csv, scan_expected, schema_reports
 
@@ -83,7 +83,7 @@ def test_load_twice_is_idempotent_and_overlap_inserts_only_new(spark, tmp_path):
     res = load_csv(spark, path_b, bronze, min_rows=1)
     m3 = res.metrics.first()
     assert (m3.inserted, m3.total) == (1, 4)
-    stored = spark.read.parquet(bronze)
+    stored = read_bronze(spark, bronze)
     assert stored.count() == 4 and stored.select("_row_hash").distinct().count() == 4
     (new,) = res.inserted.collect()
     assert new.arrival_date_day_of_month == "4" and new._source_file == "b.csv"
@@ -95,7 +95,7 @@ def test_volume_gate_publishes_nothing(spark, tmp_path):
     with pytest.raises(VolumeCheckError):
         load_csv(spark, path, bronze, min_rows=10)
     with pytest.raises(Exception):
-        spark.read.parquet(bronze).count()
+        read_bronze(spark, bronze).count()
 
 
 @pytest.fixture(params=[None, "64b"])
@@ -190,7 +190,7 @@ def test_load_of_a_mixed_folder(spark, tmp_path):
     bronze = str(tmp_path / "bronze")
     m = load_csv(spark, str(folder), bronze, min_rows=1).metrics.first()
     assert (m.rows_read, m.inserted, m.malformed) == (5, 4, 0)
-    assert spark_rows(spark.read.parquet(bronze)) == sorted(set(python_rows(*paths)))
+    assert spark_rows(read_bronze(spark, bronze)) == sorted(set(python_rows(*paths)))
 
 
 def test_unreadable_bronze_is_an_error(spark, tmp_path):
@@ -300,10 +300,10 @@ def test_load_removes_its_staged_scan_and_refuses_other_paths(spark, tmp_path):
     with pytest.raises(VolumeCheckError):
         load_csv(spark, write(tmp_path / "r2.csv", [raw_row()]), str(tmp_path / "gated"), min_rows=10)
     assert listed() == before
-    assert res.inserted.count() == 2 and spark.read.parquet(bronze).count() == 2
+    assert res.inserted.count() == 2 and read_bronze(spark, bronze).count() == 2
     with pytest.raises(ValueError):
         remove_staged(spark, bronze)
-    assert spark.read.parquet(bronze).count() == 2
+    assert read_bronze(spark, bronze).count() == 2
 
 
 def test_faulty_extract_is_written_by_many_tasks(spark, monkeypatch):

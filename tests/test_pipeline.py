@@ -9,6 +9,7 @@ from test_csv_bronze import write
 from innkeep.operators.quality import QualityGateError
 from innkeep.plans.pipeline import Layout, run_pipeline
 from innkeep.session import staging_path
+from innkeep.sources.tables import read_layer
 
 
 def test_pipeline_builds_layers_and_summary(spark, tmp_path):
@@ -32,7 +33,7 @@ def test_pipeline_builds_layers_and_summary(spark, tmp_path):
         ("check", "mom_not_null"): 0,
     }
     assert all(r.passed for r in run.quality.collect())
-    top = spark.read.parquet(layout.countries).orderBy("popularity_rank").first()
+    top = read_layer(spark, layout.countries).orderBy("popularity_rank").first()
     assert top.country == "PRT" and top.popularity_rank == 1
 
 

@@ -8,6 +8,7 @@ import os
 from conftest import bronze_df, raw_row
 
 from innkeep.operators import rollups as R
+from innkeep.operators.bronze import read_bronze
 from innkeep.operators.silver import build_silver
 from innkeep.schema import RAW_COLUMNS
 from innkeep.session import staging_path
@@ -115,11 +116,11 @@ def test_stream_ingests_each_file_once_and_skips_known_rows(spark, tmp_path):
     bronze, ckpt = staging_path(spark, "t-bronze"), staging_path(spark, "t-ckpt")
     _drop(drop / "day1.csv", [raw_row(), raw_row(arrival_date_day_of_month="2"), raw_row()])
     ingest_available(spark, str(drop), bronze, ckpt)
-    assert spark.read.parquet(bronze).count() == 2
+    assert read_bronze(spark, bronze).count() == 2
     _drop(drop / "day2.csv", [raw_row(arrival_date_day_of_month="2"), raw_row(arrival_date_day_of_month="3")])
     ingest_available(spark, str(drop), bronze, ckpt)
     ingest_available(spark, str(drop), bronze, ckpt)
-    stored = spark.read.parquet(bronze)
+    stored = read_bronze(spark, bronze)
     assert stored.count() == 3 and stored.select("_row_hash").distinct().count() == 3
 
 
@@ -132,7 +133,7 @@ def test_stream_reads_any_header_order_and_ignores_extras(spark, tmp_path):
     write(drop / "a.csv", [raw_row()])
     write(drop / "b.csv", [raw_row(hotel="Apartment")], columns=list(reversed(RAW_COLUMNS)), extra=["note"])
     ingest_available(spark, str(drop), bronze, ckpt)
-    assert sorted(r.hotel for r in spark.read.parquet(bronze).collect()) == ["Apartment", "Hotel"]
+    assert sorted(r.hotel for r in read_bronze(spark, bronze).collect()) == ["Apartment", "Hotel"]
 
 
 def test_stream_keeps_quoted_newlines(spark, tmp_path):
@@ -141,6 +142,6 @@ def test_stream_keeps_quoted_newlines(spark, tmp_path):
     bronze, ckpt = staging_path(spark, "t-bronze-ml"), staging_path(spark, "t-ckpt-ml")
     _drop(drop / "day1.csv", [raw_row(company="Line one\nline two"), raw_row(arrival_date_day_of_month="5")])
     ingest_available(spark, str(drop), bronze, ckpt)
-    stored = spark.read.parquet(bronze)
+    stored = read_bronze(spark, bronze)
     assert stored.count() == 2
     assert stored.where(stored.company == "Line one\nline two").count() == 1
