@@ -29,8 +29,8 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -260,22 +260,22 @@ def _pairs(terms: DataFrame, groups: DataFrame) -> DataFrame:
     own = terms.join(groups.select("lang", "source", "blocks"), ["lang", "source"])
     own = own.select("lang", "source", F.pmod(F.xxhash64("term"), F.col("blocks")).cast("int").alias("block"), "term", "p")
 
-    def differences(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        start = rows[rows["term"].isna()].sort_values("source")
-        sources = start["source"].to_numpy()
-        rest = rows[rows["term"].notna()]
-        term, names = pd.factorize(rest["term"])
-        table = np.repeat(start["p"].to_numpy(np.int64)[:, None], len(names), axis=1)
-        table[np.searchsorted(sources, rest["source"].to_numpy()), term] = rest["p"].to_numpy(np.int64)
-        for i in range(len(sources) - 1):
-            value = np.abs(table[i + 1 :] - table[i]).sum(axis=1)
-            yield pd.DataFrame({"lang": rows["lang"].iat[0], "source": sources[i], "item": sources[i + 1 :], "value": value})
-
-    def block_of(rows: pd.DataFrame) -> pd.DataFrame:
-        found = list(differences(rows))
-        return pd.concat(found) if found else pd.DataFrame({"lang": [], "source": [], "item": [], "value": []})
-
-    found = base.unionByName(own).groupBy("lang", "block").applyInPandas(block_of, "lang string, source string, item string, value long")
+    def block_of(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        none = pc.is_null(rows["term"])
+        start, rest = rows.filter(none).sort_by("source"), rows.filter(pc.invert(none))
+        sources = start["source"].combine_chunks()
+        term = pc.dictionary_encode(rest["term"]).combine_chunks()
+        table = np.repeat(start["p"].to_numpy()[:, None], len(term.dictionary), axis=1)
+        table[pc.index_in(rest["source"], value_set=sources).to_numpy(), term.indices.to_numpy()] = rest["p"].to_numpy()
+        left, right = np.triu_indices(len(sources), 1)
+        value = [np.abs(table[i + 1 :] - table[i]).sum(axis=1) for i in range(len(sources) - 1)]
+        return pa.table({
+            "lang": pa.array([rows["lang"][0].as_py()] * len(left), pa.string()), "source": sources.take(pa.array(left)), "item": sources.take(pa.array(right)),
+            "value": pa.array(np.concatenate(value) if value else [], pa.int64()),
+        })
+
+    found = base.unionByName(own).groupBy("lang", "block").applyInArrow(block_of, "lang string, source string, item string, value long")
     found = found.groupBy("lang", "source", "item").agg(F.sum("value").alias("value"))
     return found.unionByName(found.select("lang", F.col("item").alias("source"), F.col("source").alias("item"), "value"))
 
