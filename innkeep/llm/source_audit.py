@@ -13,7 +13,7 @@ Prefixes that stay are told to the next level as bits of a filter of fixed size
 drops it; no frequent term is lost. So the filter's size does not grow with the
 data. Counting is additive: each task sums what it has read before the shuffle,
 and a group of any size is one row per task. Sums over pairs of sources are
-made from blocks of terms (CELLS of the table of sources by terms at a time),
+made from blocks of terms (CELLS of the table of sources by terms at a time, more with many sources),
 never from pairs within a term.
 
 Defined results: a null text, lang or source is ''. Each row is a document:
@@ -43,13 +43,13 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Documents of the language that a kept term is in, at least.
 LEAST_DOCUMENTS = 30
 #: Bytes of the prefixes of the first level; each level doubles them.
-FIRST_BYTES = 4
+FIRST_BYTES = 6
 #: The filter has 2**FILTER_BITS bits (16 MB), in rows of 2**ROW_BITS.
 FILTER_BITS, ROW_BITS = 27, 15
 #: Rows that a task holds before it sums them.
 HELD_ROWS = 1 << 20
-#: Cells of the table of sources by terms that are worked on together.
-CELLS = 1 << 18
+#: Cells of the table of sources by terms that are worked on together, and at least as many times the pairs of sources.
+CELLS, CELLS_A_PAIR = 1 << 15, 4
 #: Best terms of a source that are listed.
 TOP_TERMS = 50
 #: Frequencies are in billionths, with five occurrences added to each kept term.
@@ -59,7 +59,7 @@ OPEN, COMPLETE = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 # ---------------------------------------------------------------- terms of documents
 def document_terms(docs: DataFrame) -> DataFrame:
-    """lang, source, the different ``terms`` of each document and how often each occurs (``times``)."""
+    """lang, source, the different ``terms`` of each document in byte order and how often each occurs (``times``)."""
     small_batches(docs.sparkSession)
     columns = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
 
@@ -69,10 +69,10 @@ def document_terms(docs: DataFrame) -> DataFrame:
             for part in chunks(batch.column(2)):
                 data, at = utf8(part)
                 raw, at = data.tobytes().translate(_LOWER), at.tolist()
-                found = [Counter(TERM.findall(raw, i, j)) for i, j in zip(at[:-1], at[1:], strict=True)]
+                found = [sorted(Counter(TERM.findall(raw, i, j)).items()) for i, j in zip(at[:-1], at[1:], strict=True)]
                 offsets = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-                terms = pa.array([t for c in found for t in c], pa.binary()).cast(pa.string())
-                times = pa.array([n for c in found for n in c.values()], pa.int64())
+                terms = pa.array([t for own in found for t, _ in own], pa.binary()).cast(pa.string())
+                times = pa.array([n for own in found for _, n in own], pa.int64())
                 own = [batch.column(k).slice(first, len(part)) for k in (0, 1)]
                 first += len(part)
                 lists = [pa.ListArray.from_arrays(offsets, x) for x in (terms, times)]
@@ -151,9 +151,8 @@ def _level(documents: DataFrame, level: int, sent) -> list:
             done = held.key(which[ends], level, COMPLETE)
             which = which[~ends]
             longer, row = held.key(which, level, OPEN), held.row[which]
-            order = np.lexsort((row, longer))
-            longer, row = longer[order], row[order]
-            new = np.ones(len(order), bool)  # a document counts once for each of its prefixes
+            # a document counts once for each of its prefixes; its terms stand in order, so equal prefixes are neighbours
+            new = np.ones(len(longer), bool)
             new[1:] = (longer[1:] != longer[:-1]) | (row[1:] != row[:-1])
             # the lowest bit of a key tells open prefixes from complete terms
             for k, kind in ((done & ~np.uint64(1), 0), (longer[new] | np.uint64(1), 1)):
@@ -253,7 +252,8 @@ def _share(count: Column, total: Column, terms: Column) -> Column:
 
 def _pairs(terms: DataFrame, groups: DataFrame) -> DataFrame:
     """lang, source, item, value: for each two sources of a language the summed differences of their shares."""
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n_terms") * F.col("n_sources") / CELLS)).cast("int").alias("blocks")
+    cells = F.greatest(F.lit(CELLS), F.col("n_sources") * F.col("n_sources") * CELLS_A_PAIR)
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("n_terms") * F.col("n_sources") / cells)).cast("int").alias("blocks")
     groups = groups.select("lang", "source", "n_group", "n_terms", blocks)
     none = F.when(F.col("n_terms") > 0, _share(F.lit(0).cast("long"), F.col("n_group"), F.col("n_terms"))).otherwise(0).cast("long")
     base = groups.select("lang", "source", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(None).cast("string").alias("term"), none.alias("p"))

@@ -249,6 +249,7 @@ def test_audit(spark, rows):
 
 def test_audit_in_small_blocks_and_sums(spark, monkeypatch):
     monkeypatch.setattr(source_audit, "CELLS", 16)
+    monkeypatch.setattr(source_audit, "CELLS_A_PAIR", 1)
     monkeypatch.setattr(source_audit, "HELD_ROWS", 40)
     monkeypatch.setattr(source_audit, "FILTER_BITS", 16)
     rows = random_documents(2, 700)
@@ -261,6 +262,6 @@ def test_levels_drop_rare_prefixes(spark):
     made = spark.createDataFrame(rows, "lang string, source string, text string")
     documents = source_audit.staged(source_audit.document_terms(made), "terms")
     sent, levels = source_audit.frequent_filter(documents)
-    assert levels == [4, 8, 16, 32, 64]
+    assert levels == [6, 12, 24, 48]
     counted = source_audit._counted(documents, sent, levels).select("term").distinct().collect()
     assert not [r for r in counted if r["term"].startswith("seldom")]
