@@ -24,8 +24,7 @@ from innkeep.functions.fingerprint import row_hash
 from innkeep.operators import fingerprint_index as index
 from innkeep.operators.silver import first_per_fingerprint
 from innkeep.schema import RAW_COLUMNS
-from innkeep.session import remove_staged, staging_path
-from innkeep.sources.csv_source import scan_expected
+from innkeep.sources.csv_source import FILE_NAME, CsvBatch, expected_columns
 from innkeep.sources.versioned import EMPTY, Conflict, Entry, VersionedTable
 
 
@@ -161,27 +160,25 @@ def load_csv(
 ) -> LoadResult:
     """CSV extract -> bronze (insert-if-absent by fingerprint); returns metrics and new rows.
 
-    Steps: scan the CSV once into a staged Parquet batch (lineage, fingerprint,
-    malformed flag) in the shared staging folder; write the rows that are not
+    Steps: read the text once into staged fields in the shared staging folder;
+    name them, add lineage and fingerprints, and write the rows that are not
     stored yet beside the table; check the volume gate; publish them. A failed
     or gated load publishes nothing, and readers see a load whole or not at
     all. The total comes from the log. ``notes`` are kept in the log entry.
     """
     loaded_at = F.lit(spark.sql("SELECT CAST(current_timestamp() AS STRING)").first()[0]).cast("timestamp")
-    landed_path = staging_path(spark, "bronze-batch")
     table = VersionedTable(spark, bronze_path)
     table.latest()  # a folder that is no such table is an error before anything is read
+    source = CsvBatch(spark, csv_path, multi_line, RAW_COLUMNS)
     try:
-        # no repartition before staging: the scan is already split
-        with_lineage(scan_expected(spark, csv_path, multi_line), F.col("_file_name"), loaded_at, keep=["_malformed"]).write.parquet(landed_path)
-        landed = spark.read.parquet(landed_path)
+        landed = with_lineage(expected_columns(source), F.col(FILE_NAME), loaded_at, keep=["_malformed"])
         stats = landed.agg(F.count(F.lit(1)).alias("n"), F.count_if("_malformed").alias("bad")).first()
         batch = landed.drop("_malformed")
         counts = {"rows_read": int(stats["n"]), "malformed": int(stats["bad"])}
         entry, inserted, folder = append_absent(table, batch, min_rows, counts=counts, **notes)
         schema = batch.schema
     finally:
-        remove_staged(spark, landed_path)
+        source.remove()
     new = spark.read.schema(schema).parquet(table.at(folder)) if folder else spark.createDataFrame([], schema)
     return LoadResult(load_metrics(spark, counts, inserted, entry.rows), new)
 

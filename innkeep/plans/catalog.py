@@ -17,6 +17,7 @@ from innkeep.functions.fingerprint import row_hash
 from innkeep.functions.rounding import exact_mean
 from innkeep.operators import gold, quality as Q, rollups as R, silver as silver_ops
 from innkeep.operators import bronze as B, check_compiler
+from innkeep.operators.ranking import rank_by
 from innkeep.plans import datasets as D, pipeline as P
 from innkeep.session import checkpoint_dir, staging_path
 from innkeep.sources.csv_source import scan_expected, schema_reports
@@ -361,6 +362,14 @@ def q_silver_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("revenue_rank")
+def q_revenue_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each booking's place by revenue (ties share a place) and by lead time, shortest first."""
+    rows = D.silver_table(spark, sf_dir).select("_row_hash", "revenue", "lead_time")
+    ranked = rank_by(rank_by(rows, "revenue", "revenue_rank"), "lead_time", "lead_rank", descending=False)
+    return D.as_doubles(ranked)
+
+
 # --- Data quality ------------------------------------------------------------------------
 
 

@@ -2,8 +2,11 @@
 
 Columns are matched by *name* from each file's own header (order in the file
 does not matter); the 32 expected names must all be present in every file,
-extra names are reported and dropped. An empty field reads as NULL in Spark, so the raw layer
-turns it back into ``''`` (a blank stays distinguishable from ``NA``/``NULL``).
+extra names are reported and dropped. The text is read once: fields are staged
+by place as they are split, with what tells header rows and records that span
+lines, and names are given when the staged fields are read. Only files in which
+a record spans lines are read again, split by split. A field that a short row
+lacks reads as ``''``, like an empty one.
 """
 
 from __future__ import annotations
@@ -11,27 +14,21 @@ from __future__ import annotations
 import csv
 import logging
 import re
-from urllib.parse import unquote
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innkeep.schema import RAW_COLUMNS
+from innkeep.session import remove_staged, staging_path
+from innkeep.sources import csv_records as records
 
 log = logging.getLogger(__name__)
 
 CORRUPT = "_corrupt_record"
 
-# Spark's default escape character is a backslash; CSV doubles quotes instead.
-CSV_READ_OPTIONS = {
-    "header": "true",
-    "quote": '"',
-    "escape": '"',
-    "encoding": "UTF-8",
-    "mode": "PERMISSIVE",
-}
 CSV_WRITE_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
@@ -57,10 +54,10 @@ def check_columns(columns: list[str], expected: list[str] = RAW_COLUMNS) -> Sche
 FILE_NAME = "_file_name"
 # More distinct header lines than this in one scan is an error, not a data set.
 MAX_HEADERS = 1_000
-# A line that is a record by itself: every field free of quotes, or quoted as
-# a whole with doubled quotes inside.
-_FIELD = r'(?:[^",]*+|"[^"]*+(?:""[^"]*+)*+")'
-WHOLE_RECORD = rf"^{_FIELD}(?:,{_FIELD})*+$"
+# Files with records that span lines, named one by one; beyond it all files are read that way.
+NAMED_FILES = 10_000
+# Bytes a file takes in the broadcast table of files (name, header), and the most that is broadcast.
+FILE_BYTES, FILES_LIMIT_BYTES = 512, 64 << 20
 
 
 def _literal(spark: SparkSession, path: str) -> str:
@@ -74,58 +71,127 @@ def escape_glob(path: str) -> str:
     return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
 
 
-@dataclass(frozen=True)
-class FileGroup:
-    """Files with the same header line and the same kind of lines."""
-
-    names: tuple[str, ...]
-    line_by_line: bool  # every line is a record by itself
-    paths: tuple[str, ...]  # what to read: the given path if all files are alike
-    example: str
-
+class CsvBatch:
+    """The records of CSV files, staged by place; ``remove()`` deletes what was staged.
 
-def file_groups(spark: SparkSession, path: str | list[str]) -> list[FileGroup]:
-    """The files of ``path`` by their own header and by whether their lines are whole records.
-
-    One splittable text scan, aggregated per file in the tasks. The driver
-    gets the distinct headers; only if files differ it also gets their names
-    (its file listing holds those anyway).
+    ``multi_line``: ``"auto"`` (default) reads files as whole records in the
+    one pass and again as spanning records where a line is no whole record;
+    ``True`` takes all files as the latter, ``False`` none (each line is a
+    record then). The result depends on the text alone, never on its size or
+    on how it is split.
     """
-    given = [_literal(spark, p) for p in ([path] if isinstance(path, str) else path)]
-    lines = spark.read.text(given).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
-        "value",
-    )
-    per_file = lines.groupBy("file").agg(
-        F.min_by("value", "at").alias("head"), F.bool_and(F.col("value").rlike(WHOLE_RECORD)).alias("whole")
-    )
-    kinds = per_file.groupBy("head", "whole").agg(F.min("file").alias("example")).limit(MAX_HEADERS + 1).collect()
-    if len(kinds) > MAX_HEADERS:
-        raise ValueError(f"over {MAX_HEADERS} different CSV headers")
-    if len(kinds) < 2:
-        files = {(k["head"], k["whole"]): given for k in kinds}
-    else:
-        files = {}
-        for r in per_file.collect():
-            files.setdefault((r["head"], r["whole"]), []).append(escape_glob(unquote(r["file"])))
-    out = []
-    for k in sorted(kinds, key=lambda k: (k["head"], k["whole"])):
-        paths = sorted(files[k["head"], k["whole"]])
-        # a header of whole lines is one line; any other is read as a record
-        names = next(csv.reader([k["head"].lstrip("\ufeff")]), []) if k["whole"] else header(spark, paths)
-        out.append(FileGroup(tuple(names), k["whole"], tuple(paths), unquote(k["example"])))
-    return out
-
-
-def header(spark: SparkSession, path: str | list[str]) -> list[str]:
-    """Column names from the header record of the first file."""
-    return spark.read.options(**CSV_READ_OPTIONS).option("multiLine", "true").csv(path).columns
+
+    def __init__(self, spark: SparkSession, path: str | list[str], multi_line: bool | str = "auto", expected: list[str] | None = None) -> None:
+        self.spark = spark
+        self.paths = [_literal(spark, p) for p in ([path] if isinstance(path, str) else path)]
+        self.staged: list[str] = []
+        first = spark.read.text(self.paths).limit(1).collect()
+        self.width = len(next(csv.reader([first[0][0]]), [])) if first else 0
+        self.width = max(self.width, len(expected or ()), 1)
+        self.marks = [expected[0], expected[-1]] if expected else []
+        if multi_line is True:
+            self.rows = self._stage(records.spanning_records(spark, self.paths))
+        else:
+            self.rows = self._read_lines(multi_line == "auto")
+        self._find_headers()
+
+    # ------------------------------------------------------------ reading
+    def _placed(self, found: DataFrame) -> DataFrame:
+        """Fields as columns c0, c1, ...; those beyond the first file's width in ``more``."""
+        fields, text = F.col("fields"), F.concat_ws(",", "fields")
+        head = F.col("block") == 0
+        for name in self.marks:  # a header holds all expected names
+            head = head & text.contains(name)
+        at = [F.get(fields, i).alias(f"c{i}") for i in range(self.width)]
+        more = F.when(F.size(fields) > self.width, F.slice(fields, self.width + 1, 1 << 20)).alias("more")
+        return found.select("file", "block", "id", F.size(fields).alias("n"), *at, more, F.coalesce(head, F.lit(False)).alias("maybe_head"), *[c for c in found.columns if c == "whole"])
+
+    def _stage(self, found: DataFrame) -> DataFrame:
+        path = staging_path(self.spark, "csv-records")
+        self.staged.append(path)
+        placed = self._placed(found)
+        placed.write.partitionBy("maybe_head").parquet(path)
+        return self.spark.read.schema(placed.schema).parquet(path)
+
+    def _read_lines(self, auto: bool) -> DataFrame:
+        line = F.col("line")
+        text = records.lines(self.spark, self.paths).where(~records.is_blank(line))
+        text = text.withColumn("line", F.when((F.col("block") == 0) & line.startswith("\ufeff"), F.substring(line, 2, 1 << 30)).otherwise(line))
+        found = self._stage(text.select("file", "block", "id", records.fields_of(line).alias("fields"), records.is_whole(line).alias("whole")))
+        rows = found.drop("whole")
+        if not auto:
+            return rows
+        broken = found.where("NOT whole").select("file").distinct()
+        names = [r["file"] for r in broken.limit(NAMED_FILES + 1).collect()]
+        if not names:
+            return rows
+        paths = [escape_glob(unquote(n)) for n in names] if len(names) <= NAMED_FILES else self.paths
+        again = self._stage(records.spanning_records(self.spark, paths))
+        if len(names) > NAMED_FILES:
+            return again
+        return rows.where(~F.col("file").isin(names)).unionByName(again)
+
+    # ------------------------------------------------------------ headers
+    def _find_headers(self) -> None:
+        at = F.struct("block", "id")
+        first = self.rows.groupBy("file").agg(F.min(at).alias("at")).select("file", "at.block", "at.id")
+        path = staging_path(self.spark, "csv-headers")
+        self.staged.append(path)
+        every = F.concat(F.array(*[F.col(f"c{i}") for i in range(self.width)]), F.coalesce("more", F.array().cast("array<string>")))
+        own = self.rows.where("block = 0").join(first, ["file", "block", "id"]).select("file", "block", "id", F.slice(every, F.lit(1), F.greatest("n", F.lit(1))).alias("names"))
+        own.write.parquet(path)
+        self.heads = self.spark.read.schema(own.schema).parquet(path)
+        kinds = self.heads.groupBy("names").agg(F.min("file").alias("example")).limit(MAX_HEADERS + 1).collect()
+        if len(kinds) > MAX_HEADERS:
+            raise ValueError(f"over {MAX_HEADERS} different CSV headers")
+        clean = lambda names: [n.lstrip("\ufeff") if k == 0 else n for k, n in enumerate(names)]
+        # as the names stand, cleaned, and one of the files
+        self.headers = sorted((list(k["names"]), clean(k["names"]), unquote(k["example"])) for k in kinds)
+
+    def _data(self) -> DataFrame:
+        """Records without the header rows: those that may be one are few."""
+        maybe = self.rows.where("maybe_head")
+        heads = self.heads.select("file", "block", "id")
+        return self.rows.where("NOT maybe_head").unionByName(maybe.join(heads, ["file", "block", "id"], "left_anti").select(*self.rows.columns))
+
+    def frame(self, columns: list[str] | None = None) -> DataFrame:
+        """``columns`` (default: those of the headers, which must be the same then), ``_corrupt`` rows marked, and the file's name."""
+        names = list(columns or (self.headers[0][1] if self.headers else []))
+        for _, header, example in self.headers:
+            report = check_columns(header, names)
+            if report.missing:
+                raise ValueError(f"{example} lacks the columns {sorted(report.missing)}")
+            if report.extra:
+                log.warning("columns that are not read from %s: %s", example, sorted(report.extra))
+        rows = self._data()
+        field = lambda i: F.col(f"c{i}") if i < self.width else F.get(F.col("more"), i - self.width)
+        if len(self.headers) <= 1:
+            header = self.headers[0][1] if self.headers else names
+            values, size = [field(header.index(c)) for c in names], F.lit(len(header))
+        else:
+            # each file's header as the places of the columns that are read
+            layouts = [(real, [header.index(c) for c in names], len(header)) for real, header, _ in self.headers]
+            known = F.broadcast(self.spark.createDataFrame(layouts, "names array<string>, places array<int>, size int"))
+            files = self.heads.join(known, "names").select("file", "places", "size")
+            rows = rows.join(F.broadcast(files) if self.heads.count() * FILE_BYTES <= FILES_LIMIT_BYTES else files, "file")
+            every = F.concat(F.array(*[F.col(f"c{i}") for i in range(self.width)]), F.coalesce("more", F.array().cast("array<string>")))
+            values, size = [F.get(every, F.get("places", i)) for i in range(len(names))], F.col("size")
+        file = F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B")))
+        return rows.select(*[v.alias(c) for v, c in zip(values, names, strict=True)], (F.col("n") != size).alias(CORRUPT), file.alias(FILE_NAME))
+
+    def remove(self) -> None:
+        for path in self.staged:
+            remove_staged(self.spark, path)
+        self.staged = []
 
 
 def schema_reports(spark: SparkSession, path: str | list[str], expected: list[str] = RAW_COLUMNS) -> list[SchemaReport]:
     """The header check of every different header among the files."""
-    return [check_columns(list(names), expected) for names in sorted({g.names for g in file_groups(spark, path)})]
+    batch = CsvBatch(spark, path, expected=expected)
+    try:
+        return [check_columns(list(names), expected) for names in sorted({tuple(names) for _, names, _ in batch.headers})]
+    finally:
+        batch.remove()
 
 
 def read_csv(
@@ -133,71 +199,75 @@ def read_csv(
     path: str | list[str],
     multi_line: bool | str = "auto",
     infer_types: bool = False,
-    track_malformed: bool = True,
     columns: list[str] | None = None,
 ) -> DataFrame:
-    """Scan CSV extracts: a file or folder whose files may have different headers.
+    """CSV extracts, a file or folder whose files may have different headers, staged in the shared folder.
 
     Every file is read by its own header, and files are united by column
     name. ``columns``: the columns to keep; a file without one of them is an
     error that names both. Without ``columns`` all files must have the same
-    names, in any order.
-
-    ``multi_line``: ``"auto"`` (default) reads a file line by line, which
-    splits it freely, if every line is a record by itself, and as one stream
-    otherwise; that depends on the text alone, never on its size, and gives
-    the rows of ``True``. ``True`` reads all files as streams, ``False`` all
-    of them line by line (right only without newlines in fields).
-
-    The result has the scanned file's name as ``_file_name``. ``infer_types``
-    gives typed columns for exploration; the raw layer keeps text. With
-    ``track_malformed`` rows of too few or too many fields are flagged in
-    ``_corrupt_record``.
+    names, in any order. The result has the file's name as ``_file_name`` and
+    marks rows of too few or too many fields in ``_corrupt_record``.
+
+    ``infer_types`` gives typed columns for exploration (see
+    :func:`inferred_types`); the raw layer keeps text.
     """
-    out = None
-    for group in file_groups(spark, path):
-        report = check_columns(list(group.names), columns or list(group.names))
-        if report.missing:
-            raise ValueError(f"CSV is missing columns: {sorted(report.missing)} in {group.example}")
-        if report.extra:
-            log.warning("CSV has extra columns (ignored): %s", sorted(report.extra))
-        multi = not group.line_by_line if multi_line == "auto" else bool(multi_line)
-        reader = spark.read.options(**CSV_READ_OPTIONS).option("multiLine", str(multi).lower())
-        kept = list(columns or group.names)
-        if infer_types:
-            reader = reader.option("inferSchema", "true")
-        elif track_malformed:
-            # the schema follows the files' own header, so places and names agree
-            fields = [T.StructField(c, T.StringType()) for c in (*group.names, CORRUPT)]
-            reader = reader.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", CORRUPT)
-            kept.append(CORRUPT)
-        part = reader.csv(list(group.paths)).select(*[F.col(f"`{c}`") for c in kept], F.col("_metadata.file_name").alias(FILE_NAME))
-        out = part if out is None else out.unionByName(part)
-    if out is None:  # no file has a line
-        names = [*(columns or []), *([CORRUPT] if track_malformed and not infer_types else []), FILE_NAME]
-        out = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in names]))
-    return out
+    found = CsvBatch(spark, path, multi_line, columns).frame(columns)
+    if not infer_types:
+        return found
+    names = [c for c in found.columns if c not in (CORRUPT, FILE_NAME)]
+    kinds = inferred_types(found, names)
+    typed = [F.when(F.trim(F.col(f"`{c}`")) != "", F.col(f"`{c}`")).try_cast(k).alias(c) if k != "string" else F.col(f"`{c}`") for c, k in kinds.items()]
+    return found.select(*typed, FILE_NAME)
+
+
+# The kinds a text may have, as bits; a column's kind follows from the bits of all its values.
+_INT, _LONG, _DECIMAL, _DOUBLE, _DATE, _TIME, _BOOL, _TEXT = (1 << i for i in range(8))
+
+
+def _kind(value: Column) -> Column:
+    number = value.rlike(r"^\s*[+-]?[0-9]+\s*\z")
+    real = value.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z")
+    return (
+        F.when(value.isNull() | (F.trim(value) == ""), 0)
+        .when(number & value.try_cast("int").isNotNull(), _INT)
+        .when(number & value.try_cast("long").isNotNull(), _LONG)
+        .when(number & value.try_cast("decimal(38,0)").isNotNull(), _DECIMAL)
+        .when(real, _DOUBLE)
+        .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z") & value.try_cast("date").isNotNull(), _DATE)
+        .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9:.]+\z") & value.try_cast("timestamp").isNotNull(), _TIME)
+        .when(F.lower(value).isin("true", "false"), _BOOL)
+        .otherwise(_TEXT)
+    )
+
+
+def _join_of(bits: int) -> str:
+    """The least type that holds all the kinds seen: int < long < decimal < double, date < timestamp, and text above all."""
+    if bits and not bits & ~(_INT | _LONG | _DECIMAL | _DOUBLE):
+        return next(t for b, t in ((_DOUBLE, "double"), (_DECIMAL, "decimal(38,0)"), (_LONG, "bigint"), (_INT, "int")) if bits & b)
+    if bits and not bits & ~(_DATE | _TIME):
+        return "timestamp" if bits & _TIME else "date"
+    return "boolean" if bits == _BOOL else "string"
+
+
+def inferred_types(text: DataFrame, columns: list[str]) -> dict[str, str]:
+    """The type of each text column over all rows, whatever their order and files: one aggregate of OR-ed kinds.
+
+    Empty fields have no kind; a column of nothing else is text.
+    """
+    seen = text.agg(*[F.bit_or(_kind(F.col(f"`{c}`"))).alias(str(i)) for i, c in enumerate(columns)]).first()
+    return {c: _join_of(seen[i] or 0) for i, c in enumerate(columns)}
 
 
 def scan_expected(spark: SparkSession, path: str | list[str], multi_line: bool | str = "auto", expected: list[str] = RAW_COLUMNS) -> DataFrame:
     """The expected columns of CSV extracts, the file name and the malformed flag."""
-    return select_expected(read_csv(spark, path, multi_line, columns=expected), expected)
-
-
-def select_expected(df: DataFrame, expected: list[str] = RAW_COLUMNS) -> DataFrame:
-    """Validate names; keep the expected columns (blank -> ``''``), the file name
-    and the malformed-row flag. Raises ``ValueError`` when names are missing."""
-    report = check_columns([c for c in df.columns if c not in (CORRUPT, FILE_NAME)], expected)
-    if report.missing:
-        raise ValueError(f"CSV is missing columns: {sorted(report.missing)}")
-    if report.extra:
-        log.warning("CSV has extra columns (ignored): %s", sorted(report.extra))
-    malformed = F.col(CORRUPT).isNotNull() if CORRUPT in df.columns else F.lit(False)
-    return df.select(
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in expected],
-        (F.col(FILE_NAME) if FILE_NAME in df.columns else F.col("_metadata.file_name")).alias(FILE_NAME),
-        malformed.alias("_malformed"),
-    )
+    return expected_columns(CsvBatch(spark, path, multi_line, expected), expected)
+
+
+def expected_columns(batch: CsvBatch, expected: list[str] = RAW_COLUMNS) -> DataFrame:
+    """The expected columns of a batch (blank or missing -> ``''``), the file name and the malformed flag."""
+    found = batch.frame(expected)
+    return found.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in expected], FILE_NAME, F.col(CORRUPT).alias("_malformed"))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:

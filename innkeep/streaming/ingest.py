@@ -9,7 +9,7 @@ same job is a file stream over a drop folder:
 * ``trigger(availableNow=True)`` processes everything that has arrived and
   stops — a scheduled batch run with exactly-once file tracking;
 * each micro-batch is a list of new files, which the batch path scans (each by
-  its own header: any column order, extra columns ignored), stages as Parquet,
+  its own header: any column order, extra columns ignored), stages as fields,
   reduces to rows that are not stored yet and publishes as one version of the
   bronze table. A replayed micro-batch finds its fingerprints already stored and
   publishes nothing, so the sink stays idempotent under task or driver failure.
@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from innkeep.operators.bronze import append_absent, with_lineage
-from innkeep.session import remove_staged, staging_path
-from innkeep.sources.csv_source import scan_expected
+from innkeep.schema import RAW_COLUMNS
+from innkeep.sources.csv_source import FILE_NAME, CsvBatch, expected_columns
 from innkeep.sources.versioned import VersionedTable
 
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -43,12 +43,12 @@ def _append_batch(bronze_path: str):
         files = [r["path"] for r in batch.collect()]  # a micro-batch's file names
         if not files:
             return
-        staged_path = staging_path(spark, f"stream-batch-{batch_id}")
+        source = CsvBatch(spark, files, expected=RAW_COLUMNS)
         try:
-            with_lineage(scan_expected(spark, files), F.col("_file_name")).write.parquet(staged_path)
-            append_absent(VersionedTable(spark, bronze_path), spark.read.parquet(staged_path), stream_batch=batch_id)
+            rows = with_lineage(expected_columns(source), F.col(FILE_NAME))
+            append_absent(VersionedTable(spark, bronze_path), rows, stream_batch=batch_id)
         finally:
-            remove_staged(spark, staged_path)
+            source.remove()
 
     return run
 

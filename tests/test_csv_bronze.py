@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import io
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,7 +11,10 @@ from hypothesis import strategies as st
 from conftest import SF_SMALL, raw_row
 
 from innkeep.operators.bronze import VolumeCheckError, load_csv, read_bronze
+from pyspark.sql import functions as F
+
 from innkeep.schema import RAW_COLUMNS
+from innkeep.sources import csv_records as records
 from innkeep.sources.csv_source import check_columns, read_csv, scan_expected, schema_reports
 
 
@@ -151,7 +155,7 @@ def test_one_file_without_a_column_is_named(spark, tmp_path):
     folder.mkdir()
     write(folder / "a.csv", [raw_row()])
     write(folder / "short.csv", [raw_row()], columns=[c for c in RAW_COLUMNS if c != "hotel"])
-    with pytest.raises(ValueError, match=r"\['hotel'\] in .*short.csv"):
+    with pytest.raises(ValueError, match=r"short.csv lacks the columns \['hotel'\]"):
         scan(spark, str(folder))
 
 
@@ -179,6 +183,24 @@ def test_inferred_types(spark, tmp_path):
     assert sorted(r.adr for r in df.collect()) == [7.25, 100.0]
 
 
+def test_inferred_types_do_not_depend_on_the_order_of_files(spark, tmp_path):
+    values = {"a": ["1", "2"], "b": ["3000000000", ""], "c": ["x", "4"], "d": ["1.5", "2e3"], "e": ["12345678901234567890123", "1"]}
+    for order in ("abcde", "ecbda", "dab", "ea"):
+        folder = tmp_path / order
+        folder.mkdir()
+        for k, name in enumerate(order):
+            (folder / f"{k}.csv").write_text("n,day,flag,at,none\n" + "".join(f"{v},2020-01-0{k + 1},true,2020-01-01 10:00:0{k},\n" for v in values[name]))
+        kinds = dict(read_csv(spark, str(folder), infer_types=True).dtypes)
+        assert kinds["n"] == ("string" if "c" in order else "double" if "d" in order else "decimal(38,0)")
+        assert (kinds["day"], kinds["flag"], kinds["at"], kinds["none"]) == ("date", "boolean", "timestamp", "string")
+    mixed = tmp_path / "mixed-days"
+    mixed.mkdir()
+    (mixed / "a.csv").write_text("v,w\n2020-01-01,2020-01-01\n")
+    (mixed / "b.csv").write_text("v,w\n2020-01-01 01:02:03,7\n")
+    assert dict(read_csv(spark, str(mixed), infer_types=True).dtypes) == {"v": "timestamp", "w": "string", "_file_name": "string"}
+    assert sorted(str(r.v) for r in read_csv(spark, str(mixed), infer_types=True).collect()) == ["2020-01-01 00:00:00", "2020-01-01 01:02:03"]
+
+
 def test_load_of_a_mixed_folder(spark, tmp_path):
     folder = tmp_path / "load"
     folder.mkdir()
@@ -201,16 +223,62 @@ def test_unreadable_bronze_is_an_error(spark, tmp_path):
         load_csv(spark, write(tmp_path / "a.csv", [raw_row()]), str(bronze), min_rows=1)
 
 
-def test_auto_mode_splits_a_large_file_without_spanning_records(spark, tmp_path):
-    path = write(tmp_path / "big.csv", [raw_row(arrival_date_day_of_month=str(1 + i % 28), adr=f"{i}.00") for i in range(3000)])
+def test_whole_records_are_read_once_and_split(spark, tmp_path, monkeypatch):
+    path = write(tmp_path / "big.csv", [raw_row(arrival_date_day_of_month=str(1 + i % 28), adr=f"{i}.00", company='a "b", c') for i in range(3000)])
+    monkeypatch.setattr(records, "spanning_records", lambda *a: pytest.fail("read again"))
     key = "spark.sql.files.maxPartitionBytes"
     old = spark.conf.get(key)
     spark.conf.set(key, "65536")
     try:
-        df = scan_expected(spark, path)
-        assert df.rdd.getNumPartitions() > 1
-        flags = [r._malformed for r in df.select("adr", "_malformed").collect()]
-        assert len(flags) == 3000 and not any(flags)
+        assert records.lines(spark, [path]).rdd.getNumPartitions() > 4
+        rows = scan_expected(spark, path).select("adr", "company", "_malformed").collect()
+        assert len(rows) == 3000 and not any(r._malformed for r in rows) and {r.company for r in rows} == {'a "b", c'}
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_one_spanning_record_does_not_stop_the_split(spark, tmp_path):
+    rows = [raw_row(arrival_date_day_of_month=str(1 + i % 28), adr=f"{i}.00") for i in range(3000)]
+    rows[1500]["company"] = 'x"\n' * 30_000 + "end"  # over two splits
+    path = write(tmp_path / "span.csv", rows)
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "32768")
+    try:
+        found = scan_expected(spark, path)
+        assert spark_rows(found) == python_rows(path)
+        read = records.spanning_records(spark, [path])
+        by_task = [r["count"] for r in read.groupBy("block").count().collect()]
+        assert len(by_task) > 10 and sum(by_task) == 3001 and max(by_task) < 600
+    finally:
+        spark.conf.set(key, old)
+
+
+_CSV_TEXT = st.text(alphabet=st.sampled_from(list('ab,,""\n\n\r')), max_size=40)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(_CSV_TEXT, min_size=1, max_size=4))
+def test_any_text_is_read_like_pythons_reader(spark, tmp_path_factory, texts):
+    folder = tmp_path_factory.mktemp("text")
+    expected = []
+    for k, text in enumerate(texts):
+        if text.count('"') % 2:
+            text += '"'
+        # the file is cut into splits of a few bytes
+        text = "x" + str(k) + "\n" + text + "\n"
+        (folder / f"f{k}.csv").write_bytes(text.encode())
+        expected += [r for r in csv.reader(io.StringIO(text, newline="")) if r]
+    key = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "8b")
+    try:
+        found = [r["fields"] for r in records.spanning_records(spark, [str(folder)]).collect()]
+        assert sorted(found) == sorted(expected)
+        plain = records.lines(spark, [str(folder)]).where(~records.is_blank(F.col("line")))
+        whole = [r["f"] for r in plain.where(records.is_whole(F.col("line"))).select(records.fields_of(F.col("line")).alias("f"), "line").collect()]
+        again = [list(csv.reader([r["line"]]))[0] for r in plain.where(records.is_whole(F.col("line"))).collect()]
+        assert sorted(whole) == sorted(again)
     finally:
         spark.conf.set(key, old)
 

@@ -200,3 +200,70 @@ def test_unique_fingerprint_matches_plain_unique(spark):
         got = sorted(tuple(r) for r in Q.unique_fingerprint(df, "_row_hash", "t").collect())
         assert got == want
     assert len(want) == 1 and want[0][2] == "not-hex"
+
+
+def test_compiled_checks_count_like_the_single_ones(spark):
+    from innkeep.operators import check_compiler as C
+    from innkeep.plans.catalog import DECLARED_CHECKS
+
+    rows = [
+        raw_row(hotel=h, adr=a, is_canceled=c, country=k, company=str(i % 3))
+        for i, (h, a, c, k) in enumerate([("Resort", "-1.00", "0", "PRT"), ("Hotel", "NA", "2", "NULL"), ("Resort", "NA", "3", "ESP"), ("Hotel", "-2.00", "1", "ESP"), ("Hotel", "-2.00", "1", "ESP")])
+    ]
+    raw = bronze_df(spark, rows + rows[:2]).withColumn("_row_hash", F.when(F.col("company") == "2", F.upper("_row_hash")).otherwise(F.col("_row_hash")))
+    silver = build_silver(bronze_df(spark, rows), strict=False, dedup=False)
+    countries = spark.createDataFrame([("PRT", 1, None), ("PRT", 2, 1), (None, None, 1), (None, 1, 1)], "country string, total_bookings long, popularity_rank long")
+    mom = spark.createDataFrame([(None, None), ("Hotel", None)], "hotel_type string, year_month string")
+    got = {r.check_name: (r.violations, r.passed) for r in C.report({"landing": raw, "silver": silver, "countries": countries, "mom": mom}, DECLARED_CHECKS).collect()}
+    single = {
+        "dq_unique": Q.unique_fingerprint(silver, "_row_hash", "s").count() + Q.unique(countries, "country", "c").count(),
+        "dq_not_null": Q.not_null(silver, Q.SILVER_NOT_NULL, "s", "_row_hash").count() + Q.not_null(countries, Q.COUNTRIES_NOT_NULL, "c", "country").count() + Q.not_null(mom, Q.MOM_NOT_NULL, "m", "hotel_type").count(),
+        "dq_accepted_values": Q.accepted_values(silver, Q.ACCEPTED_VALUES, "s").count(),
+        "dq_value_set": Q.value_set(raw, Q.RAW_VALUE_SETS).count(),
+        "dq_non_negative": Q.non_negative(silver, "adr").count(),
+        "dq_volume": Q.volume(silver).count(),
+        "dq_rate_bounds": Q.rate_bounds(raw).count(),
+        "dq_diversity": Q.diversity(raw).count(),
+        "dq_negative_share": Q.negative_share(raw).count(),
+        "dq_hash_format": Q.hash_format(raw).count(),
+    }
+    assert {k: v for k, (v, _) in got.items()} == single
+    assert all(single[k] > 0 for k in single if k not in ("dq_rate_bounds",)) and all(p == (v == 0) for v, p in got.values())
+    two = C.report({"c": countries}, [C.Check("a", "c", "unique", ("country", "total_bookings")), C.Check("b", "c", "unique", ("popularity_rank",))])
+    assert {r.check_name: r.violations for r in two.collect()} == {"a": 2, "b": 1}
+    for wrong in (C.Check("x", "c", "no such kind"), C.Check("x", "nowhere", "min_rows", (), 1)):
+        with pytest.raises(ValueError):
+            C.report({"c": countries}, [C.Check("a", "c", "not_null", ("country",)), wrong])
+
+
+def test_checks_of_no_rows(spark):
+    from innkeep.operators import check_compiler as C
+    from innkeep.plans.catalog import DECLARED_CHECKS
+
+    raw = bronze_df(spark, [raw_row()]).limit(0)
+    got = {r.check_name: r.violations for r in C.report({"landing": raw}, [c for c in DECLARED_CHECKS if c.table == "landing"]).collect()}
+    assert got == {"dq_value_set": 4, "dq_rate_bounds": 0, "dq_diversity": 1, "dq_negative_share": 0, "dq_hash_format": 0}
+
+
+def test_report_reads_silver_twice_at_most(spark):
+    from innkeep.plans.catalog import QUERIES
+
+    plan = plan_text(QUERIES["dq_report"](spark, SF_SMALL))
+    reads = [line for line in plan.splitlines() if line.startswith("Location:")]
+    silver = {f for f in D.silver_table(spark, SF_SMALL).inputFiles()}
+    folder = next(iter(silver)).split("/data/")[0].removeprefix("file:").lstrip("/")
+    assert sum(folder in line for line in reads) <= 1  # and once for the grouped pass, which runs while the report is built
+    assert sum("Scan parquet" in line and "(" in line and line.startswith("(") for line in plan.splitlines()) <= 6
+
+
+def test_rank_of_any_column_needs_no_single_task(spark):
+    from innkeep.operators.ranking import rank_by
+
+    rows = [(i, None if i % 11 == 0 else (i * 37 % 1000) / 4, f"n{i % 300}" if i % 7 else None) for i in range(3000)]
+    df = spark.createDataFrame(rows, "id long, v double, s string")
+    df.createOrReplaceTempView("to_rank")
+    expected = spark.sql("SELECT id, rank() OVER (ORDER BY v DESC NULLS LAST) AS a, rank() OVER (ORDER BY s NULLS LAST) AS b FROM to_rank")
+    got = rank_by(rank_by(df, "v", "a"), "s", "b", descending=False)
+    assert sorted(map(tuple, got.select("id", "a", "b").collect())) == sorted(map(tuple, expected.collect()))
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    assert rank_by(df.limit(0), "v", "a").count() == 0
