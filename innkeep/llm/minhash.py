@@ -16,10 +16,15 @@ once. Larger lists never do: their sets meet under a leader (the set whose
 lists are the longest), dealt into blocks. Each block is first compared, on
 full sets, with itself, the leader and a few more pivots: near copies of one
 text are then connected with the leader, and connected sets need no more
-comparing among themselves. Only for the sets left over is each pair of blocks
-compared; a task returns links only, at most one a set. Every set with a run in
-a large list takes part, however many other runs it has: those may all stem from
-its own additions, which no partner shares.
+comparing among themselves. The sets left over meet their partners in prefix
+lists over full sets: with the values of each set ordered rarest first, two
+linked sets share one of the first n - ceil(t n) + 1, so a set is listed under
+those only, and not at all if so many of its values are its own. Lists of up to
+SMALL_LIST sets propose their pairs; for larger ones (sets without private
+material that share values with many) each pair of blocks is compared, and a
+task returns links only, at most one a set. Every set with a run in a large
+list takes part, however many other runs it has: those may all stem from its
+own additions, which no partner shares.
 
 Defined results: a text without words (or null) has an empty set and is linked
 with nothing. A text of fewer than five words has one shingle. Rows with equal
@@ -44,8 +49,6 @@ RUN = 3
 #: Lowest threshold for which runs of RUN values are shown to find pairs.
 LEAST_PERCENT = 80
 SMALL_LIST = 32
-#: Without effect: no set is left out of a large list. Tests set the name.
-COLD_RUNS = 30
 BLOCK_SETS = 256
 #: Sets of a large group that every block of it meets first, besides the leader.
 PIVOTS = 16
@@ -303,6 +306,32 @@ def block_pairs(groups: DataFrame, met: DataFrame, full: DataFrame, percent: int
     return rows.groupBy("leader", "i", "j").applyInPandas(compare, "a binary, b binary").distinct().union(linked.select("a", "b"))
 
 
+def prefix_lists(pool: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """(run, set_id, n, left, members): sets under the rarest of their values, of lists with a set that is ``left``.
+
+    pool: (set_id, left). A value is counted over the sets of the pool; values
+    that one set has stand first in its order and make no list.
+    """
+
+    def spread_out(batches):
+        schema = pa.schema([("set_id", pa.binary()), ("left", pa.bool_()), ("n", pa.int64()), ("run", pa.int64())])
+        for batch in batches:
+            for i in range(batch.num_rows):  # a set at a time: sets can be large
+                values = np.frombuffer(batch.column(2)[i].as_buffer(), np.int64)
+                same = [pa.array([x], k).take(pa.array(np.zeros(len(values), np.int32))) for x, k in ((batch.column(0)[i].as_py(), pa.binary()), (batch.column(1)[i].as_py(), pa.bool_()), (len(values), pa.int64()))]
+                yield pa.RecordBatch.from_arrays([*same, pa.array(values)], schema=schema)
+
+    rows = pool.join(full, "set_id").select("set_id", "left", "full").mapInArrow(spread_out, "set_id binary, left boolean, n long, run long")
+    counts = rows.groupBy("run").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = rows.join(counts, "run").groupBy("set_id", "left", "n").agg(F.sort_array(F.collect_list(F.struct("members", "run"))).alias("values"))
+    prefix = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    listed = (prefix - (F.col("n") - F.size("values"))).cast("int")
+    kept = shared.where(listed > 0).select("set_id", "left", "n", F.explode(F.slice("values", F.lit(1), F.greatest(listed, F.lit(0)))).alias("v")).select("set_id", "left", "n", "v.run")
+    kept = staged(kept, "prefix-lists")
+    lists = kept.groupBy("run").agg(F.count(F.lit(1)).alias("members"), F.max("left").alias("any_left")).where("members > 1 AND any_left")
+    return kept.join(lists.select("run", "members"), "run")
+
+
 # ---------------------------------------------------------------- components
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node that each linked node reaches, by large-star and small-star steps."""
@@ -364,10 +393,13 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFr
     )
     lists = staged(inverted_lists(sets, percent), "lists")
     sketches = sets.select("set_id", "sketch")
-    pairs = small_list_pairs(lists, least)
-    pairs = pairs.join(sketches.select(F.col("set_id").alias("a"), F.col("sketch").alias("sa")), "a")
-    pairs = pairs.join(sketches.select(F.col("set_id").alias("b"), F.col("sketch").alias("sb")), "b")
-    pairs = staged(pairs.where(estimate(F.col("sa"), F.col("sb")) >= least_estimate(percent)).select("a", "b"), "pairs")
+
+    def likely(proposed: DataFrame) -> DataFrame:
+        proposed = proposed.join(sketches.select(F.col("set_id").alias("a"), F.col("sketch").alias("sa")), "a")
+        proposed = proposed.join(sketches.select(F.col("set_id").alias("b"), F.col("sketch").alias("sb")), "b")
+        return proposed.where(estimate(F.col("sa"), F.col("sb")) >= least_estimate(percent)).select("a", "b")
+
+    pairs = staged(likely(small_list_pairs(lists, least)), "pairs")
     groups = staged(large_list_groups(lists), "groups")
     wanted = pairs.select(F.col("a").alias("set_id")).union(pairs.select("b")).union(groups.select("set_id")).distinct()
     wanted = staged(wanted.join(sets, "set_id").select("set_id", F.col("rep").alias("_rep")), "wanted")
@@ -377,7 +409,16 @@ def grouped(docs: DataFrame, id_col: str, text_col: str, percent: int) -> DataFr
     full = full_sets(source.join(ids, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi"), "_text")
     full = staged(full.join(wanted.select("set_id"), "set_id", "left_semi").dropDuplicates(["set_id"]), "full-sets")
     met = staged(pivot_links(groups, full, percent), "pivot-links")
-    links = confirm_pairs(pairs, full, percent).union(block_pairs(groups, met, full, percent))
+    links = confirm_pairs(pairs, full, percent).union(met.where("b IS NOT NULL").select("a", "b"))
+    # sets that their group's pivots did not connect, among all sets of such groups
+    apart = met.where("b IS NULL").select("leader", F.col("a").alias("set_id"))
+    pool = groups.join(apart.select("leader").distinct(), "leader", "left_semi").join(apart.withColumn("left", F.lit(True)), ["leader", "set_id"], "left")
+    pool = pool.groupBy("set_id").agg(F.max(F.coalesce("left", F.lit(False))).alias("left"))
+    rare = staged(prefix_lists(pool, full, percent), "rare-lists")
+    links = links.union(confirm_pairs(likely(small_list_pairs(rare, least)), full, percent))
+    crowds = staged(large_list_groups(rare), "crowds")
+    if crowds.limit(1).count():
+        links = links.union(block_pairs(crowds, staged(pivot_links(crowds, full, percent), "crowd-links"), full, percent))
     reached = components(links)
     by_set = sets.join(reached, F.col("set_id") == F.col("node"), "left").select("set_id", "rep", F.coalesce("component", "set_id").alias("component"))
     smallest = by_set.groupBy("component").agg(F.min("rep").alias("component_id"))

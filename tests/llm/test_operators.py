@@ -223,10 +223,9 @@ def test_suffix_levels_merge(spark):
     assert result(index._sum(index.read()), "anchor", "context", "count") == result(whole, "anchor", "context", "count")
 
 
-@pytest.mark.parametrize(("small", "cold", "block", "pivots"), [(32, 30, 256, 16), (2, 1000, 8, 1)])
-def test_near_duplicates(spark, case, small, cold, block, pivots, monkeypatch):
+@pytest.mark.parametrize(("small", "block", "pivots"), [(32, 256, 16), (2, 8, 1)])
+def test_near_duplicates(spark, case, small, block, pivots, monkeypatch):
     monkeypatch.setattr(minhash, "SMALL_LIST", small)
-    monkeypatch.setattr(minhash, "COLD_RUNS", cold)
     monkeypatch.setattr(minhash, "BLOCK_SETS", block)
     monkeypatch.setattr(minhash, "PIVOTS", pivots)
     rows, path = case
