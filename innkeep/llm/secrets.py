@@ -2,8 +2,8 @@
 
 Base kinds are reported wherever they match. Weak parts (identifiers, bare
 random-looking tokens, endpoints) mean little alone; they are reported only
-when a complementary part lies in the same scope (text without a blank line)
-and at most LINK_DISTANCE code points away. The linking is an interval join
+when a complementary part lies in the same scope (text without a blank line);
+a distance in code points may be set as well. The linking is an interval join
 done as a sweep: parts of a scope in order of their place, each looking at the
 nearest complementary part before and after it, so no pairs are formed.
 
@@ -21,7 +21,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LINK_DISTANCE = 400
 MASK = "[SECRET]"
 
 
@@ -97,8 +96,11 @@ def parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return rows.withColumn("end", end).where("ok").select(*KEY, "kind", (F.col("end") - F.col("size")).alias("start"), "end", "copies")
 
 
-def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Reported parts of texts: _id, _hash, kind, start, end, base. A text without any has one row of kind -1."""
+def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int | None = None) -> DataFrame:
+    """Reported parts of texts: _id, _hash, kind, start, end, base. A text without any has one row of kind -1.
+
+    distance: the most code points between linked parts (default: any within the scope).
+    """
     role = F.element_at(F.array(*(F.lit(k.role) for k in KINDS)), F.col("kind") + 1)
     is_base = F.col("kind").between(0, len(BASE_KINDS) - 1)
     rows = parts(docs, id_col, text_col).withColumn("role", F.when(F.col("kind") >= 0, role).otherwise("text"))
@@ -111,11 +113,12 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     rows = rows.withColumn("covered", ~is_base & (F.coalesce(base_end > F.col("start"), F.lit(False)) | F.coalesce(base_start < F.col("end"), F.lit(False))))
 
     def near(role: str) -> Column:
-        """A part of that role, apart from this one and not inside a base span, within the distance."""
+        """A part of that role in the scope, apart from this one and not inside a base span, within the distance."""
         fits = (F.col("role") == role) & ~F.col("covered")
-        gap_before = F.col("start") - F.max(F.when(fits, F.col("end"))).over(earlier)
-        gap_after = F.min(F.when(fits, F.col("start"))).over(later) - F.col("end")
-        return F.coalesce(gap_before <= LINK_DISTANCE, F.lit(False)) | F.coalesce(gap_after <= LINK_DISTANCE, F.lit(False))
+        before, after = F.max(F.when(fits, F.col("end"))).over(earlier), F.min(F.when(fits, F.col("start"))).over(later)
+        if distance is None:
+            return before.isNotNull() | after.isNotNull()
+        return F.coalesce(F.col("start") - before <= distance, F.lit(False)) | F.coalesce(after - F.col("end") <= distance, F.lit(False))
 
     for r in ("identifier", "secret", "endpoint"):
         rows = rows.withColumn(f"near_{r}", near(r))
@@ -128,11 +131,11 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     return rows.withColumn("base", is_base).where((F.col("kind") == -1) | F.col("base") | linked).select(*KEY, "kind", "start", "end", "base", "copies")
 
 
-def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int | None = None) -> DataFrame:
     """One row a row of ``docs``: the id and ``spans``, an array of (start, order, end, kind, base), in order."""
     name = F.element_at(F.array(*(F.lit(k.name) for k in KINDS)), F.col("kind") + 1)
     span = F.struct("start", F.col("kind").alias("order"), "end", name.alias("kind"), "base")
-    by_text = spans(docs, id_col, text_col).groupBy(*KEY).agg(
+    by_text = spans(docs, id_col, text_col, distance).groupBy(*KEY).agg(
         F.array_sort(F.collect_list(F.when(F.col("kind") >= 0, span))).alias("spans"),
         F.max(F.when(F.col("kind") == -1, F.col("copies"))).alias("copies"),
     )
@@ -145,11 +148,11 @@ def listed(found: Column) -> Column:
     return F.concat_ws(",", F.transform(found, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
 
 
-def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = MASK) -> DataFrame:
+def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mask: str = MASK, distance: int | None = None) -> DataFrame:
     """``docs`` with every reported span masked; overlapping spans become one mask. Other rows and columns stay."""
     order = Window.partitionBy(*KEY).orderBy("start", "end")
     reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    rows = spans(docs, id_col, text_col).where("kind >= 0").withColumn("first", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int"))
+    rows = spans(docs, id_col, text_col, distance).where("kind >= 0").withColumn("first", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int"))
     rows = rows.withColumn("run", F.sum("first").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     merged = rows.groupBy(*KEY, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
     cuts = merged.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_cuts"))
