@@ -121,7 +121,7 @@ def test_secrets_base(spark, case):
         ("client_id=abc", []),
         ("client_id=abc and password=hunter22", ["login", "assign"]),
         ("client_id=abc\n\npassword=hunter22", ["assign"]),
-        ("https://db.example.org/x " + "w " * 300 + "password=hunter22", ["assign"]),
+        ("https://db.example.org/x " + "w " * 300 + "password=hunter22", ["endpoint", "assign"]),
         ("https://db.example.org/x password=hunter22", ["endpoint", "assign"]),
         ("password=token:abcdefgh", []),
         ("password=tok:en token==abcdef", ["assign"]),
@@ -132,6 +132,12 @@ def test_secrets_weak_parts_need_company(spark, text, kinds):
     assert [s["kind"] for s in found["spans"]] == kinds
 
 
+def test_secrets_link_distance_is_an_option(spark):
+    docs = spark.createDataFrame([(1, "https://db.example.org/x " + "w " * 300 + "password=hunter22")], "doc_id long, text string")
+    kinds = lambda d: [s["kind"] for s in secrets.find_secrets(docs, distance=d).first()["spans"]]
+    assert kinds(None) == kinds(601) == ["endpoint", "assign"] and kinds(600) == ["assign"]
+
+
 def test_secrets_redact(spark):
     rows = [(1, "é😀 token=abcdefgh1 x f" + "0" * 30 + " y", "k"), (2, None, "k"), (None, "password: 123456", "k"), (3, "plain", "k"), (3, "plain", "k")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, _id string")
@@ -323,6 +329,57 @@ def test_alignment_is_increasing_and_equal():
         assert len(license_scan.align(a, a)) == len(a)
 
 
+@pytest.mark.parametrize(
+    ("text", "license"),
+    [
+        ("Released under the BSD License.", None),
+        ("Released under the MIT License.", "MIT"),
+        ("Licensed under CC BY 4.0.", "CC-BY-4.0-short"),
+        ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        ("Licensed under CC BY-SA 4.0.", "CC-BY-SA-4.0-short"),
+        ("Licensed under CC BY 3.0.", None),
+        ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"),
+        ("This work is licensed under the GNU General Public License, version 3.", "GPL-3.0"),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", None),
+        ("Licensed under the Apache License, Version 1.1.", None),
+        ("This work is licensed under a Creative Commons Attribution 3.0 International License.", None),
+        ("This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.", "CC-BY-SA-4.0"),
+        ("He was released under the old license last week", None),
+        *((text, name) for name, text in license_scan.TEMPLATES.items()),
+        *((text.replace(" 3 ", " 4 ").replace("2.0", "7.0"), None) for name, text in license_scan.TEMPLATES.items() if name in ("GPL-3.0-notice", "LGPL-3.0-notice", "AGPL-3.0-notice", "Apache-2.0", "MPL-2.0")),
+    ],
+)
+def test_license_names(text, license):
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    for around in (text, "some words before. " + text + " and some after", text.upper()):
+        assert [f["license"] for f in scanner.scan(around, license_scan.MIN_COVERAGE)] == ([license] if license else [])
+
+
+def test_license_alignment_is_bounded_by_the_longest_common_subsequence():
+    import random
+
+    r = random.Random(6)
+    for _ in range(300):
+        a, b = ([f"w{r.randrange(12)}" for _ in range(r.randrange(25))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        pairs = license_scan.align(a, b)
+        assert len(pairs) <= best[-1][-1]
+        assert all(a[i] == b[j] for i, j in pairs) and all(p < q and s < t for (p, s), (q, t) in zip(pairs[:-1], pairs[1:], strict=True))
+
+
+def test_license_edges(spark):
+    mit, columns = license_scan.TEMPLATES["MIT"], "doc_id long, text string, licenses int"
+    assert license_scan.scan_licenses(spark.createDataFrame([], columns)).collect() == []
+    rows = [(1, "word " * 200_000 + mit, 1), (2, mit, 1), (2, mit, 1), (None, None, None), (4, "", 2)]
+    found = license_scan.scan_licenses(spark.createDataFrame(rows, columns)).collect()
+    assert sorted((str(r["doc_id"]), [f["license"] for f in r["licenses"]]) for r in found) == [("1", ["MIT"]), ("2", ["MIT"]), ("2", ["MIT"]), ("4", []), ("None", [])]
+    with pytest.raises(ValueError):
+        license_scan.Scanner({"own": "a b c"}, {"own": ("d",)})
+
+
 def test_license_query_finds_planted_lines(spark):
     sf = "/root/testdata/sf0.01"
     docs = queries.table(spark, sf, "documents")
@@ -358,7 +415,7 @@ def test_token_rollup_uncommitted_attempt_does_not_count(spark, tmp_path, monkey
     docs = spark.createDataFrame([("a", "en", 5)], "source string, lang string, n int")
     rollup = token_rollup.TokenRollup(spark, str(tmp_path / "rollup"))
     with monkeypatch.context() as m:
-        m.setattr(rollup, "_mark", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        m.setattr(rollup.files, "write_new", lambda *a: (_ for _ in ()).throw(OSError("lost")))
         with pytest.raises(OSError):
             rollup.commit("b1", token_rollup.changes("insert", docs, F.col("n"), F.lit("v")))
     assert rollup.totals().count() == 0
@@ -366,6 +423,44 @@ def test_token_rollup_uncommitted_attempt_does_not_count(spark, tmp_path, monkey
     assert rollup.totals().first()["n_tokens"] == 5
 
 
+def test_token_rollup_batch_during_a_compaction(spark, tmp_path, monkeypatch):
+    docs = spark.createDataFrame([("a", "en", 5)], "source string, lang string, n int")
+    one = token_rollup.changes("insert", docs, F.col("n"), F.lit("v"))
+    rollup, other = (token_rollup.TokenRollup(spark, str(tmp_path / "rollup")) for _ in range(2))
+    rollup.commit("b1", one)
+    total = lambda r: tuple(r.totals().select("n_docs", "n_tokens").first())
+    with monkeypatch.context() as m:  # a batch comes in after the compaction has listed what it folds
+        m.setattr(rollup, "_totals", lambda marks, f=rollup._totals: other.commit("b2", one) and f(marks))
+        assert rollup.compact()
+    assert total(rollup) == total(other) == (2, 10)
+    with monkeypatch.context() as m:  # another compaction is first
+        m.setattr(rollup, "_totals", lambda marks, f=rollup._totals: other.compact() and f(marks))
+        assert not rollup.compact()
+    assert total(rollup) == (2, 10)
+    # folded batches keep their ids, not their markers
+    assert rollup.files.names(f"{rollup.path}/commits") == ["snapshot-000000000002"]
+    assert not rollup.commit("b1", one) and not other.commit("b2", one) and total(other) == (2, 10)
+    with monkeypatch.context() as m:  # a compaction that is lost before it retires anything
+        rollup.commit("b3", one)
+        m.setattr(rollup.files, "remove", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            rollup.compact()
+    assert total(other) == (3, 15) and other.compact() and total(other) == (3, 15)
+    assert not other.commit("b3", one)
+
+
+def test_token_rollup_torn_marker(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "en", 5)], "source string, lang string, n int")
+    one = token_rollup.changes("insert", docs, F.col("n"), F.lit("v"))
+    rollup = token_rollup.TokenRollup(spark, str(tmp_path / "rollup"))
+    rollup.commit("b1", one)
+    (tmp_path / "rollup" / "commits" / "batch-b2").write_text("")
+    assert rollup.totals().first()["n_tokens"] == 5
+    assert rollup.compact()
+    assert rollup.commit("b2", one) and not rollup.commit("b2", one)
+    assert rollup.totals().first()["n_tokens"] == 10
+
+
 def test_token_counts_query(spark, case):
     import duckdb
 
