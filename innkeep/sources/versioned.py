@@ -83,6 +83,9 @@ class Files:
             self.fs.delete(scratch, False)
             return False
 
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(self._path(path))
+
     def remove(self, path: str) -> None:
         self.fs.delete(self._path(path), True)
 
