@@ -7,6 +7,8 @@ import shutil
 import subprocess
 import sys
 
+import pytest
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 SHOW = "import __spark_entry__ as e; q = e.queries(); print(len(q), 'popular_countries' in q, any(k.startswith('op') or k == 'pipeline' for k in q))"
 
@@ -31,3 +33,13 @@ def test_other_modules_do_not_import_the_subpackage():
                 if name.endswith(".py"):
                     with open(os.path.join(folder, name), encoding="utf-8") as f:
                         assert "innkeep.llm" not in f.read(), name
+
+
+@pytest.mark.parametrize("gone", ["zstandard", "sentencepiece", "innkeep.llm", "corpus_pipeline"])
+def test_entry_without_a_library_or_the_pipeline(gone):
+    """What the text operators need may be missing; corpus_pipeline.py stays in place."""
+    code = f"import sys; sys.modules[{gone!r}] = None; import __spark_entry__ as e; print(len(e.queries()), any(k.startswith('op') for k in e.queries()), 'pipeline' in e.queries())"
+    done = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr
+    n, text, pipeline = done.stdout.split()
+    assert int(n) >= 84 and (text, pipeline) == ("False", "False")

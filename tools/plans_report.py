@@ -49,14 +49,14 @@ def final_plan(df) -> tuple[str, list[str]]:
 
 def extra_frames(spark, sf: str) -> dict:
     """Plans that are steps of the CSV-to-gold run rather than registered queries."""
-    from innkeep.operators.bronze import load_csv
+    from innkeep.operators.bronze import load_csv, read_bronze
     from innkeep.operators.silver import build_silver
     from innkeep.plans import datasets as D
     from innkeep.session import staging_path
 
     bronze = staging_path(spark, "plans-bronze")
     load_csv(spark, D.csv_extract(spark, sf), bronze, min_rows=1)
-    return {"pipeline_silver (cleaned layer from the loaded bronze table)": build_silver(spark.read.parquet(bronze))}
+    return {"pipeline_silver (cleaned layer from the loaded bronze table)": build_silver(read_bronze(spark, bronze))}
 
 
 def main() -> None:

@@ -18,12 +18,14 @@ import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from innkeep.operators.bronze import load_csv, new_rows, read_bronze  # noqa: E402
-from innkeep.operators.silver import build_silver, has_repeated  # noqa: E402
+from innkeep.operators import fingerprint_index as index  # noqa: E402
+from innkeep.operators.bronze import load_csv, read_bronze  # noqa: E402
+from innkeep.operators.silver import build_silver, first_per_fingerprint, has_repeated  # noqa: E402
 from innkeep.plans import datasets as D  # noqa: E402
 from innkeep.plans.catalog import all_queries  # noqa: E402
 from innkeep.session import get_session, staging_path  # noqa: E402
 from innkeep.sources.tables import SILVER_PARTITIONING, write_layer  # noqa: E402
+from innkeep.sources.versioned import VersionedTable  # noqa: E402
 
 QUERIES = ["popular_countries", "mom_growth", "kpi_summary", "numeric_summary", "null_profile", "dq_report"]
 
@@ -39,14 +41,16 @@ def steps(spark, sf: str):
 
     def silver(dedup):
         target = staging_path(spark, "shuffle-silver")
-        return lambda: write_layer(build_silver(spark.read.parquet(bronze), dedup=dedup), target, partition_by=SILVER_PARTITIONING)
+        return lambda: write_layer(build_silver(read_bronze(spark, bronze), dedup=dedup), target, partition_by=SILVER_PARTITIONING)
 
-    out.append(("has_repeated alone", lambda: has_repeated(spark.read.parquet(bronze))))
+    out.append(("has_repeated alone", lambda: has_repeated(read_bronze(spark, bronze))))
     out.append(("silver written from bronze, dedup=auto", silver("auto")))
     out.append(("silver written from bronze, dedup=True", silver(True)))
 
     def insert():
-        new_rows(D.landing(spark, sf), read_bronze(spark, bronze)).write.format("noop").mode("overwrite").save()
+        table = VersionedTable(spark, bronze)
+        segments = index.segments_of(table.latest())
+        index.absent(table, segments, first_per_fingerprint(D.landing(spark, sf)), D.landing(spark, sf)).write.format("noop").mode("overwrite").save()
 
     out.append(("insert-if-absent, all rows stored", insert))
     for q in QUERIES:
