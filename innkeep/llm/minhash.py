@@ -37,7 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -161,8 +161,9 @@ def small_list_pairs(lists: DataFrame, least: float) -> DataFrame:
 
 def large_list_groups(lists: DataFrame) -> DataFrame:
     """(leader, set_id): all sets of large lists under the list's leader (one of them)."""
-    weight = lists.groupBy("set_id").agg(F.sum("members").alias("weight"))
-    rows = lists.where(F.col("members") > SMALL_LIST).join(weight, "set_id")
+    # a set has no more rows than its sketch has runs (or, in prefix lists, values)
+    weight = F.sum("members").over(Window.partitionBy("set_id"))
+    rows = lists.where(F.col("members") > SMALL_LIST).withColumn("weight", weight)
     leaders = rows.groupBy("run").agg(F.max(F.struct("weight", "set_id")).alias("l")).select("run", F.col("l.set_id").alias("leader"))
     return rows.join(leaders, "run").select("leader", "set_id").distinct()
 
