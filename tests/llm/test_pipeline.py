@@ -134,3 +134,8 @@ def test_near_dedup_stage_keeps_one_row_of_each_group(spark, tmp_path):
     rows = [(x["doc_id"], x["text"]) for x in found.collect()]
     assert [sum(row in g for row in rows) for g in groups] == [1] * 5
     assert (1, a) in rows and sum(not t for _, t in rows) == 4 and len(rows) == 9
+
+
+def test_without_labels_all_documents_stay(spark):
+    docs = spark.createDataFrame([(1, "some text", None), (2, None, None)], "doc_id long, text string, lang string")
+    assert sorted(map(str, corpus_pipeline.language_id(spark, docs, "").collect())) == sorted(map(str, docs.collect()))
