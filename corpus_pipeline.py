@@ -15,8 +15,11 @@ NEAR_PERCENT = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is not told clearly go."""
-    found = langid.identify(docs, langid.fit(docs))
+    """Documents whose language is not told clearly go; if no document has a label to learn from, all stay."""
+    dictionaries = langid.fit(docs)
+    if not dictionaries:
+        return docs
+    found = langid.identify(docs, dictionaries)
     return found.where(~F.col("rejected")).select(*docs.columns)
 
 
