@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from innkeep.functions import cleaning as C
@@ -20,7 +20,7 @@ from innkeep.operators import bronze as B, check_compiler
 from innkeep.operators.ranking import rank_by
 from innkeep.plans import datasets as D, pipeline as P
 from innkeep.session import checkpoint_dir, staging_path
-from innkeep.sources.csv_source import scan_expected, schema_reports
+from innkeep.sources.csv_source import inferred_types, scan_expected, schema_reports
 from innkeep.sources.tables import read_layer, write_layer
 from innkeep.streaming.ingest import ingest_available
 from innkeep.schema import INT_COLUMNS, NULLABLE_TEXT_COLUMNS, RAW_COLUMNS
@@ -256,6 +256,24 @@ def q_seasonality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.seasonality(_filtered(spark, sf_dir))
 
 
+@query("presentation_order")
+def q_presentation_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each row in the marts as they are presented: by rank, by type and month, by calendar month."""
+    marts = (
+        ("popular_countries", gold.presentation_order_countries(D.countries_table(spark, sf_dir)), ("country",)),
+        ("mom_growth", gold.presentation_order_mom(D.mom_table(spark, sf_dir)), ("hotel_type", "year_month")),
+        ("seasonality", R.seasonality_ordered(_filtered(spark, sf_dir)), ("arrival_date_month", "hotel_type")),
+    )
+    out = None
+    for mart, ordered, key in marts:
+        # the rows of a mart (countries, months) in the order in which they come
+        placed = ordered.withColumn("_at", F.monotonically_increasing_id())
+        place = F.row_number().over(Window.orderBy("_at")).alias("position")
+        part = placed.select(F.lit(mart).alias("mart"), place, F.concat_ws("/", *key).alias("row_key"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def _raw_t(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.raw_typed(D.raw(spark, sf_dir))
 
@@ -548,6 +566,13 @@ def q_csv_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scanned.select(*RAW_COLUMNS)
 
 
+@query("inferred_types")
+def q_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The type that all values of a column in all files of the extract have in common."""
+    kinds = inferred_types(scan_expected(spark, D.csv_extract(spark, sf_dir)), RAW_COLUMNS)
+    return spark.createDataFrame(list(kinds.items()), "column_name string, type string")
+
+
 @query("schema_report")
 def q_schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     status = set()

@@ -257,7 +257,7 @@ def test_one_spanning_record_does_not_stop_the_split(spark, tmp_path):
 _CSV_TEXT = st.text(alphabet=st.sampled_from(list('ab,,""\n\n\r')), max_size=40)
 
 
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(_CSV_TEXT, min_size=1, max_size=4))
 def test_any_text_is_read_like_pythons_reader(spark, tmp_path_factory, texts):
     folder = tmp_path_factory.mktemp("text")
@@ -314,7 +314,7 @@ def test_new_rows_plan_and_hot_fingerprint(spark):
 _FIELD = st.text(alphabet=st.sampled_from(list('ab ,"\n\r')), max_size=6)
 
 
-@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.lists(_FIELD, min_size=3, max_size=3), min_size=1, max_size=6), st.integers(0, 5))
 def test_auto_mode_equals_multiline_on_random_fields(spark, tmp_path_factory, files, cut):
     folder = tmp_path_factory.mktemp("prop")
