@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 
 from innkeep.sources.versioned import Entry, VersionedTable
 
-#: Fingerprints in a folder of a segment (about 2 MB), and the deepest split.
+#: Fingerprints in a folder of a segment (about 2 MB), and the deepest split: beyond 2**32 rows of a segment folders grow.
 BUCKET_ROWS = 1 << 16
-MAX_DEPTH = 14
+MAX_DEPTH = 16
 SCHEMA = T.StructType([T.StructField("key", T.BinaryType()), T.StructField("bucket", T.IntegerType())])
 
 
@@ -44,7 +44,7 @@ def write_segment(table: VersionedTable, keys: DataFrame, rows: int) -> dict:
     placed = keys.select("key", bucket_of(F.col("key"), depth).alias("bucket"))
     # fingerprints are evenly spread, so are the folders
     placed = placed.repartition(1 << depth, "bucket") if depth else placed.coalesce(1)
-    placed.write.partitionBy("bucket").parquet(table.at(folder))
+    placed.sortWithinPartitions("bucket", "key").write.partitionBy("bucket").parquet(table.at(folder))
     return {"folder": folder, "rows": rows, "depth": depth}
 
 

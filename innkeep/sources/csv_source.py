@@ -113,6 +113,12 @@ class CsvBatch:
         placed.write.partitionBy("maybe_head").parquet(path)
         return self.spark.read.schema(placed.schema).parquet(path)
 
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        path = staging_path(self.spark, name)
+        self.staged.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
     def _read_lines(self, auto: bool) -> DataFrame:
         line = F.col("line")
         text = records.lines(self.spark, self.paths).where(~records.is_blank(line))
@@ -134,13 +140,16 @@ class CsvBatch:
     # ------------------------------------------------------------ headers
     def _find_headers(self) -> None:
         at = F.struct("block", "id")
-        first = self.rows.groupBy("file").agg(F.min(at).alias("at")).select("file", "at.block", "at.id")
-        path = staging_path(self.spark, "csv-headers")
-        self.staged.append(path)
+        first = self._kept(self.rows.groupBy("file").agg(F.min(at).alias("at")).select("file", "at.block", "at.id"), "csv-first")
         every = F.concat(F.array(*[F.col(f"c{i}") for i in range(self.width)]), F.coalesce("more", F.array().cast("array<string>")))
-        own = self.rows.where("block = 0").join(first, ["file", "block", "id"]).select("file", "block", "id", F.slice(every, F.lit(1), F.greatest("n", F.lit(1))).alias("names"))
-        own.write.parquet(path)
-        self.heads = self.spark.read.schema(own.schema).parquet(path)
+
+        def heads(rows: DataFrame) -> DataFrame:
+            own = rows.join(first, ["file", "block", "id"])
+            return self._kept(own.select("file", "block", "id", F.slice(every, F.lit(1), F.greatest("n", F.lit(1))).alias("names")), "csv-headers")
+
+        self.heads = heads(self.rows.where("maybe_head"))
+        if self.heads.count() < first.count():  # a file without the expected names, which will be told
+            self.heads = heads(self.rows)
         kinds = self.heads.groupBy("names").agg(F.min("file").alias("example")).limit(MAX_HEADERS + 1).collect()
         if len(kinds) > MAX_HEADERS:
             raise ValueError(f"over {MAX_HEADERS} different CSV headers")

@@ -102,7 +102,7 @@ def test_volume_gate_publishes_nothing(spark, tmp_path):
         read_bronze(spark, bronze).count()
 
 
-@pytest.fixture(params=[None, "64b"])
+@pytest.fixture(params=[None, "256b"])
 def split(request, spark):
     """The session's split size: the default, and one that cuts every file."""
     key = "spark.sql.files.maxPartitionBytes"
