@@ -92,9 +92,10 @@ def read_bronze(spark: SparkSession, bronze_path: str) -> DataFrame | None:
     return VersionedTable(spark, bronze_path).frame()
 
 
-def _first_bytes(rows: DataFrame) -> list[int]:
-    """Which of 256 equal ranges of the fingerprint the rows change."""
-    return sorted(r[0] for r in rows.select(index.bucket_of(index.key_of(), 8)).distinct().collect())
+def _count_and_ranges(rows: DataFrame) -> tuple[int, list[int]]:
+    """The number of rows, and which of 256 equal ranges of the fingerprint they change."""
+    found = rows.agg(F.count(F.lit(1)), F.collect_set(index.bucket_of(index.key_of(), 8))).first()
+    return found[0], sorted(found[1])
 
 
 def _noted(table: VersionedTable, base: Entry, notes: dict) -> Entry:
@@ -121,18 +122,15 @@ def append_absent(
     base = base or table.latest()
     folder = table.folder()
     index.absent(table, index.segments_of(base), first_per_fingerprint(batch), batch).write.parquet(table.at(folder))
-    ranges = None
     while True:
         new = table.spark.read.schema(batch.schema).parquet(table.at(folder))
-        inserted = new.count()
+        inserted, ranges = _count_and_ranges(new)
         if base.rows + inserted < min_rows:
             table.files.remove(table.at(folder))
             raise VolumeCheckError(f"the load would leave {base.rows + inserted} rows, at least {min_rows} are required")
         if not inserted:
             table.files.remove(table.at(folder))
             return _noted(table, base, notes), 0, None
-        if ranges is None:
-            ranges = _first_bytes(new)
         stay, made = index.merged_with(table, index.segments_of(base), new.select(index.key_of().alias("key")), inserted)
         try:
             published = table.publish(base, (*base.data, folder), base.rows + inserted, segments=stay + made, ranges=ranges, **notes)
@@ -147,7 +145,7 @@ def append_absent(
             again = table.folder()
             index.absent(table, index.segments_of(base), new).write.parquet(table.at(again))
             table.files.remove(table.at(folder))
-            folder, ranges = again, None
+            folder = again
 
 
 def load_csv(

@@ -147,10 +147,13 @@ class CsvBatch:
             own = rows.join(first, ["file", "block", "id"])
             return self._kept(own.select("file", "block", "id", F.slice(every, F.lit(1), F.greatest("n", F.lit(1))).alias("names")), "csv-headers")
 
-        self.heads = heads(self.rows.where("maybe_head"))
-        if self.heads.count() < first.count():  # a file without the expected names, which will be told
-            self.heads = heads(self.rows)
-        kinds = self.heads.groupBy("names").agg(F.min("file").alias("example")).limit(MAX_HEADERS + 1).collect()
+        self.files = first.count()
+        for rows in (self.rows.where("maybe_head"), self.rows):
+            self.heads = heads(rows)
+            counts = [F.min("file").alias("example"), F.count(F.lit(1)).alias("n")]
+            kinds = self.heads.groupBy("names").agg(*counts).limit(MAX_HEADERS + 1).collect()
+            if sum(k["n"] for k in kinds) == self.files or len(kinds) > MAX_HEADERS:
+                break  # else a file lacks expected names, which will be told
         if len(kinds) > MAX_HEADERS:
             raise ValueError(f"over {MAX_HEADERS} different CSV headers")
         clean = lambda names: [n.lstrip("\ufeff") if k == 0 else n for k, n in enumerate(names)]
@@ -182,7 +185,7 @@ class CsvBatch:
             layouts = [(real, [header.index(c) for c in names], len(header)) for real, header, _ in self.headers]
             known = F.broadcast(self.spark.createDataFrame(layouts, "names array<string>, places array<int>, size int"))
             files = self.heads.join(known, "names").select("file", "places", "size")
-            rows = rows.join(F.broadcast(files) if self.heads.count() * FILE_BYTES <= FILES_LIMIT_BYTES else files, "file")
+            rows = rows.join(F.broadcast(files) if self.files * FILE_BYTES <= FILES_LIMIT_BYTES else files, "file")
             every = F.concat(F.array(*[F.col(f"c{i}") for i in range(self.width)]), F.coalesce("more", F.array().cast("array<string>")))
             values, size = [F.get(every, F.get("places", i)) for i in range(len(names))], F.col("size")
         file = F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B")))

@@ -86,8 +86,8 @@ def test_loads_of_other_ranges_do_not_check_again(spark, tmp_path, monkeypatch):
     table = VersionedTable(spark, str(tmp_path / "bronze"))
     base = table.latest()
     first = staged_rows(spark, tmp_path, keys(1))
-    taken = B._first_bytes(first)
-    other = next(i for i in range(1, 50) if B._first_bytes(bronze_df(spark, keys(1, i))) != taken)
+    taken = B._count_and_ranges(first)[1]
+    other = next(i for i in range(1, 50) if B._count_and_ranges(bronze_df(spark, keys(1, i)))[1] != taken)
     B.append_absent(table, first, base=base)
     calls = []
     absent = index.absent
