@@ -25,6 +25,7 @@ the named columns are read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -35,6 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from innkeep.llm.bpe import spread
 from innkeep.llm.common import MIX, chunks, fold, key_words, small_batches, staged, utf8
 
 #: A term: letters A-Z in either case and all characters beyond ASCII (as bytes of UTF-8).
@@ -47,7 +49,7 @@ FIRST_BYTES = 6
 #: The filter has 2**FILTER_BITS bits (16 MB), in rows of 2**ROW_BITS.
 FILTER_BITS, ROW_BITS = 27, 15
 #: Rows that a task holds before it sums them.
-HELD_ROWS = 1 << 20
+HELD_ROWS = 1 << 19
 #: Cells of the table of sources by terms that are worked on together, and at least as many times the pairs of sources.
 CELLS, CELLS_A_PAIR = 1 << 15, 4
 #: Best terms of a source that are listed.
@@ -59,7 +61,10 @@ OPEN, COMPLETE = np.uint64(0x5851F42D4C957F2D), np.uint64(0x14057B7EF767814F)
 
 # ---------------------------------------------------------------- terms of documents
 def document_terms(docs: DataFrame) -> DataFrame:
-    """lang, source, the different ``terms`` of each document in byte order and how often each occurs (``times``)."""
+    """lang, source, the different ``terms`` of each document in byte order and how often each occurs (``times``).
+
+    Both are one value a document: the terms with spaces between, which no term holds, and 64-bit integers in a row.
+    """
     small_batches(docs.sparkSession)
     columns = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")]
 
@@ -70,32 +75,34 @@ def document_terms(docs: DataFrame) -> DataFrame:
                 data, at = utf8(part)
                 raw, at = data.tobytes().translate(_LOWER), at.tolist()
                 found = [sorted(Counter(TERM.findall(raw, i, j)).items()) for i, j in zip(at[:-1], at[1:], strict=True)]
-                offsets = pa.array(np.cumsum([0, *map(len, found)]), pa.int32())
-                terms = pa.array([t for own in found for t, _ in own], pa.binary()).cast(pa.string())
-                times = pa.array([n for own in found for _, n in own], pa.int64())
-                own = [batch.column(k).slice(first, len(part)) for k in (0, 1)]
+                terms = pa.array([b" ".join([t for t, _ in own]) for own in found], pa.binary())
+                times = pa.array([array("q", [n for _, n in own]).tobytes() for own in found], pa.binary())
+                kept = [batch.column(k).slice(first, len(part)) for k in (0, 1)]
                 first += len(part)
-                lists = [pa.ListArray.from_arrays(offsets, x) for x in (terms, times)]
-                yield pa.RecordBatch.from_arrays([*own, *lists], names=["lang", "source", "terms", "times"])
+                yield pa.RecordBatch.from_arrays([*kept, terms, times], names=["lang", "source", "terms", "times"])
         pa.default_memory_pool().release_unused()
 
-    return docs.select(*columns).mapInArrow(run, "lang string, source string, terms array<string>, times array<long>")
+    return docs.select(*columns).mapInArrow(run, "lang string, source string, terms binary, times binary")
 
 
 class Terms:
     """The terms of a batch of documents in a row, with hashes of their beginnings."""
 
     def __init__(self, batch: pa.RecordBatch) -> None:
-        lists = batch.column("terms")
-        self.terms = lists.flatten()
-        self.times = batch.column("times").flatten()
-        self.data, at = utf8(self.terms)
-        self.start, self.size = at[:-1], np.diff(at)
-        counts = np.asarray(lists.value_lengths().fill_null(0))
-        self.row = np.repeat(np.arange(len(lists)), counts)
+        self.data, at = utf8(batch.column("terms"))
+        self.times = np.frombuffer(utf8(batch.column("times"))[0].tobytes(), np.int64)
+        gaps, full = np.flatnonzero(self.data == 0x20), at[1:] > at[:-1]
+        self.start = np.sort(np.concatenate([at[:-1][full], gaps + 1]))
+        self.size = np.sort(np.concatenate([at[1:][full], gaps])) - self.start
+        self.row = np.searchsorted(at, self.start, side="right") - 1
         salt = np.array([xxhash.xxh3_64_intdigest(x) for x in batch.column("lang").to_pylist()], np.uint64)
         self.salt = salt[self.row]
 
+    def texts(self, which: np.ndarray) -> pa.Array:
+        n = self.size[which]
+        data, ends = self.data[spread(self.start[which], n)], np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+        return pa.Array.from_buffers(pa.string(), len(n), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
     def key(self, which: np.ndarray, length: int, kind: np.uint64) -> np.ndarray:
         """A hash of language, kind and up to ``length`` bytes of the terms."""
         n = np.minimum(self.size[which], length)
@@ -211,10 +218,10 @@ def _counted(documents: DataFrame, sent, levels: list[int]) -> DataFrame:
             for level in levels:  # each term at the level that it was complete at
                 which = np.flatnonzero((own.size <= level) & (own.size > (level // 2 if level > FIRST_BYTES else 0)))
                 keep[which] = _is_set(sent.value, own.key(which, level, COMPLETE) & ~np.uint64(1))
-            at, row = pa.array(np.flatnonzero(keep)), pa.array(own.row[keep])
+            at, row = np.flatnonzero(keep), pa.array(own.row[keep])
             held.append(pa.table({
-                "lang": batch.column("lang").take(row), "source": batch.column("source").take(row), "term": own.terms.take(at),
-                "n_docs": pa.array(np.ones(len(at), np.int64)), "n": own.times.take(at),
+                "lang": batch.column("lang").take(row), "source": batch.column("source").take(row), "term": own.texts(at),
+                "n_docs": pa.array(np.ones(len(at), np.int64)), "n": pa.array(own.times[at]),
             }))
             rows += len(at)
             if rows > HELD_ROWS:
