@@ -393,9 +393,13 @@ def q_revenue_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
     """The declared checks over raw rows, landing, the cleaned layer and gold (built lazily)."""
-    raw, bronze, silver = D.raw(spark, sf_dir), D.bronze(spark, sf_dir), D.silver_table(spark, sf_dir)
+    raw, bronze = D.raw(spark, sf_dir), D.bronze(spark, sf_dir)
     built: dict[str, DataFrame] = {}
 
+    def silver() -> DataFrame:
+        # stored on first use: the checks of the raw rows do not read it
+        return D.silver_table(spark, sf_dir)
+
     def profile() -> DataFrame:
         # one row of raw counts for the three dataset-level checks, stored
         # once (checkpoint folder) so a report scans the raw rows once;
@@ -410,27 +414,27 @@ def quality_checks(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], D
         # built once per check set: building it checkpoints the per-country
         # statistics (one aggregation over silver)
         if "countries" not in built:
-            built["countries"] = gold.popular_countries(silver)
+            built["countries"] = gold.popular_countries(silver())
         return built["countries"]
 
     def not_null() -> DataFrame:
         countries = countries_table()
-        mom = gold.mom_growth(silver).withColumn("_key", F.concat_ws("/", "hotel_type", "year_month"))
+        mom = gold.mom_growth(silver()).withColumn("_key", F.concat_ws("/", "hotel_type", "year_month"))
         return (
-            Q.not_null(silver, Q.SILVER_NOT_NULL, "silver", "_row_hash")
+            Q.not_null(silver(), Q.SILVER_NOT_NULL, "silver", "_row_hash")
             .unionByName(Q.not_null(countries, Q.COUNTRIES_NOT_NULL, "popular_countries", "country"))
             .unionByName(Q.not_null(mom, Q.MOM_NOT_NULL, "mom_growth", "_key"))
         )
 
     return {
-        "dq_unique": lambda: Q.unique_fingerprint(silver, "_row_hash", "silver").unionByName(
+        "dq_unique": lambda: Q.unique_fingerprint(silver(), "_row_hash", "silver").unionByName(
             Q.unique(countries_table(), "country", "popular_countries")
         ),
         "dq_not_null": not_null,
-        "dq_accepted_values": lambda: Q.accepted_values(silver, Q.ACCEPTED_VALUES, "silver"),
+        "dq_accepted_values": lambda: Q.accepted_values(silver(), Q.ACCEPTED_VALUES, "silver"),
         "dq_value_set": lambda: Q.value_set(raw, Q.RAW_VALUE_SETS),
-        "dq_non_negative": lambda: Q.non_negative(silver, "adr"),
-        "dq_volume": lambda: Q.volume(silver),
+        "dq_non_negative": lambda: Q.non_negative(silver(), "adr"),
+        "dq_volume": lambda: Q.volume(silver()),
         "dq_rate_bounds": lambda: Q.rate_bounds(raw, profile=profile()),
         "dq_diversity": lambda: Q.diversity(raw, profile=profile()),
         "dq_negative_share": lambda: Q.negative_share(raw, profile=profile()),
