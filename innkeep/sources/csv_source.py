@@ -14,10 +14,11 @@ from __future__ import annotations
 import csv
 import logging
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +57,8 @@ FILE_NAME = "_file_name"
 MAX_HEADERS = 1_000
 # Files with records that span lines, named one by one; beyond it all files are read that way.
 NAMED_FILES = 10_000
+# Up to this many different headers a value is chosen by the file's header, beyond it from an array of all fields.
+CHOSEN_LAYOUTS = 16
 # Bytes a file takes in the broadcast table of files (name, header), and the most that is broadcast.
 FILE_BYTES, FILES_LIMIT_BYTES = 512, 64 << 20
 
@@ -110,7 +113,11 @@ class CsvBatch:
         path = staging_path(self.spark, "csv-records")
         self.staged.append(path)
         placed = self._placed(found)
-        placed.write.partitionBy("maybe_head").parquet(path)
+        # maybe_head is a plain column: as a partition it would sort all rows of a task, and the pages of the few
+        # rows that may be headers are found by the column's statistics
+        # without dictionaries a file's size tells its rows: few bytes for many repeated values would make splits of
+        # millions of rows, which a task that sorts them must hold
+        placed.write.option("parquet.enable.dictionary", "false").parquet(path)
         return self.spark.read.schema(placed.schema).parquet(path)
 
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
@@ -182,15 +189,27 @@ class CsvBatch:
             values, size = [field(header.index(c)) for c in names], F.lit(len(header))
         else:
             # each file's header as the places of the columns that are read
-            layouts = [(real, [header.index(c) for c in names], len(header)) for real, header, _ in self.headers]
-            known = F.broadcast(self.spark.createDataFrame(layouts, "names array<string>, places array<int>, size int"))
-            files = self.heads.join(known, "names").select("file", "places", "size")
+            layouts = [(real, [header.index(c) for c in names], len(header), n) for n, (real, header, _) in enumerate(self.headers)]
+            known = F.broadcast(self.spark.createDataFrame(layouts, "names array<string>, places array<int>, size int, layout int"))
+            files = self.heads.join(known, "names").select("file", "places", "size", "layout")
             rows = rows.join(F.broadcast(files) if self.files * FILE_BYTES <= FILES_LIMIT_BYTES else files, "file")
-            every = F.concat(F.array(*[F.col(f"c{i}") for i in range(self.width)]), F.coalesce("more", F.array().cast("array<string>")))
-            values, size = [F.get(every, F.get("places", i)) for i in range(len(names))], F.col("size")
+            values, size = self._by_layout([places for _, places, _, _ in layouts], field), F.col("size")
         file = F.url_decode(F.replace(F.element_at(F.split("file", "/"), -1), F.lit("+"), F.lit("%2B")))
         return rows.select(*[v.alias(c) for v, c in zip(values, names, strict=True)], (F.col("n") != size).alias(CORRUPT), file.alias(FILE_NAME))
 
+    def _by_layout(self, places: list[list[int]], field: Callable[[int], Column]) -> list[Column]:
+        """Each column's value, by the place it has in the file's layout."""
+        if len(places) > CHOSEN_LAYOUTS:
+            every = F.concat(F.array(*[F.col(f"c{i}") for i in range(self.width)]), F.coalesce("more", F.array().cast("array<string>")))
+            return [F.get(every, F.get("places", i)) for i in range(len(places[0]))]
+        values = []
+        for at in zip(*places, strict=True):
+            value = field(at[0])
+            for place in sorted(set(at) - {at[0]}):
+                value = F.when(F.col("layout").isin([n for n, p in enumerate(at) if p == place]), field(place)).otherwise(value)
+            values.append(value)
+        return values
+
     def remove(self) -> None:
         for path in self.staged:
             remove_staged(self.spark, path)
@@ -238,21 +257,35 @@ _INT, _LONG, _DECIMAL, _DOUBLE, _DATE, _TIME, _BOOL, _TEXT = (1 << i for i in ra
 
 
 def _kind(value: Column) -> Column:
+    # each test only where those before it leave it open: most values pass one pattern
     number = value.rlike(r"^\s*[+-]?[0-9]+\s*\z")
     real = value.rlike(r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z")
+    whole = (
+        F.when(value.try_cast("int").isNotNull(), _INT)
+        .when(value.try_cast("long").isNotNull(), _LONG)
+        .when(value.try_cast("decimal(38,0)").isNotNull(), _DECIMAL)
+        .otherwise(_DOUBLE)
+    )
     return (
         F.when(value.isNull() | (F.trim(value) == ""), 0)
-        .when(number & value.try_cast("int").isNotNull(), _INT)
-        .when(number & value.try_cast("long").isNotNull(), _LONG)
-        .when(number & value.try_cast("decimal(38,0)").isNotNull(), _DECIMAL)
+        .when(~value.rlike("[0-9]"), F.when(F.lower(value).isin("true", "false"), _BOOL).otherwise(_TEXT))
+        .when(number, whole)
         .when(real, _DOUBLE)
         .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}\z") & value.try_cast("date").isNotNull(), _DATE)
         .when(value.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9:.]+\z") & value.try_cast("timestamp").isNotNull(), _TIME)
-        .when(F.lower(value).isin("true", "false"), _BOOL)
         .otherwise(_TEXT)
     )
 
 
+def _kinds(text: DataFrame, columns: list[str]) -> DataFrame:
+    """The kinds of the columns' values, an array for each row.
+
+    One small function over the fields as an array: as an expression for each
+    column the generated code is too long to be compiled.
+    """
+    return text.select(F.transform(F.array(*[F.col(f"`{c}`") for c in columns]), _kind).alias("kinds"))
+
+
 def _join_of(bits: int) -> str:
     """The least type that holds all the kinds seen: int < long < decimal < double, date < timestamp, and text above all."""
     if bits and not bits & ~(_INT | _LONG | _DECIMAL | _DOUBLE):
@@ -267,7 +300,7 @@ def inferred_types(text: DataFrame, columns: list[str]) -> dict[str, str]:
 
     Empty fields have no kind; a column of nothing else is text.
     """
-    seen = text.agg(*[F.bit_or(_kind(F.col(f"`{c}`"))).alias(str(i)) for i, c in enumerate(columns)]).first()
+    seen = _kinds(text, columns).agg(*[F.bit_or(F.get("kinds", i)).alias(str(i)) for i in range(len(columns))]).first()
     return {c: _join_of(seen[i] or 0) for i, c in enumerate(columns)}
 
 
