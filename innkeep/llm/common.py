@@ -57,11 +57,11 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def with_arrow(
-    df: DataFrame, text_col: str, fields: list[T.StructField], compute: Callable[[pa.Array], dict[str, pa.Array]]
+    df: DataFrame, text_col: str, fields: list[T.StructField], compute: Callable[[pa.Array], dict[str, pa.Array]], most: int = CHUNK_BYTES
 ) -> DataFrame:
     """All columns of ``df`` plus those that ``compute`` makes from slices of the text column.
 
-    ``compute`` gets about CHUNK_BYTES of text at a time, so a worker's memory
+    ``compute`` gets about ``most`` bytes of text at a time, so a worker's memory
     does not grow with the partition. A computed column replaces an input
     column of the same name.
     """
@@ -75,7 +75,7 @@ def with_arrow(
         for batch in batches:
             texts = batch.column(len(kept))
             first = 0
-            for part in chunks(texts):
+            for part in chunks(texts, most):
                 made = compute(part)
                 columns = [batch.column(i).slice(first, len(part)) for i in range(len(kept))]
                 first += len(part)

@@ -6,7 +6,8 @@ of the model holds a space mark behind another character, no pair can span
 such a place; the text is cut there and each different cut is merged once per
 worker and remembered. The short cuts of a batch keep their agendas side by
 side in arrays, and each round joins the best pair of every cut; a long cut
-has a heap of its own. Each Arrow batch is also encoded by the
+has a heap of its own. Equal cuts of a slice of texts are found by their hash,
+so a frequent cut is looked up once a slice. Each Arrow batch is also encoded by the
 sentencepiece library, and any difference fails the job (``checked``).
 
 Defined results: a null text is an empty text, which has the end id only (if
@@ -31,12 +32,13 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from innkeep.llm.bpe import spread
-from innkeep.llm.common import MIX, small_batches, with_arrow
+from innkeep.llm.common import MIX, fold, key_words, small_batches, utf8, with_arrow
 
 SPACE_MARK = "▁"
 #: The kinds of pieces and the model type in the model file.
@@ -45,13 +47,17 @@ BPE_MODEL = 2
 #: Largest model file that is broadcast (public models have under 10 MB).
 MAX_MODEL_BYTES = 64 << 20
 #: Merged cuts that a worker remembers (about 250 bytes each); longer cuts are not remembered.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 64
+MEMO_ENTRIES, MEMO_CHARS = 100_000, 64
+#: Cuts that a worker remembers as they are in the text (about 180 bytes each).
+RAW_ENTRIES = 600_000
 #: Widths of the arrays that hold the symbols of short cuts.
-WIDTHS = (4, 8, 12, 16, 24, 32, 64)
+WIDTHS = (4, 6, 8, 9, 10, 11, 12, 14, 16, 20, 24, 32, 64)
 #: Short cuts that are merged side by side.
 SIDE_BY_SIDE = 20_000
-#: Code points that are cut up at a time.
-SLICE_CHARS = 1 << 20
+#: Code points that are cut up at a time, and bytes of texts from which each is cut up by itself.
+SLICE_CHARS, SLICE_BYTES = 1 << 20, 4 << 20
+#: Bytes of text that a worker encodes at a time: equal cuts of a slice are looked up once.
+CHUNK_BYTES = 2 << 20
 
 
 def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
@@ -100,6 +106,7 @@ class Model:
     surfaces: list[bytes] = field(init=False, repr=False)  # what each id decodes to
     controls: set[int] = field(init=False, repr=False)
     cuts: re.Pattern = field(init=False, repr=False)
+    is_alone: np.ndarray = field(init=False, repr=False)  # by byte
     boundary: re.Pattern = field(init=False, repr=False)  # a place between two cuts
     pairs: Pairs | None = field(init=False, repr=False)
     flat: np.ndarray = field(init=False, repr=False)  # the bytes that all ids decode to, in a row
@@ -112,6 +119,7 @@ class Model:
         joining = {c for p in self.cost if len(p) > 1 for c in p}
         # control characters in no longer piece are cuts of their own
         alone = "".join(f"\\x{c:02x}" for c in range(32) if chr(c) not in joining)
+        self.is_alone = np.array([c < 32 and chr(c) not in joining for c in range(256)])
         self.controls = {i for i, k in enumerate(self.kinds) if k == CONTROL}
         self.surfaces = [self._surface(p, k) for p, k in zip(self.pieces, self.kinds, strict=True)]
         sizes = np.array([len(x) for x in self.surfaces], np.int64)
@@ -230,18 +238,49 @@ class Model:
                     out.append(self.unknown)  # a run of unknown symbols is one
         return out
 
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, without end ids, and where each text's ids begin (one more at the end)."""
+        data, at = utf8(texts)
+        if not self.cuttable or len(data) >= SLICE_BYTES:
+            strings = [t or "" for t in texts.to_pylist()]
+            rows = [self._encode_long(t) if self.cuttable else array("i", self.cut_ids(self.marked(t)) if t else ()) for t in strings]
+            return np.frombuffer(b"".join(rows), np.int32), np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
+        if not len(data):
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        if self.dummy_prefix:
+            full = at[1:] > at[:-1]
+            data = np.insert(data, at[:-1][full], 32)
+            at = at + np.concatenate([[0], np.cumsum(full)])
+        starts = self._cut_starts(data, at)
+        lens = np.diff(np.append(starts, len(data)))
+        raw = data.tobytes()
+        one, which = _different(data, raw, starts, lens)
+        found = self.memo.find([raw[i:j] for i, j in zip(starts[one].tolist(), (starts + lens)[one].tolist(), strict=True)])
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        pool_at = np.cumsum(sizes) - sizes
+        n = sizes[which]
+        flat = np.frombuffer(b"".join(found), np.int32)[spread(pool_at[which], n)]
+        return flat, np.concatenate([[0], np.cumsum(n)])[np.searchsorted(starts, at)]
+
+    def _cut_starts(self, data: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where the cuts of texts in a row begin; a space stands for a space mark."""
+        mark = data == 32
+        mark[:-2] |= (data[:-2] == 0xE2) & (data[1:-1] == 0x96) & (data[2:] == 0x81)
+        inner = np.zeros(len(data), bool)  # the other bytes of a space mark
+        inner[1:] |= mark[:-1] & (data[:-1] == 0xE2)
+        inner[2:] |= mark[:-2] & (data[:-2] == 0xE2)
+        alone = self.is_alone[data]
+        start = mark.copy()
+        start[1:] &= ~(mark | inner)[:-1]
+        start |= alone
+        start[1:] |= alone[:-1]
+        start[at[:-1][at[:-1] < len(data)]] = True
+        return np.flatnonzero(start)
+
     def encode_all(self, texts: list[str]) -> list[array]:
         """Ids of each text, without an end id; the unknown cuts of all short texts are merged together."""
-        if not self.cuttable:
-            return [array("i", self.cut_ids(self.marked(t)) if t else ()) for t in texts]
-        cuts = [self.cuts.findall(self.marked(t)) if 0 < len(t) < SLICE_CHARS else None for t in texts]
-        known = [list(map(self.memo.get, own)) if own else [] for own in cuts]
-        self.memo.fill({c for own, found in zip(cuts, known, strict=True) if found for c, f in zip(own, found, strict=True) if f is None})
-        of = self.memo.__getitem__
-        return [
-            array("i", b"".join(map(of, own) if None in found else found)) if own else self._encode_long(text)
-            for text, own, found in zip(texts, cuts, known, strict=True)
-        ]
+        flat, at = self.encode_batch(pa.array(texts, pa.string()))
+        return [array("i", flat[i:j].tobytes()) for i, j in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
     def encode(self, text: str) -> array:
         return self.encode_all([text])[0]
@@ -259,7 +298,7 @@ class Model:
                 found = self.boundary.search(text, end - 1)
                 end = found.end() - 1 if found else len(text)
             cuts = self.cuts.findall(text, at, end)
-            self.memo.fill({c for c in cuts if c not in self.memo})
+            self.memo.fill([c for c in set(cuts) if c not in self.memo])
             out.frombytes(b"".join(map(self.memo.__getitem__, cuts)))
             at = end
         return out
@@ -327,11 +366,33 @@ def _characters(data: bytes) -> str:
     return "".join(out)
 
 
+def _different(data: np.ndarray, raw: bytes, starts: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An occurrence of each different cut, and for each occurrence which it is."""
+    hashes = np.zeros(len(starts), np.uint64)
+    for low in range(0, MEMO_CHARS, 8):
+        own = np.flatnonzero((lens > low) & (lens <= low + 8))
+        if len(own):
+            hashes[own] = fold(key_words(data, starts[own], lens[own], low + 8), lens[own])
+    long = np.flatnonzero(lens > MEMO_CHARS)
+    hashes[long] = [xxhash.xxh3_64_intdigest(raw[starts[i] : starts[i] + lens[i]]) for i in long]
+    order = np.argsort(hashes)
+    first = np.ones(len(order), bool)
+    first[1:] = hashes[order[1:]] != hashes[order[:-1]]
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(first) - 1
+    one = order[first]
+    # equal hashes must be equal bytes: compare the ends and the lengths with the first occurrence, else take each by itself
+    rep = one[which]
+    same = (lens[rep] == lens) & (data[starts[rep]] == data[starts]) & (data[starts[rep] + lens[rep] - 1] == data[starts + lens - 1])
+    return (one, which) if same.all() else (np.arange(len(starts)), np.arange(len(starts)))
+
+
 class Memo(dict):
     """Packed ids of recent cuts; it is emptied when it is full, as the frequent cuts soon come back."""
 
     def __init__(self, model: Model) -> None:
         self.model = model
+        self.raw: dict[bytes, bytes] = {}
 
     def __missing__(self, cut: str) -> bytes:
         found = array("i", self.model.cut_ids(cut)).tobytes()
@@ -339,7 +400,22 @@ class Memo(dict):
             self[cut] = found
         return found
 
-    def fill(self, cuts: set[str]) -> None:
+    def find(self, cuts: list[bytes]) -> list[bytes]:
+        """The ids of cuts as they are in the text; those of short ones are remembered."""
+        found = list(map(self.raw.get, cuts))
+        if None in found:
+            new = [c for c, f in zip(cuts, found, strict=True) if f is None]
+            texts = [c.decode().replace(" ", SPACE_MARK) for c in new]
+            self.fill([t for t in texts if t not in self])
+            ids = list(map(self.__getitem__, texts))
+            if len(self.raw) + len(new) > RAW_ENTRIES:
+                self.raw.clear()
+            self.raw.update((c, i) for c, i in zip(new, ids, strict=True) if len(c) <= MEMO_CHARS)
+            rest = iter(ids)
+            found = [next(rest) if f is None else f for f in found]
+        return found
+
+    def fill(self, cuts: list[str]) -> None:
         """Merge the short ones among unknown cuts side by side, if they are many."""
         if len(self) + len(cuts) > MEMO_ENTRIES:
             self.clear()
@@ -368,7 +444,7 @@ class Pairs:
     """Which two symbols make a piece, and the agendas of many cuts side by side."""
 
     def __init__(self, model: Model) -> None:
-        symbols = list(dict.fromkeys([*model.cost, *(c for p in model.cost for c in p)]))
+        symbols = list(dict.fromkeys([*sorted(model.cost, key=model.cost.get), *(c for p in model.cost for c in p)]))
         number = {s: i for i, s in enumerate(symbols)}
         self.base = len(symbols)
         self.of_char = np.full(0x110000, -1, np.int32)
@@ -377,33 +453,37 @@ class Pairs:
                 self.of_char[ord(s)] = i
         self.ids = np.array([i if (i := model.ids.get(s, -1)) != model.unknown else -1 for s in symbols], np.int32)
         found = [
-            (number[p[:k]] * self.base + number[p[k:]], i, model.cost[p])
+            (number[p[:k]] * self.base + number[p[k:]], i)
             for p, i in number.items() if p in model.cost
             for k in range(1, len(p)) if p[:k] in number and p[k:] in number
         ]
         key = np.array([f[0] for f in found], np.int64)
-        self.joined = np.array([f[1] for f in found] + [-1], np.int32)
-        self.cost = np.array([f[2] for f in found] + [np.inf], np.float64)
-        self.none = len(found)
+        joined = np.array([f[1] for f in found], np.int32)
+        # symbols are numbered by cost; of those with equal costs, the rank tells that none goes before the others
+        costs = [model.cost.get(s, np.inf) for s in symbols]
+        self.rank = np.append(np.unique(costs, return_inverse=True)[1], len(symbols)).astype(np.int32)
+        self.distinct = len(set(model.cost.values())) == len(model.cost)
+        self.none = len(symbols)
         # open addressing, at most an eighth full; _place tells where a probe begins
         self.bits = max(4, (8 * len(found)).bit_length())
         self.key = np.full(1 << self.bits, -1, np.int64)
-        self.at = np.full(1 << self.bits, self.none, np.int32)
+        pair = np.full(1 << self.bits, -1, np.int32)
         left, place = np.arange(len(found)), self._place(key)
         self.probes = 0
         while len(left):
             self.probes += 1
             free = left[self.key[place] < 0]
             spot, first = np.unique(place[self.key[place] < 0], return_index=True)
-            self.key[spot], self.at[spot] = key[free[first]], free[first]
-            stay = self.at[place] != left
+            self.key[spot], pair[spot] = key[free[first]], free[first]
+            stay = pair[place] != left
             left, place = left[stay], (place[stay] + 1) & ((1 << self.bits) - 1)
+        self.at = np.append(joined, np.int32(self.none))[pair]
 
     def _place(self, key: np.ndarray) -> np.ndarray:
         return (key.astype(np.uint64) * MIX >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """Which pair it is, ``none`` if it is no piece."""
+        """The symbol that the two make, ``none`` if it is no piece."""
         key = left.astype(np.int64) * self.base + right
         key = np.where((left >= 0) & (right >= 0), key, -2)
         place = self._place(key)
@@ -425,27 +505,27 @@ class Pairs:
         points = np.frombuffer("".join([c.ljust(width, "\0") for c in cuts]).encode("utf-32-le"), "<u4").reshape(rows, width)
         inside = np.arange(width) < size[:, None]
         symbol = np.where(inside, self.of_char[points], -1)
-        agenda = np.full((rows, width), self.none, np.int32)  # of each symbol and the next: which pair
+        agenda = np.full((rows, width), self.none, np.int32)  # what each symbol and the next make
         agenda[:, :-1] = self.find(symbol[:, :-1], symbol[:, 1:])
         left = np.where(inside, symbol, -2)  # -2: behind the end
         which = np.arange(rows)
         done = left.copy()
         columns = np.arange(width)
         while len(which):
-            cost = self.cost[agenda]
-            best = cost.argmin(axis=1)  # the leftmost of equals
-            live = cost[np.arange(len(which)), best] < np.inf
+            rank = agenda if self.distinct else self.rank[agenda]
+            best = rank.argmin(axis=1)  # the leftmost of equals
+            made = agenda[np.arange(len(which)), best]
+            live = made < self.none
             if not live.all():
                 done[which[~live], : left.shape[1]] = left[~live]
                 done[which[~live], left.shape[1] :] = -2
-                which, left, agenda, best = which[live], left[live], agenda[live], best[live]
+                which, left, agenda, best, made = which[live], left[live], agenda[live], best[live], made[live]
                 if not len(which):
                     break
             row = np.arange(len(which))
-            made = self.joined[agenda[row, best]]
-            shifted = columns[: left.shape[1] - 1] + (columns[: left.shape[1] - 1] > best[:, None])
-            left = np.take_along_axis(left, shifted, 1)
-            agenda = np.take_along_axis(agenda, shifted, 1)
+            behind = columns[: left.shape[1] - 1] > best[:, None]
+            left = np.where(behind, left[:, 1:], left[:, :-1])
+            agenda = np.where(behind, agenda[:, 1:], agenda[:, :-1])
             left[row, best] = made
             last = left.shape[1] - 1
             after = np.where(best < last, left[row, np.minimum(best + 1, last)], -2)
@@ -473,21 +553,18 @@ def encode(docs: DataFrame, model, text_col: str = "text", end: bool = True, che
 
     def compute(texts: pa.Array) -> dict[str, pa.Array]:
         own = model.value
-        strings = [t or "" for t in texts.to_pylist()]
-        rows = own.encode_all(strings)
+        flat, at = own.encode_batch(texts)
         if end:
-            for row in rows:
-                row.append(own.end)
-        at = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int64)
-        flat = np.frombuffer(b"".join(rows), np.int32)
+            flat, at = np.insert(flat, at[1:], own.end).astype(np.int32), at + np.arange(len(at))
         if checked:
-            expected = _library(own.content).encode(strings, add_eos=end, num_threads=1)
-            if any(row.tobytes() != array("i", other).tobytes() for row, other in zip(rows, expected, strict=True)):
+            expected = _library(own.content).encode([t or "" for t in texts.to_pylist()], add_eos=end, num_threads=1)
+            sizes = np.fromiter(map(len, expected), np.int64, len(expected))
+            if (np.diff(at) != sizes).any() or b"".join([array("i", e) for e in expected]) != flat.tobytes():
                 raise ValueError("ids differ from those of the library")
         return {"n_tokens": pa.array(np.diff(at), pa.int64()), "token_ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32()))}
 
     fields = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType()))]
-    return with_arrow(docs, text_col, fields, compute)
+    return with_arrow(docs, text_col, fields, compute, CHUNK_BYTES)
 
 
 def decode(encoded: DataFrame, model, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:

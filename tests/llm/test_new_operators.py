@@ -265,3 +265,16 @@ def test_levels_drop_rare_prefixes(spark):
     assert levels == [6, 12, 24, 48]
     counted = source_audit._counted(documents, sent, levels).select("term").distinct().collect()
     assert not [r for r in counted if r["term"].startswith("seldom")]
+
+
+def test_equal_cuts_of_a_slice_are_looked_up_once(model, library, monkeypatch):
+    import pyarrow as pa
+
+    asked = []
+    find = sentence_bpe.Memo.find
+    monkeypatch.setattr(sentence_bpe.Memo, "find", lambda self, cuts: asked.extend(cuts) or find(self, cuts))
+    texts = ["hello world " * 500, None, "", "\nhello  ▁world\t", "hello"]
+    flat, at = model.encode_batch(pa.array(texts))
+    expected = library.encode([t or "" for t in texts])
+    assert [flat[i:j].tolist() for i, j in zip(at[:-1], at[1:], strict=True)] == expected
+    assert sorted(asked) == sorted(set(asked)) and asked.count(b" hello") == 1
