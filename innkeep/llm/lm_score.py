@@ -34,7 +34,7 @@ from innkeep.llm.common import MIX, MIX2, chunks, small_batches, staged, utf8, w
 
 CHUNK_BYTES = 8 << 20
 #: Learning text, in tokens, that one hash range's task adds up.
-RANGE_TOKENS = 2_500_000
+RANGE_TOKENS = 1_250_000
 WORD_BITS, BIGRAM_BITS = 63, 56
 #: Of the learning documents, those with this hash remainder are the held-out part for the weights.
 HELD_OUT_MOD, HELD_OUT_REST = 6, 1
@@ -146,6 +146,13 @@ def packed_chunks(docs: DataFrame, id_col: str, text_col: str, learn: Column) ->
     return source.mapInArrow(run, schema)
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, dict]]:
+    """The rows of a batch of chunks, one at a time: a chunk has megabytes, and a batch may hold a partition's."""
+    for i in range(batch.num_rows):
+        yield i, batch.slice(i, 1).to_pylist()[0]
+    pa.default_memory_pool().release_unused()
+
+
 @dataclass
 class Chunk:
     """A chunk's tokens as places in its sorted lists of words and bigrams."""
@@ -173,7 +180,7 @@ def requests(packed: DataFrame, ranges_log2: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for _, row in rows_of(batch):
                 chunk = Chunk.read(row["sizes"], row["words"], row["tokens"])
                 weight = np.repeat(np.array(row["learns"], bool), chunk.sizes).astype(np.float64)
                 out = []
@@ -195,11 +202,12 @@ def answers(asked: DataFrame) -> DataFrame:
 
     def total(frame: pd.DataFrame) -> pd.DataFrame:
         lists = [unpack_sorted(h) for h in frame["hashes"]]
-        every = np.concatenate(lists)
-        counts = np.concatenate([unpack(c) for c in frame["counts"]])
-        _, which = np.unique(every, return_inverse=True)
-        totals = np.bincount(which, counts.astype(np.float64)).astype(np.uint64)
         at = np.cumsum([0, *map(len, lists)])
+        every = np.concatenate(lists)
+        del lists
+        which = np.unique(every, return_inverse=True)[1]
+        del every
+        totals = np.bincount(which, np.concatenate([unpack(c).astype(np.float64) for c in frame["counts"]])).astype(np.uint64)
         seen = int((totals > 0).sum())
         return pd.DataFrame(
             {
@@ -269,7 +277,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
 
     def events(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for _, row in rows_of(batch):
                 _, pair, context, word = counted(row)
                 pair, context, word = pair - 1, context - 1, word - 1  # without the event itself
                 p2 = np.where(context > 0, pair / np.maximum(context, 1), 0.0)
@@ -289,7 +297,7 @@ def score(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0)
-            for i, row in enumerate(batch.select(["sizes", "words", "tokens", "totals"]).to_pylist()):
+            for i, row in rows_of(batch.select(["sizes", "words", "tokens", "totals"])):
                 chunk, pair, context, word = counted(row)
                 at = np.cumsum(chunk.sizes) - chunk.sizes
                 w = weights[bucket(context)]

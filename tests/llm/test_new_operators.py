@@ -278,3 +278,12 @@ def test_equal_cuts_of_a_slice_are_looked_up_once(model, library, monkeypatch):
     expected = library.encode([t or "" for t in texts])
     assert [flat[i:j].tolist() for i, j in zip(at[:-1], at[1:], strict=True)] == expected
     assert sorted(asked) == sorted(set(asked)) and asked.count(b" hello") == 1
+
+
+def test_chunks_are_unpacked_one_at_a_time():
+    import pyarrow as pa
+
+    from innkeep.llm import lm_score
+
+    rows = lm_score.rows_of(pa.RecordBatch.from_pylist([{"words": b"a", "n": 1}, {"words": None, "n": 2}]))
+    assert next(rows) == (0, {"words": b"a", "n": 1}) and list(rows) == [(1, {"words": None, "n": 2})]
