@@ -35,9 +35,18 @@ from innkeep.sources.tables import SILVER_PARTITIONING, read_layer, write_layer
 SOURCE_NAME = "orders.parquet"
 FIXED_LOAD_TIME = "1970-01-01 00:00:00"
 
+# Rows in a file of a staged extract at most. A scan counts every file as its bytes and spark.sql.files.openCostInBytes,
+# so a split holds a bounded number of rows whatever their values are: with files cut by bytes alone, dictionaries put
+# millions of rows into one split, and the keep-first limit before the shuffle sorts all rows of a split.
+FILE_ROWS = 10_000
+
 _STAGED: dict[tuple[str, str], str] = {}
 
 
+def _stage(rows: DataFrame, path: str) -> None:
+    rows.write.mode("overwrite").option("maxRecordsPerFile", FILE_ROWS).parquet(path)
+
+
 def _stamp(spark: SparkSession, sf_dir: str) -> str:
     """``sf_dir`` and its source tables' change times: changed input is staged anew."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -64,7 +73,7 @@ def landing(spark: SparkSession, sf_dir: str) -> DataFrame:
         except AnalysisException:
             pass
     path = staging_path(spark, "landing")
-    landing_from_tables(spark, sf_dir).write.mode("overwrite").parquet(path)
+    _stage(landing_from_tables(spark, sf_dir), path)
     _STAGED[key] = path
     return spark.read.parquet(path)
 
@@ -87,7 +96,7 @@ def faulty(spark: SparkSession, sf_dir: str) -> DataFrame:
     wait = F.col("days_in_waiting_list").cast("int")
     bad = F.when(wait > 11, F.upper("_row_hash")).when(wait == 10, F.sha2("_row_hash", 256)).otherwise(F.col("_row_hash"))
     path = staging_path(spark, "faulty")
-    rows.withColumn("_row_hash", bad).write.mode("overwrite").parquet(path)
+    _stage(rows.withColumn("_row_hash", bad), path)
     _STAGED[key] = path
     return spark.read.parquet(path)
 

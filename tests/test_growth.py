@@ -84,3 +84,14 @@ def test_staged_bytes_grow_with_the_rows(spark, tmp_path):
         assert size > 20_000 * 16
     finally:
         batch.remove()
+
+
+@pytest.mark.parametrize("staged", [D.landing, D.faulty])
+def test_a_split_of_a_staged_extract_holds_few_rows(spark, monkeypatch, staged):
+    # cut by bytes alone, a file holds as many rows as its dictionaries allow, and the keep-first limit sorts them all
+    monkeypatch.setattr(D, "_STAGED", {})
+    monkeypatch.setattr(D, "FILE_ROWS", 100)
+    rows = staged(spark, SF_SMALL)
+    by_file = [r["count"] for r in rows.groupBy("_metadata.file_path").count().collect()]
+    assert len(by_file) > 8 and max(by_file) <= 100
+    assert sum(by_file) == D.landing_from_tables(spark, SF_SMALL).count()
