@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,6 +50,17 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[pa.Array]:
         first = last
 
 
+def give_back() -> None:
+    """Return memory that is free in this Python worker to the system.
+
+    Spark keeps workers for later tasks and takes them in turn, so what each of
+    them holds on to counts beside the work of those that are busy.
+    """
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc's; other C libraries need no call
+        trim(0)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Keep the session's Arrow batches at BATCH_ROWS rows or fewer."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -71,16 +83,19 @@ def with_arrow(
     source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("_llm_text"))
     schema = T.StructType([*(f for f in df.schema.fields if f.name in kept), *fields])
 
+    def parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        first = 0
+        for part in chunks(batch.column(len(kept)), most):
+            made = compute(part)
+            columns = [batch.column(i).slice(first, len(part)) for i in range(len(kept))]
+            first += len(part)
+            yield pa.RecordBatch.from_arrays(columns + [made[f.name] for f in fields], names=[f.name for f in schema.fields])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(kept))
-            first = 0
-            for part in chunks(texts, most):
-                made = compute(part)
-                columns = [batch.column(i).slice(first, len(part)) for i in range(len(kept))]
-                first += len(part)
-                yield pa.RecordBatch.from_arrays(columns + [made[f.name] for f in fields], names=[f.name for f in schema.fields])
-        pa.default_memory_pool().release_unused()
+            yield from parts(batch)
+            batch = None
+            give_back()
 
     return source.mapInArrow(run, schema)
 
