@@ -91,7 +91,8 @@ def counts(docs: DataFrame, kept: list[str], text_col: str = "text", lang_col: s
 
 def _shares(histogram: Column) -> Column:
     total = F.aggregate(histogram, F.lit(0).cast("double"), lambda a, x: a + x)
-    return F.transform(histogram, lambda x: F.when(total > 0, x / total).otherwise(0.0))
+    # the total is the argument of a lambda of its own: inside the one over the histogram it would be summed again for each element
+    return F.transform(F.array(total), lambda n: F.transform(histogram, lambda x: F.when(n > 0, x / n).otherwise(0.0)))[0]
 
 
 def references(counted: DataFrame) -> DataFrame:
