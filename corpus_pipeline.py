@@ -53,7 +53,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each document; a document whose ids do not decode to its text fails the job."""
     vocabulary = bpe.broadcast_vocabulary(spark, public_tokenizers.path(VOCABULARY_FILE))
-    back = bpe.decode(bpe.encode(docs.drop("decoded"), vocabulary, arrays=True), vocabulary)
+    back = bpe.round_trip(docs, vocabulary)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return back.where(F.when(same, True).otherwise(F.raise_error(F.lit("decoded text differs")).cast("boolean"))).drop("decoded")
 

@@ -355,6 +355,25 @@ def encode(docs: DataFrame, vocabulary, text_col: str = "text", arrays: bool = F
     return with_arrow(docs, text_col, fields, compute, ENCODE_BYTES)
 
 
+def round_trip(docs: DataFrame, vocabulary, text_col: str = "text") -> DataFrame:
+    """The columns of decode(encode(docs, arrays=True)), made by one Python worker for each task instead of two.
+
+    Each worker holds the libraries, the vocabulary and the memo (about 100 MB), and Spark keeps as many as were ever busy at once.
+    """
+
+    def compute(texts: pa.Array) -> dict[str, pa.Array]:
+        flat, at = encode_batch(texts, vocabulary.value)
+        out, out_at = decode_batch(flat.astype("<u4").astype(np.int64), at, vocabulary.value)
+        return {
+            "n_tokens": pa.array(np.diff(at), pa.int64()),
+            "token_ids": pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat, pa.int32())),
+            "decoded": _binary(out, out_at),
+        }
+
+    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("token_ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.BinaryType())]
+    return with_arrow(docs.drop("ids"), text_col, fields, compute, ENCODE_BYTES)
+
+
 def decode(encoded: DataFrame, vocabulary, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
     """The other columns and ``decoded``: the bytes that the ids stand for; the ids column goes. Null ids: no bytes."""
     small_batches(encoded.sparkSession)

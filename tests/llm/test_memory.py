@@ -9,6 +9,8 @@ import pytest
 import regex
 from innkeep.llm import bpe, common
 
+import corpus_pipeline
+
 
 def held() -> int:
     with open("/proc/self/statm") as f:
@@ -34,3 +36,12 @@ def test_classes_of_code_points():
             want = bpe.LETTER if regex.match(r"\p{L}", one) else bpe.NUMBER if regex.match(r"\p{N}", one) else bpe.SPACE if regex.match(r"\p{White_Space}", one) else bpe.OTHER
             assert kinds[at] == want
     assert (kinds[0xD800:0xE000] == bpe.OTHER).all()
+
+
+def test_tokenize_has_one_python_worker_a_task(spark):
+    docs = spark.createDataFrame([(1, "One's day, über 42!"), (2, None), (2, "")], "doc_id long, text string").selectExpr("*", "'x' AS ids", "'y' AS decoded", "0 AS n_tokens")
+    out = corpus_pipeline.tokenize(spark, docs, "")
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    vocabulary = bpe.broadcast_vocabulary(spark, corpus_pipeline.public_tokenizers.path(corpus_pipeline.VOCABULARY_FILE))
+    want = bpe.decode(bpe.encode(docs, vocabulary, arrays=True), vocabulary).drop("decoded")
+    assert out.columns == want.columns and sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
